@@ -58,6 +58,8 @@ def _inverse(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndar
             sin_az = np.where(cross == 0, 0.0, cos1 * cos2 * sin_l / cross)
             cos2_az = 1 - sin_az * sin_az
             mid = np.where(cos2_az == 0, 0.0, dot - 2 * sin1 * sin2 / cos2_az)
+            if not moving.any():
+                break
             c = f / 16 * cos2_az * (4 + f * (4 - 3 * cos2_az))
             turn = sigma + c * cross * (mid + c * dot * (2 * mid * mid - 1))
             new = gap + (1 - c) * f * sin_az * turn
@@ -65,8 +67,6 @@ def _inverse(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndar
             step = np.abs(new - lam)
             lam = np.where(moving, new, lam)
             moving &= step > 1e-13
-            if not moving.any():
-                break
         u2 = cos2_az * (a * a - b * b) / (b * b)
         big_a = 1 + u2 / 16384 * (4096 + u2 * (u2 * (320 - 175 * u2) - 768))
         big_b = u2 / 1024 * (256 + u2 * (u2 * (74 - 47 * u2) - 128))

@@ -209,14 +209,14 @@ def _class_lists(placed: DataFrame, edges: DataFrame, distance: str, metrics: Se
         .withColumn("km", distance_km(distance, "a_lat", "a_lon", "c_lat", "c_lon"))
     )
     parts = _pair_parts("km")
-    by_metric = ", ".join(f"'{m}', coalesce(round({_total(parts, m)}, {SCORE_DIGITS}), double('inf'))" for m in metrics)
+    by_metric = ", ".join(f"'{m}', coalesce({_total(parts, m)}, double('inf'))" for m in metrics)
     scored = pairs.select("a_pos", "c_heads", F.expr(f"stack({len(metrics)}, {by_metric})").alias("metric", "score")).select(
         "a_pos", "metric", "score", F.explode("c_heads").alias("id")
     )
-    best = Window.partitionBy("a_pos", "metric").orderBy("score", "id")
+    best = Window.partitionBy("a_pos", "metric").orderBy(F.round("score", SCORE_DIGITS), "id")
     lists = (
         scored.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
-        .groupBy("a_pos", "metric").agg(F.sort_array(F.collect_list(F.struct("score", "id"))).alias("found"))
+        .groupBy("a_pos", "metric").agg(F.sort_array(F.collect_list(F.struct("r", "score", "id"))).alias("found"))
     )
     return lists.join(search_rows.select(F.col("pos").alias("a_pos"), "profile"), "a_pos").select("profile", "metric", "found")
 
@@ -269,11 +269,11 @@ def nearest(
         tails.withColumn("located", F.lit(True)).unionByName(pools.withColumn("located", F.lit(False))), "tails"
     )
 
-    entry = "array<struct<score:double,id:bigint>>"
+    entry = "array<struct<r:int,score:double,id:bigint>>"
     members = rows.where("wanted").select("prop_id", "zone", "profile", F.col("lat").isNotNull().alias("located"))
     located = attach(members, by_class, ["profile"], F.col("prop_id"))
     listed = attach(staged(located, "members"), tails, ["zone", "located"], F.col("prop_id"))
-    unscored = F.coalesce(F.transform("tail", lambda i: F.struct(F.lit(INF), i)).cast(entry), F.array().cast(entry))
+    unscored = F.coalesce(F.transform("tail", lambda i: F.struct(F.lit(0), F.lit(INF), i)).cast(entry), F.array().cast(entry))
     each = listed.select("prop_id", "found", unscored.alias("unscored"), F.explode(F.array(*[F.lit(m) for m in metrics])).alias("metric"))
     scored = F.coalesce(F.try_element_at("found", F.col("metric")), F.array().cast(entry))
     others = F.slice(F.filter(F.concat(scored, F.col("unscored")), lambda e: e["id"] != F.col("prop_id")), 1, k)

@@ -16,6 +16,7 @@ def local_session(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSe
         SparkSession.builder.master(f"local[{cores}]")
         .appName("parcelmatch")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
