@@ -20,33 +20,43 @@ from .attach import attach
 LEAF_BITS = 6  # 64 rows per leaf
 FAN_BITS = 6  # 64 children per coarser node
 TOP_NODES = 64  # coarsest tier: about this many nodes in the largest zone
+KEY_BITS = 60
 MAX_FAN_IN = 4096  # search leaves that may meet one offered leaf before its rows are copied
 
 
-def interleaved(units: Sequence[str], digits: int = 16) -> Column:
-    """Sort key with the bits of several values interleaved; ``units`` are SQL texts in [0, 1]."""
-    bits = ", ".join(f"lpad(bin(bigint(greatest(0D, least(1D, {u})) * {(1 << digits) - 1})), {digits}, '0')" for u in units)
-    return F.expr(
-        f"array_join(transform(sequence(1, {digits}), i -> array_join(transform(array({bits}), b -> substr(b, i, 1)), '')), '')"
-    )
+def interleaved(df: DataFrame, units: Sequence[str], digits: int) -> tuple[DataFrame, list[str]]:
+    """Add sort-key columns holding the interleaved leading bits of several values.
+
+    ``units`` are SQL texts in [0, 1]; the key is split over as many longs as it takes.
+    """
+    grid = {f"_q{i}": F.expr(f"bigint(greatest(0D, least(1D, {u})) * {(1 << digits) - 1})") for i, u in enumerate(units)}
+    per_long = KEY_BITS // len(units)
+    keys = {}
+    for high in range(digits - 1, -1, -per_long):
+        bits = [(i, bit) for bit in range(high, max(high - per_long, -1), -1) for i in range(len(units))]
+        terms = [f"shiftleft(shiftright(_q{i}, {bit}) & 1L, {len(bits) - 1 - at})" for at, (i, bit) in enumerate(bits)]
+        keys[f"_k{len(keys)}"] = F.expr(" | ".join(terms))
+    return df.withColumns(grid).withColumns(keys).drop(*grid), list(keys)
+
+
+def parallel(df: DataFrame, *keys: str) -> DataFrame:
+    """Shuffle by ``keys`` into the session's number of partitions.
+
+    For inputs of small, expensive rows: their size says little about the work behind them, so
+    they must not be merged into a few tasks by size.
+    """
+    return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1), *keys)
 
 
-def place(df: DataFrame, keys: Sequence[Column], tie: Sequence[str], label: str) -> DataFrame:
+def place(df: DataFrame, keys: Sequence[str], tie: Sequence[str], label: str) -> DataFrame:
     """Give every row its position in (zone, key) order and store the result.
 
     ``tie`` makes the order total, so equal keys still split over partitions.
     """
-    named = {f"_k{i}": k for i, k in enumerate(keys)}
-    order = ["zone", *named, *tie]
+    order = ["zone", *keys, *tie]
     n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    placed = (
-        df.withColumns(named)
-        .repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("pos", F.monotonically_increasing_id())
-        .drop(*named)
-    )
-    return staged(placed, label)
+    placed = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("pos", F.monotonically_increasing_id())
+    return staged(placed.drop(*[k for k in keys if k.startswith("_k")]), label)
 
 
 def node(shift: int) -> Column:

@@ -22,9 +22,9 @@ from ..functions.geo import SLACK, box_km_bounds, distance_km, haversine_sql
 from ..registry import BASE_MEASURES, LISTING_MEASURES, MEASURES, NEIGHBOURS
 from ..session import staged
 from .attach import attach
-from .blocks import FAN_BITS, LEAF_BITS, TOP_NODES, balanced, interleaved, node, place, prefixed, pruned_pairs, summarise, tier_shifts
+from .blocks import FAN_BITS, LEAF_BITS, TOP_NODES, balanced, interleaved, node, parallel, place, prefixed, pruned_pairs, summarise, tier_shifts
 from .ranges import distance_ranges, flag_ranges, hood_key
-from .scaling import min_max, unit
+from .scaling import fit_range, min_max, unit
 
 METRICS = ("euclidean", "manhattan")
 SCORE_DIGITS = 9  # scores closer than this are ties, broken by id
@@ -36,33 +36,43 @@ _ROW = ["zone", "flag_bits", "hood", "lat", "lon", "listing", *[f"f{i}" for i in
 
 
 # Score formulas are SQL text, like the distances in ``functions.geo``.
+def _sum(terms: Sequence[str], metric: str) -> str:
+    """Parts combined, for Euclidean still squared. Products, because power() is slow."""
+    return "(" + " + ".join(f"({t}) * ({t})" if metric == "euclidean" else f"({t})" for t in terms) + ")"
+
+
 def _total(terms: Sequence[str], metric: str) -> str:
-    """Combine non-negative parts into one score."""
-    if metric == "euclidean":
-        return "sqrt(" + " + ".join(f"power({t}, 2)" for t in terms) + ")"
-    return "(" + " + ".join(terms) + ")"
+    return f"sqrt({_sum(terms, metric)})" if metric == "euclidean" else _sum(terms, metric)
+
+
+def _within_limit(parts: Sequence[str], km_part: str, metrics: Sequence[str]) -> str:
+    """Whether the score can be within the limit; the cheap parts decide most cases alone."""
+    tests = []
+    for m in metrics:
+        limit = f"(a_limit_{m} + {MARGIN!r}D)"
+        ceiling = f"{limit} * {limit}" if m == "euclidean" else limit
+        tests.append(f"({_sum(parts, m)} <= {ceiling} AND {_sum([*parts, km_part], m)} <= {ceiling})")
+    return " OR ".join(tests)
 
 
 def score_rows(matrix: DataFrame, zones: Sequence[str] | None = None, done: DataFrame | None = None) -> DataFrame:
-    """Rows to score, stored: measures scaled over the whole table, a missing one as 0.
+    """Rows to score, over a stored matrix: measures scaled over the whole table, a missing one as 0.
 
     ``zones`` limits the search side to a list, ``done`` (column ``prop_id``) leaves out
     finished ids; both keep every property as a candidate.
     """
-    scaled = min_max(matrix, MEASURES)
+    matrix = staged(matrix.select("prop_id", "zone", "flag_bits", "hood_cd", "lat", "lon", "listing", *MEASURES), "score-matrix")
+    scaled = min_max(matrix, MEASURES, fit_range(matrix, MEASURES))
     wanted = F.lit(True) if zones is None else F.col("zone").isin(list(zones))
-    rows = scaled.select(
-        "prop_id", "zone", "flag_bits", F.col("hood_cd").alias("hood"),
-        F.when(F.col("lon").isNotNull(), F.col("lat")).alias("lat"), F.when(F.col("lat").isNotNull(), F.col("lon")).alias("lon"),
-        F.col("listing").cast("int").alias("listing"),
-        *[F.coalesce(F.col(m), F.lit(0.0)).alias(f"f{i}") for i, m in enumerate(MEASURES)],
-        wanted.alias("wanted"),
-    ).where("zone is not null")
+    rows = scaled.where("zone IS NOT NULL").selectExpr(
+        "prop_id", "zone", "flag_bits", "hood_cd AS hood", "if(lon IS NOT NULL, lat, NULL) AS lat", "if(lat IS NOT NULL, lon, NULL) AS lon",
+        "int(listing) AS listing", *[f"coalesce({m}, 0D) AS f{i}" for i, m in enumerate(MEASURES)],
+    ).withColumns({"wanted": wanted, "profile": F.expr(f"to_json(struct({', '.join(_ROW)}))")})
     if done is not None:
         finished = done.select("prop_id").distinct().withColumn("_done", F.lit(True))
         rows = rows.join(finished, "prop_id", "left").withColumn("wanted", F.col("wanted") & F.col("_done").isNull()).drop("_done")
-    rows = rows.withColumn("profile", F.to_json(F.struct(*_ROW)))
-    return staged(rows, "score-rows")
+        rows = staged(rows, "score-rows")
+    return rows
 
 
 def pool_ranges(rows: DataFrame, edges: DataFrame, distance: str = "vincenty") -> DataFrame:
@@ -102,8 +112,8 @@ def _classes(rows: DataFrame, edges: DataFrame, distance: str, k: int) -> DataFr
     extent = classes.agg(F.struct(*[F.struct(F.min(x).alias("lo"), F.max(x).alias("hi")).alias(x) for x in ("lat", "lon")]).alias("e"))
     ranged = ranged.withColumn("_e", extent.scalar())
     here = [f"coalesce(try_divide({x} - _e.{x}.lo, _e.{x}.hi - _e.{x}.lo), 0D)" for x in ("lat", "lon")]
-    key = interleaved([*here, *[f"f{i}" for i in range(_N)]])
-    return place(ranged, [F.col("listing"), key], ["rep"], "placed").drop("_e")
+    keyed, keys = interleaved(ranged, [*here, *[f"f{i}" for i in range(_N)]], digits=18)
+    return place(keyed.drop("_e"), ["listing", *keys], ["rep"], "placed")
 
 
 _NODE = {
@@ -141,8 +151,7 @@ def _within(distance: str, metrics: Sequence[str]) -> str:
     differ = "bit_count((a_and_bits & ~c_or_bits) | (c_and_bits & ~a_or_bits))"
     ham = f"({differ} + if(coalesce(a_hood_lo <= c_hood_hi AND c_hood_lo <= a_hood_hi, false), 0, 1))"
     km, _ = box_km_bounds("a_", "c_", distance)
-    parts = [*_tiered(gaps), _share(ham, "ham"), _share(f"({km})", "km")]
-    return " OR ".join(f"{_total(parts, m)} <= a_limit_{m} + {MARGIN!r}D" for m in metrics)
+    return _within_limit([*_tiered(gaps), _share(ham, "ham")], _share(f"({km})", "km"), metrics)
 
 
 def _pair_parts(km: str) -> list[str]:
@@ -163,9 +172,9 @@ def _limits(placed: DataFrame, leaf: int, distance: str, metrics: Sequence[str],
     """Upper limit of the (k+1)-th best score of every search class, from the leaves around it."""
     a = prefixed(placed.where("wanted").select("pos", "zone", *[c for c in _ROW if c != "zone"], "ham_lo", "ham_span", "km_lo", "km_span"), "a_")
     a = a.withColumn("leaf", F.explode(F.array(*[F.shiftright("a_pos", leaf) + d for d in (-1, 0, 1)])))
-    c = prefixed(placed.select("pos", "zone", "heads", *[c for c in _ROW if c != "zone"]), "c_").withColumn("leaf", F.shiftright("c_pos", leaf))
+    c = prefixed(placed.select("pos", "zone", "heads", *[c for c in _ROW if c != "zone"]), "c_").withColumn("c_leaf", F.shiftright("c_pos", leaf))
     parts = _rough_parts(distance, 1 + SLACK[distance])
-    pairs = a.join(c, (F.col("a_zone") == F.col("c_zone")) & (a.leaf == c.leaf)).where(_NOT_ITSELF)
+    pairs = parallel(a, "a_zone", "leaf").join(c, (F.col("a_zone") == F.col("c_zone")) & (F.col("leaf") == F.col("c_leaf"))).where(_NOT_ITSELF)
     # At most three leaves of scores per class: a bounded list.
     lists = pairs.select("a_pos", *[F.expr(_total(parts, m)).alias(m) for m in metrics]).groupBy("a_pos").agg(
         *[F.sort_array(F.collect_list(m)).alias(m) for m in metrics]
@@ -190,7 +199,7 @@ def _class_lists(placed: DataFrame, edges: DataFrame, distance: str, metrics: Se
 
     a = prefixed(_as_node(search_rows, names), "a_").withColumn("a_node", F.shiftright("a_pos", leaf))
     met = (
-        a.join(leaves, ["a_zone", "a_node"])
+        parallel(a.join(leaves, ["a_zone", "a_node"]), "c_zone", "c_node", "c_salt")
         .join(copies(prefixed(offered[-1], "c_")), ["c_zone", "c_node", "c_salt"])
         .where(within)
         .select("a_pos", "a_zone", "a_node", "c_zone", "c_node", "c_salt")
@@ -198,11 +207,10 @@ def _class_lists(placed: DataFrame, edges: DataFrame, distance: str, metrics: Se
     rows = [c for c in _ROW if c != "zone"]
     a_rows = prefixed(search_rows.select("pos", *rows, "ham_lo", "ham_span", "km_lo", "km_span", *names), "a_")
     c_rows = copies(prefixed(placed.select("zone", node(leaf).alias("node"), "pos", "heads", *rows), "c_"))
-    rough = _rough_parts(distance, 1 - SLACK[distance])
-    hopeful = " OR ".join(f"{_total(rough, m)} <= a_limit_{m} + {MARGIN!r}D" for m in metrics)
+    *cheap, rough_km = _rough_parts(distance, 1 - SLACK[distance])
+    hopeful = _within_limit(cheap, rough_km, metrics)
     pairs = (
-        met.select("a_pos", "c_zone", "c_node", "c_salt")
-        .join(a_rows, "a_pos")
+        parallel(met.select("a_pos", "c_zone", "c_node", "c_salt").join(a_rows, "a_pos"), "c_zone", "c_node", "c_salt")
         .join(c_rows, ["c_zone", "c_node", "c_salt"])
         .where(_NOT_ITSELF)
         .where(hopeful)

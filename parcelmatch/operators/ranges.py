@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import box_km_bounds, distance_km
-from .blocks import FAN_BITS, TOP_NODES, balanced, interleaved, node, place, prefixed, pruned_pairs, summarise, tier_shifts
+from ..functions.geo import box_km_bounds, box_radius_km, distance_km
+from ..session import staged
+from .blocks import FAN_BITS, TOP_NODES, balanced, interleaved, node, parallel, place, prefixed, pruned_pairs, summarise, tier_shifts
 
 PLACE_LEAF_BITS = 4  # distances are costly to compute, so places sit in leaves of 16
 CODE_SPREAD = 16
@@ -29,40 +30,31 @@ def flag_ranges(rows: DataFrame, edges: DataFrame) -> DataFrame:
 
     Works on distinct codes, whose number is set by the flags and neighbourhoods in use.
     """
-    codes = rows.groupBy("zone", "flag_bits", "hood").agg(F.count("*").alias("n"), F.max("wanted").alias("wanted"))
-    links = edges.select(F.col("zone"), F.col("neighbour").alias("c_zone"))
+    codes = staged(
+        rows.groupBy("zone", "flag_bits", "hood").agg(F.count("*").alias("n"), F.max("wanted").alias("wanted"))
+        .withColumn("code", F.monotonically_increasing_id()),
+        "codes",
+    )
+    links = edges.select("zone", F.col("neighbour").alias("c_zone"))
     reach = (
-        codes.where("wanted").select("zone", "flag_bits", "hood")
-        .withColumn("salt", F.pmod(F.xxhash64("flag_bits", "hood"), F.lit(CODE_SPREAD)).cast("int"))
+        codes.where("wanted").select("code", "zone", "flag_bits", "hood")
+        .withColumn("salt", F.expr(f"int(pmod(xxhash64(code), {CODE_SPREAD}))"))
         .join(links, "zone")
     )
-    apart = F.bit_count(F.col("flag_bits").bitwiseXOR(F.col("c_bits")))
-    itself = (F.col("zone") == F.col("c_zone")) & (F.col("flag_bits") == F.col("c_bits"))
+    reach = parallel(reach, "c_zone", "salt")
+    apart = "bit_count(flag_bits ^ c_bits)"
+
+    same = codes.where("hood IS NOT NULL").selectExpr("zone AS c_zone", "flag_bits AS c_bits", "hood", "code AS c_code", "n")
+    same_hood = reach.join(same, ["c_zone", "hood"]).where("code <> c_code OR n > 1").selectExpr("code", f"{apart} AS ham")
 
-    same_hood = (
-        reach.join(
-            codes.where("hood is not null").select(F.col("zone").alias("c_zone"), F.col("flag_bits").alias("c_bits"), "hood", "n"),
-            ["c_zone", "hood"],
-        )
-        .where(~itself | (F.col("n") > 1))
-        .select("zone", "flag_bits", "hood", apart.alias("ham"))
-    )
     masks = codes.groupBy(F.col("zone").alias("c_zone"), F.col("flag_bits").alias("c_bits")).agg(
-        F.sum("n").alias("n"), F.count_if(F.col("hood").isNull()).alias("unknown"),
-        F.min("hood").alias("hood_lo"), F.max("hood").alias("hood_hi"),
+        F.sum("n").alias("n"), F.count_if(F.col("hood").isNull()).alias("unknown"), F.min("hood").alias("hood_lo"), F.max("hood").alias("hood_hi"),
     ).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(CODE_SPREAD - 1))))
-    someone_else = F.when(F.col("hood").isNull(), F.col("n") - itself.cast("int") > 0).otherwise(
-        (F.col("unknown") > 0) | F.coalesce((F.col("hood_lo") != F.col("hood")) | (F.col("hood_hi") != F.col("hood")), F.lit(False))
-    )
-    other_hood = (
-        reach.join(masks, ["c_zone", "salt"]).where(someone_else).select("zone", "flag_bits", "hood", (apart + 1).alias("ham"))
-    )
-    return (
-        same_hood.unionByName(other_hood)
-        .groupBy("zone", "flag_bits", "hood")
-        .agg(F.min("ham").alias("ham_lo"), F.max("ham").alias("ham_hi"))
-        .select("zone", "flag_bits", hood_key(F.col("hood")).alias("hood_key"), "ham_lo", "ham_hi")
-    )
+    someone_else = """CASE WHEN hood IS NULL THEN n > if(zone = c_zone AND flag_bits = c_bits, 1, 0)
+        ELSE unknown > 0 OR hood_lo <> hood OR hood_hi <> hood END"""
+    other_hood = reach.join(masks, ["c_zone", "salt"]).where(someone_else).selectExpr("code", f"{apart} + 1 AS ham")
+    found = same_hood.unionByName(other_hood).groupBy("code").agg(F.min("ham").alias("ham_lo"), F.max("ham").alias("ham_hi"))
+    return found.join(codes, "code").select("zone", "flag_bits", hood_key(F.col("hood")).alias("hood_key"), "ham_lo", "ham_hi")
 
 
 _PLACE_NODE = {
@@ -77,25 +69,38 @@ def distance_ranges(
     places = rows.where("lat is not null and lon is not null").groupBy("zone", "lat", "lon").agg(
         F.count("*").alias("n"), F.max("wanted").alias("wanted")
     )
-    key = interleaved(["(lat + 90) / 180", "(lon + 180) / 360"], digits=30)
-    placed = place(places, [key], ["lat", "lon"], "places")
+    keyed, keys = interleaved(places, ["(lat + 90) / 180", "(lon + 180) / 360"], digits=30)
+    placed = place(keyed, keys, ["lat", "lon"], "places")
     shifts = tier_shifts(placed, leaf_bits, fan_bits, top_nodes)
     offered = summarise(placed, shifts, _PLACE_NODE)
     search = summarise(placed.where("wanted"), shifts, _PLACE_NODE)
-    same_node = (F.col("a_zone") == F.col("c_zone")) & (F.col("a_node") == F.col("c_node"))
 
-    def may_matter(pairs: DataFrame, by: list[str]) -> DataFrame:
-        """Keep boxes that may hold the nearest or the farthest other property."""
-        low, high = box_km_bounds("a_", "c_", metric)
+    def keep_ends(pairs: DataFrame, low: str, high: str, by: list[str]) -> DataFrame:
+        """Keep the boxes which may hold the nearest or the farthest other property."""
         w = Window.partitionBy(*by)
-        peopled = F.when(~same_node | (F.col("c_n") > 1), F.col("_high"))
+        peopled = F.expr("CASE WHEN a_zone <> c_zone OR a_node <> c_node OR c_n > 1 THEN _high END")
         return (
             pairs.withColumns({"_low": F.expr(low), "_high": F.expr(high)})
             .withColumns({"_near": F.min(peopled).over(w), "_far": F.max("_low").over(w)})
-            .where("_high >= _far or _near is null or _low <= _near")
-            .drop("_low", "_high", "_near", "_far")
+            .where("_high >= _far OR _near IS NULL OR _low <= _near")
+            .drop("_near", "_far")
         )
 
+    def may_matter(pairs: DataFrame, by: list[str]) -> DataFrame:
+        """By box gaps first, then by the distance of the box centres and the boxes' radii.
+
+        The second bound has no relative error, so the far side keeps a few boxes only, however
+        finely a large zone is divided.
+        """
+        boxed = keep_ends(pairs, *box_km_bounds("a_", "c_", metric), by)
+        mids = {f"_{p}_{x}": F.expr(f"({p}_{x}_lo + {p}_{x}_hi) / 2") for p in "ac" for x in ("lat", "lon")}
+        centred = boxed.withColumnsRenamed({"_low": "_box_low", "_high": "_box_high"}).withColumns(mids)
+        centred = centred.withColumn("_mid", distance_km(metric, "_a_lat", "_a_lon", "_c_lat", "_c_lon"))
+        centred = centred.withColumn("_reach", F.expr(f"({box_radius_km('a_', metric)}) + ({box_radius_km('c_', metric)})"))
+        low, high = "greatest(_box_low, _mid - _reach)", "least(_box_high, _mid + _reach)"
+        extra = [*mids, "_mid", "_reach", "_box_low", "_box_high", "_low", "_high"]
+        return keep_ends(centred, low, high, by).drop(*extra)
+
     leaves, copies = balanced(pruned_pairs(search, offered, edges, shifts, lambda p: may_matter(p, ["a_zone", "a_node"])))
     leaf = shifts[-1]
     seekers = placed.where("wanted").select(
@@ -104,7 +109,7 @@ def distance_ranges(
     )
     boxes = copies(prefixed(offered[-1], "c_"))
     narrowed = may_matter(
-        seekers.join(leaves, ["a_zone", "a_node"]).join(boxes, ["c_zone", "c_node", "c_salt"]), ["a_pos"]
+        parallel(seekers.join(leaves, ["a_zone", "a_node"]), "c_zone", "c_node", "c_salt").join(boxes, ["c_zone", "c_node", "c_salt"]), ["a_pos"]
     ).select("a_zone", "a_pos", "a_n", "a_lat_lo", "a_lon_lo", "c_zone", "c_node", "c_salt")
     others = copies(placed.select(
         F.col("zone").alias("c_zone"), node(leaf).alias("c_node"), F.col("pos").alias("c_pos"),
@@ -112,7 +117,7 @@ def distance_ranges(
     ))
     km = distance_km(metric, "a_lat_lo", "a_lon_lo", "c_lat", "c_lon")
     return (
-        narrowed.join(others, ["c_zone", "c_node", "c_salt"])
+        parallel(narrowed, "c_zone", "c_node", "c_salt").join(others, ["c_zone", "c_node", "c_salt"])
         .where("a_pos <> c_pos or a_n > 1")
         .withColumn("km", km)
         .groupBy("a_zone", "a_lat_lo", "a_lon_lo")

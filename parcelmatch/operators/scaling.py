@@ -13,12 +13,15 @@ def unit(value: Column, low: Column, high: Column) -> Column:
     return F.when(value.isNotNull(), F.when(high > low, (value - low) / (high - low)).otherwise(F.lit(0.0)))
 
 
-def min_max(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Scale ``columns`` to [0, 1] over the whole table.
-
-    The range is one row of partial aggregates, read as a scalar subquery.
-    """
-    fit = df.agg(F.struct(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in columns]).alias("fit"))
-    ranged = df.withColumn("_fit", fit.scalar())
-    scaled = {c: unit(F.col(c).cast("double"), F.col(f"_fit.{c}.lo").cast("double"), F.col(f"_fit.{c}.hi").cast("double")) for c in columns}
-    return ranged.withColumns(scaled).drop("_fit")
+def fit_range(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
+    """Smallest and largest value per column: one row, from partial aggregates."""
+    ends = [F.expr(f"double({how}({c}))").alias(f"{how}_{c}") for c in columns for how in ("min", "max")]
+    row = df.agg(*ends).first()
+    return {c: (row[f"min_{c}"], row[f"max_{c}"]) for c in columns}
+
+
+def min_max(df: DataFrame, columns: Sequence[str], fit: dict[str, tuple[float | None, float | None]] | None = None) -> DataFrame:
+    """Scale ``columns`` to [0, 1] by ``fit``, by default the range of the table itself."""
+    fit = fit or fit_range(df, columns)
+    ends = {c: tuple(F.lit(x).cast("double") for x in fit[c]) for c in columns}
+    return df.withColumns({c: unit(F.col(c).cast("double"), *ends[c]) for c in columns})

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parcelmatch.functions.geo import _inverse
+from parcelmatch.functions.geo import inverse_km
 from parcelmatch.operators import blocks
 from parcelmatch.operators.neighbours import nearest, pair_components, pool_ranges, score_rows
 from parcelmatch.operators.zones import adjacency, pool_edges
@@ -57,7 +57,7 @@ def brute_force(props, neighbours, k):
         for j in pool:
             c = props[j]
             ok = None not in (a["lat"], a["lon"], c["lat"], c["lon"])
-            km.append(float(_inverse(*(np.array([x]) for x in (a["lat"], a["lon"], c["lat"], c["lon"])))[0]) if ok else None)
+            km.append(float(inverse_km(*(np.array([x]) for x in (a["lat"], a["lon"], c["lat"], c["lon"])))[0]) if ok else None)
         known = [x for x in km if x is not None]
 
         def scale(x, xs):
