@@ -27,7 +27,7 @@ SLACK = {"vincenty": 0.01, "haversine": 1e-9}
 # The spherical formulas are SQL text: scoring plans hold hundreds of such operations, and one
 # parsed expression costs far less driver time than building them call by call.
 def _arc(half_chord: str) -> str:
-    return f"asin(sqrt(least({half_chord}, 1D))) * {2 * EARTH_KM!r}"
+    return f"asin(sqrt(least({half_chord}, 1D))) * {2 * EARTH_KM!r}D"
 
 
 def _sin2_half(degrees: str) -> str:
@@ -97,34 +97,40 @@ def distance_km(metric: str, lat1: str, lon1: str, lat2: str, lon2: str) -> Colu
     raise ValueError(f"unknown distance {metric!r}; use 'vincenty' or 'haversine'")
 
 
-def box_km_bounds(a: str, c: str, metric: str) -> tuple[str, str]:
-    """Least and greatest possible distance between two latitude/longitude boxes, as SQL.
+AXES = ("x", "y", "z")
+
+
+def position(lat: str, lon: str) -> dict[str, str]:
+    """Point of the sphere in km, as SQL per axis. Straight lines between such points are never
+    longer than the great circle, and cost three products instead of a row of sines."""
+    return {
+        "x": f"coalesce(cos(radians({lat})) * cos(radians({lon})) * {EARTH_KM!r}D, 0D)",
+        "y": f"coalesce(cos(radians({lat})) * sin(radians({lon})) * {EARTH_KM!r}D, 0D)",
+        "z": f"coalesce(sin(radians({lat})) * {EARTH_KM!r}D, 0D)",
+    }
 
-    ``a`` and ``c`` are prefixes of the columns ``lat_lo, lat_hi, lon_lo, lon_hi``.
-    """
 
-    def gap(axis: str) -> str:
-        return f"greatest(0D, {c}{axis}_lo - {a}{axis}_hi, {a}{axis}_lo - {c}{axis}_hi)"
+def chord_sql(gaps: list[str]) -> str:
+    """Length of a straight line from its three axis parts."""
+    return "sqrt(" + " + ".join(f"({g}) * ({g})" for g in gaps) + ")"
 
-    def span(axis: str) -> str:
-        return f"greatest({c}{axis}_hi - {a}{axis}_lo, {a}{axis}_hi - {c}{axis}_lo)"
 
-    def cos_ends(p: str, pick: str) -> str:
-        return f"{pick}(cos(radians({p}lat_lo)), cos(radians({p}lat_hi)))"
+def axis_gap(a: str, c: str, name: str) -> str:
+    """Least difference between two ranges ``<prefix><name>_lo`` .. ``_hi``."""
+    return f"greatest(0D, {c}{name}_lo - {a}{name}_hi, {a}{name}_lo - {c}{name}_hi)"
 
-    def cos_most(p: str) -> str:
-        return f"if({p}lat_lo <= 0 AND {p}lat_hi >= 0, 1D, {cos_ends(p, 'greatest')})"
 
-    # sin^2 of half an angle rises to 180 degrees and falls beyond.
-    lon_least = f"least({_sin2_half(gap('lon'))}, {_sin2_half(span('lon'))})"
-    lon_most = (
-        f"if({gap('lon')} <= 180 AND {span('lon')} >= 180, 1D, "
-        f"greatest({_sin2_half(gap('lon'))}, {_sin2_half(span('lon'))}))"
-    )
-    least = f"({_sin2_half(gap('lat'))} + {cos_ends(a, 'least')} * {cos_ends(c, 'least')} * {lon_least})"
-    most = f"({_sin2_half(span('lat'))} + {cos_most(a)} * {cos_most(c)} * {lon_most})"
+def box_km_bounds(a: str, c: str, metric: str) -> tuple[str, str]:
+    """Least and greatest possible distance between two boxes of positions, as SQL.
+
+    ``a`` and ``c`` are prefixes of the columns ``x_lo, x_hi, ...``.
+    """
+    least = chord_sql([axis_gap(a, c, x) for x in AXES])
+    most = chord_sql([f"greatest({c}{x}_hi - {a}{x}_lo, {a}{x}_hi - {c}{x}_lo)" for x in AXES])
     slack = SLACK[metric]
-    return f"{_arc(least)} * {1 - slack!r}", f"{_arc(most)} * {1 + slack!r}"
+    arc = f"asin(least(1D, {most} / {2 * EARTH_KM!r}D)) * {2 * EARTH_KM!r}D"
+    # The small constant covers rounding in the positions.
+    return f"greatest(0D, {least} * {1 - slack!r}D - 1e-9D)", f"{arc} * {1 + slack!r}D + 1e-9D"
 
 
 def box_radius_km(p: str, metric: str) -> str:
@@ -133,4 +139,4 @@ def box_radius_km(p: str, metric: str) -> str:
     Along the meridian and the widest parallel: half the height plus half the width.
     """
     km_per_degree = EARTH_KM * math.pi / 180 * (1 + SLACK[metric])
-    return f"(({p}lat_hi - {p}lat_lo) + ({p}lon_hi - {p}lon_lo)) / 2 * {km_per_degree!r} + 1e-9"
+    return f"(({p}lat_hi - {p}lat_lo) + ({p}lon_hi - {p}lon_lo)) / 2 * {km_per_degree!r}D + 1e-9D"

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import bits_hamming
-from ..functions.geo import SLACK, box_km_bounds, distance_km, haversine_sql
+from ..functions.geo import AXES, EARTH_KM, SLACK, axis_gap, box_km_bounds, chord_sql, distance_km, position
 from ..registry import BASE_MEASURES, LISTING_MEASURES, MEASURES, NEIGHBOURS
 from ..session import staged
 from .attach import attach
@@ -35,26 +35,6 @@ _NB = len(BASE_MEASURES)
 _ROW = ["zone", "flag_bits", "hood", "lat", "lon", "listing", *[f"f{i}" for i in range(_N)]]
 
 
-# Score formulas are SQL text, like the distances in ``functions.geo``.
-def _sum(terms: Sequence[str], metric: str) -> str:
-    """Parts combined, for Euclidean still squared. Products, because power() is slow."""
-    return "(" + " + ".join(f"({t}) * ({t})" if metric == "euclidean" else f"({t})" for t in terms) + ")"
-
-
-def _total(terms: Sequence[str], metric: str) -> str:
-    return f"sqrt({_sum(terms, metric)})" if metric == "euclidean" else _sum(terms, metric)
-
-
-def _within_limit(parts: Sequence[str], km_part: str, metrics: Sequence[str]) -> str:
-    """Whether the score can be within the limit; the cheap parts decide most cases alone."""
-    tests = []
-    for m in metrics:
-        limit = f"(a_limit_{m} + {MARGIN!r}D)"
-        ceiling = f"{limit} * {limit}" if m == "euclidean" else limit
-        tests.append(f"({_sum(parts, m)} <= {ceiling} AND {_sum([*parts, km_part], m)} <= {ceiling})")
-    return " OR ".join(tests)
-
-
 def score_rows(matrix: DataFrame, zones: Sequence[str] | None = None, done: DataFrame | None = None) -> DataFrame:
     """Rows to score, over a stored matrix: measures scaled over the whole table, a missing one as 0.
 
@@ -107,7 +87,7 @@ def _classes(rows: DataFrame, edges: DataFrame, distance: str, k: int) -> DataFr
     ranged = ranged.select(
         "profile", "rep", "heads", "wanted", *_ROW,
         "ham_lo", (F.col("ham_hi") - F.col("ham_lo")).alias("ham_span"), "km_lo", (F.col("km_hi") - F.col("km_lo")).alias("km_span"),
-    )
+    ).withColumns({x: F.expr(e) for x, e in position("lat", "lon").items()})
     # Coordinates vary little on the globe; the sort key scales them by the table's extent.
     extent = classes.agg(F.struct(*[F.struct(F.min(x).alias("lo"), F.max(x).alias("hi")).alias(x) for x in ("lat", "lon")]).alias("e"))
     ranged = ranged.withColumn("_e", extent.scalar())
@@ -116,71 +96,80 @@ def _classes(rows: DataFrame, edges: DataFrame, distance: str, k: int) -> DataFr
     return place(keyed.drop("_e"), ["listing", *keys], ["rep"], "placed")
 
 
+_BOXED = [*[f"f{i}" for i in range(_N)], *AXES]
 _NODE = {
-    "lat_lo": ("lat", "min"), "lat_hi": ("lat", "max"), "lon_lo": ("lon", "min"), "lon_hi": ("lon", "max"),
-    **{f"f{i}_lo": (f"f{i}", "min") for i in range(_N)}, **{f"f{i}_hi": (f"f{i}", "max") for i in range(_N)},
+    **{f"{x}_lo": (x, "min") for x in _BOXED}, **{f"{x}_hi": (x, "max") for x in _BOXED},
     "and_bits": ("flag_bits", "bit_and"), "or_bits": ("flag_bits", "bit_or"), "hood_lo": ("hood", "min"), "hood_hi": ("hood", "max"),
 }
-_SEARCH_NODE = {
-    **_NODE,
-    "listing": ("listing", "min"), "ham_lo": ("ham_lo", "max"), "ham_span": ("ham_span", "max"),
-    "km_lo": ("km_lo", "max"), "km_span": ("km_span", "max"),
-}
+# Search side of a block: the loosest of its classes' ranges.
+_LOOSEST = {"listing": ("listing", "min"), "ham_lo": ("ham_lo", "max"), "ham_span": ("ham_span", "max"), "km_lo": ("km_lo", "max"), "km_span": ("km_span", "max")}
 
 
-def _as_node(rows: DataFrame, extra: Sequence[str]) -> DataFrame:
-    """A single class written as a block of its own."""
-    ends = [F.col(src).alias(name) for name, (src, _) in _NODE.items()]
-    return rows.select("zone", "pos", "rep", *ends, "listing", "ham_lo", "ham_span", "km_lo", "km_span", *extra)
+def _known(df: DataFrame, prefix: str, columns: Sequence[str]) -> DataFrame:
+    """Columns prefixed and, except texts and lists, marked as never NULL.
 
+    A pair condition over nullable columns grows past the size the JIT compiles.
+    """
+    kinds = dict(df.dtypes)
+    zero = {"double": "0D", "bigint": "0L", "int": "0"}
+    return df.selectExpr(*[f"coalesce({c}, {zero[kinds[c]]}) AS {prefix}{c}" if kinds[c] in zero else f"{c} AS {prefix}{c}" for c in columns])
 
-def _share(value: str, part: str) -> str:
-    """Scaled Hamming or distance part, from the search side's range; 0 where the range is empty."""
-    low, span = f"a_{part}_lo", f"a_{part}_span"
-    return f"CASE WHEN {value} IS NOT NULL THEN if({span} > 0, greatest(0D, {value} - {low}) / {span}, 0D) END"
 
+def _with_rates(df: DataFrame) -> DataFrame:
+    """1 / range of the Hamming and distance parts; 0 where the range is empty."""
+    return df.withColumns({f"{p}_rate": F.expr(f"if({p}_span > 0, 1D / {p}_span, 0D)") for p in ("ham", "km")})
 
-def _tiered(gaps: Sequence[str]) -> list[str]:
-    """Base measures always count, listing measures only for a listed search property."""
-    return [*gaps[:_NB], *[f"if(a_listing = 1, {g}, 0D)" for g in gaps[_NB:]]]
+
+def _rough(gaps: Sequence[str], ham: str, km: str, metrics: Sequence[str], limit: bool = True) -> str | dict[str, str]:
+    """Scores from parts as (prefixed) columns; with ``limit`` the test against the limits."""
+    near = f"greatest(0D, {ham} - a_ham_lo) * a_ham_rate"
+    far = f"greatest(0D, {km} - a_km_lo) * a_km_rate"
+    totals = {}
+    for m in metrics:
+        terms = [f"({t}) * ({t})" if m == "euclidean" else f"abs({t})" for t in (*gaps, near)]
+        listed = " + ".join(terms[_NB:_N])
+        cheap = f"{' + '.join(terms[:_NB])} + {terms[_N]} + a_listing * ({listed})"
+        totals[m] = (cheap, f"power({far}, 2)" if m == "euclidean" else far)
+    if not limit:
+        return {m: f"sqrt({a} + {b})" if m == "euclidean" else f"{a} + {b}" for m, (a, b) in totals.items()}
+    # The cheap parts decide most cases alone.
+    return " OR ".join(f"({a} <= a_top_{m} AND {a} + {b} <= a_top_{m})" for m, (a, b) in totals.items())
+
+
+def _tops(metrics: Sequence[str]) -> dict[str, str]:
+    """Limits in the form the test compares with: squared for Euclidean."""
+    return {m: f"power(limit_{m} + {MARGIN!r}D, 2)" if m == "euclidean" else f"limit_{m} + {MARGIN!r}D" for m in metrics}
 
 
 def _within(distance: str, metrics: Sequence[str]) -> str:
     """Whether the best score any pair of the blocks ``a_`` and ``c_`` can have is within the limit."""
-    gaps = [f"greatest(0D, c_f{i}_lo - a_f{i}_hi, a_f{i}_lo - c_f{i}_hi)" for i in range(_N)]
     differ = "bit_count((a_and_bits & ~c_or_bits) | (c_and_bits & ~a_or_bits))"
-    ham = f"({differ} + if(coalesce(a_hood_lo <= c_hood_hi AND c_hood_lo <= a_hood_hi, false), 0, 1))"
+    ham = f"{differ} + if(coalesce(a_hood_lo <= c_hood_hi AND c_hood_lo <= a_hood_hi, false), 0, 1)"
     km, _ = box_km_bounds("a_", "c_", distance)
-    return _within_limit([*_tiered(gaps), _share(ham, "ham")], _share(f"({km})", "km"), metrics)
-
-
-def _pair_parts(km: str) -> list[str]:
-    """Parts of the score of the classes ``a_`` and ``c_`` (row columns), given their distance."""
-    ham = "(bit_count(a_flag_bits ^ c_flag_bits) + if(coalesce(a_hood = c_hood, false), 0, 1))"
-    return [*_tiered([f"abs(a_f{i} - c_f{i})" for i in range(_N)]), _share(ham, "ham"), _share(km, "km")]
-
-
-def _rough_parts(distance: str, factor: float) -> list[str]:
-    km = haversine_sql("a_lat", "a_lon", "c_lat", "c_lon")
-    return _pair_parts(f"(({km}) * {factor!r})")
+    return _rough([axis_gap("a_", "c_", f"f{i}") for i in range(_N)], ham, km, metrics)
 
 
+_HAM = "(bit_count(a_flag_bits ^ c_flag_bits) + if(coalesce(a_hood = c_hood, false), 0, 1))"
+_GAPS = [f"a_f{i} - c_f{i}" for i in range(_N)]
+_CHORD = chord_sql([f"a_{x} - c_{x}" for x in AXES])
+_SEARCH_COLUMNS = ["pos", *[f"f{i}" for i in range(_N)], *AXES, "lat", "lon", "flag_bits", "hood", "listing", "ham_lo", "ham_rate", "km_lo", "km_rate"]
+_OFFER_COLUMNS = ["pos", "heads", *[f"f{i}" for i in range(_N)], *AXES, "lat", "lon", "flag_bits", "hood"]
 _NOT_ITSELF = "a_pos <> c_pos or size(c_heads) > 1"
 
 
 def _limits(placed: DataFrame, leaf: int, distance: str, metrics: Sequence[str], k: int) -> DataFrame:
     """Upper limit of the (k+1)-th best score of every search class, from the leaves around it."""
-    a = prefixed(placed.where("wanted").select("pos", "zone", *[c for c in _ROW if c != "zone"], "ham_lo", "ham_span", "km_lo", "km_span"), "a_")
-    a = a.withColumn("leaf", F.explode(F.array(*[F.shiftright("a_pos", leaf) + d for d in (-1, 0, 1)])))
-    c = prefixed(placed.select("pos", "zone", "heads", *[c for c in _ROW if c != "zone"]), "c_").withColumn("c_leaf", F.shiftright("c_pos", leaf))
-    parts = _rough_parts(distance, 1 + SLACK[distance])
+    near = ", ".join(f"shiftright(a_pos, {leaf}) + {d}" for d in (-1, 0, 1))
+    a = _known(_with_rates(placed.where("wanted")), "a_", ["zone", *_SEARCH_COLUMNS]).withColumn("leaf", F.expr(f"explode(array({near}))"))
+    c = _known(placed, "c_", ["zone", *_OFFER_COLUMNS]).withColumn("c_leaf", F.shiftright("c_pos", leaf))
     pairs = parallel(a, "a_zone", "leaf").join(c, (F.col("a_zone") == F.col("c_zone")) & (F.col("leaf") == F.col("c_leaf"))).where(_NOT_ITSELF)
+    km = f"asin(least(1D, {_CHORD} / {2 * EARTH_KM!r}D)) * {2 * EARTH_KM * (1 + SLACK[distance])!r}D"
+    scores = _rough(_GAPS, _HAM, km, metrics, limit=False)
     # At most three leaves of scores per class: a bounded list.
-    lists = pairs.select("a_pos", *[F.expr(_total(parts, m)).alias(m) for m in metrics]).groupBy("a_pos").agg(
+    lists = pairs.selectExpr("a_pos", *[f"{x} AS {m}" for m, x in scores.items()]).groupBy("a_pos").agg(
         *[F.sort_array(F.collect_list(m)).alias(m) for m in metrics]
     )
-    limits = {f"limit_{m}": F.try_element_at(m, F.lit(k + 1)) for m in metrics}
-    return lists.select(F.col("a_pos").alias("pos"), *[v.alias(n) for n, v in limits.items()])
+    return lists.selectExpr("a_pos AS pos", *[f"try_element_at({m}, {k + 1}) AS limit_{m}" for m in metrics])
 
 
 def _class_lists(placed: DataFrame, edges: DataFrame, distance: str, metrics: Sequence[str], k: int, leaf_bits: int, fan_bits: int, top_nodes: int) -> DataFrame:
@@ -190,35 +179,53 @@ def _class_lists(placed: DataFrame, edges: DataFrame, distance: str, metrics: Se
     limits = _limits(placed, leaf, distance, metrics, k)
     names = [f"limit_{m}" for m in metrics]
     search_rows = staged(
-        placed.where("wanted").join(limits, "pos", "left").withColumns({n: F.coalesce(n, F.lit(INF)) for n in names}), "search-rows"
+        placed.where("wanted").join(limits, "pos", "left").withColumns({n: F.expr(f"coalesce({n}, double('inf'))") for n in names}), "search-rows"
     )
-    search = summarise(search_rows, shifts, {**_SEARCH_NODE, **{n: (n, "max") for n in names}})
-    offered = summarise(placed, shifts, _NODE)
+    tops = {f"top_{m}": F.expr(x) for m, x in _tops(metrics).items()}
+    bounds = [*_NODE, "listing", "ham_lo", "ham_rate", "km_lo", "km_rate", *tops]
+    offer = ["zone", "node", *_NODE]
+    offered = [_known(tier, "", offer) for tier in summarise(placed, shifts, _NODE)]
+    search = [
+        _known(_with_rates(tier).withColumns(tops), "", ["zone", "node", *bounds])
+        for tier in summarise(search_rows, shifts, {**_NODE, **_LOOSEST, **{n: (n, "max") for n in names}})
+    ]
     within = _within(distance, metrics)
     leaves, copies = balanced(pruned_pairs(search, offered, edges, shifts, lambda p: p.where(within)))
 
-    a = prefixed(_as_node(search_rows, names), "a_").withColumn("a_node", F.shiftright("a_pos", leaf))
+    rated = _with_rates(search_rows).withColumns(tops)
+    # A single class is a block whose bounds coincide.
+    single = rated.withColumns({name: F.col(src) for name, (src, _) in _NODE.items()})
+    a = _known(single, "a_", ["zone", "pos", *bounds]).withColumn("a_node", F.shiftright("a_pos", leaf))
     met = (
         parallel(a.join(leaves, ["a_zone", "a_node"]), "c_zone", "c_node", "c_salt")
         .join(copies(prefixed(offered[-1], "c_")), ["c_zone", "c_node", "c_salt"])
         .where(within)
-        .select("a_pos", "a_zone", "a_node", "c_zone", "c_node", "c_salt")
+        .select("a_pos", "c_zone", "c_node", "c_salt")
     )
-    rows = [c for c in _ROW if c != "zone"]
-    a_rows = prefixed(search_rows.select("pos", *rows, "ham_lo", "ham_span", "km_lo", "km_span", *names), "a_")
-    c_rows = copies(prefixed(placed.select("zone", node(leaf).alias("node"), "pos", "heads", *rows), "c_"))
-    *cheap, rough_km = _rough_parts(distance, 1 - SLACK[distance])
-    hopeful = _within_limit(cheap, rough_km, metrics)
+    # Stored, so that bounds and scores compile into separate stages: together they outgrow the JIT.
+    met = staged(met, "met")
+    a_rows = _known(rated, "a_", [*_SEARCH_COLUMNS, *tops])
+    c_rows = copies(_known(placed.withColumn("node", node(leaf)), "c_", ["zone", "node", *_OFFER_COLUMNS]))
+    hopeful = _rough(_GAPS, _HAM, f"greatest(0D, {_CHORD} * {1 - SLACK[distance]!r}D - 1e-9D)", metrics)
     pairs = (
-        parallel(met.select("a_pos", "c_zone", "c_node", "c_salt").join(a_rows, "a_pos"), "c_zone", "c_node", "c_salt")
+        parallel(met.join(a_rows, "a_pos"), "c_zone", "c_node", "c_salt")
         .join(c_rows, ["c_zone", "c_node", "c_salt"])
         .where(_NOT_ITSELF)
         .where(hopeful)
         .withColumn("km", distance_km(distance, "a_lat", "a_lon", "c_lat", "c_lon"))
+        .selectExpr("a_pos", "c_heads", "a_listing", *[f"{g} AS g{i}" for i, g in enumerate(_GAPS)],
+                    f"({_HAM} - a_ham_lo) * a_ham_rate AS ham_part", "(km - a_km_lo) * a_km_rate AS km_part")
     )
-    parts = _pair_parts("km")
-    by_metric = ", ".join(f"'{m}', coalesce({_total(parts, m)}, double('inf'))" for m in metrics)
-    scored = pairs.select("a_pos", "c_heads", F.expr(f"stack({len(metrics)}, {by_metric})").alias("metric", "score")).select(
+    parts = [*[f"g{i}" for i in range(_NB)], "ham_part", "km_part"]
+    listed = [f"g{i}" for i in range(_NB, _N)]
+
+    def total(m: str) -> str:
+        if m == "euclidean":
+            return f"sqrt({' + '.join(f'{p} * {p}' for p in parts)} + a_listing * ({' + '.join(f'{p} * {p}' for p in listed)}))"
+        return f"{' + '.join(f'abs({p})' for p in parts)} + a_listing * ({' + '.join(f'abs({p})' for p in listed)})"
+
+    by_metric = ", ".join(f"'{m}', coalesce({total(m)}, double('inf'))" for m in metrics)
+    scored = pairs.selectExpr("a_pos", "c_heads", f"stack({len(metrics)}, {by_metric}) AS (metric, score)").select(
         "a_pos", "metric", "score", F.explode("c_heads").alias("id")
     )
     best = Window.partitionBy("a_pos", "metric").orderBy(F.round("score", SCORE_DIGITS), "id")
@@ -310,9 +317,10 @@ def pair_components(pairs: DataFrame, rows: DataFrame, ranges: DataFrame, distan
         "ham_scaled": unit(F.col("ham"), F.col("ham_lo"), F.col("ham_hi")),
         "km_scaled": unit(F.col("km"), F.col("km_lo"), F.col("km_hi")),
     })
-    gaps = _tiered([f"abs(a_f{i} - c_f{i})" for i in range(_N)])
-    sums = {
-        "squared_diffs": " + ".join(f"power({g}, 2)" for g in gaps), "absolute_diffs": " + ".join(gaps),
-        **{m: _total([*gaps, "ham_scaled", "km_scaled"], m) for m in METRICS},
-    }
-    return full.select("search_prop", "sim_prop", "ham", "km", "ham_scaled", "km_scaled", *[F.expr(x).alias(n) for n, x in sums.items()])
+    gaps = [f"abs(a_f{i} - c_f{i})" for i in range(_N)]
+    both_tiers = [*gaps[:_NB], *[f"a_listing * {g}" for g in gaps[_NB:]]]
+    squares = " + ".join(f"{g} * {g}" for g in both_tiers)
+    return full.selectExpr("search_prop", "sim_prop", "ham", "km", "ham_scaled", "km_scaled", f"{squares} AS squared_diffs", f"{' + '.join(both_tiers)} AS absolute_diffs").withColumns({
+        "euclidean": F.expr("sqrt(squared_diffs + ham_scaled * ham_scaled + km_scaled * km_scaled)"),
+        "manhattan": F.expr("absolute_diffs + ham_scaled + km_scaled"),
+    })

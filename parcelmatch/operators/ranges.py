@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import box_km_bounds, box_radius_km, distance_km
+from ..functions.geo import AXES, EARTH_KM, SLACK, box_km_bounds, box_radius_km, chord_sql, distance_km, position
 from ..session import staged
 from .blocks import FAN_BITS, TOP_NODES, balanced, interleaved, node, parallel, place, prefixed, pruned_pairs, summarise, tier_shifts
 
@@ -58,7 +58,7 @@ def flag_ranges(rows: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 _PLACE_NODE = {
-    "lat_lo": ("lat", "min"), "lat_hi": ("lat", "max"), "lon_lo": ("lon", "min"), "lon_hi": ("lon", "max"), "n": ("n", "sum"),
+    **{f"{x}_lo": (x, "min") for x in ("lat", "lon", *AXES)}, **{f"{x}_hi": (x, "max") for x in ("lat", "lon", *AXES)}, "n": ("n", "sum"),
 }
 
 
@@ -70,6 +70,7 @@ def distance_ranges(
         F.count("*").alias("n"), F.max("wanted").alias("wanted")
     )
     keyed, keys = interleaved(places, ["(lat + 90) / 180", "(lon + 180) / 360"], digits=30)
+    keyed = keyed.withColumns({x: F.expr(e) for x, e in position("lat", "lon").items()})
     placed = place(keyed, keys, ["lat", "lon"], "places")
     shifts = tier_shifts(placed, leaf_bits, fan_bits, top_nodes)
     offered = summarise(placed, shifts, _PLACE_NODE)
@@ -83,7 +84,6 @@ def distance_ranges(
             pairs.withColumns({"_low": F.expr(low), "_high": F.expr(high)})
             .withColumns({"_near": F.min(peopled).over(w), "_far": F.max("_low").over(w)})
             .where("_high >= _far OR _near IS NULL OR _low <= _near")
-            .drop("_near", "_far")
         )
 
     def may_matter(pairs: DataFrame, by: list[str]) -> DataFrame:
@@ -105,20 +105,24 @@ def distance_ranges(
     leaf = shifts[-1]
     seekers = placed.where("wanted").select(
         F.col("zone").alias("a_zone"), node(leaf).alias("a_node"), F.col("pos").alias("a_pos"), F.col("n").alias("a_n"),
-        *[F.col(x).alias(f"a_{x}_{end}") for x in ("lat", "lon") for end in ("lo", "hi")],
+        *[F.col(x).alias(f"a_{x}_{end}") for x in ("lat", "lon", *AXES) for end in ("lo", "hi")],
     )
     boxes = copies(prefixed(offered[-1], "c_"))
     narrowed = may_matter(
         parallel(seekers.join(leaves, ["a_zone", "a_node"]), "c_zone", "c_node", "c_salt").join(boxes, ["c_zone", "c_node", "c_salt"]), ["a_pos"]
-    ).select("a_zone", "a_pos", "a_n", "a_lat_lo", "a_lon_lo", "c_zone", "c_node", "c_salt")
+    ).select("a_zone", "a_pos", "a_n", "a_lat_lo", "a_lon_lo", *[f"a_{x}_lo" for x in AXES], "c_zone", "c_node", "c_salt", "_near", "_far")
     others = copies(placed.select(
         F.col("zone").alias("c_zone"), node(leaf).alias("c_node"), F.col("pos").alias("c_pos"),
-        F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"),
+        F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"), *[F.col(x).alias(f"c_{x}") for x in AXES],
     ))
+    chord = chord_sql([f"a_{x}_lo - c_{x}" for x in AXES])
+    slack = SLACK[metric]
+    arc = f"asin(least(1D, {chord} / {2 * EARTH_KM!r}D)) * {2 * EARTH_KM * (1 + slack)!r}D + 1e-9D"
+    at_an_end = f"_near IS NULL OR {chord} * {1 - slack!r}D - 1e-9D <= _near OR {arc} >= _far"
     km = distance_km(metric, "a_lat_lo", "a_lon_lo", "c_lat", "c_lon")
     return (
         parallel(narrowed, "c_zone", "c_node", "c_salt").join(others, ["c_zone", "c_node", "c_salt"])
-        .where("a_pos <> c_pos or a_n > 1")
+        .where("a_pos <> c_pos OR a_n > 1").where(at_an_end)
         .withColumn("km", km)
         .groupBy("a_zone", "a_lat_lo", "a_lon_lo")
         .agg(F.min("km").alias("km_lo"), F.max("km").alias("km_hi"))
