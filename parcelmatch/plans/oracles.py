@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from ..registry import FLAGS, MEASURES
@@ -132,7 +133,7 @@ _define("wide", f"""
     SELECT prop_id, {", ".join(f"max(CASE WHEN prop_val_yr = {y} THEN appraised_val END) AS appraisal_{y}" for y in YEARS)}
     FROM (SELECT * FROM history_rows QUALIFY row_number() OVER (PARTITION BY prop_id, prop_val_yr ORDER BY ingest_seq) = 1) GROUP BY prop_id""")
 _define("lists", """
-    SELECT search_prop AS _id, string_agg(concat(sim_rank, ':', sim_prop), ',' ORDER BY sim_rank) AS similar FROM top_euclidean GROUP BY search_prop""")
+    SELECT search_prop AS _id, string_agg(concat(sim_rank, ':', sim_prop), ',' ORDER BY sim_rank) AS "similar" FROM top_euclidean GROUP BY search_prop""")
 
 
 def _whole(name: str) -> str:
@@ -224,7 +225,7 @@ _SELECTS: dict[str, str] = {
     "combine_scores": " UNION ALL ".join(f"""
         SELECT search_prop, sim_prop, round((max(sim_score) OVER () - sim_score) / (max(sim_score) OVER () - min(sim_score) OVER ()), 6) AS sim_score,
           sim_rank, metric FROM top_{m}""" for m in ("euclidean", "manhattan")),
-    "neighbour_list": "SELECT _id, similar FROM lists",
+    "neighbour_list": 'SELECT _id, "similar" FROM lists',
     "incremental_score": """
         SELECT search_prop, sim_prop, round(sim_score, 6) AS sim_score, sim_rank, metric FROM top_manhattan
         WHERE NOT EXISTS (SELECT 1 FROM appraisal d WHERE d.prop_id = search_prop AND d.hood_cd IN ('Brand#3', 'Brand#7'))""",
@@ -241,7 +242,7 @@ _SELECTS: dict[str, str] = {
           FROM signs a JOIN signs c ON a.band = c.band AND a.signature = c.signature AND a.prop_id <> c.prop_id GROUP BY a.prop_id, c.prop_id)
         WHERE sim_rank <= 20""",
     "history_pivot": "SELECT * FROM wide",
-    "publish_documents": f"SELECT {_DOCS}, coalesce(similar, '') AS similar FROM docs LEFT JOIN lists USING (_id)",
+    "publish_documents": f"SELECT {_DOCS}, coalesce("similar", '') AS "similar" FROM docs LEFT JOIN lists USING (_id)",
     "lookup_by_id": f"SELECT {_DOCS} FROM docs WHERE _id = 42",
     "lookup_by_address": f"SELECT {_DOCS.replace(' address,', ' geo_address AS address,', 1)} FROM docs WHERE geo_address = (SELECT upper(geo_address) FROM geo WHERE prop_id = 7) ORDER BY _id LIMIT 1",
     "lookup_contains": f"""
@@ -273,8 +274,6 @@ _define("zone_sizes", "SELECT zone, count(*) AS n FROM zoned GROUP BY zone")
 
 def _needed(sql: str, parts: Mapping[str, str]) -> list[str]:
     """Parts a text refers to, in dependency order."""
-    import re
-
     order: list[str] = []
 
     def visit(text: str) -> None:
