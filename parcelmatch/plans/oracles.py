@@ -242,7 +242,7 @@ _SELECTS: dict[str, str] = {
           FROM signs a JOIN signs c ON a.band = c.band AND a.signature = c.signature AND a.prop_id <> c.prop_id GROUP BY a.prop_id, c.prop_id)
         WHERE sim_rank <= 20""",
     "history_pivot": "SELECT * FROM wide",
-    "publish_documents": f"SELECT {_DOCS}, coalesce("similar", '') AS "similar" FROM docs LEFT JOIN lists USING (_id)",
+    "publish_documents": f"""SELECT {_DOCS}, coalesce("similar", '') AS "similar" FROM docs LEFT JOIN lists USING (_id)""",
     "lookup_by_id": f"SELECT {_DOCS} FROM docs WHERE _id = 42",
     "lookup_by_address": f"SELECT {_DOCS.replace(' address,', ' geo_address AS address,', 1)} FROM docs WHERE geo_address = (SELECT upper(geo_address) FROM geo WHERE prop_id = 7) ORDER BY _id LIMIT 1",
     "lookup_contains": f"""
