@@ -36,22 +36,28 @@ def flag_ranges(rows: DataFrame, edges: DataFrame) -> DataFrame:
         "codes",
     )
     links = edges.select("zone", F.col("neighbour").alias("c_zone"))
-    reach = (
-        codes.where("wanted").select("code", "zone", "flag_bits", "hood")
-        .withColumn("salt", F.expr(f"int(pmod(xxhash64(code), {CODE_SPREAD}))"))
-        .join(links, "zone")
+    sought = codes.where("wanted").withColumn("hood_key", hood_key(F.col("hood"))).selectExpr(
+        "coalesce(code, 0L) AS code", "zone", "coalesce(flag_bits, 0L) AS flag_bits", "coalesce(hood_key, '~') AS hood_key",
+        f"int(pmod(xxhash64(code), {CODE_SPREAD})) AS salt",
     )
-    reach = parallel(reach, "c_zone", "salt")
+    reach = parallel(sought.join(links, "zone"), "c_zone", "salt")
     apart = "bit_count(flag_bits ^ c_bits)"
 
-    same = codes.where("hood IS NOT NULL").selectExpr("zone AS c_zone", "flag_bits AS c_bits", "hood", "code AS c_code", "n")
-    same_hood = reach.join(same, ["c_zone", "hood"]).where("code <> c_code OR n > 1").selectExpr("code", f"{apart} AS ham")
+    same = codes.where("hood IS NOT NULL").withColumn("hood_key", hood_key(F.col("hood"))).selectExpr(
+        "zone AS c_zone", "flag_bits AS c_bits", "hood_key", "code AS c_code", "n"
+    )
+    same_hood = reach.join(same, ["c_zone", "hood_key"]).where("code <> c_code OR n > 1").selectExpr("code", f"{apart} AS ham")
 
+    # only_hood: the one neighbourhood all properties of a mask share, or '' where there are several.
+    # Kept free of NULLs, so that the pair condition stays small enough for the JIT.
     masks = codes.groupBy(F.col("zone").alias("c_zone"), F.col("flag_bits").alias("c_bits")).agg(
         F.sum("n").alias("n"), F.count_if(F.col("hood").isNull()).alias("unknown"), F.min("hood").alias("hood_lo"), F.max("hood").alias("hood_hi"),
-    ).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(CODE_SPREAD - 1))))
-    someone_else = """CASE WHEN hood IS NULL THEN n > if(zone = c_zone AND flag_bits = c_bits, 1, 0)
-        ELSE unknown > 0 OR hood_lo <> hood OR hood_hi <> hood END"""
+    ).selectExpr(
+        "c_zone", "coalesce(c_bits, 0L) AS c_bits", "coalesce(n, 0L) AS n",
+        "if(unknown = 0 AND hood_lo = hood_hi, coalesce(concat('=', hood_lo), ''), '') AS only_hood",
+        f"explode(sequence(0, {CODE_SPREAD - 1})) AS salt",
+    )
+    someone_else = "only_hood <> hood_key AND (c_bits <> flag_bits OR n > 1 OR c_zone <> zone)"
     other_hood = reach.join(masks, ["c_zone", "salt"]).where(someone_else).selectExpr("code", f"{apart} + 1 AS ham")
     found = same_hood.unionByName(other_hood).groupBy("code").agg(F.min("ham").alias("ham_lo"), F.max("ham").alias("ham_hi"))
     return found.join(codes, "code").select("zone", "flag_bits", hood_key(F.col("hood")).alias("hood_key"), "ham_lo", "ham_hi")
