@@ -35,11 +35,13 @@ _NB = len(BASE_MEASURES)
 _ROW = ["zone", "flag_bits", "hood", "lat", "lon", "listing", *[f"f{i}" for i in range(_N)]]
 
 
-def score_rows(matrix: DataFrame, zones: Sequence[str] | None = None, done: DataFrame | None = None) -> DataFrame:
+def score_rows(
+    matrix: DataFrame, zones: Sequence[str] | None = None, done: DataFrame | None = None, only: DataFrame | None = None
+) -> DataFrame:
     """Rows to score, over a stored matrix: measures scaled over the whole table, a missing one as 0.
 
-    ``zones`` limits the search side to a list, ``done`` (column ``prop_id``) leaves out
-    finished ids; both keep every property as a candidate.
+    ``zones`` and ``only`` (column ``prop_id``) limit the search side, ``done`` (the same) leaves
+    out finished ids; every property stays a candidate.
     """
     matrix = staged(matrix.select("prop_id", "zone", "flag_bits", "hood_cd", "lat", "lon", "listing", *MEASURES), "score-matrix")
     scaled = min_max(matrix, MEASURES, fit_range(matrix, MEASURES))
@@ -48,9 +50,11 @@ def score_rows(matrix: DataFrame, zones: Sequence[str] | None = None, done: Data
         "prop_id", "zone", "flag_bits", "hood_cd AS hood", "if(lon IS NOT NULL, lat, NULL) AS lat", "if(lat IS NOT NULL, lon, NULL) AS lon",
         "int(listing) AS listing", *[f"coalesce({m}, 0D) AS f{i}" for i, m in enumerate(MEASURES)],
     ).withColumns({"wanted": wanted, "profile": F.expr(f"to_json(struct({', '.join(_ROW)}))")})
-    if done is not None:
-        finished = done.select("prop_id").distinct().withColumn("_done", F.lit(True))
-        rows = rows.join(finished, "prop_id", "left").withColumn("wanted", F.col("wanted") & F.col("_done").isNull()).drop("_done")
+    for ids, keep in ((only, "IS NOT NULL"), (done, "IS NULL")):
+        if ids is not None:
+            marked = ids.select("prop_id").distinct().withColumn("_mark", F.lit(True))
+            rows = rows.join(marked, "prop_id", "left").withColumn("wanted", F.expr(f"wanted AND _mark {keep}")).drop("_mark")
+    if only is not None or done is not None:
         rows = staged(rows, "score-rows")
     return rows
 
