@@ -82,7 +82,7 @@ def summarise(rows: DataFrame, shifts: Sequence[int], measures: dict[str, tuple[
     fine = None
     for shift in reversed(shifts):
         key = node(shift) if fine is None else F.shiftright(F.col("node"), shift - fine)
-        aggs = [getattr(F, how)(source[name]).alias(name) for name, (_, how) in measures.items()]
+        aggs = [F.expr(f"{how}({source[name]}) AS {name}") for name, (_, how) in measures.items()]
         base = base.groupBy("zone", key.alias("node")).agg(*aggs)
         source = {name: name for name in measures}
         fine = shift

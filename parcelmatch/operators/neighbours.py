@@ -198,7 +198,7 @@ def _class_lists(placed: DataFrame, edges: DataFrame, distance: str, metrics: Se
 
     rated = _with_rates(search_rows).withColumns(tops)
     # A single class is a block whose bounds coincide.
-    single = rated.withColumns({name: F.col(src) for name, (src, _) in _NODE.items()})
+    single = rated.selectExpr("*", *[f"{src} AS {name}" for name, (src, _) in _NODE.items()])
     a = _known(single, "a_", ["zone", "pos", *bounds]).withColumn("a_node", F.shiftright("a_pos", leaf))
     met = (
         parallel(a.join(leaves, ["a_zone", "a_node"]), "c_zone", "c_node", "c_salt")

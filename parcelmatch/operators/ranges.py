@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import AXES, EARTH_KM, SLACK, box_km_bounds, box_radius_km, chord_sql, distance_km, position
 from ..session import staged
-from .blocks import FAN_BITS, TOP_NODES, balanced, interleaved, node, parallel, place, prefixed, pruned_pairs, summarise, tier_shifts
+from .blocks import FAN_BITS, TOP_NODES, balanced, interleaved, parallel, place, prefixed, pruned_pairs, summarise, tier_shifts
 
 PLACE_LEAF_BITS = 4  # distances are costly to compute, so places sit in leaves of 16
 CODE_SPREAD = 16
@@ -109,18 +109,14 @@ def distance_ranges(
 
     leaves, copies = balanced(pruned_pairs(search, offered, edges, shifts, lambda p: may_matter(p, ["a_zone", "a_node"])))
     leaf = shifts[-1]
-    seekers = placed.where("wanted").select(
-        F.col("zone").alias("a_zone"), node(leaf).alias("a_node"), F.col("pos").alias("a_pos"), F.col("n").alias("a_n"),
-        *[F.col(x).alias(f"a_{x}_{end}") for x in ("lat", "lon", *AXES) for end in ("lo", "hi")],
-    )
+    ends = [f"{x} AS a_{x}_{end}" for x in ("lat", "lon", *AXES) for end in ("lo", "hi")]
+    seekers = placed.where("wanted").selectExpr("zone AS a_zone", f"shiftright(pos, {leaf}) AS a_node", "pos AS a_pos", "n AS a_n", *ends)
     boxes = copies(prefixed(offered[-1], "c_"))
     narrowed = may_matter(
         parallel(seekers.join(leaves, ["a_zone", "a_node"]), "c_zone", "c_node", "c_salt").join(boxes, ["c_zone", "c_node", "c_salt"]), ["a_pos"]
     ).select("a_zone", "a_pos", "a_n", "a_lat_lo", "a_lon_lo", *[f"a_{x}_lo" for x in AXES], "c_zone", "c_node", "c_salt", "_near", "_far")
-    others = copies(placed.select(
-        F.col("zone").alias("c_zone"), node(leaf).alias("c_node"), F.col("pos").alias("c_pos"),
-        F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"), *[F.col(x).alias(f"c_{x}") for x in AXES],
-    ))
+    point = [f"{x} AS c_{x}" for x in ("pos", "lat", "lon", *AXES)]
+    others = copies(placed.selectExpr("zone AS c_zone", f"shiftright(pos, {leaf}) AS c_node", *point))
     chord = chord_sql([f"a_{x}_lo - c_{x}" for x in AXES])
     slack = SLACK[metric]
     arc = f"asin(least(1D, {chord} / {2 * EARTH_KM!r}D)) * {2 * EARTH_KM * (1 + slack)!r}D + 1e-9D"
