@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Words looked for in upper-cased improvement descriptions.
@@ -29,10 +29,23 @@ def has_any(text: Column, words: tuple[str, ...]) -> Column:
     return flag(found)
 
 
+DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def finite(value: Column) -> Column:
+    """The value, or NULL where it is NaN or infinite."""
+    return F.when(F.abs(value) < float("inf"), value)
+
+
+def finite_columns(df: DataFrame) -> DataFrame:
+    """All floating-point columns with NaN and infinity as NULL."""
+    return df.withColumns({name: finite(F.col(f"`{name}`")) for name, kind in df.dtypes if kind in ("double", "float")})
+
+
 def number(text: Column, kind: str = "double") -> Column:
-    """Number or NULL; NaN counts as missing."""
-    value = text.try_cast(kind)
-    return F.nanvl(value, F.lit(None).cast("double")) if kind == "double" else value
+    """Number in decimal notation or NULL; NaN, infinity and type suffixes count as missing."""
+    value = F.when(text.rlike(DECIMAL), text).try_cast(kind)
+    return finite(value) if kind in ("double", "float") else value
 
 
 def money(text: Column) -> Column:

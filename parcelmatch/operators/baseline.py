@@ -9,12 +9,12 @@ from ..registry import NEIGHBOURS
 from ..session import staged
 
 DECAY = 0.9
-HASH_SPACE = 4294967296
+HASH_DIGITS = 15
 
 
 def hashed(*parts: Column | str) -> Column:
-    """First 32 bits of the md5 of the parts joined by '_'."""
-    return F.conv(F.substring(F.md5(F.concat_ws("_", *parts)), 1, 8), 16, 10).cast("bigint")
+    """First 60 bits of the md5 of the parts joined by '_'."""
+    return F.conv(F.substring(F.md5(F.concat_ws("_", *parts)), 1, HASH_DIGITS), 16, 10).cast("bigint")
 
 
 def numbered(ids: DataFrame) -> DataFrame:
@@ -37,9 +37,9 @@ def random_baseline(ids: DataFrame, k: int = NEIGHBOURS, seed: str = "0") -> Dat
     all_ids = staged(numbered(ids), "positions")
     total = all_ids.agg(F.count("*").alias("n")).scalar()
     drawn = all_ids.select(F.col("prop_id").alias("search_prop"), F.explode(F.sequence(F.lit(1), F.lit(k))).alias("sim_rank")).withColumn(
-        "at", F.floor(hashed(F.lit(seed), F.col("search_prop").cast("string"), F.col("sim_rank").cast("string")) * total / HASH_SPACE).cast("bigint")
+        "at", F.pmod(hashed(F.lit(seed), F.col("search_prop").cast("string"), F.col("sim_rank").cast("string")), F.lit(max(total, 1)))
     )
-    start = hashed(F.lit(seed), F.col("search_prop").cast("string")) / HASH_SPACE
+    start = hashed(F.lit(seed), F.col("search_prop").cast("string")) / float(16**HASH_DIGITS)
     score = start * F.pow(F.lit(DECAY), F.col("sim_rank"))
     partners = all_ids.select("at", F.col("prop_id").alias("sim_prop"))
     return drawn.join(partners, "at").select("search_prop", "sim_prop", score.alias("sim_score"), "sim_rank")

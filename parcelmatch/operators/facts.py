@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import fact_label, full_address
+from ..session import staged
+from .attach import attach
+from .dedupe import keep_first
 
 
 def page_facts(found: DataFrame) -> DataFrame:
@@ -25,7 +30,14 @@ def address_inputs(addresses: DataFrame, city: str = "Austin, TX") -> DataFrame:
     return addresses.select("prop_id", full_address(F.col("address"), F.col("state"), F.col("zone"), city).alias("address"))
 
 
-def geocode_enrich(addresses: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """Coordinates from an address table (address, lat, lng); 0.0 where an address is unknown."""
-    found = addresses.join(gazetteer.select("address", "lat", "lng"), "address", "left")
-    return found.na.fill(0.0, ["lat", "lng"])
+def geocode_enrich(addresses: DataFrame, gazetteer: DataFrame, key: str, order: Sequence[str | Column] = ("lat", "lng")) -> DataFrame:
+    """Coordinates from an address table (address, lat, lng); 0.0 where an address is unknown or missing.
+
+    Of several entries for an address the first by ``order`` counts. Hot addresses (blocks of
+    flats, empty ones) are spread by ``key``, a column of ``addresses``.
+    """
+    places = staged(keep_first(gazetteer, ["address"], order).select("address", "lat", "lng"), "gazetteer")
+    known = staged(addresses.where("address IS NOT NULL"), "addresses")
+    found = attach(known, places, ["address"], F.col(key))
+    unknown = addresses.where("address IS NULL").withColumns({c: F.lit(None).cast("double") for c in ("lat", "lng")})
+    return found.unionByName(unknown).na.fill(0.0, ["lat", "lng"])

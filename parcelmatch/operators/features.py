@@ -12,12 +12,15 @@ from ..functions.codes import code_bits, code_text
 from ..registry import FLAGS, MEASURES
 from .dedupe import keep_first
 
+MAX_CODES = 1000
+
 
 def improvement_features(details: DataFrame) -> DataFrame:
     """Per property: oldest year, floor area and five keyword flags.
 
     ``details``: prop_id, imprv_det_type_desc, yr_built, imprv_det_area.
     """
+    details = t.finite_columns(details)
     words = F.upper("imprv_det_type_desc")
     flags = {name: t.has_any(words, keys) for name, keys in t.IMPROVEMENT_WORDS.items()}
     floor = F.when(t.has_any(words, (t.FLOOR_WORD,)) == 1, F.col("imprv_det_area"))
@@ -33,7 +36,7 @@ def land_features(details: DataFrame) -> DataFrame:
 
     ``details``: prop_id, land_type_desc, ag_apply, size_square_feet.
     """
-    return details.groupBy("prop_id").agg(
+    return t.finite_columns(details).groupBy("prop_id").agg(
         F.coalesce(F.sum("size_square_feet"), F.lit(0.0)).alias("land_sqft"),
         F.max(t.has_any(F.col("land_type_desc"), ("Commercial",))).alias("is_commercial"),
         F.max(t.flag(F.col("ag_apply") == "T")).alias("is_ag"),
@@ -54,18 +57,25 @@ def code_join(appraisal: DataFrame, codes: DataFrame) -> DataFrame:
     }).drop("py_addr_ml_deliverable", "prop_type_cd", "situs_unit")
 
 
-def vocabulary(df: DataFrame, column: str) -> list[str]:
-    """Distinct values of a code column, sorted; as many as the code book has."""
-    return sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
+def vocabulary(df: DataFrame, column: str, most: int = MAX_CODES) -> list[str]:
+    """Distinct values of a code column, sorted; more than ``most`` are no code book and an error."""
+    found = [r[0] for r in df.select(column).distinct().limit(most + 2).collect()]
+    values = sorted(v for v in found if v is not None)
+    if len(values) > most:
+        raise ValueError(f"more than {most} values in {column!r}")
+    return values
 
 
 def one_hot(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     """One 0/1 column per value; a missing value has 0 everywhere."""
     names: dict[str, str] = {}
+    taken = {c.lower() for c in df.columns}
     for value in values:
         name = t.column_name(value)
         if name in names:
             raise ValueError(f"{value!r} and {names[name]!r} both become column {name!r}")
+        if name.lower() in taken:
+            raise ValueError(f"{value!r} becomes column {name!r}, which is there already")
         names[name] = value
     return df.withColumns({name: t.flag(F.col(column) == value) for name, value in names.items()})
 

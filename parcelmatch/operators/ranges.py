@@ -1,23 +1,31 @@
 """Smallest and largest Hamming count and distance of every property over its pool.
 
 The pool is the property's own zone and the adjacent ones, without the property itself.
-Neither range forms the pool's pairs: flags are compared per distinct code, distances per
-distinct place through pruned blocks.
+Neither range forms the pool's pairs: flags are relaxed over the masks in use, distances are
+found per distinct place through pruned blocks.
 
 Input rows: ``prop_id, zone, lat, lon, hood, flag_bits, wanted`` (``wanted`` marks search rows).
 """
 
 from __future__ import annotations
 
+import sys
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import AXES, EARTH_KM, SLACK, box_km_bounds, box_radius_km, chord_sql, distance_km, position
+from ..registry import FLAGS
 from ..session import staged
+from .attach import attach
 from .blocks import FAN_BITS, TOP_NODES, balanced, interleaved, parallel, place, prefixed, pruned_pairs, summarise, tier_shifts
+from .flags import over_hood, over_zone
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PLACE_LEAF_BITS = 4  # distances are costly to compute, so places sit in leaves of 16
-CODE_SPREAD = 16
 
 
 def hood_key(hood: Column) -> Column:
@@ -25,42 +33,56 @@ def hood_key(hood: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), hood), F.lit("~"))
 
 
-def flag_ranges(rows: DataFrame, edges: DataFrame) -> DataFrame:
+def flag_ranges(rows: DataFrame, edges: DataFrame, bits: int = len(FLAGS)) -> DataFrame:
     """(zone, flag_bits, hood_key) -> ham_lo, ham_hi.
 
-    Works on distinct codes, whose number is set by the flags and neighbourhoods in use.
+    Other neighbourhoods add one to the count of differing flags, the own one does not; both parts are found
+    per zone from at most 2^bits masks (see ``flags``). Neighbourhoods of any number only meet their
+    mask's row of each zone.
     """
-    codes = staged(
-        rows.groupBy("zone", "flag_bits", "hood").agg(F.count("*").alias("n"), F.max("wanted").alias("wanted"))
-        .withColumn("code", F.monotonically_increasing_id()),
-        "codes",
-    )
+    codes = staged(rows.groupBy("zone", "flag_bits", "hood").agg(F.count("*").alias("n"), F.max("wanted").alias("wanted")), "codes")
     links = edges.select("zone", F.col("neighbour").alias("c_zone"))
-    sought = codes.where("wanted").withColumn("hood_key", hood_key(F.col("hood"))).selectExpr(
-        "coalesce(code, 0L) AS code", "zone", "coalesce(flag_bits, 0L) AS flag_bits", "coalesce(hood_key, '~') AS hood_key",
-        f"int(pmod(xxhash64(code), {CODE_SPREAD})) AS salt",
-    )
-    reach = parallel(sought.join(links, "zone"), "c_zone", "salt")
-    apart = "bit_count(flag_bits ^ c_bits)"
+    sought = codes.where("wanted").select("zone", "flag_bits", "hood", "n").join(links, "zone")
+    sought = staged(sought.withColumn("own", F.expr("zone = c_zone")), "sought-codes")
 
-    same = codes.where("hood IS NOT NULL").withColumn("hood_key", hood_key(F.col("hood"))).selectExpr(
-        "zone AS c_zone", "flag_bits AS c_bits", "hood_key", "code AS c_code", "n"
+    masks = codes.groupBy(F.col("zone").alias("c_zone"), F.col("flag_bits").alias("c_bits")).agg(
+        F.sum("n").alias("n"), F.count_if(F.col("hood").isNull()).alias("unknown"), F.min("hood").alias("hood_lo"), F.max("hood").alias("hood_hi")
     )
-    same_hood = reach.join(same, ["c_zone", "hood_key"]).where("code <> c_code OR n > 1").selectExpr("code", f"{apart} AS ham")
+    wanted_masks = sought.select("c_zone", "flag_bits").distinct()
 
-    # only_hood: the one neighbourhood all properties of a mask share, or '' where there are several.
-    # Kept free of NULLs, so that the pair condition stays small enough for the JIT.
-    masks = codes.groupBy(F.col("zone").alias("c_zone"), F.col("flag_bits").alias("c_bits")).agg(
-        F.sum("n").alias("n"), F.count_if(F.col("hood").isNull()).alias("unknown"), F.min("hood").alias("hood_lo"), F.max("hood").alias("hood_hi"),
-    ).selectExpr(
-        "c_zone", "coalesce(c_bits, 0L) AS c_bits", "coalesce(n, 0L) AS n",
-        "if(unknown = 0 AND hood_lo = hood_hi, coalesce(concat('=', hood_lo), ''), '') AS only_hood",
-        f"explode(sequence(0, {CODE_SPREAD - 1})) AS salt",
+    def zone_ends(members: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        if not len(members) or not len(wanted):
+            return pd.DataFrame(columns=list(ends), dtype=object)
+        return over_zone(members, wanted, bits).assign(c_zone=members["c_zone"].iloc[0])[list(ends)]
+
+    ends = {"c_zone": "string", "flag_bits": "bigint"} | {
+        f"{end}_{x}": "string" if x == "hood" else "int" for end in ("low", "high") for x in ("1", "hood", "2")
+    } | {"alone_low": "int", "alone_high": "int"}
+    schema = ", ".join(f"{c} {kind}" for c, kind in ends.items())
+    reach = staged(masks.groupBy("c_zone").cogroup(wanted_masks.groupBy("c_zone")).applyInPandas(zone_ends, schema), "reach")
+    met = attach(sought, reach, ["c_zone", "flag_bits"], F.struct("zone", "hood"), "inner")
+
+    def elsewhere(end: str) -> str:
+        known = f"if({end}_hood = hood, {end}_2, {end}_1)"
+        return f"if(hood IS NULL, if(own, alone_{end}, {end}_1), {known}) + 1"
+
+    others = met.selectExpr("zone", "flag_bits", "hood", f"{elsewhere('low')} AS low", f"{elsewhere('high')} AS high")
+
+    members = codes.where("hood IS NOT NULL").select(F.col("zone").alias("c_zone"), "hood", F.col("flag_bits").alias("c_bits"), "n")
+    asked = sought.where("hood IS NOT NULL").select("c_zone", "hood", "flag_bits", "own").distinct()
+
+    def hood_ends(inside: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        if not len(inside) or not len(wanted):
+            return pd.DataFrame(columns=["c_zone", "hood", "flag_bits", "own", "low", "high"], dtype=object)
+        found = over_hood(inside, wanted, bits).assign(c_zone=inside["c_zone"].iloc[0], hood=inside["hood"].iloc[0])
+        return found[["c_zone", "hood", "flag_bits", "own", "low", "high"]]
+
+    near = members.groupBy("c_zone", "hood").cogroup(asked.groupBy("c_zone", "hood")).applyInPandas(
+        hood_ends, "c_zone string, hood string, flag_bits bigint, own boolean, low int, high int"
     )
-    someone_else = "only_hood <> hood_key AND (c_bits <> flag_bits OR n > 1 OR c_zone <> zone)"
-    other_hood = reach.join(masks, ["c_zone", "salt"]).where(someone_else).selectExpr("code", f"{apart} + 1 AS ham")
-    found = same_hood.unionByName(other_hood).groupBy("code").agg(F.min("ham").alias("ham_lo"), F.max("ham").alias("ham_hi"))
-    return found.join(codes, "code").select("zone", "flag_bits", hood_key(F.col("hood")).alias("hood_key"), "ham_lo", "ham_hi")
+    same = sought.join(staged(near, "same-hood"), ["c_zone", "hood", "flag_bits", "own"]).select("zone", "flag_bits", "hood", "low", "high")
+    found = same.unionByName(others).groupBy("zone", "flag_bits", "hood").agg(F.min("low").alias("ham_lo"), F.max("high").alias("ham_hi"))
+    return found.where("ham_lo IS NOT NULL").select("zone", "flag_bits", hood_key(F.col("hood")).alias("hood_key"), "ham_lo", "ham_hi")
 
 
 _PLACE_NODE = {

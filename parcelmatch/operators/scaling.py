@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import finite
+
 
 def unit(value: Column, low: Column, high: Column) -> Column:
     """(value - low) / (high - low); 0 where the range is empty, NULL stays NULL."""
@@ -15,7 +17,8 @@ def unit(value: Column, low: Column, high: Column) -> Column:
 
 def fit_range(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
     """Smallest and largest value per column: one row, from partial aggregates."""
-    ends = [F.expr(f"double({how}({c}))").alias(f"{how}_{c}") for c in columns for how in ("min", "max")]
+    known = {c: finite(F.col(c).cast("double")) for c in columns}
+    ends = [end(known[c]).alias(f"{how}_{c}") for c in columns for how, end in (("min", F.min), ("max", F.max))]
     row = df.agg(*ends).first()
     return {c: (row[f"min_{c}"], row[f"max_{c}"]) for c in columns}
 
@@ -24,4 +27,4 @@ def min_max(df: DataFrame, columns: Sequence[str], fit: dict[str, tuple[float |
     """Scale ``columns`` to [0, 1] by ``fit``, by default the range of the table itself."""
     fit = fit or fit_range(df, columns)
     ends = {c: tuple(F.lit(x).cast("double") for x in fit[c]) for c in columns}
-    return df.withColumns({c: unit(F.col(c).cast("double"), *ends[c]) for c in columns})
+    return df.withColumns({c: unit(finite(F.col(c).cast("double")), *ends[c]) for c in columns})

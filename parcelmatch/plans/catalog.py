@@ -19,13 +19,13 @@ from ..operators.documents import neighbour_list, publish_documents
 from ..operators.history import history_pivot, union_years
 from ..operators.neighbours import METRICS, nearest, pair_components, pool_ranges, score_rows
 from ..operators.scaling import min_max
-from ..registry import FLAGS, MEASURES
+from ..registry import FLAGS, MEASURES, PROJECTION_FEATURES, SCORES
 from ..session import staged, staging_root
 from ..sources import fixed_width, listings, tables
-from ..streaming.incremental import score_pending
+from ..streaming.incremental import append_pending
 from .views import LISTING_LABELS, table, view
 
-YEARS = tuple(range(1995, 2002))
+YEARS = tuple(range(1995, 2002))  # columns of the pivot; a row of another year is an error
 SIGN_ROWS, SIGN_BANDS = 8, 16
 DIGITS = 6
 
@@ -50,7 +50,8 @@ def scratch(spark: SparkSession, label: str) -> str:
 # Property tables -----------------------------------------------------------------------------
 
 def listing_records(spark: SparkSession, sf: str) -> DataFrame:
-    texts = view(spark, sf, "listing_texts")
+    """One record per property: of several scrapes the first."""
+    texts = keep_first(view(spark, sf, "listing_rows"), ["id"], ["ingest_seq"])
     every = F.map_from_arrays(F.array(*[F.lit(x) for x in LISTING_LABELS]), F.array(*[F.col(f"{x}_text") for x in LISTING_LABELS]))
     known = F.map_filter(every, lambda _, v: v.isNotNull())
     return texts.select("id", "address", "zestimate", F.transform_values(known, lambda _, v: F.array(v)).alias("facts"))
@@ -61,14 +62,14 @@ def geodata(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def appraisal_features(spark: SparkSession, sf: str) -> DataFrame:
-    return features.property_features(*[view(spark, sf, v) for v in ("appraisal", "state_codes", "improvements", "land", "mobile_homes")])
+    """Of several lines of a property the first counts; later ones go before any join."""
+    roll = keep_first(view(spark, sf, "appraisal_rows"), ["prop_id"], ["ingest_seq"]).drop("ingest_seq")
+    return features.property_features(roll, *[view(spark, sf, v) for v in ("state_codes", "improvements", "land", "mobile_homes")])
 
 
 def full_matrix(spark: SparkSession, sf: str) -> DataFrame:
     found = features.listing_features(listing_records(spark, sf))
-    return features.feature_matrix(
-        geodata(spark, sf), keep_first(appraisal_features(spark, sf), ["prop_id"], ["situs_zip"]), keep_first(found, ["prop_id"], ["address"])
-    )
+    return features.feature_matrix(geodata(spark, sf), appraisal_features(spark, sf), found)
 
 
 def matrix(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,7 +77,10 @@ def matrix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def adjacent(spark: SparkSession, sf: str) -> DataFrame:
-    return zones.adjacency(view(spark, sf, "zone_pairs"))
+    """Adjacency from a headerless file of pairs."""
+    path = scratch(spark, "zone-pairs")
+    view(spark, sf, "zone_pairs").write.csv(path)
+    return zones.adjacency(tables.read_edges(spark, path))
 
 
 def edges(spark: SparkSession, sf: str) -> DataFrame:
@@ -91,10 +95,14 @@ def history_wide(spark: SparkSession, sf: str) -> DataFrame:
     return history_pivot(view(spark, sf, "history_rows"), ["ingest_seq"], YEARS)
 
 
-def documents(spark: SparkSession, sf: str, scores: DataFrame | None = None) -> DataFrame:
-    if scores is None:
-        scores = spark.createDataFrame([], "search_prop bigint, sim_prop bigint, sim_rank int")
-    return publish_documents(full_matrix(spark, sf), history_wide(spark, sf), scores, ["geo_address"])
+def documents(spark: SparkSession, sf: str, scores: DataFrame, metric: str = "euclidean") -> DataFrame:
+    return publish_documents(full_matrix(spark, sf), history_wide(spark, sf), scores, metric)
+
+
+def property_signs(spark: SparkSession, sf: str, with_hits: bool = False) -> DataFrame:
+    """Sign-projection neighbours of the raw features in own and adjacent zones, with the full signature."""
+    vectors = signs.property_vector(full_matrix(spark, sf))
+    return signs.sign_neighbours(signs.sign_bands(vectors, len(PROJECTION_FEATURES)), edges(spark, sf), with_hits=with_hits)
 
 
 # Sources and sinks ---------------------------------------------------------------------------
@@ -116,13 +124,13 @@ def q_fixed_width_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_history_long(spark: SparkSession, sf: str) -> DataFrame:
-    """Yearly fixed-width extracts, one folder per year, read back as one long table."""
+    """Yearly fixed-width extracts, one folder per year, read back as one long table: all years there are."""
     path = scratch(spark, "history-txt")
     names, widths = ("prop_id", "prop_val_yr", "appraised_val"), (20, 6, 24)
     rows = view(spark, sf, "history_rows").withColumn("year", F.col("prop_val_yr"))
     fixed_lines(rows, names, widths, "year").write.partitionBy("year").text(path)
     types = {"prop_id": "bigint", "prop_val_yr": "int", "appraised_val": "double"}
-    return rounded(union_years([fixed_width.read_fixed_width(spark, f"{path}/year={y}", names, widths, types) for y in YEARS]))
+    return rounded(union_years([fixed_width.read_fixed_width(spark, path, names, widths, types)]))
 
 
 def q_csv_scan_typed(spark: SparkSession, sf: str) -> DataFrame:
@@ -291,23 +299,27 @@ def q_top_k_manhattan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_combine_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """Part files of both metrics, read as one table and turned into similarities."""
+    """Part files of all three metrics, read as one table and turned into similarities."""
     path = scratch(spark, "score-parts")
-    tables.write_csv(top_scores(spark, sf), path)
+    tables.write_csv(top_scores(spark, sf), f"{path}/distances")
+    tables.write_csv(property_signs(spark, sf), f"{path}/lsh")
     return rounded(combine_scores(tables.read_parts(spark, path)))
 
 
 def q_neighbour_list(spark: SparkSession, sf: str) -> DataFrame:
-    lists = neighbour_list(top_scores(spark, sf, ("euclidean",)))
+    lists = neighbour_list(top_scores(spark, sf), "euclidean")
     ids = F.transform("similar", lambda e: F.concat_ws(":", e["rank"].cast("string"), e["_id"].cast("string")))
     return lists.select("_id", F.array_join(ids, ",").alias("similar"))
 
 
 def q_incremental_score(spark: SparkSession, sf: str) -> DataFrame:
-    """Two neighbourhoods are done already; the rest is scored."""
-    m = staged(matrix(spark, sf), "matrix")
-    done = m.where("hood_cd IN ('Brand#3', 'Brand#7')").select("prop_id")
-    return rounded(score_pending(m, edges(spark, sf), done, metrics=("manhattan",)))
+    """Some properties by one metric, then what is missing of both, then a repeat that adds nothing; read back."""
+    m, links, path = staged(matrix(spark, sf), "matrix"), edges(spark, sf), scratch(spark, "scores")
+    some = m.where("hood_cd IN ('Brand#3', 'Brand#7')").select("prop_id")
+    append_pending(m, links, path, metrics=("manhattan",), only=some)
+    for _ in range(2):
+        append_pending(m, links, path)
+    return rounded(spark.read.schema(SCORES).parquet(path))
 
 
 def q_random_baseline(spark: SparkSession, sf: str) -> DataFrame:
@@ -330,7 +342,11 @@ def q_lsh_signature(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_lsh_neighbours(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(signs.sign_neighbours(_signatures(spark, sf)))
+    return rounded(signs.sign_neighbours(_signatures(spark, sf), with_hits=True))
+
+
+def q_property_lsh(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(property_signs(spark, sf, with_hits=True))
 
 
 # History, documents, lookups -----------------------------------------------------------------
@@ -346,19 +362,26 @@ DOCUMENT_COLUMNS = (
 
 
 def q_publish_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents written as JSON and read back; the neighbour list is flattened."""
-    docs = documents(spark, sf, top_scores(spark, sf, ("euclidean",)))
+    """One set of documents per metric, written as JSON and read back; the neighbour list is flattened."""
+    scores = staged(top_scores(spark, sf).unionByName(property_signs(spark, sf)), "scores")
     path = scratch(spark, "documents-json")
-    tables.write_documents(docs, path)
-    back = spark.read.schema(docs.schema).json(path)
+    for metric in (*METRICS, "lsh"):
+        docs = documents(spark, sf, scores, metric)
+        tables.write_documents(docs, f"{path}/metric={metric}")
+    back = spark.read.schema(f"{docs.schema.toDDL()}, metric string").json(path)
+    return rounded(_flat(back, "metric"))
+
+
+def _flat(docs: DataFrame, *more: str) -> DataFrame:
     ids = F.transform("similar", lambda e: F.concat_ws(":", e["rank"].cast("string"), e["_id"].cast("string")))
-    return rounded(back.select(*DOCUMENT_COLUMNS, F.array_join(ids, ",").alias("similar")))
+    return docs.select(*DOCUMENT_COLUMNS, *more, F.array_join(ids, ",").alias("similar"))
 
 
-def _lookup_table(spark: SparkSession, sf: str) -> DataFrame:
+def _lookup_table(spark: SparkSession, sf: str, by: str = "id") -> DataFrame:
     path = scratch(spark, "lookup")
-    tables.write_lookup_table(documents(spark, sf), path)
-    return spark.read.parquet(path).select(*DOCUMENT_COLUMNS)
+    docs = documents(spark, sf, top_scores(spark, sf, ("euclidean",)))
+    tables.write_lookup_table(docs.withColumn("address", F.col("geo_address")), path)
+    return _flat(tables.read_lookup_table(spark, path, by))
 
 
 def q_lookup_by_id(spark: SparkSession, sf: str) -> DataFrame:
@@ -367,14 +390,12 @@ def q_lookup_by_id(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_lookup_by_address(spark: SparkSession, sf: str) -> DataFrame:
     """Exact address of property 7, typed in small letters."""
-    typed = geodata(spark, sf).where("prop_id = 7").first()["Address"].lower()
-    docs = _lookup_table(spark, sf)
-    return rounded(lookup.by_address(docs.withColumn("address", F.col("geo_address")), typed))
+    typed = geodata(spark, sf).where("prop_id = 7").select(F.lower("Address")).first()[0]  # what a user would type
+    return rounded(lookup.by_address(_lookup_table(spark, sf, "address"), typed))
 
 
 def q_lookup_contains(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _lookup_table(spark, sf)
-    return rounded(lookup.containing(docs.withColumn("address", F.col("geo_address")), "blue Gear"))
+    return rounded(lookup.containing(_lookup_table(spark, sf), "blue Gear"))
 
 
 def q_lookup_by_ids(spark: SparkSession, sf: str) -> DataFrame:
@@ -384,19 +405,22 @@ def q_lookup_by_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_neighbour_view(spark: SparkSession, sf: str) -> DataFrame:
-    """Result table of every property: itself and its neighbours."""
+    """Result table of every property, itself and its neighbours, exported as CSV and read back."""
     docs = staged(documents(spark, sf, top_scores(spark, sf, ("euclidean",))), "documents")
     shown = ("rank", "geo_address", "appraisal_2001", "appraisal_1995", "building_sqft", "land_sqft")
-    return rounded(lookup.neighbour_view(docs, docs, columns=shown))
+    table_ = lookup.neighbour_view(docs, docs, columns=shown)
+    path = scratch(spark, "result-csv")
+    tables.write_csv(table_, path)
+    return rounded(tables.read_csv(spark, path, table_.schema.toDDL()))
 
 
 # Facts and addresses -------------------------------------------------------------------------
 
-LINK = '<a href="[^"]*">([^<]*)</a>'
+LINK = "<(?:a|p|li|td|title|h1|h2|option)(?: [^>]*)?>([^<]+)</"
 
 
 def q_page_facts(spark: SparkSession, sf: str) -> DataFrame:
-    """Links of stored pages as facts: '<first letter> words' is the label, the link text the value."""
+    """Texts of stored pages' elements as facts: '<first letter> words' is the label, the text the value."""
     pages = table(spark, sf, "pages").select("page_id", "html")
     links = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(LINK), F.lit(1))).alias("seq", "child"))
     found = links.withColumn("parent", F.concat(F.substring("child", 1, 1), F.lit(" words:\n"), "child"))
@@ -416,8 +440,11 @@ def q_geocode_enrich(spark: SparkSession, sf: str) -> DataFrame:
     addresses = table(spark, sf, "supplier").join(
         table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left"
     ).select("s_suppkey", F.col("n_name").alias("address"))
-    gazetteer = table(spark, sf, "nation").where("n_regionkey <> 3").selectExpr("n_name AS address", "n_nationkey * 1.5e0 AS lat", "n_nationkey * -2.5e0 AS lng")
-    return rounded(facts.geocode_enrich(addresses, gazetteer))
+    known = table(spark, sf, "nation").where("n_regionkey <> 3")
+    gazetteer = known.selectExpr("n_name AS address", "n_nationkey * 1.5e0 AS lat", "n_nationkey * -2.5e0 AS lng", "1 AS seq").unionByName(
+        known.selectExpr("n_name AS address", "-1e0 AS lat", "-1e0 AS lng", "2 AS seq")
+    )
+    return rounded(facts.geocode_enrich(addresses, gazetteer, "s_suppkey", ["seq"]))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

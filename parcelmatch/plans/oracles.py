@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
-from ..registry import FLAGS, MEASURES
-from .catalog import CUSTOMER_NAMES, DOCUMENT_COLUMNS, SIGN_BANDS, SIGN_ROWS, YEARS
+from ..operators.signs import BAND_ROWS, BANDS
+from ..registry import FLAGS, MEASURES, PROJECTION_FEATURES, STATE_FEATURES
+from .catalog import CUSTOMER_NAMES, DOCUMENT_COLUMNS, LINK, SIGN_BANDS, SIGN_ROWS, YEARS
 from .views import VIEWS, view_sql
 
 _PARTS: dict[str, str] = {name: view_sql(name) for name in VIEWS}
@@ -28,13 +29,13 @@ _define("edges_dir", "SELECT a AS zone, b AS neighbour FROM zone_pairs UNION SEL
 _define("pool", "SELECT zone, neighbour FROM edges_dir UNION SELECT zone, zone FROM edges_dir")
 _define("imp", f"""
     SELECT prop_id, min(yr_built) AS yr_built,
-      coalesce(sum(CASE WHEN {_any(('FLOOR',))} THEN imprv_det_area END), 0) AS building_sqft,
+      coalesce(sum(CASE WHEN {_any(('FLOOR',))} AND NOT isnan(imprv_det_area) THEN imprv_det_area END), 0) AS building_sqft,
       max({_yes(_any(('DECK', 'PORCH', 'TERRACE')))}) AS has_outdoor_space, max({_yes(_any(('GARAGE',)))}) AS has_garage,
       max({_yes(_any(('POOL',)))}) AS has_pool, max({_yes(_any(('HVAC',)))}) AS has_central_air,
       max({_yes(_any(('FIREPLACE',)))}) AS has_fireplace
     FROM improvements GROUP BY prop_id""")
 _define("lnd", f"""
-    SELECT prop_id, coalesce(sum(size_square_feet), 0) AS land_sqft, max({_yes("land_type_desc LIKE '%Commercial%'")}) AS is_commercial,
+    SELECT prop_id, coalesce(sum(CASE WHEN NOT isnan(size_square_feet) THEN size_square_feet END), 0) AS land_sqft, max({_yes("land_type_desc LIKE '%Commercial%'")}) AS is_commercial,
       max({_yes("ag_apply = 'T'")}) AS is_ag FROM land GROUP BY prop_id""")
 _define("mob", "SELECT DISTINCT prop_id, 1 AS is_mobile FROM mobile_homes")
 _define("coded", f"""
@@ -42,15 +43,21 @@ _define("coded", f"""
       {_yes("py_addr_ml_deliverable = 'Y'")} AS is_deliverable, {_yes("prop_type_cd = 'R'")} AS is_residential,
       {_yes("situs_unit IS NOT NULL")} AS is_unit
     FROM appraisal a LEFT JOIN state_codes c ON a.imprv_state_cd = c.state_cd""")
+_define("first_coded", f"""
+    SELECT a.* EXCLUDE (py_addr_ml_deliverable, prop_type_cd, situs_unit, ingest_seq), c.state_cd, c.ptd_state_cd_description,
+      {_yes("py_addr_ml_deliverable = 'Y'")} AS is_deliverable, {_yes("prop_type_cd = 'R'")} AS is_residential,
+      {_yes("situs_unit IS NOT NULL")} AS is_unit
+    FROM (SELECT * FROM appraisal_rows QUALIFY row_number() OVER (PARTITION BY prop_id ORDER BY ingest_seq) = 1) a
+    LEFT JOIN state_codes c ON a.imprv_state_cd = c.state_cd""")
 _TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 _HOT = ", ".join(f"{_yes(f'ptd_state_cd_description = {chr(39)}{v} Residence{chr(39)}')} AS {v.lower()}_residence" for v in _TYPES)
 _define("feat", f"""
     SELECT c.*, {_HOT}, i.* EXCLUDE (prop_id), l.* EXCLUDE (prop_id), m.is_mobile
-    FROM coded c LEFT JOIN imp i USING (prop_id) LEFT JOIN lnd l USING (prop_id) LEFT JOIN mob m USING (prop_id)""")
+    FROM first_coded c LEFT JOIN imp i USING (prop_id) LEFT JOIN lnd l USING (prop_id) LEFT JOIN mob m USING (prop_id)""")
 _define("listed", """
     SELECT CAST(id AS BIGINT) AS prop_id, address, TRY_CAST(regexp_replace(nullif(zestimate, 'None'), '[$,]', '', 'g') AS DOUBLE) AS zestimate,
       type_text AS type, TRY_CAST(CASE WHEN regexp_matches(yearbuilt_text, '^[0-9]+$') THEN yearbuilt_text END AS INTEGER) AS yearbuilt,
-      TRY_CAST(replace(replace(floorsize_text, ' sqft', ''), ',', '') AS DOUBLE) AS floorsize, TRY_CAST(beds_text AS DOUBLE) AS beds,
+      TRY_CAST(replace(replace(floorsize_text, ' sqft', ''), ',', '') AS DOUBLE) AS floorsize, TRY_CAST(CASE WHEN regexp_matches(beds_text, '^[0-9.]+$') THEN beds_text END AS DOUBLE) AS beds,
       CASE len(regexp_extract_all(baths_text, '[0-9]'))
         WHEN 1 THEN CAST(regexp_extract_all(baths_text, '[0-9]')[1] AS DOUBLE)
         WHEN 2 THEN CAST(regexp_extract_all(baths_text, '[0-9]')[1] AS DOUBLE) + 0.5 * CAST(regexp_extract_all(baths_text, '[0-9]')[2] AS DOUBLE)
@@ -58,7 +65,7 @@ _define("listed", """
       CASE WHEN lower(flooring_text) LIKE '%hardwood%' THEN 1 ELSE 0 END AS has_hardwood,
       CASE WHEN lower(flooring_text) LIKE '%carpet%' THEN 1 ELSE 0 END AS has_carpet,
       CASE WHEN lower(flooring_text) LIKE '%tile%' THEN 1 ELSE 0 END AS has_tile, 1 AS listing
-    FROM listing_texts WHERE coalesce(zestimate, type_text, yearbuilt_text, floorsize_text, beds_text, baths_text, flooring_text) IS NOT NULL""")
+    FROM (SELECT * FROM listing_rows QUALIFY row_number() OVER (PARTITION BY id ORDER BY ingest_seq) = 1) WHERE coalesce(zestimate, type_text, yearbuilt_text, floorsize_text, beds_text, baths_text, flooring_text) IS NOT NULL""")
 _define("geo", """
     SELECT prop_id, Address AS geo_address, City, State, TRY_CAST(trim(Lat) AS DOUBLE) AS lat, TRY_CAST(trim(Long) AS DOUBLE) AS lon
     FROM geodata_rows QUALIFY row_number() OVER (PARTITION BY prop_id ORDER BY ingest_seq) = 1""")
@@ -134,10 +141,26 @@ _define("wide", f"""
     FROM (SELECT * FROM history_rows QUALIFY row_number() OVER (PARTITION BY prop_id, prop_val_yr ORDER BY ingest_seq) = 1) GROUP BY prop_id""")
 _define("lists", """
     SELECT search_prop AS _id, string_agg(concat(sim_rank, ':', sim_prop), ',' ORDER BY sim_rank) AS "similar" FROM top_euclidean GROUP BY search_prop""")
+_RAW = ", ".join(f"coalesce({f}::DOUBLE, -1)" if f not in STATE_FEATURES else "-1::DOUBLE" for f in PROJECTION_FEATURES)
+_define("raw_planes", f"""
+    SELECT p, list(('0x' || substr(md5(concat(i, '_', p)), 1, 8))::BIGINT / 4294967296::DOUBLE - 0.5 ORDER BY i) AS w
+    FROM (SELECT unnest(range({len(PROJECTION_FEATURES)})) AS i), (SELECT unnest(range({BAND_ROWS * BANDS})) AS p) GROUP BY p""")
+_define("raw_signs", f"""
+    SELECT prop_id, zone, p // {BAND_ROWS} AS band, sum(CASE WHEN list_dot_product(v, w) > 0 THEN 1::BIGINT << (p % {BAND_ROWS})::INTEGER ELSE 0 END)::BIGINT AS signature
+    FROM (SELECT prop_id, zone, [{_RAW}] AS v FROM matrix) JOIN raw_planes ON true GROUP BY prop_id, zone, p // {BAND_ROWS}""")
+_define("top_lsh", """
+    SELECT * FROM (SELECT a.prop_id AS search_prop, c.prop_id AS sim_prop, 1.0::DOUBLE AS sim_score,
+        row_number() OVER (PARTITION BY a.prop_id ORDER BY count(*) DESC, c.prop_id) AS sim_rank, count(*) AS band_hits, 'lsh' AS metric
+      FROM raw_signs a JOIN pool p ON a.zone = p.zone JOIN raw_signs c ON c.zone = p.neighbour AND a.band = c.band AND a.signature = c.signature
+        AND a.prop_id <> c.prop_id GROUP BY a.prop_id, c.prop_id)
+    WHERE sim_rank <= 20""")
+_define("lists_all", " UNION ALL ".join(f"""
+    SELECT search_prop AS _id, '{m}' AS metric, string_agg(concat(sim_rank, ':', sim_prop), ',' ORDER BY sim_rank) AS "similar" FROM top_{m} GROUP BY search_prop"""
+    for m in ("euclidean", "manhattan", "lsh")))
 
 
 def _whole(name: str) -> str:
-    return f"CAST(coalesce(trunc({name}), 0) AS BIGINT) AS {name}"
+    return f"coalesce(TRY_CAST(trunc({name}) AS BIGINT), 0) AS {name}"
 
 
 def _upper(name: str) -> str:
@@ -146,11 +169,12 @@ def _upper(name: str) -> str:
 
 _define("docs", f"""
     SELECT m.prop_id AS _id, {", ".join(_upper(c) for c in ("address", "geo_address", "City", "State", "hood_cd", "situs_num", "type"))},
-      coalesce(lat, 30.2672) AS Lat, lon AS Long, CAST(coalesce(trunc(appraised_val), 0) AS BIGINT) AS appraisal,
+      coalesce(lat, 30.2672) AS Lat, lon AS Long, coalesce(TRY_CAST(trunc(appraised_val) AS BIGINT), 0) AS appraisal,
       {", ".join(_whole(c) for c in ("beds", "baths", "floorsize", "yr_built", "building_sqft", "land_sqft", "is_mobile", "has_pool", "zestimate"))},
       CAST(listing AS BIGINT) AS zillow, {", ".join(_whole(f"appraisal_{y}") for y in YEARS)}
     FROM matrix m LEFT JOIN wide h USING (prop_id)""")
 _DOCS = ", ".join(DOCUMENT_COLUMNS)
+_FOUND = f"""{_DOCS.replace(' address,', ' geo_address AS address,', 1)}, coalesce("similar", '') AS "similar" FROM docs LEFT JOIN lists USING (_id)"""
 
 _define("sites", """
     SELECT l_partkey, l_suppkey, count(*) AS n_lines, any_value(lat) AS la1, any_value(lon) AS lo1,
@@ -224,41 +248,42 @@ _SELECTS: dict[str, str] = {
     **{f"top_k_{m}": f"SELECT search_prop, sim_prop, round(sim_score, 6) AS sim_score, sim_rank, metric FROM top_{m}" for m in ("euclidean", "manhattan")},
     "combine_scores": " UNION ALL ".join(f"""
         SELECT search_prop, sim_prop, round((max(sim_score) OVER () - sim_score) / (max(sim_score) OVER () - min(sim_score) OVER ()), 6) AS sim_score,
-          sim_rank, metric FROM top_{m}""" for m in ("euclidean", "manhattan")),
+          sim_rank, metric FROM top_{m}""" for m in ("euclidean", "manhattan")) + " UNION ALL SELECT search_prop, sim_prop, sim_score, sim_rank, metric FROM top_lsh",
     "neighbour_list": 'SELECT _id, "similar" FROM lists',
-    "incremental_score": """
-        SELECT search_prop, sim_prop, round(sim_score, 6) AS sim_score, sim_rank, metric FROM top_manhattan
-        WHERE NOT EXISTS (SELECT 1 FROM appraisal d WHERE d.prop_id = search_prop AND d.hood_cd IN ('Brand#3', 'Brand#7'))""",
+    "incremental_score": " UNION ALL ".join(
+        f"SELECT search_prop, sim_prop, round(sim_score, 6) AS sim_score, sim_rank, metric FROM top_{m}" for m in ("euclidean", "manhattan")),
     "random_baseline": """
         SELECT a.prop_id AS search_prop, c.prop_id AS sim_prop, round(u * pow(0.9::DOUBLE, k), 6) AS sim_score, k AS sim_rank
-        FROM (SELECT prop_id, k, ('0x' || substr(md5(concat('0_', prop_id)), 1, 8))::BIGINT / 4294967296::DOUBLE AS u,
-            floor(('0x' || substr(md5(concat('0_', prop_id, '_', k)), 1, 8))::BIGINT * (SELECT count(*) FROM appraisal) / 4294967296::DOUBLE)::BIGINT AS at
+        FROM (SELECT prop_id, k, ('0x' || substr(md5(concat('0_', prop_id)), 1, 15))::BIGINT / pow(16::DOUBLE, 15) AS u,
+            ('0x' || substr(md5(concat('0_', prop_id, '_', k)), 1, 15))::BIGINT % (SELECT count(*) FROM appraisal) AS at
           FROM appraisal, (SELECT unnest(range(1, 21)) AS k)) a
         JOIN (SELECT prop_id, row_number() OVER (ORDER BY prop_id) - 1 AS at FROM appraisal) c ON a.at = c.at""",
     "lsh_signature": "SELECT prop_id, band, signature FROM signs",
     "lsh_neighbours": """
         SELECT * FROM (SELECT a.prop_id AS search_prop, c.prop_id AS sim_prop, 1.0::DOUBLE AS sim_score,
-            row_number() OVER (PARTITION BY a.prop_id ORDER BY count(*) DESC, c.prop_id) AS sim_rank, count(*) AS band_hits, 'lsh' AS sim_metric
+            row_number() OVER (PARTITION BY a.prop_id ORDER BY count(*) DESC, c.prop_id) AS sim_rank, count(*) AS band_hits, 'lsh' AS metric
           FROM signs a JOIN signs c ON a.band = c.band AND a.signature = c.signature AND a.prop_id <> c.prop_id GROUP BY a.prop_id, c.prop_id)
         WHERE sim_rank <= 20""",
+    "property_lsh": "SELECT search_prop, sim_prop, sim_score, sim_rank, metric, band_hits FROM top_lsh",
     "history_pivot": "SELECT * FROM wide",
-    "publish_documents": f"""SELECT {_DOCS}, coalesce("similar", '') AS "similar" FROM docs LEFT JOIN lists USING (_id)""",
-    "lookup_by_id": f"SELECT {_DOCS} FROM docs WHERE _id = 42",
-    "lookup_by_address": f"SELECT {_DOCS.replace(' address,', ' geo_address AS address,', 1)} FROM docs WHERE geo_address = (SELECT upper(geo_address) FROM geo WHERE prop_id = 7) ORDER BY _id LIMIT 1",
-    "lookup_contains": f"""
-        SELECT {_DOCS.replace(' address,', ' geo_address AS address,', 1)} FROM docs WHERE contains(geo_address, 'BLUE GEAR') ORDER BY _id LIMIT 20""",
-    "lookup_by_ids": f"SELECT {_DOCS} FROM docs WHERE _id IN (SELECT s_suppkey FROM supplier)",
+    "publish_documents": f"""
+        SELECT {_DOCS}, m.metric, coalesce("similar", '') AS "similar"
+        FROM docs CROSS JOIN (SELECT unnest(['euclidean', 'manhattan', 'lsh']) AS metric) m LEFT JOIN lists_all l USING (_id, metric)""",
+    "lookup_by_id": f"SELECT {_FOUND} WHERE _id = 42",
+    "lookup_by_address": f"SELECT {_FOUND} WHERE geo_address = (SELECT upper(geo_address) FROM geo WHERE prop_id = 7) ORDER BY _id LIMIT 1",
+    "lookup_contains": f"SELECT {_FOUND} WHERE contains(geo_address, 'BLUE GEAR') ORDER BY _id LIMIT 20",
+    "lookup_by_ids": f"SELECT {_FOUND} WHERE _id IN (SELECT s_suppkey FROM supplier)",
     "neighbour_view": """
         SELECT search_id, _id, rank, geo_address, appraisal_2001, appraisal_1995, building_sqft, land_sqft
         FROM (SELECT prop_id AS search_id, prop_id AS _id, 0 AS rank FROM matrix UNION ALL SELECT search_prop, sim_prop, sim_rank FROM top_euclidean)
         JOIN docs USING (_id)""",
-    "page_facts": """
+    "page_facts": f"""
         SELECT page_id, label, string_agg(value, '|' ORDER BY seq) AS "values" FROM (
           SELECT page_id, seq, lower(regexp_replace(CASE WHEN length(child) > 0 THEN replace(parent, child, '') ELSE parent END, '[: \\n]', '', 'g')) AS label,
             lower(child) AS value
           FROM (SELECT page_id, seq, concat(substr(texts[seq], 1, 1), ' words:', chr(10), texts[seq]) AS parent, texts[seq] AS child
             FROM (SELECT page_id, texts, unnest(range(1, len(texts) + 1)) AS seq FROM (
-              SELECT page_id, regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1) AS texts FROM pages))))
+              SELECT page_id, regexp_extract_all(html, '{LINK}', 1) AS texts FROM pages))))
         WHERE label <> '' GROUP BY page_id, label""",
     "normalize_address": """
         SELECT prop_id, concat(trim(replace(replace(concat(situs_num, ' CONGRESS AVE TX ', situs_zip), 'TX', ''), situs_zip, '')), ' Austin, TX ', situs_zip)

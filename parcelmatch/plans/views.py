@@ -23,7 +23,7 @@ VIEWS = {
           concat('G', CAST(p_partkey AS STRING)) AS geo_id,
           CASE WHEN p_type = 'PROMO' THEN 'N' WHEN p_type <> 'LARGE' THEN 'Y' END AS py_addr_ml_deliverable,
           CASE WHEN p_brand <> 'Brand#25' THEN p_brand END AS hood_cd,
-          p_retailprice * 100 AS appraised_val, p_retailprice * 95 AS assessed_val, p_retailprice * 110 AS market_value,
+          CASE WHEN p_partkey % 97 = 0 THEN 1e20 ELSE p_retailprice * 100 END AS appraised_val, p_retailprice * 95 AS assessed_val, p_retailprice * 110 AS market_value,
           CAST(p_partkey AS STRING) AS situs_num,
           CASE WHEN p_name LIKE 'small%' THEN '201' END AS situs_unit,
           concat(CAST(78700 + p_size AS STRING),
@@ -41,14 +41,14 @@ VIEWS = {
             WHEN l_quantity = 45 THEN 'Open Porch' WHEN l_quantity > 20 THEN '1st Floor' WHEN l_quantity > 10 THEN '2nd FLOOR'
             WHEN l_quantity > 5 THEN 'Obsolete' END AS imprv_det_type_desc,
           CASE WHEN l_linenumber <> 7 THEN year(l_shipdate) END AS yr_built,
-          CASE WHEN l_linenumber <> 6 THEN l_quantity * 10 END AS imprv_det_area
+          CASE WHEN l_linenumber = 5 AND l_quantity > 40 THEN CAST('NaN' AS DOUBLE) WHEN l_linenumber <> 6 THEN l_quantity * 10 END AS imprv_det_area
         FROM {lineitem}""",
     "land": """
         SELECT l_partkey AS prop_id,
           CASE WHEN l_discount > 0.095e0 THEN 'Commercial lot' WHEN l_discount > 0.005e0 THEN 'Pasture' END AS land_type_desc,
           CASE WHEN l_tax > 0.075e0 THEN 'T' WHEN l_tax > 0.005e0 THEN 'F' END AS ag_apply,
-          CAST(floor(l_extendedprice) AS DOUBLE) AS size_square_feet
-        FROM {lineitem} WHERE l_linenumber <= 2""",
+          CASE WHEN l_linenumber = 6 AND l_tax < 0.015e0 THEN CAST('NaN' AS DOUBLE) ELSE CAST(floor(l_extendedprice) AS DOUBLE) END AS size_square_feet
+        FROM {lineitem}""",
     "mobile_homes": """
         SELECT l_partkey AS prop_id FROM {lineitem} WHERE l_quantity = 1""",
     "geodata_rows": """
@@ -67,7 +67,8 @@ VIEWS = {
           CASE WHEN p_type <> 'LARGE' THEN p_brand END AS type_text,
           CASE WHEN p_type = 'LARGE' THEN NULL WHEN p_size % 7 = 0 THEN '2005.0' ELSE CAST(1950 + p_partkey % 60 AS STRING) END AS yearbuilt_text,
           CASE WHEN p_type <> 'LARGE' THEN concat('1,', CAST(100 + p_partkey % 900 AS STRING), ' sqft') END AS floorsize_text,
-          CASE WHEN p_type <> 'LARGE' THEN CAST(1 + p_size % 5 AS STRING) END AS beds_text,
+          CASE WHEN p_type = 'LARGE' THEN NULL WHEN p_size % 11 = 3 THEN '12d' WHEN p_size % 11 = 5 THEN 'Infinity'
+            ELSE CAST(1 + p_size % 5 AS STRING) END AS beds_text,
           CASE WHEN p_type = 'LARGE' THEN NULL WHEN p_size % 4 = 0 THEN '2 full, 1 half' WHEN p_size % 4 = 1 THEN '3 baths'
             WHEN p_size % 4 = 2 THEN '2.5' ELSE 'no data' END AS baths_text,
           CASE WHEN p_type = 'LARGE' THEN NULL WHEN p_name LIKE '%ring' THEN 'Hardwood, Tile' WHEN p_name LIKE '%bolt' THEN 'Carpet' END AS flooring_text
@@ -77,6 +78,20 @@ VIEWS = {
         FROM {orders}""",
 }
 
+_ROLL = ("prop_id", "prop_type_cd", "geo_id", "py_addr_ml_deliverable", "hood_cd", "appraised_val", "assessed_val", "market_value", "situs_num",
+         "situs_unit", "situs_zip", "imprv_state_cd", "land_state_cd")
+_LATER = {"hood_cd": "'LATER'", "situs_zip": "'00000'", "prop_type_cd": "'P'", "appraised_val": "1e0"}
+_CHANGED = ", ".join(f"{_LATER[c]} AS {c}" if c in _LATER else c for c in _ROLL)
+#: The roll with conflicting later lines for some properties.
+VIEWS["appraisal_rows"] = f"""
+        SELECT {", ".join(_ROLL)}, 2 AS ingest_seq FROM ({VIEWS["appraisal"]}) a
+        UNION ALL SELECT {_CHANGED}, 3 AS ingest_seq FROM ({VIEWS["appraisal"]}) a WHERE prop_id % 5 = 0"""
+VIEWS["listing_rows"] = f"""
+        SELECT *, 2 AS ingest_seq FROM ({VIEWS["listing_texts"]}) l
+        UNION ALL SELECT id, 'LATER' AS address, '$1' AS zestimate, 'LATER' AS type_text, '1900' AS yearbuilt_text, '1 sqft' AS floorsize_text, '9' AS beds_text,
+          '9' AS baths_text, 'Tile' AS flooring_text, 3 AS ingest_seq
+        FROM ({VIEWS["listing_texts"]}) l WHERE id LIKE '%3'"""
+
 # Labels of a listing record and the text columns they come from.
 LISTING_LABELS = ("type", "yearbuilt", "floorsize", "beds", "baths", "flooring")
 

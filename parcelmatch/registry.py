@@ -53,10 +53,14 @@ DOCUMENT_TEXTS = (
 # Text columns beyond the ones above; published as text as well instead of 0.
 EXTRA_TEXTS = ("geo_address", "type", "geo_id", "situs_zip", "situs_unit", "zone")
 
+# Latitude of properties without one, list length, years of the appraisal history.
 DEFAULT_LAT = 30.2672
 NEIGHBOURS = 20
 HISTORY_YEARS = (2015, 2016, 2017, 2018)
 
+# One schema for the scores of all metrics.
+SCORES = "search_prop bigint, sim_prop bigint, sim_score double, sim_rank int, metric string"
+
 # Zones whose listings are collected, one partition each.
 LISTING_ZONES = (
     78730, 78731, 78735, 78702, 78701, 78703, 78704, 78750, 78759, 78758, 78757, 78753,

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_STAGED: list[str] = []  # staged by this driver and not deleted yet
 
 
 def local_session(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSession:
@@ -50,5 +53,24 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    _STAGED.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def temporary_staging(spark: SparkSession) -> Iterator[None]:
+    """Deletes what is staged inside the block at its end; results must be written before."""
+    before = len(_STAGED)
+    try:
+        yield
+    finally:
+        for path in _STAGED[before:]:
+            remove(spark, path)
+        del _STAGED[before:]

@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import number
+
 
 def read_headers(spark: SparkSession, path: str) -> dict[str, dict[str, list]]:
     """Header map {file: {"names": [...], "lengths": [...]}}, a small JSON file."""
@@ -16,11 +18,12 @@ def read_headers(spark: SparkSession, path: str) -> dict[str, dict[str, list]]:
 
 def read_fixed_width(
     spark: SparkSession, paths: str | Sequence[str], names: Sequence[str], widths: Sequence[int],
-    types: Mapping[str, str] | None = None, columns: Sequence[str] | None = None,
+    types: Mapping[str, str] | None = None, columns: Sequence[str] | None = None, order: str | None = None,
 ) -> DataFrame:
     """Lines cut at fixed widths, trimmed; blank is NULL and a misfit of the type is NULL.
 
-    Only ``columns`` are cut out of the line.
+    Only ``columns`` are cut out of the line. ``order`` names a column that tells which line was
+    read first: file, place of the block in it, line in the block.
     """
     if len(names) != len(widths):
         raise ValueError(f"{len(names)} names for {len(widths)} widths")
@@ -32,5 +35,8 @@ def read_fixed_width(
         start, width = place[name]
         cut = F.nullif(F.trim(F.substring("value", start, width)), F.lit(""))
         kind = types.get(name, "string")
-        fields.append((cut if kind == "string" else cut.try_cast(kind)).alias(name))
+        fields.append((cut if kind == "string" else number(cut, kind)).alias(name))
+    if order is not None:
+        place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+        fields.append(place.alias(order))
     return spark.read.text(paths if isinstance(paths, str) else list(paths)).select(*fields)

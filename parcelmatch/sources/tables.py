@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..registry import LISTING_ZONES
+from ..registry import LISTING_ZONES, SCORES
+from ..session import staged
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, name_glob: str | None = None) -> DataFrame:
-    """CSV files with a header and an explicit schema; nothing is inferred."""
-    reader = spark.read.schema(schema).option("header", True)
+    """CSV files with a header and an explicit schema; nothing is inferred, other columns are an error."""
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob).option("recursiveFileLookup", True)
     return reader.csv(path)
@@ -25,8 +26,7 @@ def read_edges(spark: SparkSession, path: str) -> DataFrame:
 
 def read_parts(spark: SparkSession, path: str) -> DataFrame:
     """All score part files of a folder as one table."""
-    schema = "search_prop bigint, sim_prop bigint, sim_score double, sim_rank int, metric string"
-    return read_csv(spark, path, schema, "*.csv")
+    return read_csv(spark, path, SCORES, "*.csv")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -48,5 +48,13 @@ def write_documents(documents: DataFrame, path: str) -> None:
 
 
 def write_lookup_table(documents: DataFrame, path: str) -> None:
-    """Documents sorted by id ranges, so id lookups skip files by their column statistics."""
-    documents.repartitionByRange("_id").sortWithinPartitions("_id").write.parquet(path)
+    """Two copies, sorted by id and by address, so lookups by either skip files by their column statistics."""
+    documents = staged(documents, "documents")
+    documents.repartitionByRange("_id").sortWithinPartitions("_id").write.parquet(f"{path}/by_id")
+    by_address = documents.repartitionByRange("address", "_id").sortWithinPartitions("address", "_id").write
+    by_address.option("parquet.bloom.filter.enabled#address", "true").parquet(f"{path}/by_address")
+
+
+def read_lookup_table(spark: SparkSession, path: str, by: str = "id") -> DataFrame:
+    """The copy sorted by ``id`` or by ``address``."""
+    return spark.read.parquet(f"{path}/by_{by}")

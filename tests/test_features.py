@@ -51,6 +51,10 @@ def test_code_join_and_one_hot(spark):
     assert got == [(1, 1, 1, 1, 1), (2, 0, 0, 0, 0)]
     with pytest.raises(ValueError, match="both become"):
         features.one_hot(coded, "ptd_state_cd_description", ["A b", "a B"])
+    with pytest.raises(ValueError, match="there already"):
+        features.one_hot(coded, "ptd_state_cd_description", ["Prop_ID"])
+    with pytest.raises(ValueError, match="more than"):
+        features.vocabulary(spark.range(9).selectExpr("string(id) AS x"), "x", 5)
 
 
 def test_keep_first_is_idempotent(spark):
@@ -116,8 +120,9 @@ def test_address_and_facts(spark):
     )
     assert page_facts(found).first().facts == {"yearbuilt": ["1990"], "type": ["house", "condo"]}
     gaz = spark.createDataFrame([("a", 1.0, 2.0)], "address string, lat double, lng double")
-    known = geocode_enrich(spark.createDataFrame([("a",), ("b",)], "address string"), gaz)
-    assert rows(known, "address") == [("a", 1.0, 2.0), ("b", 0.0, 0.0)]
+    gaz = gaz.selectExpr("*", "1 AS seq").unionByName(spark.createDataFrame([("a", 9.0, 9.0, 2), (None, 5.0, 5.0, 1)], "address string, lat double, lng double, seq int"))
+    known = geocode_enrich(spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("a", 4)], "address string, id int"), gaz, "id", ["seq"])
+    assert rows(known.select("id", "address", "lat", "lng"), "id") == [(1, "a", 1.0, 2.0), (2, "b", 0.0, 0.0), (3, None, 0.0, 0.0), (4, "a", 1.0, 2.0)]
 
 
 def test_history(spark):
@@ -126,6 +131,34 @@ def test_history(spark):
     assert union_years([one, two]).count() == 4
     got = history_pivot(one.unionByName(two), ["seq"])
     assert rows(got, "prop_id") == [(1, 10.0, 20.0, None, None), (2, None, None, None, 5.0)]
+    with pytest.raises(PySparkException, match="year without a column: 2016"):
+        history_pivot(one, ["seq"], (2015,)).collect()
+
+
+def test_numbers_that_are_none(spark):
+    df = spark.createDataFrame([("12d",), ("Infinity",), ("NaN",), ("1e400",), (" -1.5e1 ",), (".5",), ("1.",), ("",)], "v string")
+    assert [r[0] for r in df.select(text.number(F.col("v"))).collect()] == [None, None, None, None, -15.0, 0.5, 1.0, None]
+    nan = float("nan")
+    details = spark.createDataFrame([(1, "1st floor", 1990, nan), (1, "2nd floor", 1991, 5.0), (2, "floor", 1990, float("inf"))], "prop_id bigint, imprv_det_type_desc string, yr_built int, imprv_det_area double")
+    assert rows(features.improvement_features(details).select("prop_id", "building_sqft"), "prop_id") == [(1, 5.0), (2, 0.0)]
+    scaled = min_max(spark.createDataFrame([(1, 2.0), (2, nan), (3, 4.0)], "id int, a double"), ["a"])
+    assert rows(scaled, "id") == [(1, 0.0), (2, None), (3, 1.0)]
+
+
+def test_ingest_order(spark, tmp_path):
+    for name, lines in (("a.txt", "1 x\n1 y\n"), ("b.txt", "1 z\n2 w\n")):
+        (tmp_path / name).write_text(lines)
+    got = fixed_width.read_fixed_width(spark, str(tmp_path), ["id", "v"], [2, 1], {"id": "bigint"}, order="seq")
+    assert rows(keep_first(got, ["id"], ["seq"]).select("id", "v"), "id") == [(1, "x"), (2, "w")]
+
+
+def test_score_files_need_their_columns(spark, tmp_path):
+    other = spark.createDataFrame([(1, 2, 1.0, 1, 37, "lsh")], "search_prop bigint, sim_prop bigint, sim_score double, sim_rank int, band_hits int, metric string")
+    tables.write_csv(other, str(tmp_path / "bad"))
+    with pytest.raises(Exception, match="FAILED_READ_FILE|header"):
+        tables.read_parts(spark, str(tmp_path / "bad")).collect()
+    tables.write_csv(other.drop("band_hits"), str(tmp_path / "good"))
+    assert tables.read_parts(spark, str(tmp_path / "good")).first().metric == "lsh"
 
 
 def test_scaling_and_combine(spark):
