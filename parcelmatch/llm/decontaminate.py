@@ -7,9 +7,10 @@ longest match that ends at each word tells which words lie inside an item window
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -263,9 +264,11 @@ def decontaminate(
     covered = F.aggregate("spans", F.lit(0).cast("bigint"), lambda s, x: s + (x["end"] - x["start"]))
     rows = found.where(covered <= F.col("n_words") * max_coverage)
     shared = [share(docs.sparkSession, automaton(block, window)) for block in _blocks(items, window, BLOCK_WORDS)]
+    first = True
     while True:
         for graph in shared:
-            rows = in_batches(rows, _cutter(graph, window, min_span), rows.schema)
+            rows = in_batches(rows, _cutter(graph, window, min_span, first), rows.schema)
+            first = False
         if len(shared) == 1:
             break
         rows = staged(rows, "cut")  # a cut by one block may bring together what another block looks for
@@ -274,8 +277,8 @@ def decontaminate(
     return rows.drop("n_words", "spans", "items").withColumnsRenamed({v: k for k, v in clash.items()})
 
 
-def _cutter(shared, window: int, min_span: int):
-    """A step that cuts the rows with spans until the automaton finds none; n_words is -1 where it cut."""
+def _cutter(shared: Broadcast, window: int, min_span: int, first: bool) -> Callable[[], Step]:
+    """A step that cuts the rows with spans, the ``first`` time by these, until the automaton finds none; n_words is -1 where it cut."""
 
     def start() -> Step:
         graph = unpacked(shared)
@@ -287,9 +290,13 @@ def _cutter(shared, window: int, min_span: int):
             texts = batch.column("text").to_pylist()
             cut = [0] * len(texts)
             for i, spans in enumerate(batch.column("spans").to_pylist()):
-                while spans and (gone := due(graph.scan(words_of(texts[i]))[0])):
+                if not spans:
+                    continue
+                gone = due([(s["start"], s["end"]) for s in spans] if first else graph.scan(words_of(texts[i]))[0])
+                while gone:
                     texts[i] = without_spans(texts[i], gone)
                     cut[i] = -1
+                    gone = due(graph.scan(words_of(texts[i]))[0])
             out = with_text(batch, texts)
             return out.set_column(out.schema.get_field_index("n_words"), "n_words", pa.array(cut, pa.int64()))
 
