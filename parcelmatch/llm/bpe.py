@@ -15,19 +15,24 @@ import re
 from collections.abc import Iterator, Sequence
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import Step, fresh, in_batches, texts_of, worker_cache
 
 SPEC_BYTES = 64 << 20  # more is refused: a vocabulary is shared with every worker
-CACHE = 400_000  # chunks that a worker remembers
+CACHE = 800_000  # strings that a worker remembers
 CACHED_CHARS = 64
 GROUP_CHARS = 1 << 20
-#: Texts of these characters only, whose classes are the same in every edition of Unicode, may be cut into chunks.
-PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
-#: Chunks at whose ends the split pattern of the vocabularies always ends a match.
-CHUNK = re.compile(r" ?[^\t\n\r ]+|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+")
+#: Texts of these characters only, whose classes are the same in every edition of Unicode, may be cut before the library.
+PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\u024f]")
+#: The split pattern of the vocabularies, for such texts.
+_LETTER, _DIGIT = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe"
+PIECE = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^\\t\\n\\r {_LETTER}{_DIGIT}]+|[\\t\\n\\r ]+(?![^\\t\\n\\r ])|[\\t\\n\\r ]+"
+)
+FIRST, MATCH = "\x00", "\x01"  # mark the first string of a text, and a match without a blank before it
 
 
 def byte_characters() -> dict[int, str]:
@@ -76,7 +81,12 @@ def shared_spec(spark: SparkSession, spec: str):
 
 
 class Coder:
-    """Encodes and decodes with one tokenizer; remembers the ids of frequent chunks."""
+    """Encodes and decodes with one tokenizer; remembers the ids of strings between blanks.
+
+    In a plain text without two blanks in a row, a match of the split pattern never crosses the front
+    of a blank, so the strings between blanks (with the blank before them) are encoded apart, each
+    distinct one once, from the pattern's matches in it. Other texts go to the library as a whole.
+    """
 
     def __init__(self, spec: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -84,12 +94,20 @@ class Coder:
 
         self.library = Tokenizer.from_str(spec)
         self.library.encode_special_tokens = True  # their strings are ordinary text
-        self.known: dict[str, tuple[int, ...]] = {}
-        back = {c: b for b, c in byte_characters().items()}
+        table = byte_characters()
+        self.characters = str.maketrans({chr(b): c for b, c in table.items()})
+        back = {c: b for b, c in table.items()}
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         self.token = [b""] * (max(vocabulary.values(), default=-1) + 1)
         for token, number in vocabulary.items():
             self.token[number] = bytes(back[c] for c in token) if all(c in back for c in token) else token.encode()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}  # string -> its number
+        self.again: set[str] = set()  # strings met again after they were learned
+        self.first = np.zeros(1, np.int64)  # by number: its ids are pool[first[number] : first[number + 1]]
+        self.pool = np.zeros(0, np.int32)
 
     @staticmethod
     def of(spec: str) -> Coder:
@@ -98,24 +116,76 @@ class Coder:
             cache[key] = Coder(spec)
         return cache[key]
 
-    def _whole(self, texts: Sequence[str]) -> list[tuple[int, ...]]:
-        return [tuple(e.ids) for e in self.library.encode_batch_fast(list(texts), add_special_tokens=False)]
-
-    def _group(self, texts: Sequence[str]) -> Iterator[list[int]]:
-        cut = [CHUNK.findall(t) if PLAIN.search(t) is None else None for t in texts]
-        odd = iter(self._whole([t for t, c in zip(texts, cut) if c is None]))
+    def _remember(self, names: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        base = len(self.first) - 1
+        self.known.update(zip(names, range(base, base + len(names))))
+        self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(sizes)])
+        self.pool = np.concatenate([self.pool, ids])
+
+    def _make_room(self) -> None:
+        """Forget the strings that were met once only; everything, if that is too little."""
+        kept = [s for s in self.known if s in self.again]
+        ids, sizes = self._ids(np.fromiter(map(self.known.__getitem__, kept), np.int64, len(kept)))
+        self._forget()
+        if len(kept) < CACHE // 2:
+            self._remember(kept, ids, sizes)
+
+    def _ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of remembered strings, one after the other, and how many each has."""
+        start = self.first[numbers]
+        sizes = self.first[numbers + 1] - start
+        ends = np.cumsum(sizes)
+        at = np.repeat(start - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return self.pool[at], sizes
+
+    def _learn(self, strings: list[str]) -> None:
+        """Strings are put together from the pattern's matches; a match ``" x"`` is the same as the string ``x``."""
+        cut = [[m[1:] if m[0] == " " and len(m) > 1 else MATCH + m for m in PIECE.findall(s[1:] if s[:1] == FIRST else " " + s)] for s in strings]
+        known = self.known
+        new = [m for m in dict.fromkeys(chain.from_iterable(cut)) if m not in known]
+        model, table = self.library.model.tokenize, self.characters
+        found = []
+        for m in new:
+            text = m[1:] if m[0] == MATCH else " " + m
+            found.append([t.id for t in model((text if text.isascii() else text.encode().decode("latin-1")).translate(table))])
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self._remember(new, np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum())), sizes)
+        left = [(s, c) for s, c in zip(strings, cut) if s not in known]
+        ids, each = self._ids(np.fromiter((known[m] for _, c in left for m in c), np.int64))
+        ends = np.concatenate([[0], np.cumsum(each)])[np.cumsum(np.array([len(c) for _, c in left], np.int64))]
+        self._remember([s for s, _ in left], ids, np.diff(ends, prepend=0))
+
+    def _group(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
+        cut: list[list[str] | None] = []
+        for text in texts:
+            parts = None
+            if PLAIN.search(text) is None and "  " not in text:
+                parts = text.split(" ")
+                if parts[0]:
+                    parts[0] = FIRST + parts[0]
+                else:
+                    del parts[0]
+            cut.append(parts)
+        odd = iter([np.array(e.ids, np.int32) for e in self.library.encode_batch_fast([t for t, c in zip(texts, cut) if c is None], add_special_tokens=False)])
         if len(self.known) > CACHE:
-            self.known.clear()
-        new = [*set(chain.from_iterable(c for c in cut if c)).difference(self.known)]
-        self.known.update(zip(new, self._whole(new)))
-        known = self.known.__getitem__
-        for chunks in cut:
-            yield list(next(odd)) if chunks is None else [*chain.from_iterable(map(known, chunks))]
-        for chunk in new:
-            if len(chunk) > CACHED_CHARS:
-                del self.known[chunk]
-
-    def encode(self, texts: Sequence[str]) -> Iterator[list[int]]:
+            self._make_room()
+        flat = [*chain.from_iterable(c for c in cut if c)]
+        distinct = dict.fromkeys(flat)
+        known = self.known
+        new = [s for s in distinct if s not in known]
+        self.again.update(distinct.keys() - set(new))
+        if new:
+            self._learn(new)
+        number = {s: known[s] for s in distinct}  # small, so it stays in the processor's cache
+        ids, each = self._ids(np.fromiter(map(number.__getitem__, flat), np.int64, len(flat)))
+        ends = np.concatenate([[0], np.cumsum(each)])[np.cumsum([0, *(len(c or ()) for c in cut)])]
+        for k, parts in enumerate(cut):
+            yield next(odd) if parts is None else ids[ends[k] : ends[k + 1]]
+        for s in new:
+            if len(s) > CACHED_CHARS:
+                known.pop(s, None)
+
+    def encode(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
         """The ids of every whole text, in bounded groups of texts."""
         group: list[str] = []
         size = 0
@@ -157,7 +227,9 @@ def encode(docs: DataFrame, spec: str, offsets: bool = False) -> DataFrame:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = texts_of(batch)
             ids = [*coder.encode(texts)]
-            columns = [*batch.columns, pa.array(ids, ints), pa.array([len(i) for i in ids], pa.int64())]
+            sizes = np.array([len(i) for i in ids], np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
+            columns = [*batch.columns, lists, pa.array(sizes)]
             if offsets:
                 places = [coder.offsets(t) for t in texts]
                 columns += [pa.array([[p[at] for p in each] for each in places], ints) for at in (0, 1)]
@@ -199,7 +271,8 @@ def round_trip(docs: DataFrame, spec: str) -> DataFrame:
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             n, ids_sha, text_sha = [], [], []
-            for ids in coder.encode(texts_of(batch)):
+            for found in coder.encode(texts_of(batch)):
+                ids = found.tolist()
                 n.append(len(ids))
                 ids_sha.append(_sha(",".join([digits[i] for i in ids]).encode()))
                 text_sha.append(_sha(coder.decode(ids)))

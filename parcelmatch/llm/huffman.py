@@ -161,13 +161,13 @@ def tokenized(docs: DataFrame, spec: str, end_id: int = END_ID) -> DataFrame:
     def start() -> Step:
         coder = Coder.of(shared.value)
         kind = id_dtype(max(len(coder.token) - 1, end_id))
+        end = np.array([end_id], kind).tobytes()
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             n, data = [], []
             for ids in coder.encode(texts_of(batch)):
-                ids.append(end_id)
-                n.append(len(ids))
-                data.append(np.array(ids, kind).tobytes())
+                n.append(len(ids) + 1)
+                data.append(ids.astype(kind).tobytes() + end)
             columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(data, pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids"])
 
