@@ -37,7 +37,7 @@ def random_baseline(ids: DataFrame, k: int = NEIGHBOURS, seed: str = "0") -> Dat
     all_ids = staged(numbered(ids), "positions")
     total = all_ids.agg(F.count("*").alias("n")).scalar()
     drawn = all_ids.select(F.col("prop_id").alias("search_prop"), F.explode(F.sequence(F.lit(1), F.lit(k))).alias("sim_rank")).withColumn(
-        "at", F.pmod(hashed(F.lit(seed), F.col("search_prop").cast("string"), F.col("sim_rank").cast("string")), F.lit(max(total, 1)))
+        "at", F.pmod(hashed(F.lit(seed), F.col("search_prop").cast("string"), F.col("sim_rank").cast("string")), F.greatest(total, F.lit(1)))
     )
     start = hashed(F.lit(seed), F.col("search_prop").cast("string")) / float(16**HASH_DIGITS)
     score = start * F.pow(F.lit(DECAY), F.col("sim_rank"))
