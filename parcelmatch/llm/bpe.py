@@ -13,16 +13,16 @@ import json
 import os
 import re
 from collections.abc import Iterator, Sequence
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import Step, fresh, in_batches, texts_of, worker_cache
+from .common import Step, fresh, in_batches, kept, texts_of
 
 SPEC_BYTES = 64 << 20  # more is refused: a vocabulary is shared with every worker
-CACHE = 800_000  # strings that a worker remembers
+CACHE = 600_000  # strings that a worker remembers
 CACHED_CHARS = 64
 GROUP_CHARS = 1 << 20
 #: Texts of these characters only, whose classes are the same in every edition of Unicode, may be cut before the library.
@@ -105,26 +105,25 @@ class Coder:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}  # string -> its number
-        self.again: set[str] = set()  # strings met again after they were learned
+        self.again = np.zeros(0, bool)  # by number: met again after it was learned
         self.first = np.zeros(1, np.int64)  # by number: its ids are pool[first[number] : first[number + 1]]
         self.pool = np.zeros(0, np.int32)
 
     @staticmethod
     def of(spec: str) -> Coder:
-        cache, key = worker_cache(), ("coder", hashlib.sha256(spec.encode()).digest())
-        if key not in cache:
-            cache[key] = Coder(spec)
-        return cache[key]
+        return kept(hashlib.sha256(spec.encode()).digest(), lambda: Coder(spec))
 
     def _remember(self, names: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         base = len(self.first) - 1
         self.known.update(zip(names, range(base, base + len(names))))
         self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(sizes)])
         self.pool = np.concatenate([self.pool, ids])
+        self.again = np.concatenate([self.again, np.zeros(len(names), bool)])
 
     def _make_room(self) -> None:
         """Forget the strings that were met once only; everything, if that is too little."""
-        kept = [s for s in self.known if s in self.again]
+        again = self.again.tolist()
+        kept = [s for s, number in self.known.items() if again[number]]
         ids, sizes = self._ids(np.fromiter(map(self.known.__getitem__, kept), np.int64, len(kept)))
         self._forget()
         if len(kept) < CACHE // 2:
@@ -170,14 +169,15 @@ class Coder:
         if len(self.known) > CACHE:
             self._make_room()
         flat = [*chain.from_iterable(c for c in cut if c)]
-        distinct = dict.fromkeys(flat)
         known = self.known
-        new = [s for s in distinct if s not in known]
-        self.again.update(distinct.keys() - set(new))
+        numbers = np.fromiter(map(known.get, flat, repeat(-1)), np.int64, len(flat))
+        missing = np.flatnonzero(numbers < 0)
+        self.again[numbers[numbers >= 0]] = True
+        new = [*dict.fromkeys(flat[i] for i in missing.tolist())]
         if new:
             self._learn(new)
-        number = {s: known[s] for s in distinct}  # small, so it stays in the processor's cache
-        ids, each = self._ids(np.fromiter(map(number.__getitem__, flat), np.int64, len(flat)))
+            numbers[missing] = np.fromiter((known[flat[i]] for i in missing.tolist()), np.int64, len(missing))
+        ids, each = self._ids(numbers)
         ends = np.concatenate([[0], np.cumsum(each)])[np.cumsum([0, *(len(c or ()) for c in cut)])]
         for k, parts in enumerate(cut):
             yield next(odd) if parts is None else ids[ends[k] : ends[k + 1]]

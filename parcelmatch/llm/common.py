@@ -1,4 +1,4 @@
-"""What the operators share: batch-wise Python steps, caches of a worker, texts, fresh names."""
+"""What the operators share: batch-wise Python steps, objects kept by a worker, texts, fresh names."""
 
 from __future__ import annotations
 
@@ -34,10 +34,17 @@ def in_batches(df: DataFrame, start: Callable[[], Step], schema: str | StructTyp
     return df.mapInArrow(run, schema)
 
 
-def worker_cache() -> dict:
-    """A dictionary that lives as long as the Python worker, for objects that are slow to build."""
+def kept(key: object, make: Callable[[], object]) -> object:
+    """An object that is slow to build and stays in the Python worker until another one is asked for.
+
+    There is one at a time, so the models of several jobs do not add up.
+    """
     home = sys.modules.setdefault("_parcelmatch_worker", types.ModuleType("_parcelmatch_worker"))
-    return home.__dict__.setdefault("cache", {})
+    slot = home.__dict__.setdefault("slot", {})
+    if key not in slot:
+        slot.clear()
+        slot[key] = make()
+    return slot[key]
 
 
 def share(spark: SparkSession, value: object) -> Broadcast:
@@ -47,10 +54,7 @@ def share(spark: SparkSession, value: object) -> Broadcast:
 
 def unpacked(shared: Broadcast) -> object:
     """The object of ``share``, built once per worker."""
-    cache, digest = worker_cache(), hashlib.sha256(shared.value).digest()
-    if cache.get("shared", (b"",))[0] != digest:
-        cache["shared"] = digest, pickle.loads(shared.value)
-    return cache["shared"][1]
+    return kept(hashlib.sha256(shared.value).digest(), lambda: pickle.loads(shared.value))
 
 
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators.attach import attach
 from ..session import staged
-from .common import Step, fresh, in_batches, worker_cache
+from .common import Step, fresh, in_batches, kept
 from .components import components
 
 SHINGLE = 3
@@ -48,10 +48,7 @@ def remainder(words: np.ndarray) -> np.ndarray:
 
 def error_patterns() -> tuple[np.ndarray, np.ndarray]:
     """By syndrome: the error of up to three bits, and the five of four bits (0 where there are none)."""
-    cache = worker_cache()
-    if "golay" not in cache:
-        cache["golay"] = _error_patterns()
-    return cache["golay"]
+    return kept("golay", _error_patterns)
 
 
 def _error_patterns() -> tuple[np.ndarray, np.ndarray]:

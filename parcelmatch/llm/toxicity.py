@@ -33,7 +33,7 @@ SOFTEN = 1e-3
 THRESHOLD = 0.7
 EVIDENCE = 3
 WORD = re.compile(r"[^\W\d_]+")
-CACHE = 200_000
+CACHE = 100_000
 
 
 def terms_of(word: str) -> list[str]:
@@ -175,15 +175,14 @@ class Index:
         self.steps = isotonic(votes, labels, weights)
 
     def score(self, n_words: int, counts: dict[int, int]) -> tuple[float, np.ndarray, np.ndarray]:
+        """Calibrated score, and the nearest entries with their cosines as evidence."""
         key = self._key(n_words, counts)
         found = self.cache.get(key)
         if found is None:
             near, cosine = self.nearest(n_words, counts)
-            if len(near):
-                found = float(np.interp(self.vote(near, cosine), *self.steps)), near, cosine
-            else:
-                found = self.prior, near, cosine
-            if len(self.cache) < 50_000:
+            value = float(np.interp(self.vote(near, cosine), *self.steps)) if len(near) else self.prior
+            found = value, near[:EVIDENCE].copy(), cosine[:EVIDENCE].copy()
+            if len(self.cache) < 20_000:
                 self.cache[key] = found
         return found
 
@@ -316,7 +315,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
             for text in texts_of(batch):
                 value, near, cosine = found.score(*reader.counts(text))
                 scores.append(value)
-                best = [{"doc_id": i, "similarity": float(c), "toxic": y} for e, c in zip(near[:EVIDENCE], cosine) for i, y in found.example[e]]
+                best = [{"doc_id": i, "similarity": float(c), "toxic": y} for e, c in zip(near, cosine) for i, y in found.example[e]]
                 evidence.append(best[:EVIDENCE])
             ids = batch.column("doc_id")
             kinds = pa.list_(pa.struct([("doc_id", ids.type), ("similarity", pa.float64()), ("toxic", pa.int32())]))
