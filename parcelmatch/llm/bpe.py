@@ -11,19 +11,22 @@ import base64
 import hashlib
 import json
 import os
+import pickle
 import re
 from collections.abc import Iterator, Sequence
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import Step, fresh, in_batches, kept, texts_of
+from .common import Step, fresh, in_batches, kept, share, texts_of
 
 SPEC_BYTES = 64 << 20  # more is refused: a vocabulary is shared with every worker
 CACHE = 600_000  # strings that a worker remembers
 CACHED_CHARS = 64
+TOGETHER = 256  # strings that the model cuts in one call
 GROUP_CHARS = 1 << 20
 #: Texts of these characters only, whose classes are the same in every edition of Unicode, may be cut before the library.
 PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\u024f]")
@@ -80,12 +83,29 @@ def shared_spec(spark: SparkSession, spec: str):
     return spark.sparkContext.broadcast(spec)
 
 
+def token_bytes(vocabulary: dict[str, int]) -> list[bytes]:
+    """The bytes of every token by its number, by the reversed byte table."""
+    back = {c: b for b, c in byte_characters().items()}
+    tokens = [b""] * (max(vocabulary.values(), default=-1) + 1)
+    for token, number in vocabulary.items():
+        tokens[number] = bytes(back[c] for c in token) if all(c in back for c in token) else token.encode()
+    return tokens
+
+
+def joined(tokens: Sequence[bytes], ids: Sequence[int]) -> bytes:
+    return b"".join([tokens[i] for i in ids])
+
+
 class Coder:
     """Encodes and decodes with one tokenizer; remembers the ids of strings between blanks.
 
     In a plain text without two blanks in a row, a match of the split pattern never crosses the front
     of a blank, so the strings between blanks (with the blank before them) are encoded apart, each
     distinct one once, from the pattern's matches in it. Other texts go to the library as a whole.
+
+    If no token that can occur in a plain text holds a blank after another character, the model cannot
+    merge over the front of a blank, so it cuts many new matches in one call; the tokens' bytes tell
+    where each ends.
     """
 
     def __init__(self, spec: str) -> None:
@@ -94,13 +114,12 @@ class Coder:
 
         self.library = Tokenizer.from_str(spec)
         self.library.encode_special_tokens = True  # their strings are ordinary text
-        table = byte_characters()
-        self.characters = str.maketrans({chr(b): c for b, c in table.items()})
-        back = {c: b for b, c in table.items()}
-        vocabulary = self.library.get_vocab(with_added_tokens=True)
-        self.token = [b""] * (max(vocabulary.values(), default=-1) + 1)
-        for token, number in vocabulary.items():
-            self.token[number] = bytes(back[c] for c in token) if all(c in back for c in token) else token.encode()
+        self.characters = str.maketrans({chr(b): c for b, c in byte_characters().items()})
+        self.token = token_bytes(self.library.get_vocab(with_added_tokens=True))
+        self.bytes = np.array([len(t) for t in self.token], np.int64)
+        self.whole = {t: i for i, t in enumerate(self.token)} if getattr(self.library.model, "ignore_merges", False) else {}
+        over = (t.decode("utf-8", "ignore") for t in self.token if re.search(rb"[^\t\n\r ] ", t))
+        self.together = TOGETHER if all(PLAIN.search(t) for t in over) else 1
         self._forget()
 
     def _forget(self) -> None:
@@ -137,50 +156,67 @@ class Coder:
         at = np.repeat(start - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
         return self.pool[at], sizes
 
+    def _cut(self, text: str) -> list[int]:
+        return [t.id for t in self.library.model.tokenize((text if text.isascii() else text.encode().decode("latin-1")).translate(self.characters))]
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Words stand for matches with a blank before them, and have no blank inside or at the end."""
+        whole = self.whole
+        if whole:
+            own = [whole.get(b" " + w.encode(), -1) for w in words]
+            ids = [i for i in own if i >= 0]
+            self._remember([w for w, i in zip(words, own) if i >= 0], np.array(ids, np.int32), np.ones(len(ids), np.int64))
+            words = [w for w, i in zip(words, own) if i < 0]
+        found, sizes = [], []
+        for at in range(0, len(words), self.together):
+            text = " " + " ".join(words[at : at + self.together])
+            ids = np.array(self._cut(text), np.int32)
+            raw = np.frombuffer(text.encode(), np.uint8)
+            ends = np.append(np.flatnonzero(raw == 32)[1:], len(raw))
+            found.append(ids)
+            sizes.append(np.diff(np.searchsorted(np.cumsum(self.bytes[ids]), ends, "right"), prepend=0))
+        if words:
+            self._remember(words, np.concatenate(found), np.concatenate(sizes))
+
     def _learn(self, strings: list[str]) -> None:
         """Strings are put together from the pattern's matches; a match ``" x"`` is the same as the string ``x``."""
-        cut = [[m[1:] if m[0] == " " and len(m) > 1 else MATCH + m for m in PIECE.findall(s[1:] if s[:1] == FIRST else " " + s)] for s in strings]
         known = self.known
+        self._learn_words([*filter(str.isalpha, strings)])  # in plain texts, these are the letters of the pattern
+        mixed = [s for s in strings if not s.isalpha()]
+        cut = [[m[1:] if m[0] == " " and len(m) > 1 else MATCH + m for m in PIECE.findall(s[1:] if s[:1] == FIRST else " " + s)] for s in mixed]
         new = [m for m in dict.fromkeys(chain.from_iterable(cut)) if m not in known]
-        model, table = self.library.model.tokenize, self.characters
-        found = []
-        for m in new:
-            text = m[1:] if m[0] == MATCH else " " + m
-            found.append([t.id for t in model((text if text.isascii() else text.encode().decode("latin-1")).translate(table))])
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self._remember(new, np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum())), sizes)
-        left = [(s, c) for s, c in zip(strings, cut) if s not in known]
+        alone = [m for m in new if m[0] == MATCH or m[-1] in "\t\n\r "]
+        self._learn_words([m for m in new if m[0] != MATCH and m[-1] not in "\t\n\r "])
+        found = [self._cut(m[1:] if m[0] == MATCH else " " + m) for m in alone]
+        self._remember(alone, np.fromiter(chain.from_iterable(found), np.int32), np.fromiter(map(len, found), np.int64, len(found)))
+        left = [(s, c) for s, c in zip(mixed, cut) if s not in known]
         ids, each = self._ids(np.fromiter((known[m] for _, c in left for m in c), np.int64))
         ends = np.concatenate([[0], np.cumsum(each)])[np.cumsum(np.array([len(c) for _, c in left], np.int64))]
         self._remember([s for s, _ in left], ids, np.diff(ends, prepend=0))
 
     def _group(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
-        cut: list[list[str] | None] = []
-        for text in texts:
-            parts = None
-            if PLAIN.search(text) is None and "  " not in text:
-                parts = text.split(" ")
-                if parts[0]:
-                    parts[0] = FIRST + parts[0]
-                else:
-                    del parts[0]
-            cut.append(parts)
-        odd = iter([np.array(e.ids, np.int32) for e in self.library.encode_batch_fast([t for t, c in zip(texts, cut) if c is None], add_special_tokens=False)])
+        plain = [t != "" and PLAIN.search(t) is None and "  " not in t for t in texts]
+        odd = iter([np.array(e.ids, np.int32) for e in self.library.encode_batch_fast([t for t, p in zip(texts, plain) if not p], add_special_tokens=False)])
         if len(self.known) > CACHE:
             self._make_room()
-        flat = [*chain.from_iterable(c for c in cut if c)]
+        marked = pa.array([t[1:] if t[0] == " " else FIRST + t for t, p in zip(texts, plain) if p], pa.large_string())
+        cut = pc.split_pattern(marked, " ")
+        coded = cut.values.dictionary_encode()
+        strings, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         known = self.known
-        numbers = np.fromiter(map(known.get, flat, repeat(-1)), np.int64, len(flat))
+        numbers = np.fromiter(map(known.get, strings, repeat(-1)), np.int64, len(strings))
+        repeated = (np.bincount(at, minlength=len(strings)) > 1) | (numbers >= 0)
         missing = np.flatnonzero(numbers < 0)
-        self.again[numbers[numbers >= 0]] = True
-        new = [*dict.fromkeys(flat[i] for i in missing.tolist())]
+        new = [strings[i] for i in missing.tolist()]
         if new:
             self._learn(new)
-            numbers[missing] = np.fromiter((known[flat[i]] for i in missing.tolist()), np.int64, len(missing))
-        ids, each = self._ids(numbers)
-        ends = np.concatenate([[0], np.cumsum(each)])[np.cumsum([0, *(len(c or ()) for c in cut)])]
-        for k, parts in enumerate(cut):
-            yield next(odd) if parts is None else ids[ends[k] : ends[k + 1]]
+            numbers[missing] = np.fromiter(map(known.__getitem__, new), np.int64, len(new))
+        self.again[numbers[repeated]] = True
+        ids, each = self._ids(numbers[at])
+        ends = np.concatenate([[0], np.cumsum(each)])[cut.offsets.to_numpy()].tolist()
+        bounds = iter(zip(ends, ends[1:]))
+        for p in plain:
+            yield ids[slice(*next(bounds))] if p else next(odd)
         for s in new:
             if len(s) > CACHED_CHARS:
                 known.pop(s, None)
@@ -202,7 +238,7 @@ class Coder:
         return self.library.encode(text, add_special_tokens=False).offsets
 
     def decode(self, ids: Sequence[int]) -> bytes:
-        return b"".join([self.token[i] for i in ids])
+        return joined(self.token, ids)
 
 
 def _sha(data: bytes) -> str:
@@ -243,16 +279,21 @@ def encode(docs: DataFrame, spec: str, offsets: bool = False) -> DataFrame:
 def decode(rows: DataFrame, spec: str, ids: str = "token_ids", name: str = "decoded") -> DataFrame:
     """``rows`` with the text of their ids; bytes that are not UTF-8 become replacement characters,
     missing ids a missing text."""
+    from tokenizers import Tokenizer
+
     name = fresh(rows, name)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), f"`{name}` string"])
-    shared = shared_spec(rows.sparkSession, spec)
+    shared = share(rows.sparkSession, token_bytes(Tokenizer.from_str(spec).get_vocab(with_added_tokens=True)))  # one entry a token
 
     def start() -> Step:
-        coder = Coder.of(shared.value)
+        tokens = pickle.loads(shared.value)
+
+        def text(found: pa.ListScalar) -> str | None:
+            return joined(tokens, found.values.to_pylist()).decode("utf-8", "replace") if found.is_valid else None
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = [None if i is None else coder.decode(i).decode("utf-8", "replace") for i in batch.column(ids).to_pylist()]
-            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, name])
+            texts = pa.array(map(text, batch.column(ids)), pa.string())
+            return pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, name])
 
         return step
 

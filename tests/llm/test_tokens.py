@@ -57,6 +57,28 @@ def test_chunks_do_not_change_ids(general, text):
     assert next(coder.encode([text])).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aabéà'sd0,.×\n"), min_size=1, max_size=8), min_size=1, max_size=60))
+def test_many_new_words_at_once(general, ranked, words):
+    library, coder = general
+    text = " ".join(words)
+    for one in (coder, ranked[2]):
+        one._forget()
+    assert next(coder.encode([text])).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert next(ranked[2].encode([text])).tolist() == ranked[0].encode_ordinary(text)
+
+
+def test_tokens_over_a_blank_do_not_join_words(tmp_path):
+    tokens = [bytes([b]) for b in range(256)] + [b" a", b"b ", b"b a", b"ab"]
+    path = tmp_path / "ranks"
+    path.write_bytes(b"\n".join(base64.b64encode(t) + b" %d" % i for i, t in enumerate(tokens)))
+    spec = bpe.ranks_spec(str(path), public_tokenizers.PATTERN)
+    coder, library = bpe.Coder(spec), Tokenizer.from_str(spec)
+    assert coder.together == 1
+    text = "ab ab cb ac b a bb aa"
+    assert next(coder.encode([text])).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_special_strings_long_words_and_many_texts(general, ranked):
     for reference, coder in ((lambda t: general[0].encode(t, add_special_tokens=False).ids, general[1]), (ranked[0].encode_ordinary, ranked[2])):
         many = ["<|endoftext|> it's  a\n\n b ", "a" * 5000, "", "x " * 3000, "don't\tdo\r\n it   ", "mañana über 12 345"] * 3
