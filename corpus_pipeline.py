@@ -41,8 +41,7 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the text that they decode to."""
-    spec = bpe.ranks_spec(VOCABULARY, public_tokenizers.PATTERN)
-    return bpe.decode(bpe.encode(docs, spec), spec)
+    return bpe.encode(docs, bpe.ranks_spec(VOCABULARY, public_tokenizers.PATTERN), decoded=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

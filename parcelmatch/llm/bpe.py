@@ -245,13 +245,14 @@ def _sha(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def encode(docs: DataFrame, spec: str, offsets: bool = False) -> DataFrame:
+def encode(docs: DataFrame, spec: str, offsets: bool = False, decoded: bool = False) -> DataFrame:
     """``docs`` with token_ids and n_tokens of the whole text, and with ``offsets`` starts and ends:
-    the code points each token touches (tokens that share a character repeat it).
+    the code points each token touches (tokens that share a character repeat it). With ``decoded``
+    the ids are decoded again in the same pass, to the text that ``decode`` would give.
 
     A missing text counts as empty and has no ids. Rows are encoded one by one.
     """
-    new = {"token_ids": "array<int>", "n_tokens": "bigint"} | ({"starts": "array<int>", "ends": "array<int>"} if offsets else {})
+    new = {"token_ids": "array<int>", "n_tokens": "bigint"} | ({"starts": "array<int>", "ends": "array<int>"} if offsets else {}) | ({"decoded": "string"} if decoded else {})
     named = {c: fresh(docs, c) for c in new}
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), *(f"`{named[c]}` {k}" for c, k in new.items())])
     shared = shared_spec(docs.sparkSession, spec)
@@ -269,6 +270,8 @@ def encode(docs: DataFrame, spec: str, offsets: bool = False) -> DataFrame:
             if offsets:
                 places = [coder.offsets(t) for t in texts]
                 columns += [pa.array([[p[at] for p in each] for each in places], ints) for at in (0, 1)]
+            if decoded:
+                columns.append(pa.array((coder.decode(i.tolist()).decode("utf-8", "replace") for i in ids), pa.string()))
             return pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *named.values()])
 
         return step

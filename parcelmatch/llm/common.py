@@ -18,18 +18,22 @@ from pyspark.sql.types import StructType
 
 from ..session import staging_root
 
+SLICE_BYTES = 4 << 20  # about as much of a batch is worked on at once
+
 Step = Callable[[pa.RecordBatch], pa.RecordBatch | None]
 
 
 def in_batches(df: DataFrame, start: Callable[[], Step], schema: str | StructType) -> DataFrame:
-    """Apply ``start()``'s step to every Arrow batch; ``start`` runs once per task."""
+    """Apply ``start()``'s step to every Arrow batch, a few megabytes at a time; ``start`` runs once per task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         step = start()
         for batch in batches:
-            out = step(batch) if batch.num_rows else None
-            if out is not None:
-                yield out
+            rows = max(batch.num_rows // (1 + batch.nbytes // SLICE_BYTES), 1)
+            for at in range(0, batch.num_rows, rows):
+                out = step(batch.slice(at, rows))
+                if out is not None:
+                    yield out
 
     return df.mapInArrow(run, schema)
 

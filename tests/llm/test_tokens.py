@@ -95,6 +95,12 @@ def test_round_trip_of_odd_rows(spark, odd, ranked):
     assert bpe.round_trip(spark.createDataFrame([], DOCS), spec).count() == 0
 
 
+def test_decoding_in_the_same_pass(odd, ranked):
+    rows = bpe.encode(odd, ranked[1], decoded=True)
+    for row in bpe.decode(rows, ranked[1], name="apart").collect():
+        assert row["decoded"] == row["apart"] == (row["text"] or "")
+
+
 def test_offsets_and_split_characters(documents, ranked):
     _, spec, _ = ranked
     rows = documents([(1, "a💥b"), (2, None)]).selectExpr("*", "5 AS n_tokens")
