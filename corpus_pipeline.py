@@ -17,6 +17,7 @@ from parcelmatch.llm.common import table
 from parcelmatch.session import staging_root
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+CACHE = 150_000  # workers still hold memory of the stages before
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +42,7 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the text that they decode to."""
-    return bpe.encode(docs, bpe.ranks_spec(VOCABULARY, public_tokenizers.PATTERN), decoded=True)
+    return bpe.encode(docs, bpe.ranks_spec(VOCABULARY, public_tokenizers.PATTERN), decoded=True, cache=CACHE)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -108,7 +108,8 @@ class Coder:
     where each ends.
     """
 
-    def __init__(self, spec: str) -> None:
+    def __init__(self, spec: str, cache: int = CACHE) -> None:
+        self.cache = cache
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -129,8 +130,8 @@ class Coder:
         self.pool = np.zeros(0, np.int32)
 
     @staticmethod
-    def of(spec: str) -> Coder:
-        return kept(hashlib.sha256(spec.encode()).digest(), lambda: Coder(spec))
+    def of(spec: str, cache: int = CACHE) -> Coder:
+        return kept((hashlib.sha256(spec.encode()).digest(), cache), lambda: Coder(spec, cache))
 
     def _remember(self, names: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         base = len(self.first) - 1
@@ -145,7 +146,7 @@ class Coder:
         kept = [s for s, number in self.known.items() if again[number]]
         ids, sizes = self._ids(np.fromiter(map(self.known.__getitem__, kept), np.int64, len(kept)))
         self._forget()
-        if len(kept) < CACHE // 2:
+        if len(kept) < self.cache // 2:
             self._remember(kept, ids, sizes)
 
     def _ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -197,7 +198,7 @@ class Coder:
     def _group(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
         plain = [t != "" and PLAIN.search(t) is None and "  " not in t for t in texts]
         odd = iter([np.array(e.ids, np.int32) for e in self.library.encode_batch_fast([t for t, p in zip(texts, plain) if not p], add_special_tokens=False)])
-        if len(self.known) > CACHE:
+        if len(self.known) > self.cache:
             self._make_room()
         marked = pa.array([t[1:] if t[0] == " " else FIRST + t for t, p in zip(texts, plain) if p], pa.large_string())
         cut = pc.split_pattern(marked, " ")
@@ -245,10 +246,10 @@ def _sha(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def encode(docs: DataFrame, spec: str, offsets: bool = False, decoded: bool = False) -> DataFrame:
+def encode(docs: DataFrame, spec: str, offsets: bool = False, decoded: bool = False, cache: int = CACHE) -> DataFrame:
     """``docs`` with token_ids and n_tokens of the whole text, and with ``offsets`` starts and ends:
     the code points each token touches (tokens that share a character repeat it). With ``decoded``
-    the ids are decoded again in the same pass, to the text that ``decode`` would give.
+    the ids are decoded again in the same pass, to the text that ``decode`` would give. ``cache``: strings that a worker remembers.
 
     A missing text counts as empty and has no ids. Rows are encoded one by one.
     """
@@ -258,7 +259,7 @@ def encode(docs: DataFrame, spec: str, offsets: bool = False, decoded: bool = Fa
     shared = shared_spec(docs.sparkSession, spec)
 
     def start() -> Step:
-        coder = Coder.of(shared.value)
+        coder = Coder.of(shared.value, cache)
         ints = pa.list_(pa.int32())
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
