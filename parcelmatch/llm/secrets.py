@@ -1,8 +1,8 @@
-"""Secrets: fixed patterns, and a linear-chain conditional random field over the tokens of strings.
+"""Secrets: fixed patterns, and a linear-chain conditional random field over all tokens of a text.
 
-A string is a run of characters other than blanks. Only strings of eight or more characters with a letter
-and a digit may hold a secret; all other tokens of the text can only be outside. There the chain
-falls apart, so decoding each such string with its surroundings is decoding the whole text.
+Tokens are runs of ASCII letters and digits, and all other characters but blanks. The chain runs
+from the first token of a text to the last, over blanks, so a secret may have no digit, no letter or
+several words. A string is a run of characters other than blanks; it only gives features.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 import random
 import re
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -22,12 +22,19 @@ from ..session import staged
 from .common import Step, bounded_sample, id_type, in_batches, share, texts_of, unpacked, with_text
 
 SAMPLE = 2000  # documents with and without a base match that the field is trained on, at most each
-WINDOWS = 4000  # strings in training, at most
+WINDOWS = 4000  # windows of documents in training, at most
 PLANTED = 1500
-LONGEST_TRAINED = 48  # tokens of a training string
+LONGEST_TRAINED = 48  # tokens of a training window
+WINDOW_TOKENS = 24  # tokens of a training window of a document
 EPOCHS = 80
 KINDS = ("assign", "access", "hex", "crf")
 REDACTED = "[SECRET]"
+COMMON = (
+    "the of and to in is that it for was on are as with his they be at one have this from or had by not but what all were when we there can an "
+    "your which their said if do will each about how up out them then she many some so these would other into has more her two like him see time "
+    "could no make than first been its who now people my made over did down only way find use may water long little very after words called just "
+    "where most know required correct horse house battery garden place lost open name number file user"
+).split()
 
 # The base patterns and their least lengths (of group 2, of the match, of the match).
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -37,10 +44,12 @@ ASSIGN_LENGTH, ACCESS_LENGTH, HEX_LENGTH = 8, 16, 32
 
 ASSIGN_CUES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 LONG_HEX = re.compile(r"[0-9a-f]{%d,}" % HEX_LENGTH)  # finds the same runs as HEX, sooner
-DIGITS = re.compile(r"[0-9]+")
-BLANKS = re.compile(r"\s")
-TOKEN = re.compile(r"[A-Za-z0-9]+|[^A-Za-z0-9]")
+TOKEN = re.compile(r"[A-Za-z0-9]+|[^A-Za-z0-9\s]")
+PIECE = re.compile(r"[A-Za-z0-9]+|\s+|[^A-Za-z0-9\s]")  # tokens, and the blanks between them
 CUE_WORD = re.compile(r"[A-Za-z_-]{2,20}")
+CACHE = 200_000  # tokens and strings whose scores a worker remembers, at most
+GROUP = 1 << 20  # about as many characters are decoded at once
+BLOCK = 128  # tokens of a block of the chain
 OUTSIDE, BEGIN, INSIDE = range(3)
 #: Which label may follow which; INSIDE neither starts a string nor follows OUTSIDE.
 FORBIDDEN = -1e9
@@ -69,22 +78,6 @@ def joined(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[s.kind]}:{s.start}:{s.end}" for s in spans)
 
 
-def strings_of(text: str) -> Iterator[tuple[int, int]]:
-    """Strings that may hold a secret."""
-    done = 0
-    for m in DIGITS.finditer(text):
-        if m.start() < done:
-            continue
-        start = m.start()
-        while start > done and not text[start - 1].isspace():
-            start -= 1
-        end = BLANKS.search(text, m.end())
-        done = end.start() if end else len(text)
-        piece = text[start:done]
-        if len(piece) >= LEAST and any(c.isascii() and c.isalpha() for c in piece):
-            yield start, done
-
-
 # Features ------------------------------------------------------------------------------------
 
 def shape(token: str) -> str:
@@ -102,44 +95,115 @@ def file_features(text: str) -> list[str]:
     return [f"file.marks={_bucket(1000 * marks / (len(text) + 1), (1, 5, 20, 60))}", f"file.size={_bucket(len(text), (200, 2000, 20000))}"]
 
 
-def features(text: str, start: int, end: int, whole: list[str]) -> tuple[list[tuple[int, int]], list[list[str]]]:
-    """Tokens of a string (as spans of the text) and the features of each."""
-    piece = text[start:end]
-    tokens = [(start + m.start(), start + m.end()) for m in TOKEN.finditer(piece)]
+def token_features(w: str) -> list[str]:
+    letters = sum(c.isalpha() for c in w)
+    out = ["bias", f"shape={shape(w)}", f"size={_bucket(len(w), (2, 4, 8, 12, 16, 24, 32, 40))}", f"changes={_bucket(len(shape(w)), (2, 4, 7, 10))}"]
+    return [*out, f"hex={all(c in string.hexdigits for c in w)}", f"letters={_bucket(letters / len(w), (0.01, 0.5, 0.8, 1))}", f"word={w[:10].lower()}"]
+
+
+def prev_features(w: str | None) -> list[str]:
+    return [f"prev={'^' if w is None else w[:6].lower()}", f"prev.shape={'^' if w is None else shape(w)}"]
+
+
+def prev2_features(w: str | None) -> list[str]:
+    return [] if w is None else [f"prev2={w[:8].lower()}"]
+
+
+def next_features(w: str | None) -> list[str]:
+    return [f"next={'$' if w is None else w[:3].lower()}", f"next.shape={'$' if w is None else shape(w)}"]
+
+
+def string_features(piece: str) -> list[str]:
     letters = [c for c in piece if c.isalnum()]
     n = max(len(letters), 1)
-    common = whole + [
-        f"string.size={_bucket(len(piece), (12, 16, 20, 28, 36, 48, 80))}",
-        f"string.digits={_bucket(sum(c.isdigit() for c in letters) / n, (0.1, 0.2, 0.35, 0.6))}",
+    return [
+        f"string.size={_bucket(len(piece), (4, 8, 12, 16, 20, 28, 36, 48, 80))}",
+        f"string.digits={_bucket(sum(c.isdigit() for c in letters) / n, (0.01, 0.1, 0.2, 0.35, 0.6, 1))}",
         f"string.mix={any(c.islower() for c in letters)}{any(c.isupper() for c in letters)}",
         f"string.kinds={_bucket(len(set(letters)) / n, (0.2, 0.35, 0.5, 0.7))}",
         f"string.signs={''.join(sorted(set(piece) & set('@:/.=_-')))}",
         f"string.url={'://' in piece or piece.startswith('www.')}", f"string.mail={'@' in piece}",
     ]
-    before = [w.lower() for w in CUE_WORD.findall(text[max(0, start - 60) : start])][-3:]
-    common += [f"before={w}" for w in before] + [f"last={before[-1] if before else ''}"]
-    tail = text[max(0, start - 3) : start].strip()
-    common.append(f"lead={tail[-1:] if tail and not tail[-1].isalnum() else ''}")
+
+
+def cue(piece: str) -> str:
+    words = CUE_WORD.findall(piece)
+    return words[-1].lower() if words else ""
+
+
+def last_features(piece: str | None) -> list[str]:
+    """Of the string before a token's string."""
+    sign = piece[-1] if piece and not piece[-1].isalnum() else ""
+    return [f"last={cue(piece or '')}", f"lead={sign}", *before_features(piece)]
+
+
+def before_features(piece: str | None) -> list[str]:
+    """Of each of the three strings before a token's string."""
+    return [f"before={cue(piece)}"] if piece else []
+
+
+def place_features(place: int) -> list[str]:
+    """Of the number of tokens before it in its string (3 for more), and whether a line starts there."""
+    return [f"at={place % 4}", f"line={place >= 4}"]
+
+
+def features(text: str, start: int, end: int, whole: list[str]) -> tuple[list[tuple[int, int]], list[list[str]]]:
+    """Tokens that begin in a part of the text (as spans of the text) and the features of each, in the whole text."""
+    tokens, places, at, gap = [], [], 0, ""
+    strings, in_string, pieces = [], 0, text.split()
+    for piece in PIECE.findall(text):
+        if piece[0].isspace():
+            gap = piece
+        else:
+            new = not tokens or gap != ""
+            in_string = 0 if new else in_string + 1
+            strings.append((strings[-1] + 1 if strings else 0) if new else strings[-1])
+            places.append(min(in_string, 3) + 4 * (not tokens or "\n" in gap))
+            tokens.append((at, at + len(piece)))
+            gap = ""
+        at += len(piece)
     words = [text[a:b] for a, b in tokens]
     out = []
     for i, w in enumerate(words):
-        own = ["bias", f"shape={shape(w)}", f"size={_bucket(len(w), (2, 4, 8, 12, 16, 24, 32, 40))}", f"changes={_bucket(len(shape(w)), (2, 4, 7, 10))}"]
-        own += [f"hex={all(c in string.hexdigits for c in w)}", f"at={min(i, 3)}", f"prev={words[i - 1][:6].lower() if i else '^'}", f"next={words[i + 1][:3].lower() if i + 1 < len(words) else '$'}"]
-        own += [f"prev.shape={shape(words[i - 1]) if i else '^'}", f"next.shape={shape(words[i + 1]) if i + 1 < len(words) else '$'}"]
-        if i > 1:
-            own.append(f"prev2={words[i - 2][:8].lower()}")
-        out.append(own + common)
-    return tokens, out
+        if not start <= tokens[i][0] < end:
+            continue
+        k = strings[i]
+        row = token_features(w) + prev_features(words[i - 1] if i else None) + next_features(words[i + 1] if i + 1 < len(words) else None)
+        row += prev2_features(words[i - 2] if i > 1 else None) + place_features(places[i]) + string_features(pieces[k])
+        row += last_features(pieces[k - 1] if k else None)
+        for back in (2, 3):
+            row += before_features(pieces[k - back] if k >= back else None)
+        out.append(row + whole)
+    return [t for t in tokens if start <= t[0] < end], out
 
 
 # Field ---------------------------------------------------------------------------------------
 
+class Scores(dict):
+    """Numbers of values met, and the label scores of what they add to a token's features."""
+
+    def __init__(self, field: Field, kinds: tuple[Callable[[str | None], list[str]], ...]) -> None:
+        super().__init__()
+        self.field, self.kinds = field, kinds
+        self.rows: list[np.ndarray] = []
+        self[None]  # number 0: there is none
+
+    def __missing__(self, value: str | None) -> int:
+        self.rows.append(np.stack([self.field.scores([f(value)])[0] for f in self.kinds]))
+        self[value] = len(self.rows) - 1
+        return self[value]
+
+    def tables(self) -> list[np.ndarray]:
+        return [*np.stack(self.rows, 1)]
+
+
 class Field:
     """Weights of features by label and of label pairs."""
 
     def __init__(self, names: list[str], weights: np.ndarray, moves: np.ndarray) -> None:
         self.number = {f: i for i, f in enumerate(names)}
         self.weights, self.moves = weights, moves
+        self.caches: tuple[Scores, Scores] | None = None
 
     def scores(self, rows: list[list[str]]) -> np.ndarray:
         number, out = self.number, np.zeros((len(rows), 3))
@@ -162,21 +226,134 @@ class Field:
             labels.append(int(choice[labels[-1]]))
         return labels[::-1]
 
+    def _known(self) -> tuple[Scores, Scores]:
+        """What is remembered of tokens and of strings; emptied when it is full, between texts."""
+        if self.caches is None or max(map(len, self.caches)) > CACHE:
+            own = Scores(self, (lambda w: [] if w is None else token_features(w), prev_features, prev2_features, next_features))
+            self.caches = own, Scores(self, (lambda s: [] if s is None else string_features(s), last_features, before_features))
+        return self.caches
+
+    def emissions(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Label scores of all tokens of the texts one after the other, their starts and ends, and how many each text has."""
+        tokens, strings = self._known()
+        ids, lengths, blank, lines, parts, n_pieces, n_strings = [], [], [], [], [], [], []
+        for text in texts:
+            pieces, words = PIECE.findall(text), text.split()
+            size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+            gaps = np.fromiter(map(str.isspace, pieces), bool, len(pieces))
+            line = np.zeros(len(pieces), bool)
+            line[[i for i in np.flatnonzero(gaps).tolist() if "\n" in pieces[i]]] = True
+            ids.append(np.fromiter((tokens[p] for p in pieces if not p.isspace()), np.int64))
+            parts.append(np.fromiter(map(strings.__getitem__, words), np.int64, len(words)))
+            lengths.append(size)
+            blank.append(gaps)
+            lines.append(line)
+            n_pieces.append(len(pieces))
+            n_strings.append(len(words))
+        gaps, line, size = np.concatenate(blank), np.concatenate(lines), np.concatenate(lengths)
+        begin = np.zeros(len(gaps), bool)  # pieces that begin a text
+        heads = np.cumsum(n_pieces) - n_pieces
+        begin[heads[np.array(n_pieces) > 0]] = True
+        end = np.cumsum(size)
+        end -= np.repeat(end[heads - 1] * (heads > 0), n_pieces) if len(end) else 0
+        after = np.append(False, gaps[:-1]) & ~begin if len(gaps) else gaps
+        after_line = np.append(False, line[:-1]) & ~begin if len(gaps) else gaps
+        there = np.flatnonzero(~gaps)
+        counts = np.array([len(i) for i in ids], np.int64)
+        first = np.zeros(len(there), bool)
+        text_first = np.cumsum(counts) - counts
+        first[text_first[counts > 0]] = True
+        new = after[there] | first
+        ident, part = np.concatenate(ids), np.concatenate(parts)
+        text_of = np.repeat(np.arange(len(texts)), counts)
+        row = np.arange(len(there))
+        string_of = np.cumsum(new) - 1
+        place = np.minimum(row - row[new][string_of], 3) + 4 * (first | after_line[there]) if len(row) else row
+        own, prev, prev2, following = tokens.tables()
+        string_, last, before = strings.tables()
+        nth = row - text_first[text_of] if len(row) else row
+        emit = own[ident] + string_[part[string_of]]
+        emit += prev[np.where(nth > 0, ident[np.maximum(row - 1, 0)], 0)]
+        emit += prev2[np.where(nth > 1, ident[np.maximum(row - 2, 0)], 0)]
+        emit += following[np.where(np.append(first[1:], True), 0, np.roll(ident, -1))] if len(row) else 0
+        nth = string_of - (np.cumsum(n_strings) - n_strings)[text_of] if len(row) else row
+        emit += last[np.where(nth > 0, part[np.maximum(string_of - 1, 0)], 0)]
+        for back in (2, 3):
+            emit += before[np.where(nth >= back, part[np.maximum(string_of - back, 0)], 0)]
+        emit += self.scores([place_features(k) for k in range(8)])[place]
+        emit += self.scores([file_features(t) for t in texts])[text_of]
+        return emit, end[there] - size[there], end[there], counts
+
     def spans(self, text: str) -> list[tuple[int, int]]:
-        """Secrets in the whole text: a begin with the insides after it, of eight characters or more."""
-        out: list[list[int]] = []
-        whole = None
-        for start, end in strings_of(text):
-            whole = file_features(text) if whole is None else whole
-            tokens, rows = features(text, start, end, whole)
-            open_ = False
-            for (a, b), label in zip(tokens, self.decode(rows)):
-                if label == BEGIN:
-                    out.append([a, b])
-                elif label == INSIDE and open_:
-                    out[-1][1] = b
-                open_ = label != OUTSIDE
-        return [(a, b) for a, b in out if b - a >= LEAST]
+        return self.spans_of([text])[0]
+
+    def spans_of(self, texts: list[str]) -> list[list[tuple[int, int]]]:
+        """Secrets in each whole text: a begin with the insides after it, of eight characters or more."""
+        out: list[list[tuple[int, int]]] = []
+        group: list[str] = []
+        for k, text in enumerate(texts):
+            group.append(text)
+            if sum(map(len, group)) >= GROUP or k + 1 == len(texts):
+                out += self._spans_of(group)
+                group = []
+        return out
+
+    def _spans_of(self, texts: list[str]) -> list[list[tuple[int, int]]]:
+        emit, start, end, counts = self.emissions(texts)
+        out: list[list[tuple[int, int]]] = [[] for _ in texts]
+        labels = chain(emit, counts, self.moves)
+        stop = np.append(np.flatnonzero(labels != INSIDE), len(labels))
+        ends = np.cumsum(counts)
+        for at in np.flatnonzero(labels == BEGIN).tolist():
+            k = int(np.searchsorted(ends, at, "right"))
+            a, b = int(start[at]), int(end[min(stop[np.searchsorted(stop, at, "right")], ends[k]) - 1])
+            if b - a >= LEAST:
+                out[k].append((a, b))
+        return out
+
+
+def chain(emit: np.ndarray, counts: np.ndarray, moves: np.ndarray, size: int = BLOCK) -> np.ndarray:
+    """Most likely labels (Viterbi) of several texts one after the other, ``counts`` tokens each.
+
+    The sequence is cut into blocks that are decoded side by side from every label before them; then
+    the label at each border follows from the blocks before and behind, so no block decides alone.
+    """
+    n, blocks = len(emit), -(-len(emit) // size)
+    if not n:
+        return np.zeros(0, np.int64)
+    first = np.zeros(blocks * size, bool)
+    first[(np.cumsum(counts) - counts)[np.asarray(counts) > 0]] = True
+    first[n:] = True  # filling
+    scores = np.zeros((blocks * size, 3))
+    scores[:n] = emit
+    scores = np.ascontiguousarray(scores.reshape(blocks, size, 3).transpose(1, 2, 0))
+    first = np.ascontiguousarray(first.reshape(blocks, size).T)
+    start = np.array([0.0, 0.0, FORBIDDEN])
+    inner, fresh_ = np.repeat(moves[:, :, None], blocks, 2), np.repeat(np.repeat(start[None, :, None], 3, 0), blocks, 2)
+    best = np.full((3, 3, blocks), 4 * FORBIDDEN)  # label now, label before the block
+    best[np.arange(3), np.arange(3)] = 0
+    back = np.zeros((size, 3, 3, blocks), np.int8)
+    for t in range(size):
+        step = np.where(first[t], fresh_, inner) if first[t].any() else inner
+        a, b, c = (best[j][None] + step[j][:, None] for j in range(3))
+        top = np.maximum(a, b)
+        back[t] = np.where(c > top, 2, b > a)
+        best = np.maximum(top, c) + scores[t][:, None]
+    level, entered = np.zeros(3), np.zeros((blocks, 3), np.int64)
+    for k in range(blocks):
+        total = best[:, :, k] + level
+        entered[k] = total.argmax(1)
+        level = total.max(1)
+        level -= level.max()
+    label, last, into = int(level.argmax()), np.zeros(blocks, np.int64), np.zeros(blocks, np.int64)
+    for k in range(blocks - 1, -1, -1):
+        last[k], into[k] = label, entered[k, label]
+        label = int(into[k])
+    out, row = np.zeros((size, blocks), np.int64), np.arange(blocks)
+    for t in range(size - 1, -1, -1):
+        out[t] = last
+        last = back[t, last, into, row]
+    return out.T.ravel()[:n]
 
 
 def train(examples: list[tuple[list[list[str]], list[int]]], epochs: int = EPOCHS) -> Field:
@@ -246,15 +423,17 @@ def _labels(tokens: list[tuple[int, int]], secrets: list[tuple[int, int]]) -> li
 
 
 def windows_of(text: str, per_text: int = 20) -> Iterator[tuple[str, int, int, list[tuple[int, int]]]]:
-    """Strings of a text with their left surroundings, and the secrets that the base patterns show there."""
+    """Parts of a text with their surroundings, and the secrets that the base patterns show there."""
     secrets = [m.span(2) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LENGTH] + [(s.start, s.end) for s in base_spans(text) if s.kind]
-    for k, (a, b) in enumerate(strings_of(text)):
+    places = [m.span() for m in TOKEN.finditer(text)]
+    for k, at in enumerate(range(0, len(places), WINDOW_TOKENS)):
         if k >= per_text:
             return
-        left = max(0, a - 60)
+        a, b = places[at][0], places[min(at + WINDOW_TOKENS, len(places)) - 1][1]
+        left, right = max(0, a - 60), b + 20
         cut = sorted({(max(s, a) - left, min(e, b) - left) for s, e in secrets if s < b and a < e})
         apart = [s for i, s in enumerate(cut) if not any(o[0] <= s[0] and s[1] <= o[1] for j, o in enumerate(cut) if j != i)]
-        yield text[left : min(b, a + 400)], a - left, min(b, a + 400) - left, apart
+        yield text[left:right], a - left, b - left, apart
 
 
 def planted(seed: int, count: int) -> list[tuple[str, int, int, list[tuple[int, int]]]]:
@@ -275,17 +454,43 @@ def planted(seed: int, count: int) -> list[tuple[str, int, int, list[tuple[int,
         lambda: f"202{some(digits, 1)}-0{draw.randint(1, 9)}-1{some(digits, 1)}T10:{some('012345', 1)}0:00Z", lambda: f"v{some(digits, 1)}.{some(digits, 1)}.{some(digits, 1)}-beta{some(digits, 1)}",
         lambda: f"IMG_{some(digits, 8)}.jpg", lambda: f"section{some(digits, 1, 3)},", lambda: f"({some(string.ascii_lowercase, 5, 9)}{some(digits, 1, 2)})", lambda: f"{some(string.ascii_uppercase, 2)}{some(digits, 6)}",
     )
+    def words(low: int, high: int) -> list[str]:
+        return [draw.choice(COMMON) if draw.random() < 0.6 else some(string.ascii_lowercase, 3, 9) for _ in range(draw.randint(low, high))]
+
     cues = ("password is ", "Authorization: Bearer ", "key = ", 'token = "', "secret: ", "credentials ", "pwd=", "")
+    # With cues only: what looks like any word or number elsewhere.
+    bare = (
+        lambda: some(letters, 16, 32), lambda: some(digits, 10, 20), lambda: "".join(w.capitalize() for w in words(2, 4)),
+        lambda: "eyJ" + some(letters, 16, 36) + "." + some(letters, 16, 36),
+    )
+    phrase = ("passphrase: ", "passphrase is ", 'passphrase = "', "pass phrase: ")
     talk = ("see ", "on ", "file ", "in ", "at ", "from ", "")
+    prose = (
+        lambda: " ".join(words(4, 14)) + ".", lambda: f"the {draw.choice(('password', 'secret', 'token', 'key', 'passphrase'))} is {draw.choice(COMMON)} {' '.join(words(1, 5))}",
+        lambda: f"{' '.join(words(1, 4))} order {some(digits, 6, 14)}", lambda: f"class {''.join(w.capitalize() for w in words(2, 4))} {' '.join(words(1, 3))}",
+        lambda: f"{' '.join(words(1, 3))} is {draw.choice((some(digits, 6, 16), ' '.join(words(1, 6))))} {' '.join(words(0, 3))}",
+        lambda: " ".join(w for w in (*words(1, 1), draw.choice(("is", *words(1, 1))), *words(1, 2)) for _ in range(draw.choice((1, 6, 12)))),
+    )
     out = []
     for k in range(count):
-        bad = k % 2 == 0
-        value, lead = draw.choice(secret if bad else plain)(), draw.choice(cues if bad else talk)
-        line = some(string.ascii_lowercase, 2, 8) + " " + lead
+        bad, which = k % 2 == 0, draw.random()
+        line = " ".join(words(1, 5)).capitalize() + " "
+        if bad and which < 0.12:
+            lead, value = draw.choice(phrase), " ".join(words(3, 6))
+        elif bad and which < 0.45:
+            lead, value = draw.choice(cues[:-1]), draw.choice(bare)()
+            value = value if len(value) >= LEAST else value + some(letters, LEAST)
+        elif bad:
+            lead, value = draw.choice(cues), draw.choice(secret)()
+        else:
+            lead, value = draw.choice(talk), draw.choice(plain if which < 0.5 else prose)()
+        line += lead
         a = len(line)
-        start = line.rfind(" ") + 1
-        tail = draw.choice(('"', "", ".", ",")) if bad else ""
-        out.append((line + value + tail, start, a + len(value) + len(tail), [(a, a + len(value))] if bad else []))
+        tail = ('"' if lead.endswith('"') else draw.choice(('"', "", ".", ","))) if bad else ""
+        line += value + tail
+        if lead not in phrase or tail:
+            line += draw.choice(("", "\n", " ")) + " ".join(words(0, 4)) if tail != "," else ""
+        out.append((line, 0, len(line), [(a, a + len(value))] if bad else []))
     return out
 
 
@@ -316,11 +521,14 @@ def learn(docs: DataFrame) -> Field:
     return train([e for e in examples if e[0]])
 
 
-def all_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
-    """Base spans, and these with the field's spans that touch none of them."""
-    base = base_spans(text)
-    more = [Span(a, 3, b) for a, b in field.spans(text) if not any(s.start < b and a < s.end for s in base)]
-    return base, sorted([*base, *more])
+def all_spans(texts: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:
+    """Base spans of each text, and these with the field's spans that touch none of them."""
+    out = []
+    for text, found in zip(texts, field.spans_of(texts)):
+        base = base_spans(text)
+        more = [Span(a, 3, b) for a, b in found if not any(s.start < b and a < s.end for s in base)]
+        out.append((base, sorted([*base, *more])))
+    return out
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
@@ -337,7 +545,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
         field = unpacked(shared)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [all_spans(t, field) for t in texts_of(batch)]
+            found = all_spans(texts_of(batch), field)
             columns = [pa.array([sum(s.kind == k for s in every) for _, every in found], pa.int64()) for k in range(len(KINDS))]
             columns += [pa.array([joined(spans[k]) for spans in found], pa.string()) for k in (0, 1)]
             return pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", *counts, "base", "spans"])
@@ -368,10 +576,9 @@ def without_secrets(docs: DataFrame) -> DataFrame:
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = batch.column("text").to_pylist()
-            for i, text in enumerate(texts):
-                spans = all_spans(text, field)[1] if text else []
+            for i, (_, spans) in enumerate(all_spans([t or "" for t in texts], field)):
                 if spans:
-                    texts[i] = redacted(text, spans)
+                    texts[i] = redacted(texts[i], spans)
             return with_text(batch, texts)
 
         return step

@@ -203,6 +203,44 @@ def test_viterbi_is_the_best_of_all_label_sequences(field):
     assert tuple(field.decode(rows)) == best[1]
 
 
+def test_whole_texts_are_decoded_as_one_chain(field):
+    draw = random.Random(4)
+    texts = ["", " \n ", *(line for line, *_ in secrets.planted(5, 40)), "\n".join(line for line, *_ in secrets.planted(6, 60)), "üß 漢字 x1\x1cy", "a"]
+    draw.shuffle(texts)
+    emit, start, end, counts = field.emissions(texts)
+    labels, at = secrets.chain(emit, counts, field.moves), 0
+    for text, n in zip(texts, counts.tolist()):
+        tokens, rows = secrets.features(text, 0, len(text), secrets.file_features(text))
+        assert [*zip(start[at : at + n].tolist(), end[at : at + n].tolist())] == tokens
+        if n:
+            assert np.allclose(emit[at : at + n], field.scores(rows)) and labels[at : at + n].tolist() == field.decode(rows)
+        at += n
+    assert at == len(emit)
+
+
+def test_chain_is_the_best_of_all_label_sequences_across_blocks():
+    draw = np.random.default_rng(8)
+    for _ in range(40):
+        counts = draw.integers(0, 7, 4)
+        emit, moves = draw.normal(size=(counts.sum(), 3)), draw.normal(size=(3, 3)) * 2
+        moves[0, 2] = secrets.FORBIDDEN
+        got, at = secrets.chain(emit, counts, moves, 3).tolist(), 0
+        for n in counts.tolist():
+            own = emit[at : at + n]
+            best = max((sum(own[i, y] for i, y in enumerate(ys)) + sum(moves[a, b] for a, b in zip(ys, ys[1:])), ys) for ys in np.ndindex(*(3,) * n) if not ys or ys[0] != 2)
+            assert tuple(got[at : at + n]) == best[1]
+            at += n
+
+
+def test_secrets_without_digits_letters_or_in_several_words_are_found(field):
+    for text, secret in (
+        ("Authorization: Bearer AbCdEfGhIjKlMnOpQrSt", "AbCdEfGhIjKlMnOpQrSt"), ("the password is CorrectHorseBattery", "CorrectHorseBattery"),
+        ("pin key = 483920174625 ok", "483920174625"), ("note passphrase: correct horse battery staple", "correct horse battery staple"),
+    ):
+        assert [text[a:b] for a, b in field.spans(text)] == [secret]
+    assert field.spans("the order of the words was found in the garden and the number was lost.") == []
+
+
 def test_gradient_reaches_the_labels():
     examples = [([["a"], ["b"], ["c"]], [0, 1, 2]), ([["a"], ["a"], ["b"]], [0, 0, 1]), ([["c"], ["a"], ["b"]], [0, 0, 1])] * 4
     learned = secrets.train(examples)
