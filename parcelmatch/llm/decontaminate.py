@@ -266,8 +266,8 @@ def decontaminate(
     shared = [share(docs.sparkSession, automaton(block, window)) for block in _blocks(items, window, BLOCK_WORDS)]
     first = True
     while True:
-        for graph in shared:
-            rows = in_batches(rows, _cutter(graph, window, min_span, first), rows.schema)
+        for k, graph in enumerate(shared):
+            rows = in_batches(rows, _cutter(graph, window, min_span, first, k > 0), rows.schema)
             first = False
         if len(shared) == 1:
             break
@@ -277,8 +277,9 @@ def decontaminate(
     return rows.drop("n_words", "spans", "items").withColumnsRenamed({v: k for k, v in clash.items()})
 
 
-def _cutter(shared: Broadcast, window: int, min_span: int, first: bool) -> Callable[[], Step]:
-    """A step that cuts the rows with spans, the ``first`` time by these, until the automaton finds none; n_words is -1 where it cut."""
+def _cutter(shared: Broadcast, window: int, min_span: int, first: bool, later: bool = False) -> Callable[[], Step]:
+    """A step that cuts the rows with spans, the ``first`` time by these, until the automaton finds none; n_words is -1 where it
+    or, if it is a ``later`` one of the round, one before it cut."""
 
     def start() -> Step:
         graph = unpacked(shared)
@@ -288,7 +289,7 @@ def _cutter(shared: Broadcast, window: int, min_span: int, first: bool) -> Calla
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = batch.column("text").to_pylist()
-            cut = [0] * len(texts)
+            cut = [min(n, 0) for n in batch.column("n_words").to_pylist()] if later else [0] * len(texts)
             for i, spans in enumerate(batch.column("spans").to_pylist()):
                 if not spans:
                     continue

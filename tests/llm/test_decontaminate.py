@@ -115,3 +115,12 @@ def test_odd_rows_and_empty_tables(spark, odd):
     out = d.decontaminate(clashing, items)
     assert out.columns == clashing.columns
     assert {(r["spans"], r["n_words"], r["items"], r["_spans"]) for r in out.collect()} == {("own", 7, "i", 1)}
+
+
+def test_a_cut_of_a_middle_block_is_scanned_again_by_the_first(spark, documents, monkeypatch):
+    monkeypatch.setattr(d, "BLOCK_WORDS", 3)
+    items = spark.createDataFrame([(1, "a b c"), (2, "p q r"), (3, "x y z")], "item_id bigint, text string").coalesce(1)
+    assert len([*d._blocks(items, 3, 3)]) == 3
+    docs = documents([(1, "one a b p x y z q r c two"), (2, "nothing here")])
+    left = {r["doc_id"]: words(r["text"]) for r in d.decontaminate(docs, items, 3, 3, 1.0).collect()}
+    assert left == {1: ["one", "two"], 2: ["nothing", "here"]}
