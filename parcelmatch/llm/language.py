@@ -21,7 +21,6 @@ from ..session import staged
 from .common import Step, bounded_sample, id_type, in_batches, learnable, share, texts_of, unpacked
 
 PER_LANGUAGE = 1000  # documents that each language is learned from, at most
-MAX_GRAMS = 200_000  # most frequent trigrams kept
 SMOOTH = 0.5
 ROUNDS = 12
 CHARGE = 3.0  # log-likelihood a further language must gain per doubling of e in words
@@ -130,7 +129,7 @@ def learn(docs: DataFrame) -> Model:
         yield pa.RecordBatch.from_arrays([*columns, pa.array([total[k] for k in keys], pa.int64())], names=["lang", "gram", "n"])
 
     counted = texts.select("text", F.col("lang").cast("string").alias("lang")).mapInArrow(count, "lang string, gram string, n bigint")
-    rows = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang", "gram").limit(MAX_GRAMS).collect()
+    rows = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).collect()  # every trigram, so every sampled language with letters
     return Model(sorted({r["lang"] for r in rows}), {(r["lang"], r["gram"]): r["n"] for r in rows})
 
 
@@ -142,7 +141,7 @@ def identify(docs: DataFrame) -> DataFrame:
     by one, so repeated rows and ids are all returned.
     """
     model = learn(docs)
-    shared = share(docs.sparkSession, model)  # at most MAX_GRAMS rows
+    shared = share(docs.sparkSession, model)  # bounded by the trigrams of PER_LANGUAGE documents a language
     schema = f"doc_id {id_type(docs)}, lang_pred string, score double, languages array<string>, shares array<double>"
 
     def start() -> Step:

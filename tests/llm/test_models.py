@@ -121,6 +121,18 @@ def test_languages_and_mixtures(documents):
     assert all(0 <= r["score"] <= 1 and r["held_out"] == held_out(i) for i, r in got.items())
 
 
+def test_no_language_is_crowded_out_by_scripts_without_blanks(documents):
+    draw, ids = random.Random(3), [i for i in range(100) if not held_out(i)]
+    rows = []
+    for k in range(8):
+        text = "".join(chr(draw.randint(0x4E00, 0x9F00)) for _ in range(30_000))
+        rows += [(ids[2 * k], text, "cc"), (ids[2 * k + 1], text, "cc")]
+    docs = documents([*rows, (ids[20], "wombat quokka", "zz")])
+    model = language.learn(docs)
+    assert model.languages == ["cc", "zz"] and len(model.number) > 200_000
+    assert {r["doc_id"]: r["lang_pred"] for r in language.identify(docs).collect()}[ids[20]] == "zz"
+
+
 def test_mixture_equals_plain_em():
     draw = np.random.default_rng(4)
     log, n, sizes = draw.normal(size=(30, 3)) * 2, draw.integers(1, 5, 30).astype(float), np.array([10, 15, 5])
