@@ -53,4 +53,66 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM f
 """
 
-ORACLES = {"op1_decontamination": OP1, "op3_quality": OP3}
+OP11 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS w, list_transform([1, 9, 17, 25], lambda k: CAST('0x' || substr(h, k, 8) AS BIGINT)) AS x FROM d),
+c AS (
+  SELECT doc_id, t, w, len(w) AS n, least(x[1] % (len(w) + 1), x[2] % (len(w) + 1)) AS a, greatest(x[1] % (len(w) + 1), x[2] % (len(w) + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR x[3] % 100 >= 90 THEN 'plain'
+      WHEN x[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM u
+),
+p AS (SELECT doc_id, t, n, form, array_to_string(w[1:a], '') AS pre, array_to_string(w[a + 1:b], '') AS mid, array_to_string(w[b + 1:], '') AS suf FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
+
+_DIGIT = "translate(to_base(CAST('0x' || substr(h, %d, 10) AS BIGINT), 32, 8), '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')"
+
+OP12 = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY t) AS first_id FROM p)
+SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes, {" || ".join(_DIGIT % k for k in (1, 11, 21, 31))} AS payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM first_id AND first_id IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM f
+"""
+
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+  lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295)"""
+
+OP13 = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+size AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS base, {_CRC} % 9 AS h FROM t GROUP BY conv_id),
+r AS (
+  SELECT c.conv_id, t.k, t.role, t.text FROM size c JOIN t ON t.conv_id = c.base AND t.k <= c.h
+  UNION ALL SELECT c.conv_id, 10 + t.k, t.role, t.text FROM size c JOIN t ON t.conv_id = c.conv_id AND t.k > c.h
+),
+o AS (SELECT conv_id, strlen(text) AS b, row_number() OVER w AS d, list(sha256(strlen(role) || ':' || role || text)) OVER w AS path FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY k)),
+p AS (SELECT conv_id, d, b, md5(array_to_string(path, '')) AS key FROM o),
+m AS (
+  SELECT conv_id, d, b, key, coalesce(lag(key) OVER (PARTITION BY conv_id ORDER BY d), 'root') AS up, d = max(d) OVER (PARTITION BY conv_id) AS last FROM p
+  UNION ALL SELECT conv_id, 0, 0, 'root', NULL, conv_id NOT IN (SELECT conv_id FROM p) FROM size
+),
+node AS (
+  SELECT key, d, any_value(up) AS up, any_value(b) AS b, min(conv_id) AS conv_id, count(*) AS n,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM m GROUP BY key, d
+),
+kids AS (SELECT up AS key, count(*) AS n FROM node WHERE up IS NOT NULL GROUP BY up),
+below AS (
+  SELECT m.key, sum((node.n - 1) * node.b) AS saved, count(*) FILTER (kids.n IS NULL) AS leaves
+  FROM node LEFT JOIN kids USING (key) JOIN m ON m.conv_id = node.conv_id AND m.d <= node.d GROUP BY m.key
+)
+SELECT node.conv_id, CAST(node.d AS BIGINT) AS depth, parent.conv_id AS parent_conv_id, CAST(node.n AS BIGINT) AS n_convs,
+  CAST(coalesce(kids.n, 0) AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, node.ends_sha256
+FROM node JOIN below USING (key) LEFT JOIN kids USING (key) LEFT JOIN node parent ON parent.key = node.up
+"""
+
+ORACLES = {"op1_decontamination": OP1, "op3_quality": OP3, "op11_infill": OP11, "op12_warc": OP12, "op13_prefix_trie": OP13}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import staging_root
-from . import bpe, decontaminate, huffman, language, quality, secrets, sharding, simhash, toxicity, urls
+from . import archive, bpe, decontaminate, huffman, infill, language, quality, secrets, sharding, simhash, toxicity, trie, urls
 from .common import table
 
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -60,7 +60,23 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(table(spark, sf, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_infill(spark: SparkSession, sf: str) -> DataFrame:
+    return infill.digest(table(spark, sf, "documents"))
+
+
+def op12_warc(spark: SparkSession, sf: str) -> DataFrame:
+    path = f"{staging_root(spark)}/{spark.sparkContext.applicationId}/archive-{uuid.uuid4().hex}"
+    archive.write_archive(table(spark, sf, "pages"), path)
+    merged = archive.merged_index(archive.read_archive(spark, path, dict(table(spark, sf, "pages").dtypes)["page_id"]))
+    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return trie.prefix_trie(trie.rebuilt(table(spark, sf, "conversations")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_secrets, op3_quality, op4_sharding, op5_simhash, op6_bpe, op7_huffman, op8_urls, op9_toxicity, op10_language,
+    op11_infill, op12_warc, op13_prefix_trie,
 )}
 
