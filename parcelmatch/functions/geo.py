@@ -20,8 +20,10 @@ WGS84_A = 6378.137  # km
 WGS84_F = 1 / 298.257223563
 MAX_STEPS = 100
 
-# How far the ellipsoidal distance may stray from the spherical one, relative.
-SLACK = {"vincenty": 0.01, "haversine": 1e-9}
+# The least radius of curvature on the ellipsoid: no line on it bends more sharply.
+LEAST_RADIUS = WGS84_A * (1 - WGS84_F) ** 2
+FAR_KM, MOST_KM = 12000.0, 20100.0  # beyond such a straight line only the greatest possible distance is sure
+BLUR_KM = 1e-6  # rounding of positions and distances
 
 
 # The spherical formulas are SQL text: scoring plans hold hundreds of such operations, and one
@@ -100,16 +102,43 @@ def distance_km(metric: str, lat1: str, lon1: str, lat2: str, lon2: str) -> Colu
 AXES = ("x", "y", "z")
 
 
-def position(lat: str, lon: str) -> dict[str, str]:
-    """Point of the sphere in km, as SQL per axis. Straight lines between such points are never
-    longer than the great circle, and cost three products instead of a row of sines."""
+def position(lat: str, lon: str, metric: str = "vincenty") -> dict[str, str]:
+    """Point in space in km, as SQL per axis: on the sphere, or on the ellipsoid (by the reduced latitude).
+
+    Straight lines between such points are never longer than the distance along the surface, differ
+    little from it, and cost three products instead of a row of sines.
+    """
+    high = f"radians({lat})" if metric == "haversine" else f"atan({1 - WGS84_F!r}D * tan(radians({lat})))"
+    wide, tall = (EARTH_KM, EARTH_KM) if metric == "haversine" else (WGS84_A, WGS84_A * (1 - WGS84_F))
     return {
-        "x": f"coalesce(cos(radians({lat})) * cos(radians({lon})) * {EARTH_KM!r}D, 0D)",
-        "y": f"coalesce(cos(radians({lat})) * sin(radians({lon})) * {EARTH_KM!r}D, 0D)",
-        "z": f"coalesce(sin(radians({lat})) * {EARTH_KM!r}D, 0D)",
+        "x": f"coalesce(cos({high}) * cos(radians({lon})) * {wide!r}D, 0D)",
+        "y": f"coalesce(cos({high}) * sin(radians({lon})) * {wide!r}D, 0D)",
+        "z": f"coalesce(sin({high}) * {tall!r}D, 0D)",
     }
 
 
+def _radius(metric: str) -> float:
+    """No line along the surface bends more sharply than a circle of this radius, so none is longer than its arc."""
+    return EARTH_KM if metric == "haversine" else LEAST_RADIUS
+
+
+def most_km(metric: str, chord: np.ndarray) -> np.ndarray:
+    """At least the distance of points a straight line ``chord`` apart."""
+    wide = 2 * _radius(metric)
+    return np.where(chord > FAR_KM, MOST_KM, np.arcsin(np.minimum(1, chord / wide)) * wide) + BLUR_KM
+
+
+def least_km(chord: np.ndarray) -> np.ndarray:
+    """At most the distance of points a straight line ``chord`` apart."""
+    return np.maximum(0, chord - BLUR_KM)
+
+
+def least_chord(metric: str, km: np.ndarray) -> np.ndarray:
+    """Points at least ``km`` apart are no nearer than this by a straight line."""
+    wide = 2 * _radius(metric)
+    return np.minimum(FAR_KM, np.sin(np.clip((km - BLUR_KM) / wide, 0, math.pi / 2)) * wide) - BLUR_KM
+
+
 def chord_sql(gaps: list[str]) -> str:
     """Length of a straight line from its three axis parts."""
     return "sqrt(" + " + ".join(f"({g}) * ({g})" for g in gaps) + ")"
@@ -127,16 +156,25 @@ def box_km_bounds(a: str, c: str, metric: str) -> tuple[str, str]:
     """
     least = chord_sql([axis_gap(a, c, x) for x in AXES])
     most = chord_sql([f"greatest({c}{x}_hi - {a}{x}_lo, {a}{x}_hi - {c}{x}_lo)" for x in AXES])
-    slack = SLACK[metric]
-    arc = f"asin(least(1D, {most} / {2 * EARTH_KM!r}D)) * {2 * EARTH_KM!r}D"
-    # The small constant covers rounding in the positions.
-    return f"greatest(0D, {least} * {1 - slack!r}D - 1e-9D)", f"{arc} * {1 + slack!r}D + 1e-9D"
+    wide = 2 * _radius(metric)
+    arc = f"if({most} > {FAR_KM!r}D, {MOST_KM!r}D, asin(least(1D, {most} / {wide!r}D)) * {wide!r}D)"
+    return f"greatest(0D, {least} - {BLUR_KM!r}D)", f"{arc} + {BLUR_KM!r}D"
 
 
-def box_radius_km(p: str, metric: str) -> str:
-    """At least the distance from the centre of box ``p`` to any of its points, as SQL.
+def box_km_by_degrees(a: str, c: str, metric: str) -> tuple[str, str]:
+    """Least and greatest possible distance between two boxes of coordinates (``lat_lo, lat_hi, ...``), as SQL.
 
-    Along the meridian and the widest parallel: half the height plus half the width.
+    On a sphere the distance grows with the difference in latitude, in longitude (up to half a turn) and with
+    the parallels' widths. The ellipsoid is within one percent of it.
     """
-    km_per_degree = EARTH_KM * math.pi / 180 * (1 + SLACK[metric])
-    return f"(({p}lat_hi - {p}lat_lo) + ({p}lon_hi - {p}lon_lo)) / 2 * {km_per_degree!r}D + 1e-9D"
+    stray = 0.01 if metric == "vincenty" else 1e-9
+    rise, across = axis_gap(a, c, "lat"), f"greatest({c}lon_hi - {a}lon_lo, {a}lon_hi - {c}lon_lo)"
+    turn = f"least({axis_gap(a, c, 'lon')}, greatest(0D, 360 - {across}))"  # or the other way round
+    climb = f"greatest({c}lat_hi - {a}lat_lo, {a}lat_hi - {c}lat_lo)"
+    swing = f"least(180D, {across})"
+    thin = " * ".join(f"cos(radians(greatest(abs({p}lat_lo), abs({p}lat_hi))))" for p in (a, c))
+    wide = " * ".join(f"cos(radians(if({p}lat_lo <= 0 AND {p}lat_hi >= 0, 0D, least(abs({p}lat_lo), abs({p}lat_hi)))))" for p in (a, c))
+    least = _arc(f"({_sin2_half(rise)} + {thin} * {_sin2_half(turn)})")
+    most = _arc(f"({_sin2_half(f'least(180D, {climb})')} + {wide} * {_sin2_half(swing)})")
+    known = f"greatest(abs({a}lat_lo), abs({a}lat_hi), abs({c}lat_lo), abs({c}lat_hi)) <= 90 AND greatest(abs({a}lon_lo), abs({a}lon_hi), abs({c}lon_lo), abs({c}lon_hi)) <= 180"
+    return f"if({known}, {least} * {1 - stray!r}D, 0D)", f"if({known}, {most} * {1 + stray!r}D, double('inf'))"

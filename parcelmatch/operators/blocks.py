@@ -21,7 +21,7 @@ LEAF_BITS = 6  # 64 rows per leaf
 FAN_BITS = 6  # 64 children per coarser node
 TOP_NODES = 64  # coarsest tier: about this many nodes in the largest zone
 KEY_BITS = 60
-MAX_FAN_IN = 4096  # search leaves that may meet one offered leaf before its rows are copied
+MAX_FAN_IN = 1024  # search leaves that may meet one offered leaf before its rows are copied
 
 
 def interleaved(df: DataFrame, units: Sequence[str], digits: int) -> tuple[DataFrame, list[str]]:
@@ -100,8 +100,9 @@ def pruned_pairs(
     edges: DataFrame,
     shifts: Sequence[int],
     keep: Callable[[DataFrame], DataFrame],
+    more: Sequence[Column] = (),
 ) -> DataFrame:
-    """Leaf pairs (a_zone, a_node, c_zone, c_node) which survive ``keep`` on every tier.
+    """Leaf pairs (a_zone, a_node, c_zone, c_node) which survive ``keep`` on every tier, and ``more`` of each.
 
     ``keep`` gets node pairs with ``a_`` and ``c_`` summary columns and drops hopeless ones.
     """
@@ -120,7 +121,7 @@ def pruned_pairs(
                 .join(c.withColumn("c_up", F.shiftright("c_node", step)), ["c_zone", "c_up"])
                 .drop("a_up", "c_up")
             )
-        pairs = keep(joined).select(*ids)
+        pairs = keep(joined).select(*ids, *(more if i == len(shifts) - 1 else ()))
         if i < len(shifts) - 1:
             pairs = staged(pairs, "node-pairs")
     return pairs

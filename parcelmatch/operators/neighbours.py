@@ -2,10 +2,11 @@
 
 1. Properties that agree in everything scored become one class; only the smallest ids of a
    class can enter a top list, because ties go to the smaller id.
-2. Classes are laid out in blocks of similar rows (``blocks``). The blocks around a class give
-   an upper limit for its k-th score.
-3. Blocks, and then single classes against blocks, are dropped when even their best possible
-   score exceeds that limit. What is left is scored exactly and ranked.
+2. Classes are laid out in blocks of similar rows (``blocks``): equal flags first. A block is a row
+   of arrays. Each meets the blocks with the least bounds first, which limits its k-th scores.
+3. Blocks whose bound exceeds the limits are dropped, the rest is met in the order of the bounds and
+   in rounds, with smaller limits each time. Inside a task, leaves of a few classes of one
+   flag mask and then single pairs are passed over in the same way (``packs``).
 4. Class lists go back to their members; members without coordinates have no score and list
    the smallest ids of their pool.
 """
@@ -14,21 +15,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import Accumulator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import bits_hamming
-from ..functions.geo import AXES, EARTH_KM, SLACK, axis_gap, box_km_bounds, chord_sql, distance_km, position
-from ..registry import BASE_MEASURES, LISTING_MEASURES, MEASURES, NEIGHBOURS
+from ..functions.geo import AXES, axis_gap, box_km_bounds, distance_km, position
+from ..registry import BASE_MEASURES, FLAGS, MEASURES, NEIGHBOURS
 from ..session import staged
 from .attach import attach
-from .blocks import FAN_BITS, LEAF_BITS, TOP_NODES, balanced, interleaved, node, parallel, place, prefixed, pruned_pairs, summarise, tier_shifts
+from .blocks import FAN_BITS, TOP_NODES, interleaved, node, place, pruned_pairs, summarise, tier_shifts
+from .packs import MARGIN, Shape, as_blocks, in_leaves, scored, streamed
 from .ranges import distance_ranges, flag_ranges, hood_key
 from .scaling import fit_range, min_max, unit
 
 METRICS = ("euclidean", "manhattan")
 SCORE_DIGITS = 9  # scores closer than this are ties, broken by id
-MARGIN = 1e-8
+LEAF_BITS = 8  # classes of a block: arrays of 256
+FIRST = 4  # blocks that a search block meets first
+GROWTH = 8  # so many times more in each round
 INF = float("inf")  # inner mark for "no score": sorts behind every score
 _N = len(MEASURES)
 _NB = len(BASE_MEASURES)
@@ -91,13 +96,16 @@ def _classes(rows: DataFrame, edges: DataFrame, distance: str, k: int) -> DataFr
     ranged = ranged.select(
         "profile", "rep", "heads", "wanted", *_ROW,
         "ham_lo", (F.col("ham_hi") - F.col("ham_lo")).alias("ham_span"), "km_lo", (F.col("km_hi") - F.col("km_lo")).alias("km_span"),
-    ).withColumns({x: F.expr(e) for x, e in position("lat", "lon").items()})
-    # Coordinates vary little on the globe; the sort key scales them by the table's extent.
-    extent = classes.agg(F.struct(*[F.struct(F.min(x).alias("lo"), F.max(x).alias("hi")).alias(x) for x in ("lat", "lon")]).alias("e"))
-    ranged = ranged.withColumn("_e", extent.scalar())
-    here = [f"coalesce(try_divide({x} - _e.{x}.lo, _e.{x}.hi - _e.{x}.lo), 0D)" for x in ("lat", "lon")]
-    keyed, keys = interleaved(ranged, [*here, *[f"f{i}" for i in range(_N)]], digits=18)
-    return place(keyed.drop("_e"), ["listing", *keys], ["rep"], "placed")
+    ).withColumns({x: F.expr(e) for x, e in position("lat", "lon", distance).items()})
+    # Blocks share flags first, those that vary most, then places and measures, each in its own spread.
+    spread = [*[f"f{i}" for i in range(_N)], "lat", "lon"]
+    shares = [F.avg(F.shiftright("flag_bits", i).bitwiseAND(1).cast("double")).alias(f"_b{i}") for i in range(len(FLAGS))]
+    about = classes.agg(*shares, *[f(x).alias(f"{n}_{x}") for x in spread for n, f in (("mean", F.avg), ("sd", F.stddev_pop))]).first()
+    ranked = sorted(range(len(FLAGS)), key=lambda i: abs((about[f"_b{i}"] or 0) - 0.5))
+    mask = " | ".join(f"shiftleft(shiftright(flag_bits, {b}) & 1L, {len(ranked) - 1 - at})" for at, b in enumerate(ranked))
+    units = [f"({x} - {about[f'mean_{x}'] or 0!r}D) / {4 * (about[f'sd_{x}'] or 1)!r}D + 0.5D" for x in spread]
+    keyed, keys = interleaved(ranged, units, digits=18)
+    return place(keyed.withColumn("_kmask", F.expr(mask)), ["listing", "_kmask", *keys], ["rep"], "placed")
 
 
 _BOXED = [*[f"f{i}" for i in range(_N)], *AXES]
@@ -106,7 +114,7 @@ _NODE = {
     "and_bits": ("flag_bits", "bit_and"), "or_bits": ("flag_bits", "bit_or"), "hood_lo": ("hood", "min"), "hood_hi": ("hood", "max"),
 }
 # Search side of a block: the loosest of its classes' ranges.
-_LOOSEST = {"listing": ("listing", "min"), "ham_lo": ("ham_lo", "max"), "ham_span": ("ham_span", "max"), "km_lo": ("km_lo", "max"), "km_span": ("km_span", "max")}
+_LOOSEST = {"listing": ("listing", "min"), "ham_lo": ("ham_lo", "max"), "ham_rate": ("ham_rate", "min"), "km_lo": ("km_lo", "max"), "km_rate": ("km_rate", "min")}
 
 
 def _known(df: DataFrame, prefix: str, columns: Sequence[str]) -> DataFrame:
@@ -124,120 +132,99 @@ def _with_rates(df: DataFrame) -> DataFrame:
     return df.withColumns({f"{p}_rate": F.expr(f"if({p}_span > 0, 1D / {p}_span, 0D)") for p in ("ham", "km")})
 
 
-def _rough(gaps: Sequence[str], ham: str, km: str, metrics: Sequence[str], limit: bool = True) -> str | dict[str, str]:
-    """Scores from parts as (prefixed) columns; with ``limit`` the test against the limits."""
-    near = f"greatest(0D, {ham} - a_ham_lo) * a_ham_rate"
-    far = f"greatest(0D, {km} - a_km_lo) * a_km_rate"
+def _least_scores(gaps: Sequence[str], ham: str, km: str, metrics: Sequence[str]) -> dict[str, str]:
+    """Scores by metric from the least parts of a pair of blocks."""
+    parts = {"ham": f"greatest(0D, {ham} - a_ham_lo) * a_ham_rate", "km": f"greatest(0D, {km} - a_km_lo) * a_km_rate"}
     totals = {}
     for m in metrics:
-        terms = [f"({t}) * ({t})" if m == "euclidean" else f"abs({t})" for t in (*gaps, near)]
-        listed = " + ".join(terms[_NB:_N])
-        cheap = f"{' + '.join(terms[:_NB])} + {terms[_N]} + a_listing * ({listed})"
-        totals[m] = (cheap, f"power({far}, 2)" if m == "euclidean" else far)
-    if not limit:
-        return {m: f"sqrt({a} + {b})" if m == "euclidean" else f"{a} + {b}" for m, (a, b) in totals.items()}
-    # The cheap parts decide most cases alone.
-    return " OR ".join(f"({a} <= a_top_{m} AND {a} + {b} <= a_top_{m})" for m, (a, b) in totals.items())
+        terms = [f"({t}) * ({t})" if m == "euclidean" else f"abs({t})" for t in (*gaps, *parts.values())]
+        whole = f"{' + '.join([*terms[:_NB], *terms[_N:]])} + a_listing * ({' + '.join(terms[_NB:_N])})"
+        totals[m] = f"sqrt({whole})" if m == "euclidean" else whole
+    return totals
 
 
-def _tops(metrics: Sequence[str]) -> dict[str, str]:
-    """Limits in the form the test compares with: squared for Euclidean."""
-    return {m: f"power(limit_{m} + {MARGIN!r}D, 2)" if m == "euclidean" else f"limit_{m} + {MARGIN!r}D" for m in metrics}
-
-
-def _within(distance: str, metrics: Sequence[str]) -> str:
-    """Whether the best score any pair of the blocks ``a_`` and ``c_`` can have is within the limit."""
+def _bounds(distance: str, metrics: Sequence[str]) -> dict[str, str]:
+    """Per metric the best score any pair of the blocks ``a_`` and ``c_`` can have."""
     differ = "bit_count((a_and_bits & ~c_or_bits) | (c_and_bits & ~a_or_bits))"
     ham = f"{differ} + if(coalesce(a_hood_lo <= c_hood_hi AND c_hood_lo <= a_hood_hi, false), 0, 1)"
     km, _ = box_km_bounds("a_", "c_", distance)
-    return _rough([axis_gap("a_", "c_", f"f{i}") for i in range(_N)], ham, km, metrics)
-
-
-_HAM = "(bit_count(a_flag_bits ^ c_flag_bits) + if(coalesce(a_hood = c_hood, false), 0, 1))"
-_GAPS = [f"a_f{i} - c_f{i}" for i in range(_N)]
-_CHORD = chord_sql([f"a_{x} - c_{x}" for x in AXES])
-_SEARCH_COLUMNS = ["pos", *[f"f{i}" for i in range(_N)], *AXES, "lat", "lon", "flag_bits", "hood", "listing", "ham_lo", "ham_rate", "km_lo", "km_rate"]
-_OFFER_COLUMNS = ["pos", "heads", *[f"f{i}" for i in range(_N)], *AXES, "lat", "lon", "flag_bits", "hood"]
-_NOT_ITSELF = "a_pos <> c_pos or size(c_heads) > 1"
-
-
-def _limits(placed: DataFrame, leaf: int, distance: str, metrics: Sequence[str], k: int) -> DataFrame:
-    """Upper limit of the (k+1)-th best score of every search class, from the leaves around it."""
-    near = ", ".join(f"shiftright(a_pos, {leaf}) + {d}" for d in (-1, 0, 1))
-    a = _known(_with_rates(placed.where("wanted")), "a_", ["zone", *_SEARCH_COLUMNS]).withColumn("leaf", F.expr(f"explode(array({near}))"))
-    c = _known(placed, "c_", ["zone", *_OFFER_COLUMNS]).withColumn("c_leaf", F.shiftright("c_pos", leaf))
-    pairs = parallel(a, "a_zone", "leaf").join(c, (F.col("a_zone") == F.col("c_zone")) & (F.col("leaf") == F.col("c_leaf"))).where(_NOT_ITSELF)
-    km = f"asin(least(1D, {_CHORD} / {2 * EARTH_KM!r}D)) * {2 * EARTH_KM * (1 + SLACK[distance])!r}D"
-    scores = _rough(_GAPS, _HAM, km, metrics, limit=False)
-    # At most three leaves of scores per class: a bounded list.
-    lists = pairs.selectExpr("a_pos", *[f"{x} AS {m}" for m, x in scores.items()]).groupBy("a_pos").agg(
-        *[F.sort_array(F.collect_list(m)).alias(m) for m in metrics]
-    )
-    return lists.selectExpr("a_pos AS pos", *[f"try_element_at({m}, {k + 1}) AS limit_{m}" for m in metrics])
+    return _least_scores([axis_gap("a_", "c_", f"f{i}") for i in range(_N)], ham, km, metrics)
+
 
+_SEARCH_COLUMNS = ("pos", *[f"f{i}" for i in range(_N)], *AXES, "lat", "lon", "flag_bits", "hood", "listing", "ham_lo", "ham_rate", "km_lo", "km_rate")
+_OFFER_COLUMNS = ("pos", *[f"f{i}" for i in range(_N)], *AXES, "lat", "lon", "flag_bits", "hood", "heads")
+_PAIR = ["a_zone", "a_node", "c_zone", "c_node"]
+
+
+def _class_lists(
+    placed: DataFrame, edges: DataFrame, distance: str, metrics: Sequence[str], k: int, leaf_bits: int, fan_bits: int, top_nodes: int, width: int = FIRST,
+    tally: Accumulator | None = None,
+) -> DataFrame:
+    """(profile, metric, found): the k+1 best (score, id) of every search class, own ids included.
 
-def _class_lists(placed: DataFrame, edges: DataFrame, distance: str, metrics: Sequence[str], k: int, leaf_bits: int, fan_bits: int, top_nodes: int) -> DataFrame:
-    """(profile, metric, found): the k+1 best (score, id) of every search class, own ids included."""
+    Best first, in rounds. The first round takes the ``width`` blocks with the least bounds of a search
+    block, found tier by tier. Its scores limit what may still enter a list, so only blocks within
+    the limits are listed then, and taken in the order of their bounds, more every round;
+    before each, the limits have shrunk and drop most of the rest.
+    """
+    shape = Shape(tuple(f"f{i}" for i in range(_N)), _NB, tuple(metrics), k, distance)
     shifts = tier_shifts(placed, leaf_bits, fan_bits, top_nodes)
     leaf = shifts[-1]
-    limits = _limits(placed, leaf, distance, metrics, k)
+    offered = [_known(tier, "", ["zone", "node", *_NODE]) for tier in summarise(placed, shifts, _NODE)]
+    packs = staged(in_leaves(as_blocks(placed.withColumn("node", node(leaf)), _OFFER_COLUMNS), shape.measures), "offered-blocks")
+    rated = _with_rates(placed.where("wanted"))
+    seekers = staged(_known(rated, "", ["zone", *_SEARCH_COLUMNS]).withColumn("node", node(leaf)), "search-rows")
+    bound = _bounds(distance, metrics)
+    nearer = [F.expr(bound[m]).alias(f"bound_{m}") for m in metrics]
+    turn = Window.partitionBy("a_zone", "a_node").orderBy(f"bound_{metrics[0]}", "c_zone", "c_node")
     names = [f"limit_{m}" for m in metrics]
-    search_rows = staged(
-        placed.where("wanted").join(limits, "pos", "left").withColumns({n: F.expr(f"coalesce({n}, double('inf'))") for n in names}), "search-rows"
-    )
-    tops = {f"top_{m}": F.expr(x) for m, x in _tops(metrics).items()}
-    bounds = [*_NODE, "listing", "ham_lo", "ham_rate", "km_lo", "km_rate", *tops]
-    offer = ["zone", "node", *_NODE]
-    offered = [_known(tier, "", offer) for tier in summarise(placed, shifts, _NODE)]
-    search = [
-        _known(_with_rates(tier).withColumns(tops), "", ["zone", "node", *bounds])
-        for tier in summarise(search_rows, shifts, {**_NODE, **_LOOSEST, **{n: (n, "max") for n in names}})
-    ]
-    within = _within(distance, metrics)
-    leaves, copies = balanced(pruned_pairs(search, offered, edges, shifts, lambda p: p.where(within)))
-
-    rated = _with_rates(search_rows).withColumns(tops)
-    # A single class is a block whose bounds coincide.
-    single = rated.selectExpr("*", *[f"{src} AS {name}" for name, (src, _) in _NODE.items()])
-    a = _known(single, "a_", ["zone", "pos", *bounds]).withColumn("a_node", F.shiftright("a_pos", leaf))
-    met = (
-        parallel(a.join(leaves, ["a_zone", "a_node"]), "c_zone", "c_node", "c_salt")
-        .join(copies(prefixed(offered[-1], "c_")), ["c_zone", "c_node", "c_salt"])
-        .where(within)
-        .select("a_pos", "c_zone", "c_node", "c_salt")
-    )
-    # Stored, so that bounds and scores compile into separate stages: together they outgrow the JIT.
-    met = staged(met, "met")
-    a_rows = _known(rated, "a_", [*_SEARCH_COLUMNS, *tops])
-    c_rows = copies(_known(placed.withColumn("node", node(leaf)), "c_", ["zone", "node", *_OFFER_COLUMNS]))
-    hopeful = _rough(_GAPS, _HAM, f"greatest(0D, {_CHORD} * {1 - SLACK[distance]!r}D - 1e-9D)", metrics)
-    pairs = (
-        parallel(met.join(a_rows, "a_pos"), "c_zone", "c_node", "c_salt")
-        .join(c_rows, ["c_zone", "c_node", "c_salt"])
-        .where(_NOT_ITSELF)
-        .where(hopeful)
-        .withColumn("km", distance_km(distance, "a_lat", "a_lon", "c_lat", "c_lon"))
-        .selectExpr("a_pos", "c_heads", "a_listing", *[f"{g} AS g{i}" for i, g in enumerate(_GAPS)],
-                    f"({_HAM} - a_ham_lo) * a_ham_rate AS ham_part", "(km - a_km_lo) * a_km_rate AS km_part")
-    )
-    parts = [*[f"g{i}" for i in range(_NB)], "ham_part", "km_part"]
-    listed = [f"g{i}" for i in range(_NB, _N)]
 
-    def total(m: str) -> str:
-        if m == "euclidean":
-            return f"sqrt({' + '.join(f'{p} * {p}' for p in parts)} + a_listing * ({' + '.join(f'{p} * {p}' for p in listed)}))"
-        return f"{' + '.join(f'abs({p})' for p in parts)} + a_listing * ({' + '.join(f'abs({p})' for p in listed)})"
-
-    by_metric = ", ".join(f"'{m}', coalesce({total(m)}, double('inf'))" for m in metrics)
-    scored = pairs.selectExpr("a_pos", "c_heads", f"stack({len(metrics)}, {by_metric}) AS (metric, score)").select(
-        "a_pos", "metric", "score", F.explode("c_heads").alias("id")
-    )
-    best = Window.partitionBy("a_pos", "metric").orderBy(F.round("score", SCORE_DIGITS), "id")
-    lists = (
-        scored.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
-        .groupBy("a_pos", "metric").agg(F.sort_array(F.collect_list(F.struct("r", "score", "id"))).alias("found"))
-    )
-    return lists.join(search_rows.select(F.col("pos").alias("a_pos"), "profile"), "a_pos").select("profile", "metric", "found")
+    def tiers(rows: DataFrame) -> list[DataFrame]:
+        kept = [*_NODE, *_LOOSEST, *names]
+        loosest = {**_NODE, **_LOOSEST, **{n: (n, "max") for n in names}}
+        return [_known(tier, "", ["zone", "node", *kept]) for tier in summarise(rows, shifts, loosest)]
+
+    def asked(limits: DataFrame | None) -> DataFrame:
+        known = seekers if limits is None else seekers.join(limits, "pos", "left")
+        return known.withColumns({n: F.lit(INF) if limits is None else F.expr(f"coalesce({n}, double('inf'))") for n in names})
+
+    def best(entries: DataFrame) -> DataFrame:
+        order = Window.partitionBy("a_pos", "metric").orderBy(F.round("score", SCORE_DIGITS), "id")
+        return staged(entries.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1), "entries")
+
+    def limits_of(found: DataFrame) -> DataFrame:
+        last = found.where(F.col("r") == k + 1).groupBy(F.col("a_pos").alias("pos"))
+        return staged(last.agg(*[F.max(F.when(F.col("metric") == m, F.col("score"))).alias(f"limit_{m}") for m in metrics]), "limits")
+
+    def nearest_blocks(pairs: DataFrame) -> DataFrame:
+        order = Window.partitionBy("a_zone", "a_node").orderBy(F.expr(bound[metrics[0]]), "c_zone", "c_node")
+        return pairs.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= width)
+
+    def met(pairs: DataFrame) -> DataFrame:
+        return scored(streamed(pairs, as_blocks(rows, (*_SEARCH_COLUMNS, *names)), packs, ("turn",)), shape, tally)
+
+    rows = asked(None)
+    first = pruned_pairs(tiers(rows), offered, edges, shifts, nearest_blocks, nearer)
+    first = staged(first.withColumn("turn", F.row_number().over(turn)), "first-pairs")
+    found = best(met(first))
+
+    rows = staged(asked(limits_of(found)), "search-rows")
+    within = " OR ".join(f"{bound[m]} <= a_limit_{m} + {MARGIN!r}D" for m in metrics)
+    rest = pruned_pairs(tiers(rows), offered, edges, shifts, lambda p: p.where(within), nearer)
+    rest = staged(rest.join(first, _PAIR, "left_anti").withColumn("turn", F.row_number().over(turn)), "rest-pairs")
+    done, upto = 0, GROWTH * width
+    while not rest.where(F.col("turn") > done).isEmpty():
+        now = rest.where(F.col("turn").between(done + 1, upto))
+        if done:  # with the limits of the round before
+            rows = staged(asked(limits_of(found)), "search-rows")
+            block = rows.groupBy(F.col("zone").alias("a_zone"), F.col("node").alias("a_node")).agg(*[F.max(n).alias(n) for n in names])
+            still = " OR ".join(f"bound_{m} <= limit_{m} + {MARGIN!r}D" for m in metrics)
+            rest = staged(rest.where(F.col("turn") > done).join(block, ["a_zone", "a_node"]).where(still).drop(*names), "rest-pairs")
+            now = rest.where(F.col("turn") <= upto)
+        found = best(found.drop("r").unionByName(met(now)))
+        done, upto = upto, GROWTH * upto
+    lists = found.groupBy("a_pos", "metric").agg(F.sort_array(F.collect_list(F.struct("r", "score", "id"))).alias("found"))
+    return lists.join(placed.select(F.col("pos").alias("a_pos"), "profile"), "a_pos").select("profile", "metric", "found")
 
 
 def _smallest_ids(rows: DataFrame, edges: DataFrame, k: int, name: str) -> DataFrame:
@@ -261,16 +248,19 @@ def nearest(
     leaf_bits: int = LEAF_BITS,
     fan_bits: int = FAN_BITS,
     top_nodes: int = TOP_NODES,
+    width: int = FIRST,
+    tally: Accumulator | None = None,
 ) -> DataFrame:
     """search_prop, sim_prop, sim_score, sim_rank, metric for every wanted row of ``rows``.
 
-    ``rows`` comes from :func:`score_rows`. Rank 1..k by score (missing last), then id.
+    ``rows`` comes from :func:`score_rows`. Rank 1..k by score (missing last), then id. ``tally`` counts the
+    pairs that got an exact distance.
     """
     unknown = sorted(set(metrics) - set(METRICS))
     if unknown:
         raise ValueError(f"unknown metrics {unknown}; use {METRICS}")
     placed = _classes(rows, edges, distance, k)
-    lists = _class_lists(placed, edges, distance, metrics, k, leaf_bits, fan_bits, top_nodes)
+    lists = _class_lists(placed, edges, distance, metrics, k, leaf_bits, fan_bits, top_nodes, width, tally)
     by_class = staged(
         lists.groupBy("profile").agg(F.map_from_entries(F.collect_list(F.struct("metric", "found"))).alias("found")), "class-lists"
     )

@@ -10,22 +10,25 @@ Input rows: ``prop_id, zone, lat, lon, hood, flag_bits, wanted`` (``wanted`` mar
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import AXES, EARTH_KM, SLACK, box_km_bounds, box_radius_km, chord_sql, distance_km, position
+from ..functions.geo import AXES, box_km_bounds, box_km_by_degrees, position
 from ..registry import FLAGS
 from ..session import staged
 from .attach import attach
-from .blocks import FAN_BITS, TOP_NODES, balanced, interleaved, parallel, place, prefixed, pruned_pairs, summarise, tier_shifts
+from .blocks import FAN_BITS, TOP_NODES, interleaved, node, place, pruned_pairs, summarise, tier_shifts
 from .flags import over_hood, over_zone
+from .packs import as_blocks, far_and_near, streamed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-PLACE_LEAF_BITS = 4  # distances are costly to compute, so places sit in leaves of 16
+PLACE_LEAF_BITS = 7  # places of a block: arrays of 128
 
 
 def hood_key(hood: Column) -> Column:
@@ -71,15 +74,34 @@ def flag_ranges(rows: DataFrame, edges: DataFrame, bits: int = len(FLAGS)) -> Da
     members = codes.where("hood IS NOT NULL").select(F.col("zone").alias("c_zone"), "hood", F.col("flag_bits").alias("c_bits"), "n")
     asked = sought.where("hood IS NOT NULL").select("c_zone", "hood", "flag_bits", "own").distinct()
 
-    def hood_ends(inside: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        if not len(inside) or not len(wanted):
-            return pd.DataFrame(columns=["c_zone", "hood", "flag_bits", "own", "low", "high"], dtype=object)
-        found = over_hood(inside, wanted, bits).assign(c_zone=inside["c_zone"].iloc[0], hood=inside["hood"].iloc[0])
-        return found[["c_zone", "hood", "flag_bits", "own", "low", "high"]]
-
-    near = members.groupBy("c_zone", "hood").cogroup(asked.groupBy("c_zone", "hood")).applyInPandas(
-        hood_ends, "c_zone string, hood string, flag_bits bigint, own boolean, low int, high int"
-    )
+    def hood_ends(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        """The members of each neighbourhood come first, then the masks that ask."""
+        held, key = [], None
+
+        def answer() -> Iterable[pa.RecordBatch]:
+            if held:
+                rows = pd.concat(held)
+                inside, asking = rows[rows["n"].notna()], rows[rows["n"].isna()]
+                if len(inside) and len(asking):
+                    found = over_hood(inside, asking, bits).assign(c_zone=key[0], hood=key[1])
+                    yield pa.RecordBatch.from_pandas(found[kinds.names], kinds, False)
+
+        for batch in batches:
+            frame = batch.to_pandas()
+            at = list(zip(frame["c_zone"], frame["hood"]))
+            cuts = [0, *[i for i in range(1, len(at)) if at[i] != at[i - 1]], len(at)]
+            for low, high in zip(cuts, cuts[1:]):
+                if at[low] != key:
+                    yield from answer()
+                    held, key = [], at[low]
+                held.append(frame.iloc[low:high])
+        yield from answer()
+
+    kinds = pa.schema([("c_zone", pa.string()), ("hood", pa.string()), ("flag_bits", pa.int64()), ("own", pa.bool_()), ("low", pa.int32()), ("high", pa.int32())])
+    listed = members.selectExpr("c_zone", "hood", "c_bits", "n", "bigint(NULL) AS flag_bits", "false AS own")
+    asking = asked.selectExpr("c_zone", "hood", "bigint(NULL) AS c_bits", "bigint(NULL) AS n", "flag_bits", "own")
+    dealt = listed.unionByName(asking).repartition("c_zone", "hood").sortWithinPartitions("c_zone", "hood")
+    near = dealt.mapInArrow(hood_ends, "c_zone string, hood string, flag_bits bigint, own boolean, low int, high int")
     same = sought.join(staged(near, "same-hood"), ["c_zone", "hood", "flag_bits", "own"]).select("zone", "flag_bits", "hood", "low", "high")
     found = same.unionByName(others).groupBy("zone", "flag_bits", "hood").agg(F.min("low").alias("ham_lo"), F.max("high").alias("ham_hi"))
     return found.where("ham_lo IS NOT NULL").select("zone", "flag_bits", hood_key(F.col("hood")).alias("hood_key"), "ham_lo", "ham_hi")
@@ -98,7 +120,7 @@ def distance_ranges(
         F.count("*").alias("n"), F.max("wanted").alias("wanted")
     )
     keyed, keys = interleaved(places, ["(lat + 90) / 180", "(lon + 180) / 360"], digits=30)
-    keyed = keyed.withColumns({x: F.expr(e) for x, e in position("lat", "lon").items()})
+    keyed = keyed.withColumns({x: F.expr(e) for x, e in position("lat", "lon", metric).items()})
     placed = place(keyed, keys, ["lat", "lon"], "places")
     shifts = tier_shifts(placed, leaf_bits, fan_bits, top_nodes)
     offered = summarise(placed, shifts, _PLACE_NODE)
@@ -115,40 +137,14 @@ def distance_ranges(
         )
 
     def may_matter(pairs: DataFrame, by: list[str]) -> DataFrame:
-        """By box gaps first, then by the distance of the box centres and the boxes' radii.
-
-        The second bound has no relative error, so the far side keeps a few boxes only, however
-        finely a large zone is divided.
-        """
-        boxed = keep_ends(pairs, *box_km_bounds("a_", "c_", metric), by)
-        mids = {f"_{p}_{x}": F.expr(f"({p}_{x}_lo + {p}_{x}_hi) / 2") for p in "ac" for x in ("lat", "lon")}
-        centred = boxed.withColumnsRenamed({"_low": "_box_low", "_high": "_box_high"}).withColumns(mids)
-        centred = centred.withColumn("_mid", distance_km(metric, "_a_lat", "_a_lon", "_c_lat", "_c_lon"))
-        centred = centred.withColumn("_reach", F.expr(f"({box_radius_km('a_', metric)}) + ({box_radius_km('c_', metric)})"))
-        low, high = "greatest(_box_low, _mid - _reach)", "least(_box_high, _mid + _reach)"
-        extra = [*mids, "_mid", "_reach", "_box_low", "_box_high", "_low", "_high"]
-        return keep_ends(centred, low, high, by).drop(*extra)
-
-    leaves, copies = balanced(pruned_pairs(search, offered, edges, shifts, lambda p: may_matter(p, ["a_zone", "a_node"])))
+        """By straight lines between the boxes in space, and by their latitudes and longitudes."""
+        straight, curved = box_km_bounds("a_", "c_", metric), box_km_by_degrees("a_", "c_", metric)
+        return keep_ends(pairs, f"greatest({straight[0]}, {curved[0]})", f"least({straight[1]}, {curved[1]})", by)
+
     leaf = shifts[-1]
-    ends = [f"{x} AS a_{x}_{end}" for x in ("lat", "lon", *AXES) for end in ("lo", "hi")]
-    seekers = placed.where("wanted").selectExpr("zone AS a_zone", f"shiftright(pos, {leaf}) AS a_node", "pos AS a_pos", "n AS a_n", *ends)
-    boxes = copies(prefixed(offered[-1], "c_"))
-    narrowed = may_matter(
-        parallel(seekers.join(leaves, ["a_zone", "a_node"]), "c_zone", "c_node", "c_salt").join(boxes, ["c_zone", "c_node", "c_salt"]), ["a_pos"]
-    ).select("a_zone", "a_pos", "a_n", "a_lat_lo", "a_lon_lo", *[f"a_{x}_lo" for x in AXES], "c_zone", "c_node", "c_salt", "_near", "_far")
-    point = [f"{x} AS c_{x}" for x in ("pos", "lat", "lon", *AXES)]
-    others = copies(placed.selectExpr("zone AS c_zone", f"shiftright(pos, {leaf}) AS c_node", *point))
-    chord = chord_sql([f"a_{x}_lo - c_{x}" for x in AXES])
-    slack = SLACK[metric]
-    arc = f"asin(least(1D, {chord} / {2 * EARTH_KM!r}D)) * {2 * EARTH_KM * (1 + slack)!r}D + 1e-9D"
-    at_an_end = f"_near IS NULL OR {chord} * {1 - slack!r}D - 1e-9D <= _near OR {arc} >= _far"
-    km = distance_km(metric, "a_lat_lo", "a_lon_lo", "c_lat", "c_lon")
-    return (
-        parallel(narrowed, "c_zone", "c_node", "c_salt").join(others, ["c_zone", "c_node", "c_salt"])
-        .where("a_pos <> c_pos OR a_n > 1").where(at_an_end)
-        .withColumn("km", km)
-        .groupBy("a_zone", "a_lat_lo", "a_lon_lo")
-        .agg(F.min("km").alias("km_lo"), F.max("km").alias("km_hi"))
-        .toDF("zone", "lat", "lon", "km_lo", "km_hi")
-    )
+    pairs = pruned_pairs(search, offered, edges, shifts, lambda p: may_matter(p, ["a_zone", "a_node"]))
+    held = ("pos", "n", "lat", "lon", *AXES)
+    rows = placed.withColumn("node", node(leaf))
+    ends = far_and_near(streamed(staged(pairs, "place-pairs"), as_blocks(rows.where("wanted"), held), as_blocks(rows, held)), metric)
+    found = ends.groupBy(F.col("a_pos").alias("pos")).agg(F.min("km_lo").alias("km_lo"), F.max("km_hi").alias("km_hi"))
+    return placed.select("pos", "zone", "lat", "lon").join(found, "pos").drop("pos")

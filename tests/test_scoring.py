@@ -119,7 +119,7 @@ def test_lists_equal_brute_force(spark, monkeypatch, seed, n, tiny):
     near = {}
     for e in edges.collect():
         near.setdefault(e.zone, set()).add(e.neighbour)
-    size = {"leaf_bits": 2, "fan_bits": 1, "top_nodes": 2} if tiny else {}
+    size = {"leaf_bits": 2, "fan_bits": 1, "top_nodes": 2, "width": 1} if tiny else {}
     got = {}
     for r in nearest(score_rows(as_matrix(spark, props)), edges, k=7, **size).orderBy("search_prop", "metric", "sim_rank").collect():
         got.setdefault((r.search_prop, r.metric), []).append((r.sim_prop, r.sim_score))
@@ -128,3 +128,28 @@ def test_lists_equal_brute_force(spark, monkeypatch, seed, n, tiny):
     for key, entries in want.items():
         assert [e[0] for e in got[key]] == [e[0] for e in entries], key
         assert all(close(g[1], w[1], 2e-9) for g, w in zip(got[key], entries)), key
+
+
+def one_zone(n, seed=4):
+    """Properties of one zone with a dozen flags, many neighbourhoods and no copies."""
+    rng = random.Random(seed)
+    draw = lambda: round(rng.random(), 4)
+    bits = lambda: sum((rng.random() < 0.3 + 0.04 * i) << i for i in range(12))
+    return [
+        {"id": i, "zone": "z", "hood": rng.choice("abcdefghijklmnopqrst"), "bits": bits(), "lat": 30 + 0.2 * draw(), "lon": -97.9 + 0.2 * draw(), "listing": 0,
+         "m": [draw(), draw(), draw(), None, None, None, None]}
+        for i in range(n)
+    ]
+
+
+def test_a_hot_zone_does_not_score_its_pairs(spark):
+    """Ten times the properties: the pairs with an exact distance grow far less than a hundredfold."""
+    counts = []
+    for n in (500, 5000):
+        edges = spark.createDataFrame([("z", "z")], "zone string, neighbour string")
+        tally = spark.sparkContext.accumulator(0)
+        rows = nearest(score_rows(as_matrix(spark, one_zone(n))), edges, ("euclidean",), tally=tally).count()
+        assert rows == 20 * n
+        counts.append(tally.value)
+    assert counts[1] < 25 * counts[0], counts
+    assert counts[1] < 0.03 * 5000 * 5000, counts
