@@ -10,8 +10,10 @@ from __future__ import annotations
 import random
 import re
 import string
-from collections.abc import Callable, Iterator
-from typing import NamedTuple
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain as chain_
+from typing import Any, NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +24,12 @@ from ..session import staged
 from .common import Step, bounded_sample, id_type, in_batches, share, texts_of, unpacked, with_text
 
 SAMPLE = 2000  # documents with and without a base match that the field is trained on, at most each
-WINDOWS = 4000  # windows of documents in training, at most
-PLANTED = 1500
+WINDOWS = 4000  # windows of documents in training, at most; half of them with secrets
+PLANTED = 5000  # invented lines
 LONGEST_TRAINED = 48  # tokens of a training window
 WINDOW_TOKENS = 24  # tokens of a training window of a document
 EPOCHS = 80
+LEAST_GAIN = 2e-3  # of the likelihood per example, in five rounds
 KINDS = ("assign", "access", "hex", "crf")
 REDACTED = "[SECRET]"
 COMMON = (
@@ -46,8 +49,10 @@ ASSIGN_CUES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 LONG_HEX = re.compile(r"[0-9a-f]{%d,}" % HEX_LENGTH)  # finds the same runs as HEX, sooner
 TOKEN = re.compile(r"[A-Za-z0-9]+|[^A-Za-z0-9\s]")
 PIECE = re.compile(r"[A-Za-z0-9]+|\s+|[^A-Za-z0-9\s]")  # tokens, and the blanks between them
-CUE_WORD = re.compile(r"[A-Za-z_-]{2,20}")
-CACHE = 200_000  # tokens and strings whose scores a worker remembers, at most
+KINDS_OF = str.maketrans(string.ascii_uppercase + string.ascii_lowercase + string.digits, "X" * 26 + "x" * 26 + "d" * 10)
+SIGNS = "-./:=@_"
+SIZES, DIGITS, VARIETY = (4, 8, 12, 16, 20, 28, 36, 48, 80), (0.01, 0.1, 0.2, 0.35, 0.6, 1), (0.2, 0.35, 0.5, 0.7)
+CACHE = 200_000  # tokens whose scores a worker remembers, about
 GROUP = 1 << 20  # about as many characters are decoded at once
 BLOCK = 128  # tokens of a block of the chain
 OUTSIDE, BEGIN, INSIDE = range(3)
@@ -80,13 +85,17 @@ def joined(spans: list[Span]) -> str:
 
 # Features ------------------------------------------------------------------------------------
 
-def shape(token: str) -> str:
-    kinds = "".join("d" if c.isdigit() else "X" if c.isupper() else "x" if c.isalpha() else c for c in token)
-    return re.sub(r"(.)\1+", r"\1+", kinds)[:12]
+def kinds(token: str) -> str:
+    """The token with X, x and d for ASCII capitals, small letters and digits."""
+    return token.translate(KINDS_OF)
+
+
+def shape(kind: str) -> str:
+    return re.sub(r"(.)\1+", r"\1+", kind)[:12]
 
 
 def _bucket(value: float, steps: tuple[float, ...]) -> int:
-    return sum(value >= s for s in steps)
+    return bisect_right(steps, value)
 
 
 def file_features(text: str) -> list[str]:
@@ -95,14 +104,18 @@ def file_features(text: str) -> list[str]:
     return [f"file.marks={_bucket(1000 * marks / (len(text) + 1), (1, 5, 20, 60))}", f"file.size={_bucket(len(text), (200, 2000, 20000))}"]
 
 
+def kind_features(kind: str) -> list[str]:
+    letters = kind.count("x") + kind.count("X")
+    out = ["bias", f"shape={shape(kind)}", f"size={_bucket(len(kind), (2, 4, 8, 12, 16, 24, 32, 40))}", f"changes={_bucket(len(shape(kind)), (2, 4, 7, 10))}"]
+    return [*out, f"letters={_bucket(letters / len(kind), (0.01, 0.5, 0.8, 1))}"]
+
+
 def token_features(w: str) -> list[str]:
-    letters = sum(c.isalpha() for c in w)
-    out = ["bias", f"shape={shape(w)}", f"size={_bucket(len(w), (2, 4, 8, 12, 16, 24, 32, 40))}", f"changes={_bucket(len(shape(w)), (2, 4, 7, 10))}"]
-    return [*out, f"hex={all(c in string.hexdigits for c in w)}", f"letters={_bucket(letters / len(w), (0.01, 0.5, 0.8, 1))}", f"word={w[:10].lower()}"]
+    return [*kind_features(kinds(w)), f"hex={not w.strip(string.hexdigits)}", f"word={w[:10].lower()}"]
 
 
 def prev_features(w: str | None) -> list[str]:
-    return [f"prev={'^' if w is None else w[:6].lower()}", f"prev.shape={'^' if w is None else shape(w)}"]
+    return [f"prev={'^' if w is None else w[:6].lower()}", f"prev.shape={'^' if w is None else shape(kinds(w))}"]
 
 
 def prev2_features(w: str | None) -> list[str]:
@@ -110,36 +123,45 @@ def prev2_features(w: str | None) -> list[str]:
 
 
 def next_features(w: str | None) -> list[str]:
-    return [f"next={'$' if w is None else w[:3].lower()}", f"next.shape={'$' if w is None else shape(w)}"]
+    return [f"next={'$' if w is None else w[:3].lower()}", f"next.shape={'$' if w is None else shape(kinds(w))}"]
 
 
-def string_features(piece: str) -> list[str]:
-    letters = [c for c in piece if c.isalnum()]
-    n = max(len(letters), 1)
+def sign_text(code: int) -> str:
+    return "".join(c for i, c in enumerate(SIGNS) if code >> i & 1)
+
+
+def string_features(words: list[str]) -> list[str]:
+    """Of the string that the tokens ``words`` make up."""
+    size, kind = sum(map(len, words)), kinds("".join(words))
+    digits, small, capital = kind.count("d"), kind.count("x"), kind.count("X")
     return [
-        f"string.size={_bucket(len(piece), (4, 8, 12, 16, 20, 28, 36, 48, 80))}",
-        f"string.digits={_bucket(sum(c.isdigit() for c in letters) / n, (0.01, 0.1, 0.2, 0.35, 0.6, 1))}",
-        f"string.mix={any(c.islower() for c in letters)}{any(c.isupper() for c in letters)}",
-        f"string.kinds={_bucket(len(set(letters)) / n, (0.2, 0.35, 0.5, 0.7))}",
-        f"string.signs={''.join(sorted(set(piece) & set('@:/.=_-')))}",
-        f"string.url={'://' in piece or piece.startswith('www.')}", f"string.mail={'@' in piece}",
+        f"string.size={_bucket(size, SIZES)}", f"string.digits={_bucket(digits / max(digits + small + capital, 1), DIGITS)}", f"string.mix={2 * (small > 0) + (capital > 0)}",
+        f"string.kinds={_bucket(sum(len(set(w)) for w in words) / size, VARIETY)}", f"string.signs={''.join(c for c in SIGNS if c in words)}",
     ]
 
 
-def cue(piece: str) -> str:
-    words = CUE_WORD.findall(piece)
-    return words[-1].lower() if words else ""
+def is_cue(word: str) -> bool:
+    return 2 <= len(word) <= 20 and word.isascii() and word.isalpha()
+
+
+def cue(words: list[str] | None) -> str:
+    """The string's last token of letters."""
+    return next((w.lower() for w in reversed(words or []) if is_cue(w)), "")
 
 
-def last_features(piece: str | None) -> list[str]:
+def lead(words: list[str] | None) -> str:
+    """The sign that a string ends with."""
+    return "" if not words or words[-1].isalnum() else words[-1]
+
+
+def last_features(words: list[str] | None) -> list[str]:
     """Of the string before a token's string."""
-    sign = piece[-1] if piece and not piece[-1].isalnum() else ""
-    return [f"last={cue(piece or '')}", f"lead={sign}", *before_features(piece)]
+    return [f"last={cue(words)}", f"lead={lead(words)}", *before_features(words)]
 
 
-def before_features(piece: str | None) -> list[str]:
+def before_features(words: list[str] | None) -> list[str]:
     """Of each of the three strings before a token's string."""
-    return [f"before={cue(piece)}"] if piece else []
+    return [f"before={cue(words)}"] if words else []
 
 
 def place_features(place: int) -> list[str]:
@@ -150,7 +172,7 @@ def place_features(place: int) -> list[str]:
 def features(text: str, start: int, end: int, whole: list[str]) -> tuple[list[tuple[int, int]], list[list[str]]]:
     """Tokens that begin in a part of the text (as spans of the text) and the features of each, in the whole text."""
     tokens, places, at, gap = [], [], 0, ""
-    strings, in_string, pieces = [], 0, text.split()
+    strings, in_string, pieces = [], 0, []
     for piece in PIECE.findall(text):
         if piece[0].isspace():
             gap = piece
@@ -160,6 +182,8 @@ def features(text: str, start: int, end: int, whole: list[str]) -> tuple[list[tu
             strings.append((strings[-1] + 1 if strings else 0) if new else strings[-1])
             places.append(min(in_string, 3) + 4 * (not tokens or "\n" in gap))
             tokens.append((at, at + len(piece)))
+            pieces += [[]] if new else []
+            pieces[-1].append(piece)
             gap = ""
         at += len(piece)
     words = [text[a:b] for a, b in tokens]
@@ -180,21 +204,43 @@ def features(text: str, start: int, end: int, whole: list[str]) -> tuple[list[tu
 # Field ---------------------------------------------------------------------------------------
 
 class Scores(dict):
-    """Numbers of values met, and the label scores of what they add to a token's features."""
+    """Numbers of values, and their label scores; made on first use."""
 
-    def __init__(self, field: Field, kinds: tuple[Callable[[str | None], list[str]], ...]) -> None:
+    def __init__(self, score: Callable[[Any], np.ndarray]) -> None:
         super().__init__()
-        self.field, self.kinds = field, kinds
-        self.rows: list[np.ndarray] = []
-        self[None]  # number 0: there is none
+        self.score, self.rows = score, []
 
-    def __missing__(self, value: str | None) -> int:
-        self.rows.append(np.stack([self.field.scores([f(value)])[0] for f in self.kinds]))
+    def __missing__(self, value: Any) -> int:
+        self.rows.append(self.score(value))
         self[value] = len(self.rows) - 1
         return self[value]
 
-    def tables(self) -> list[np.ndarray]:
-        return [*np.stack(self.rows, 1)]
+    def of(self, values: Iterable[Any]) -> np.ndarray:
+        """Scores of many values."""
+        at = [self[v] for v in values]
+        return np.stack(self.rows)[at]
+
+
+class Met(dict):
+    """Numbers of texts met in a group; ``settle`` gives the new ones their scores, all at once."""
+
+    def __init__(self, make: Callable[[list[str]], list[np.ndarray]], none: list[np.ndarray]) -> None:
+        super().__init__()
+        self.make, self.new = make, []
+        self.tables = [np.asarray(x)[None] for x in none]  # number 0: there is none
+        self.count = 1
+
+    def __missing__(self, value: str) -> int:
+        self.new.append(value)
+        self[value] = self.count
+        self.count += 1
+        return self[value]
+
+    def settle(self) -> list[np.ndarray]:
+        if self.new:
+            self.tables = [np.concatenate(x) for x in zip(self.tables, self.make(self.new))]
+            self.new = []
+        return self.tables
 
 
 class Field:
@@ -203,7 +249,12 @@ class Field:
     def __init__(self, names: list[str], weights: np.ndarray, moves: np.ndarray) -> None:
         self.number = {f: i for i, f in enumerate(names)}
         self.weights, self.moves = weights, moves
-        self.caches: tuple[Scores, Scores] | None = None
+        self.padded = np.concatenate([weights, np.zeros((1, 3))])
+        self.cache: Met | None = None
+        self.by_kind = [Scores(lambda v, f=f: self.scores([f(v)])[0]) for f in (kind_features, lambda k: [f"prev.shape={shape(k)}"], lambda k: [f"next.shape={shape(k)}"])]
+        steps = (("size", len(SIZES) + 1), ("digits", len(DIGITS) + 1), ("mix", 4), ("kinds", len(VARIETY) + 1))
+        self.by_look = [self.scores([[f"string.{name}={i}"] for i in range(n)]) for name, n in steps]
+        self.by_signs = self.scores([[f"string.signs={sign_text(i)}"] for i in range(1 << len(SIGNS))])
 
     def scores(self, rows: list[list[str]]) -> np.ndarray:
         number, out = self.number, np.zeros((len(rows), 3))
@@ -226,61 +277,89 @@ class Field:
             labels.append(int(choice[labels[-1]]))
         return labels[::-1]
 
-    def _known(self) -> tuple[Scores, Scores]:
-        """What is remembered of tokens and of strings; emptied when it is full, between texts."""
-        if self.caches is None or max(map(len, self.caches)) > CACHE:
-            own = Scores(self, (lambda w: [] if w is None else token_features(w), prev_features, prev2_features, next_features))
-            self.caches = own, Scores(self, (lambda s: [] if s is None else string_features(s), last_features, before_features))
-        return self.caches
+    def _named(self, template: str, values: Iterable[str]) -> np.ndarray:
+        """Weights of one feature per value; none for unknown ones."""
+        number, none = self.number.get, len(self.weights)
+        return self.padded[[number(template + v, none) for v in values]]
+
+    def _of_tokens(self, new: list[str]) -> list[np.ndarray]:
+        """Scores as the token itself, before, two before and behind another, as the last and an earlier string's cue, as its end, and counts."""
+        kind, low = [kinds(w) for w in new], [w[:10].lower() for w in new]
+        own, prev, following = (table.of(kind) for table in self.by_kind)
+        hexed = self._named("hex=", [str(not w.strip(string.hexdigits)) for w in new])
+        own = own + hexed + self._named("word=", low)
+        prev = prev + self._named("prev=", [w[:6] for w in low])
+        behind = following + self._named("next=", [w[:3] for w in low])
+        cues = [w.lower() if is_cue(w) else "" for w in new]
+        before = self._named("before=", cues)
+        leads = self._named("lead=", ["" if w.isalnum() else w for w in new])
+        numbers = np.array([
+            (w.isspace(), "\n" in w, len(w), k.count("d"), k.count("x"), k.count("X"), len(set(w)), 1 << SIGNS.index(w) if w in SIGNS else 0, c != "")
+            for w, k, c in zip(new, kind, cues)
+        ])
+        return [own, prev, self._named("prev2=", [w[:8] for w in low]), behind, self._named("last=", cues) + before, before, leads, numbers]
+
+    def _known(self) -> Met:
+        """What is remembered of tokens; emptied when it is full, between groups."""
+        if self.cache is None or len(self.cache) > CACHE:
+            none = [self.scores([f])[0] for f in ([], prev_features(None), [], next_features(None), ["last=", "before="], ["before="], ["lead="])]
+            self.cache = Met(self._of_tokens, [*none, np.zeros(9, np.int64)])
+        return self.cache
+
+    def _of_strings(self, ident: np.ndarray, first: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores of strings (whose first tokens are at ``first``), their last token of letters (0: none) and last token."""
+        size, digits, small, capital, variety = (np.add.reduceat(numbers[ident, c], first) for c in range(2, 7))
+        signs = np.bitwise_or.reduceat(numbers[ident, 7], first)
+        row = np.maximum.reduceat(np.where(numbers[ident, 8] > 0, np.arange(len(ident)), -1), first)
+        cues = np.where(row >= first, ident[row], 0)
+        place = (
+            np.searchsorted(SIZES, size, "right"), np.searchsorted(DIGITS, digits / np.maximum(digits + small + capital, 1), "right"),
+            2 * (small > 0) + (capital > 0), np.searchsorted(VARIETY, variety / size, "right"),
+        )
+        return sum(table[at] for table, at in zip(self.by_look, place)) + self.by_signs[signs], cues, ident[np.append(first[1:], len(ident)) - 1]
 
     def emissions(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Label scores of all tokens of the texts one after the other, their starts and ends, and how many each text has."""
-        tokens, strings = self._known()
-        ids, lengths, blank, lines, parts, n_pieces, n_strings = [], [], [], [], [], [], []
-        for text in texts:
-            pieces, words = PIECE.findall(text), text.split()
-            size = np.fromiter(map(len, pieces), np.int64, len(pieces))
-            gaps = np.fromiter(map(str.isspace, pieces), bool, len(pieces))
-            line = np.zeros(len(pieces), bool)
-            line[[i for i in np.flatnonzero(gaps).tolist() if "\n" in pieces[i]]] = True
-            ids.append(np.fromiter((tokens[p] for p in pieces if not p.isspace()), np.int64))
-            parts.append(np.fromiter(map(strings.__getitem__, words), np.int64, len(words)))
-            lengths.append(size)
-            blank.append(gaps)
-            lines.append(line)
-            n_pieces.append(len(pieces))
-            n_strings.append(len(words))
-        gaps, line, size = np.concatenate(blank), np.concatenate(lines), np.concatenate(lengths)
+        tokens = self._known()
+        every = [np.fromiter(map(tokens.__getitem__, pieces), np.int64, len(pieces)) for pieces in map(PIECE.findall, texts)]
+        own, prev, prev2, following, as_last, as_before, as_lead, place = tokens.settle()
+        n_pieces = np.array([len(x) for x in every], np.int64)
+        piece = np.concatenate(every)
+        gaps, line, size = place[piece, 0].astype(bool), place[piece, 1].astype(bool), place[piece, 2]
         begin = np.zeros(len(gaps), bool)  # pieces that begin a text
         heads = np.cumsum(n_pieces) - n_pieces
-        begin[heads[np.array(n_pieces) > 0]] = True
+        begin[heads[n_pieces > 0]] = True
         end = np.cumsum(size)
         end -= np.repeat(end[heads - 1] * (heads > 0), n_pieces) if len(end) else 0
         after = np.append(False, gaps[:-1]) & ~begin if len(gaps) else gaps
         after_line = np.append(False, line[:-1]) & ~begin if len(gaps) else gaps
         there = np.flatnonzero(~gaps)
-        counts = np.array([len(i) for i in ids], np.int64)
+        ident = piece[there]
+        text_of = np.repeat(np.arange(len(texts)), n_pieces)[there]
+        counts = np.bincount(text_of, minlength=len(texts))
         first = np.zeros(len(there), bool)
         text_first = np.cumsum(counts) - counts
         first[text_first[counts > 0]] = True
         new = after[there] | first
-        ident, part = np.concatenate(ids), np.concatenate(parts)
-        text_of = np.repeat(np.arange(len(texts)), counts)
         row = np.arange(len(there))
         string_of = np.cumsum(new) - 1
-        place = np.minimum(row - row[new][string_of], 3) + 4 * (first | after_line[there]) if len(row) else row
-        own, prev, prev2, following = tokens.tables()
-        string_, last, before = strings.tables()
+        spot = np.minimum(row - row[new][string_of], 3) + 4 * (first | after_line[there]) if len(row) else row
         nth = row - text_first[text_of] if len(row) else row
-        emit = own[ident] + string_[part[string_of]]
+        if not len(row):
+            return np.zeros((0, 3)), row, row, counts
+        heads = np.flatnonzero(new)  # first tokens of strings
+        of_string, cues, ends = self._of_strings(ident, heads, place)
+        since = np.arange(len(heads)) - string_of[text_first[text_of[heads]]]  # strings before it in its text
+        at = np.arange(len(heads))
+        none = [self.scores([last_features(None)])[0], np.zeros(3)]
+        of_string = of_string + np.where(since[:, None] > 0, as_last[cues[at - 1]] + as_lead[ends[at - 1]], none[0])
+        for back in (2, 3):
+            of_string += np.where(since[:, None] >= back, as_before[cues[np.maximum(at - back, 0)]], none[1])
+        emit = own[ident] + of_string[string_of]
         emit += prev[np.where(nth > 0, ident[np.maximum(row - 1, 0)], 0)]
         emit += prev2[np.where(nth > 1, ident[np.maximum(row - 2, 0)], 0)]
-        emit += following[np.where(np.append(first[1:], True), 0, np.roll(ident, -1))] if len(row) else 0
-        nth = string_of - (np.cumsum(n_strings) - n_strings)[text_of] if len(row) else row
-        emit += last[np.where(nth > 0, part[np.maximum(string_of - 1, 0)], 0)]
-        for back in (2, 3):
-            emit += before[np.where(nth >= back, part[np.maximum(string_of - back, 0)], 0)]
-        emit += self.scores([place_features(k) for k in range(8)])[place]
+        emit += following[np.where(np.append(first[1:], True), 0, np.roll(ident, -1))]
+        emit += self.scores([place_features(k) for k in range(8)])[spot]
         emit += self.scores([file_features(t) for t in texts])[text_of]
         return emit, end[there] - size[there], end[there], counts
 
@@ -356,59 +435,75 @@ def chain(emit: np.ndarray, counts: np.ndarray, moves: np.ndarray, size: int = B
     return out.T.ravel()[:n]
 
 
-def train(examples: list[tuple[list[list[str]], list[int]]], epochs: int = EPOCHS) -> Field:
-    """Maximum likelihood with a small quadratic penalty; forward-backward over all strings at once."""
-    counts: dict[str, int] = {}
-    for rows, _ in examples:
-        for f in {f for row in rows for f in row}:
-            counts[f] = counts.get(f, 0) + 1
-    names = sorted(f for f, n in counts.items() if n >= 2)
-    number = {f: i + 1 for i, f in enumerate(names)}
+def _lse(x: np.ndarray, axis: int) -> np.ndarray:
+    top = x.max(axis, keepdims=True)
+    return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis))
+
+
+def train(examples: Iterable[tuple[list[list[str]], list[int]]], epochs: int = EPOCHS) -> Field:
+    """Maximum likelihood with a small quadratic penalty; forward-backward over all examples at once.
+
+    Only feature numbers are kept, one after the other, and the examples are ordered by length, so
+    nothing is padded. It ends when the likelihood gains less than ``LEAST_GAIN``.
+    """
+    number: dict[str, int] = {}
+    kept_: list[tuple[np.ndarray, np.ndarray, list[int]]] = []
+    for rows, labels in examples:
+        ids = np.fromiter((number.setdefault(f, len(number)) for row in rows for f in row), np.int32)
+        kept_.append((ids, np.array([len(row) for row in rows], np.int32), labels))
     allowed = np.zeros((3, 3))
     allowed[OUTSIDE, INSIDE] = FORBIDDEN
-    if not examples:
-        return Field(names, np.zeros((len(names), 3)), allowed)
-    size = np.array([len(y) for _, y in examples])
-    n, longest = len(examples), int(size.max())
-    width = max(len(row) for rows, _ in examples for row in rows)
-    at = np.zeros((n, longest, width), np.int64)
-    gold = np.zeros((n, longest, 3))
-    for i, (rows, labels) in enumerate(examples):
-        for t, (row, label) in enumerate(zip(rows, labels)):
-            known = [number[f] for f in row if f in number]
-            at[i, t, : len(known)] = known
-            gold[i, t, label] = 1
-    there = (np.arange(longest) < size[:, None]).astype(float)
-    pairs = np.einsum("ntj,ntk->jk", gold[:, :-1], gold[:, 1:])
+    kept_.sort(key=lambda e: -len(e[2]))
+    if not kept_ or not kept_[0][2]:
+        return Field([], np.zeros((0, 3)), allowed)
+    seen = np.zeros(len(number), np.int64)
+    for ids, _, _ in kept_:
+        seen[np.unique(ids)] += 1
+    names = sorted(f for f, i in number.items() if seen[i] >= 2)
+    renumber = np.full(len(number), len(names), np.int32)  # all rare features are one without weight
+    renumber[[number[f] for f in names]] = np.arange(len(names), dtype=np.int32)
+    flat, width = renumber[np.concatenate([e[0] for e in kept_])], np.concatenate([e[1] for e in kept_])
+    gold = np.eye(3)[np.concatenate([e[2] for e in kept_])]
+    size = np.array([len(e[2]) for e in kept_])
+    n, longest, start_of = len(size), int(size[0]), np.cumsum(size) - size
+    alive = [int(np.searchsorted(-size, -t)) for t in range(longest)]  # examples with a token t
+    cuts = np.cumsum(width) - width
+    inner = np.ones(len(gold), bool)
+    inner[start_of] = False
+    behind = np.flatnonzero(inner)  # tokens with one before them
+    pairs = gold[behind - 1].T @ gold[behind]
     weights, moves = np.zeros((len(names) + 1, 3)), np.zeros((3, 3))
     state = [np.zeros_like(x) for x in (weights, weights, moves, moves)]
-    start = np.array([0.0, 0.0, FORBIDDEN])
-
-    def lse(x: np.ndarray, axis: int) -> np.ndarray:
-        top = x.max(axis, keepdims=True)
-        return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis))
-
+    start, before = np.array([0.0, 0.0, FORBIDDEN]), -np.inf
     for epoch in range(1, epochs + 1):
-        emit = weights[at].sum(2)
+        emit = np.stack([np.add.reduceat(weights[:, y].astype(np.float32)[flat], cuts) for y in range(3)], 1).astype(float)
         step = moves + allowed
-        alpha, beta = np.zeros_like(emit), np.zeros_like(emit)
-        alpha[:, 0] = emit[:, 0] + start
+        alpha, beta = np.empty_like(emit), np.zeros_like(emit)
+        alpha[start_of] = emit[start_of] + start
         for t in range(1, longest):
-            alpha[:, t] = np.where(there[:, t, None] > 0, lse(alpha[:, t - 1, :, None] + step, 1) + emit[:, t], alpha[:, t - 1])
+            at = start_of[: alive[t]] + t
+            alpha[at] = _lse(alpha[at - 1][:, :, None] + step, 1) + emit[at]
         for t in range(longest - 2, -1, -1):
-            beta[:, t] = np.where(there[:, t + 1, None] > 0, lse(step + (emit[:, t + 1] + beta[:, t + 1])[:, None, :], 2), 0)
-        total = lse(alpha[:, -1], 1)
-        chance = np.exp(np.minimum(alpha + beta - total[:, None, None], 0)) * there[..., None]
-        joint = np.exp(np.minimum(alpha[:, :-1, :, None] + step + (emit[:, 1:] + beta[:, 1:])[:, :, None, :] - total[:, None, None, None], 0))
-        moved = (joint * there[:, 1:, None, None]).sum((0, 1))
-        error = (gold * there[..., None] - chance)
-        slope = np.stack([np.bincount(at.ravel(), np.repeat(error[..., y].ravel(), width), len(names) + 1) for y in range(3)], 1)
-        slope[0] = 0
-        for x, g, m, v in ((weights, slope / n - 1e-3 * weights, *state[:2]), (moves, (pairs - moved) / n - 1e-3 * moves, *state[2:])):
+            at = start_of[: alive[t + 1]] + t
+            beta[at] = _lse(step + (emit[at + 1] + beta[at + 1])[:, None, :], 2)
+        whole = _lse(alpha[start_of + size - 1], 1)
+        total = np.repeat(whole, size)
+        chance = np.exp(np.minimum(alpha + beta - total[:, None], 0))
+        joint = np.exp(np.minimum(alpha[behind - 1][:, :, None] + step + (emit[behind] + beta[behind])[:, None, :] - total[behind, None, None], 0))
+        error = gold - chance
+        slope = np.stack([np.bincount(flat, np.repeat(error[:, y], width), len(names) + 1) for y in range(3)], 1)
+        slope[-1] = 0
+        for x, g, m, v in ((weights, slope / n - 1e-3 * weights, *state[:2]), (moves, (pairs - joint.sum(0)) / n - 1e-3 * moves, *state[2:])):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             x += 0.3 * (m / (1 - 0.9**epoch)) / (np.sqrt(v / (1 - 0.99**epoch)) + 1e-8)
-    return Field(names, weights[1:], moves + allowed)
+        if epoch % 5 == 0:
+            path = (gold * emit).sum() + (pairs * np.where(pairs > 0, step, 0)).sum()
+            likely = (path - whole.sum()) / n
+            if likely - before < LEAST_GAIN:
+                break
+            before = likely
+    return Field(names, weights[:-1], moves + allowed)
 
 
 # Training strings ----------------------------------------------------------------------------
@@ -422,13 +517,11 @@ def _labels(tokens: list[tuple[int, int]], secrets: list[tuple[int, int]]) -> li
     return out
 
 
-def windows_of(text: str, per_text: int = 20) -> Iterator[tuple[str, int, int, list[tuple[int, int]]]]:
+def windows_of(text: str) -> Iterator[tuple[str, int, int, list[tuple[int, int]]]]:
     """Parts of a text with their surroundings, and the secrets that the base patterns show there."""
     secrets = [m.span(2) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LENGTH] + [(s.start, s.end) for s in base_spans(text) if s.kind]
     places = [m.span() for m in TOKEN.finditer(text)]
-    for k, at in enumerate(range(0, len(places), WINDOW_TOKENS)):
-        if k >= per_text:
-            return
+    for at in range(0, len(places), WINDOW_TOKENS):
         a, b = places[at][0], places[min(at + WINDOW_TOKENS, len(places)) - 1][1]
         left, right = max(0, a - 60), b + 20
         cut = sorted({(max(s, a) - left, min(e, b) - left) for s, e in secrets if s < b and a < e})
@@ -436,61 +529,134 @@ def windows_of(text: str, per_text: int = 20) -> Iterator[tuple[str, int, int, l
         yield text[left:right], a - left, b - left, apart
 
 
+CUES = (
+    "password", "Password", "pass", "pwd", "secret", "token", "key", "api key", "api_key", "apikey", "access key", "access_token", "credential", "credentials", "auth",
+    "Authorization: Bearer", "bearer", "private key", "client_secret", "PIN", "license key", "X-Auth-Key", "SECRET_KEY", "DB_PASS", "passcode", "login", "clave", "senha",
+    "Passwort", "mot de passe", "wlan key", "signing key", "session key",
+)
+LINKS = (": ", "=", " = ", ": \"", "='", "=\"", " is ", " is: ", " -> ", " := ", " ", " was ", " : ", ", ", " lautet ", " est ", " (", "\t")
+LEETS = str.maketrans("aeiost", "431057")
+
+
+class Inventor:
+    """Draws invented strings."""
+
+    def __init__(self, seed: int) -> None:
+        self.draw = random.Random(seed)
+
+    def some(self, alphabet: str, low: int, high: int | None = None) -> str:
+        return "".join(self.draw.choices(alphabet, k=self.draw.randint(low, high or low)))
+
+    def word(self) -> str:
+        return self.draw.choice(COMMON) if self.draw.random() < 0.5 else self.some(string.ascii_lowercase, 3, 9)
+
+    def words(self, low: int, high: int) -> list[str]:
+        return [self.word() for _ in range(self.draw.randint(low, high))]
+
+    def key(self) -> str:
+        """A random key that shows by itself: many kinds of characters in any order."""
+        draw, letters, digits = self.draw, string.ascii_letters, string.digits
+        mixed = letters + digits
+        which = draw.randrange(9)
+        if which == 0:  # short name, separator, body
+            return self.some(string.ascii_letters if draw.random() < 0.3 else string.ascii_lowercase, 2, 6) + draw.choice("-_.") + self.some(mixed, 12, 44)
+        if which == 1:  # two short names
+            return self.some(string.ascii_lowercase, 2, 4) + "_" + self.some(string.ascii_lowercase, 3, 6) + "_" + self.some(mixed, 16, 40)
+        if which == 2:
+            return self.some(mixed + "+/", 24, 72) + draw.choice(("", "=", "=="))
+        if which == 3:
+            return ".".join(self.some(mixed + "-_", 12, 40) for _ in range(draw.randint(2, 3)))
+        if which == 4:
+            return self.some("0123456789abcdef", 33, 64)
+        if which == 5:
+            return self.some(string.ascii_uppercase, 3, 5) + self.some(string.ascii_uppercase + digits, 12, 30)
+        if which == 6:
+            return "-".join(self.some(mixed, 4, 10) for _ in range(draw.randint(3, 5)))
+        if which == 7:
+            return self.some(string.ascii_letters, 4) + self.some(mixed + "_-", 20, 40)
+        return self.some(mixed, 18, 64)
+
+    def login(self) -> str:
+        """A password that shows only behind a cue."""
+        draw = self.draw
+        parts = "".join(w.capitalize() if draw.random() < 0.6 else w for w in self.words(1, 3))
+        which = draw.randrange(8)
+        if which == 0:
+            out = parts + self.some(string.digits, 1, 5) + self.some("!?#$%&*", 0, 2)
+        elif which == 1:
+            out = parts.translate(LEETS) + self.some("!?#$%&*", 0, 2)
+        elif which == 2:
+            out = self.some(string.ascii_letters + string.digits + "!%*?&#", 9, 20)
+        elif which == 3:
+            out = self.some(string.digits, 10, 20)
+        elif which == 4:
+            out = self.some(string.ascii_letters, 12, 30)
+        elif which == 5:
+            out = (self.some(string.ascii_lowercase, 3, 7) + self.some(string.digits, 1, 2)) * 2
+        elif which == 6:
+            out = "".join(w.capitalize() for w in self.words(2, 4))
+        else:
+            out = self.some(string.ascii_lowercase + string.digits, 9, 24) + self.some(string.digits, 1)
+        return out if len(out) >= LEAST else out + self.some(string.digits, LEAST)
+
+    def harmless(self) -> str:
+        """What looks a little like a key and is none."""
+        draw, digits = self.draw, string.digits
+        return draw.choice((
+            lambda: f"{self.word()}{self.some(digits, 2, 5)}@example.{draw.choice(('com', 'org'))}",
+            lambda: f"https://{self.word()}.example.com/{self.some(string.ascii_lowercase, 4, 12)}/{self.some(digits, 1, 6)}{draw.choice(('', '?page=2&ref=x', '.html'))}",
+            lambda: f"{self.word()} on 20{self.some(digits, 2)}-0{draw.randint(1, 9)}-1{self.some(digits, 1)}T1{self.some(digits, 1)}:{self.some('012345', 1)}0:00Z",
+            lambda: f"v{self.some(digits, 1)}.{self.some(digits, 1, 2)}.{self.some(digits, 1)}-{draw.choice(('beta', 'rc'))}{self.some(digits, 1)}",
+            lambda: f"{draw.choice(('IMG', 'DSC', 'scan'))}_{self.some(digits, 4, 8)}.{draw.choice(('jpg', 'pdf'))}", lambda: f"section{self.some(digits, 1, 3)},",
+            lambda: f"{self.some(string.ascii_uppercase, 2)}{self.some(digits, 4, 6)}", lambda: f"order {self.some(digits, 6, 14)}", lambda: f"+{self.some(digits, 2)} {self.some(digits, 3)} {self.some(digits, 6, 8)}",
+            lambda: "".join(w.capitalize() for w in self.words(2, 4)), lambda: "_".join(self.words(2, 4)), lambda: f"{self.word()}{draw.choice(('***', '%%%', '$$$', '###', '&amp;'))}",
+            lambda: f"{self.some(digits, 1, 3)},{self.some(digits, 3)}.{self.some(digits, 2)} EUR", lambda: f"({self.some(string.ascii_lowercase, 5, 9)}{self.some(digits, 1, 2)})",
+            lambda: "-".join(self.words(2, 4)), lambda: " ".join([self.some(string.ascii_lowercase, 2, 5)] * draw.choice((3, 8, 20))),
+            lambda: " ".join([draw.choice(COMMON).capitalize()] * draw.choice((3, 8, 20))), lambda: f"{self.word()} {self.some(digits, 9, 18)} {self.word()}",
+            lambda: f"{self.word()}, {self.some(digits, 15, 16)} {self.word()}", lambda: (self.some(string.ascii_lowercase, 3, 6) * 2),
+        ))()
+
+
 def planted(seed: int, count: int) -> list[tuple[str, int, int, list[tuple[int, int]]]]:
-    """Invented lines in public key formats and harmless look-alikes, to learn from beyond the base patterns."""
-    draw = random.Random(seed)
-
-    def some(alphabet: str, low: int, high: int | None = None) -> str:
-        return "".join(draw.choice(alphabet) for _ in range(draw.randint(low, high or low)))
-
-    letters, digits = string.ascii_letters, string.digits
-    secret = (
-        lambda: "ghp_" + some(letters + digits, 36), lambda: "sk_live_" + some(letters + digits, 24), lambda: some(letters + digits + "+/", 40),
-        lambda: "eyJ" + some(letters + digits + "_-", 20, 40) + "." + some(letters + digits + "_-", 20, 40), lambda: some("0123456789abcdef", 40),
-        lambda: "AKIA" + some(string.ascii_uppercase + digits, 16), lambda: some(letters + digits + "!%*?", 12, 20) + some(digits, 1), lambda: "xoxb-" + some(digits, 11) + "-" + some(letters + digits, 24),
-    )
-    plain = (
-        lambda: f"user{some(digits, 3, 5)}@example.{draw.choice(['com', 'org'])}", lambda: f"https://www.example.com/{some(string.ascii_lowercase, 4, 8)}/{some(digits, 3)}",
-        lambda: f"202{some(digits, 1)}-0{draw.randint(1, 9)}-1{some(digits, 1)}T10:{some('012345', 1)}0:00Z", lambda: f"v{some(digits, 1)}.{some(digits, 1)}.{some(digits, 1)}-beta{some(digits, 1)}",
-        lambda: f"IMG_{some(digits, 8)}.jpg", lambda: f"section{some(digits, 1, 3)},", lambda: f"({some(string.ascii_lowercase, 5, 9)}{some(digits, 1, 2)})", lambda: f"{some(string.ascii_uppercase, 2)}{some(digits, 6)}",
-    )
-    def words(low: int, high: int) -> list[str]:
-        return [draw.choice(COMMON) if draw.random() < 0.6 else some(string.ascii_lowercase, 3, 9) for _ in range(draw.randint(low, high))]
-
-    cues = ("password is ", "Authorization: Bearer ", "key = ", 'token = "', "secret: ", "credentials ", "pwd=", "")
-    # With cues only: what looks like any word or number elsewhere.
-    bare = (
-        lambda: some(letters, 16, 32), lambda: some(digits, 10, 20), lambda: "".join(w.capitalize() for w in words(2, 4)),
-        lambda: "eyJ" + some(letters, 16, 36) + "." + some(letters, 16, 36),
-    )
-    phrase = ("passphrase: ", "passphrase is ", 'passphrase = "', "pass phrase: ")
-    talk = ("see ", "on ", "file ", "in ", "at ", "from ", "")
-    prose = (
-        lambda: " ".join(words(4, 14)) + ".", lambda: f"the {draw.choice(('password', 'secret', 'token', 'key', 'passphrase'))} is {draw.choice(COMMON)} {' '.join(words(1, 5))}",
-        lambda: f"{' '.join(words(1, 4))} order {some(digits, 6, 14)}", lambda: f"class {''.join(w.capitalize() for w in words(2, 4))} {' '.join(words(1, 3))}",
-        lambda: f"{' '.join(words(1, 3))} is {draw.choice((some(digits, 6, 16), ' '.join(words(1, 6))))} {' '.join(words(0, 3))}",
-        lambda: " ".join(w for w in (*words(1, 1), draw.choice(("is", *words(1, 1))), *words(1, 2)) for _ in range(draw.choice((1, 6, 12)))),
-    )
+    """Invented lines with keys, passwords and passphrases, and harmless look-alikes, to learn from beyond the base patterns."""
+    invent = Inventor(seed)
+    draw = invent.draw
+    phrases = ("passphrase: ", "passphrase is ", 'passphrase = "', "pass phrase: ", "seed phrase: ", "recovery phrase is ")
+    talk = ("is required", "must be changed", "of the week", "to success", "points are", "was lost", "for the door", "and the user", "in the list", "is not", "holder", "12 of 30")
     out = []
     for k in range(count):
-        bad, which = k % 2 == 0, draw.random()
-        line = " ".join(words(1, 5)).capitalize() + " "
-        if bad and which < 0.12:
-            lead, value = draw.choice(phrase), " ".join(words(3, 6))
-        elif bad and which < 0.45:
-            lead, value = draw.choice(cues[:-1]), draw.choice(bare)()
-            value = value if len(value) >= LEAST else value + some(letters, LEAST)
-        elif bad:
-            lead, value = draw.choice(cues), draw.choice(secret)()
+        line = " ".join(invent.words(0, 6))
+        line = line.capitalize() + draw.choice((" ", ". ", "\n")) if line else ""
+        value, tail = "", ""
+        if k % 2:  # harmless
+            which = draw.random()
+            if which < 0.45:
+                line += " ".join(invent.harmless() for _ in range(draw.randint(1, 2)))
+            elif which < 0.7:
+                line += f"{draw.choice(('the', 'this', 'a', 'every', ''))} {draw.choice(CUES)} {draw.choice(talk)} {' '.join(invent.words(0, 3))}"
+            else:
+                line += " ".join(invent.words(4, 16)) + draw.choice((".", "", ","))
         else:
-            lead, value = draw.choice(talk), draw.choice(plain if which < 0.5 else prose)()
-        line += lead
+            which = draw.random()
+            if which < 0.08:
+                lead_, value = draw.choice(phrases), " ".join(invent.words(3, 7))
+            elif which < 0.14:
+                lead_, value, tail = f"{draw.choice(('mysql', 'https', 'ftp', 'amqp'))}://{invent.word()}:", draw.choice((invent.key, invent.login))(), f"@{invent.word()}.example.com/{invent.word()}"
+                value = value.replace("@", "").replace("/", "")
+            elif which < 0.45:
+                lead_, value = "", invent.key()
+            else:
+                lead_, value = draw.choice(CUES) + draw.choice(LINKS), draw.choice((invent.key, invent.login, invent.login))()
+            if lead_ in phrases:
+                tail = '"' if lead_.endswith('"') else draw.choice((".", "\n", ""))
+            elif not tail:
+                tail = {'"': '"', "'": "'", "(": ")"}.get(lead_[-1:], draw.choice(("", "", ".", ",", ";")))
+            line += lead_
         a = len(line)
-        tail = ('"' if lead.endswith('"') else draw.choice(('"', "", ".", ","))) if bad else ""
         line += value + tail
-        if lead not in phrase or tail:
-            line += draw.choice(("", "\n", " ")) + " ".join(words(0, 4)) if tail != "," else ""
-        out.append((line, 0, len(line), [(a, a + len(value))] if bad else []))
+        if not (value and line[:a].endswith(phrases) and not tail):
+            line += draw.choice(("\n", " ")) + " ".join(invent.words(0, 5))
+        out.append((line, 0, len(line), [(a, a + len(value))] if value else []))
     return out
 
 
@@ -511,14 +677,19 @@ def learn(docs: DataFrame) -> Field:
 
         return step
 
-    lines = in_batches(docs.select("doc_id", "text").join(sample, "doc_id"), start, f"doc_id {kind}, line string, start int, end int, secrets array<array<int>>")
-    chosen = lines.orderBy(F.xxhash64("line"), "line", "start").limit(WINDOWS).collect()
-    real = [(r["line"], r["start"], r["end"], [tuple(s) for s in r["secrets"]]) for r in chosen]
-    examples = []
-    for line, a, b, secrets in [*real, *planted(7, PLANTED)]:
-        tokens, rows = features(line, a, b, file_features(line))
-        examples.append((rows[:LONGEST_TRAINED], _labels(tokens, secrets)[:LONGEST_TRAINED]))
-    return train([e for e in examples if e[0]])
+    lines = staged(in_batches(docs.select("doc_id", "text").join(sample, "doc_id"), start, f"doc_id {kind}, line string, start int, end int, secrets array<array<int>>"), "windows")
+    chosen = []
+    for some in ("size(secrets) > 0", "size(secrets) = 0"):
+        chosen += lines.where(some).orderBy(F.xxhash64("line"), "line", "start").limit(WINDOWS // 2).collect()
+    real = ((r["line"], r["start"], r["end"], [tuple(s) for s in r["secrets"]]) for r in chosen)
+    return train(e for e in map(example, chain_(real, planted(7, PLANTED))) if e[0])
+
+
+def example(window: tuple[str, int, int, list[tuple[int, int]]]) -> tuple[list[list[str]], list[int]]:
+    """Features and labels of the tokens of a window."""
+    line, a, b, secrets = window
+    tokens, rows = features(line, a, b, file_features(line))
+    return rows[:LONGEST_TRAINED], _labels(tokens, secrets)[:LONGEST_TRAINED]
 
 
 def all_spans(texts: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:
