@@ -59,15 +59,16 @@ def sign_lists(props, near, k):
     return {p: v for p, v in lists.items() if v}
 
 
-def test_sign_neighbours_with_hot_buckets(spark):
-    """Bucket limit 3, one band value shared by most rows, and exact copies."""
-    rng = random.Random(5)
+@pytest.mark.parametrize("first,hot,values,seed", [(240, 4096, 4, 5), (6, 5, 4, 6), (3, 20, 60, 7), (6, 2, 300, 8)])
+def test_sign_neighbours_with_hot_buckets(spark, first, hot, values, seed):
+    """Bucket limit 3, one band value shared by most rows, exact copies, and from many to hardly any agreeing bands."""
+    rng = random.Random(seed)
     props = []
     for i in range(150):
         if props and rng.random() < 0.3:
             props.append((i, *rng.choice(props[:4])[1:]))
         else:
-            bands = [0 if rng.random() < 0.6 else rng.randrange(1, 4) for _ in range(5)]
+            bands = [0 if rng.random() < (0.6 if values < 10 or band == 2 else 0.05) else rng.randrange(1, values) for band in range(5)]
             props.append((i, rng.choice("ab") if rng.random() < 0.8 else "c", bands))
     edges = pool_edges(adjacency(spark.createDataFrame([("a", "b"), ("b", "c")], "a string, b string"))).persist()
     near = {}
@@ -75,7 +76,7 @@ def test_sign_neighbours_with_hot_buckets(spark):
         near.setdefault(e.zone, set()).add(e.neighbour)
     df = spark.createDataFrame(props, "prop_id bigint, zone string, bands array<bigint>")
     got = {}
-    for r in sign_neighbours(df, edges, k=6, chunk=3, with_hits=True).orderBy("search_prop", "sim_rank").collect():
+    for r in sign_neighbours(df, edges, k=6, chunk=3, with_hits=True, first=first, hot=hot).orderBy("search_prop", "sim_rank").collect():
         got.setdefault(r.search_prop, []).append((r.sim_prop, r.band_hits))
     assert got == sign_lists(props, near, 6)
 
