@@ -7,9 +7,11 @@ several words. A string is a run of characters other than blanks; it only gives
 
 from __future__ import annotations
 
+import heapq
 import random
 import re
 import string
+import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain as chain_
@@ -52,7 +54,8 @@ PIECE = re.compile(r"[A-Za-z0-9]+|\s+|[^A-Za-z0-9\s]")  # tokens, and the blanks
 KINDS_OF = str.maketrans(string.ascii_uppercase + string.ascii_lowercase + string.digits, "X" * 26 + "x" * 26 + "d" * 10)
 SIGNS = "-./:=@_"
 SIZES, DIGITS, VARIETY = (4, 8, 12, 16, 20, 28, 36, 48, 80), (0.01, 0.1, 0.2, 0.35, 0.6, 1), (0.2, 0.35, 0.5, 0.7)
-CACHE = 200_000  # tokens whose scores a worker remembers, about
+BLANKS = np.array([*(chr(c).isspace() for c in range(0x3001)), False])  # by code point; no later one is blank
+CACHE = 300_000  # tokens and strings whose scores a worker remembers, about
 GROUP = 1 << 20  # about as many characters are decoded at once
 BLOCK = 128  # tokens of a block of the chain
 OUTSIDE, BEGIN, INSIDE = range(3)
@@ -243,6 +246,15 @@ class Met(dict):
         return self.tables
 
 
+def string_places(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where the strings of a text begin, and whether each is the first of its line."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    blank = BLANKS[np.minimum(codes, len(BLANKS) - 1)]
+    begins = np.flatnonzero(~blank & np.append(True, blank[:-1])) if len(codes) else np.zeros(0, np.int64)
+    lines = np.cumsum(codes == 10)[begins]
+    return begins, np.append(True, lines[1:] > lines[:-1])[: len(begins)]
+
+
 class Field:
     """Weights of features by label and of label pairs."""
 
@@ -250,7 +262,7 @@ class Field:
         self.number = {f: i for i, f in enumerate(names)}
         self.weights, self.moves = weights, moves
         self.padded = np.concatenate([weights, np.zeros((1, 3))])
-        self.cache: Met | None = None
+        self.caches: tuple[Met, Met] | None = None
         self.by_kind = [Scores(lambda v, f=f: self.scores([f(v)])[0]) for f in (kind_features, lambda k: [f"prev.shape={shape(k)}"], lambda k: [f"next.shape={shape(k)}"])]
         steps = (("size", len(SIZES) + 1), ("digits", len(DIGITS) + 1), ("mix", 4), ("kinds", len(VARIETY) + 1))
         self.by_look = [self.scores([[f"string.{name}={i}"] for i in range(n)]) for name, n in steps]
@@ -299,15 +311,13 @@ class Field:
         ])
         return [own, prev, self._named("prev2=", [w[:8] for w in low]), behind, self._named("last=", cues) + before, before, leads, numbers]
 
-    def _known(self) -> Met:
-        """What is remembered of tokens; emptied when it is full, between groups."""
-        if self.cache is None or len(self.cache) > CACHE:
-            none = [self.scores([f])[0] for f in ([], prev_features(None), [], next_features(None), ["last=", "before="], ["before="], ["lead="])]
-            self.cache = Met(self._of_tokens, [*none, np.zeros(9, np.int64)])
-        return self.cache
-
-    def _of_strings(self, ident: np.ndarray, first: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Scores of strings (whose first tokens are at ``first``), their last token of letters (0: none) and last token."""
+    def _of_strings(self, new: list[str]) -> list[np.ndarray]:
+        """Scores of whole strings, their last token of letters (0: none) and last token, and where their tokens are in the pool."""
+        tokens = self.caches[0]
+        parts = [[tokens[t] for t in TOKEN.findall(w)] for w in new]
+        numbers = tokens.settle()[-1]
+        count = np.array([len(p) for p in parts], np.int64)
+        ident, first = np.fromiter(chain_.from_iterable(parts), np.int64), np.cumsum(count) - count
         size, digits, small, capital, variety = (np.add.reduceat(numbers[ident, c], first) for c in range(2, 7))
         signs = np.bitwise_or.reduceat(numbers[ident, 7], first)
         row = np.maximum.reduceat(np.where(numbers[ident, 8] > 0, np.arange(len(ident)), -1), first)
@@ -316,52 +326,58 @@ class Field:
             np.searchsorted(SIZES, size, "right"), np.searchsorted(DIGITS, digits / np.maximum(digits + small + capital, 1), "right"),
             2 * (small > 0) + (capital > 0), np.searchsorted(VARIETY, variety / size, "right"),
         )
-        return sum(table[at] for table, at in zip(self.by_look, place)) + self.by_signs[signs], cues, ident[np.append(first[1:], len(ident)) - 1]
+        own = sum(table[at] for table, at in zip(self.by_look, place)) + self.by_signs[signs]
+        length = numbers[ident, 2]
+        before = np.cumsum(length) - length
+        base = len(self.pool)
+        self.pool = np.concatenate([self.pool, np.stack([ident, before - np.repeat(before[first], count), length], 1)])
+        return [own, np.stack([cues, ident[first + count - 1], base + first, count], 1)]
+
+    def _known(self) -> tuple[Met, Met]:
+        """What is remembered of tokens and of strings; emptied when it is full, between groups."""
+        if self.caches is None or max(map(len, self.caches)) > CACHE:
+            none = [self.scores([f])[0] for f in ([], prev_features(None), [], next_features(None), ["last=", "before="], ["before="], ["lead="])]
+            self.pool = np.zeros((0, 3), np.int64)  # of all tokens of strings: number, place in the string, length
+            self.caches = Met(self._of_tokens, [*none, np.zeros(9, np.int64)]), Met(self._of_strings, [np.zeros(3), np.zeros(4, np.int64)])
+        return self.caches
 
     def emissions(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Label scores of all tokens of the texts one after the other, their starts and ends, and how many each text has."""
-        tokens = self._known()
-        every = [np.fromiter(map(tokens.__getitem__, pieces), np.int64, len(pieces)) for pieces in map(PIECE.findall, texts)]
-        own, prev, prev2, following, as_last, as_before, as_lead, place = tokens.settle()
-        n_pieces = np.array([len(x) for x in every], np.int64)
-        piece = np.concatenate(every)
-        gaps, line, size = place[piece, 0].astype(bool), place[piece, 1].astype(bool), place[piece, 2]
-        begin = np.zeros(len(gaps), bool)  # pieces that begin a text
-        heads = np.cumsum(n_pieces) - n_pieces
-        begin[heads[n_pieces > 0]] = True
-        end = np.cumsum(size)
-        end -= np.repeat(end[heads - 1] * (heads > 0), n_pieces) if len(end) else 0
-        after = np.append(False, gaps[:-1]) & ~begin if len(gaps) else gaps
-        after_line = np.append(False, line[:-1]) & ~begin if len(gaps) else gaps
-        there = np.flatnonzero(~gaps)
-        ident = piece[there]
-        text_of = np.repeat(np.arange(len(texts)), n_pieces)[there]
+        tokens, strings = self._known()
+        words = [text.split() for text in texts]
+        every = [np.fromiter(map(strings.__getitem__, w), np.int64, len(w)) for w in words]
+        own_string, about = strings.settle()
+        n_strings = np.array([len(w) for w in words], np.int64)
+        part = np.concatenate(every)
+        if not len(part):
+            return np.zeros((0, 3)), part, part, np.zeros(len(texts), np.int64)
+        own, prev, prev2, following, as_last, as_before, as_lead, _ = tokens.settle()
+        begins, lines = zip(*map(string_places, texts))
+        cues, ends, first, count = about[part].T
+        string_of = np.repeat(np.arange(len(part)), count)
+        in_string = np.arange(len(string_of)) - (np.cumsum(count) - count)[string_of]
+        ident, offset, length = self.pool[first[string_of] + in_string].T
+        start = np.concatenate(begins)[string_of] + offset
+        text_of_string = np.repeat(np.arange(len(texts)), n_strings)
+        since = np.arange(len(part)) - (np.cumsum(n_strings) - n_strings)[text_of_string]  # strings before it in its text
+        text_of = text_of_string[string_of]
         counts = np.bincount(text_of, minlength=len(texts))
-        first = np.zeros(len(there), bool)
-        text_first = np.cumsum(counts) - counts
-        first[text_first[counts > 0]] = True
-        new = after[there] | first
-        row = np.arange(len(there))
-        string_of = np.cumsum(new) - 1
-        spot = np.minimum(row - row[new][string_of], 3) + 4 * (first | after_line[there]) if len(row) else row
-        nth = row - text_first[text_of] if len(row) else row
-        if not len(row):
-            return np.zeros((0, 3)), row, row, counts
-        heads = np.flatnonzero(new)  # first tokens of strings
-        of_string, cues, ends = self._of_strings(ident, heads, place)
-        since = np.arange(len(heads)) - string_of[text_first[text_of[heads]]]  # strings before it in its text
-        at = np.arange(len(heads))
-        none = [self.scores([last_features(None)])[0], np.zeros(3)]
-        of_string = of_string + np.where(since[:, None] > 0, as_last[cues[at - 1]] + as_lead[ends[at - 1]], none[0])
+        row = np.arange(len(ident))
+        nth = row - (np.cumsum(counts) - counts)[text_of]
+        spot = np.minimum(in_string, 3) + 4 * ((in_string == 0) & np.concatenate(lines)[string_of])
+
+        at = np.arange(len(part))
+        none = self.scores([last_features(None)])[0]
+        of_string = own_string[part] + np.where(since[:, None] > 0, as_last[cues[at - 1]] + as_lead[ends[at - 1]], none)
         for back in (2, 3):
-            of_string += np.where(since[:, None] >= back, as_before[cues[np.maximum(at - back, 0)]], none[1])
+            of_string += np.where(since[:, None] >= back, as_before[cues[np.maximum(at - back, 0)]], 0)
+        of_string += self.scores([file_features(t) for t in texts])[text_of_string]
         emit = own[ident] + of_string[string_of]
-        emit += prev[np.where(nth > 0, ident[np.maximum(row - 1, 0)], 0)]
-        emit += prev2[np.where(nth > 1, ident[np.maximum(row - 2, 0)], 0)]
-        emit += following[np.where(np.append(first[1:], True), 0, np.roll(ident, -1))]
+        emit += prev[np.where(nth > 0, ident[row - 1], 0)]
+        emit += prev2[np.where(nth > 1, ident[row - 2], 0)]
+        emit += following[np.where(np.append(nth[1:], 0) == 0, 0, np.roll(ident, -1))]
         emit += self.scores([place_features(k) for k in range(8)])[spot]
-        emit += self.scores([file_features(t) for t in texts])[text_of]
-        return emit, end[there] - size[there], end[there], counts
+        return emit, start, start + length, counts
 
     def spans(self, text: str) -> list[tuple[int, int]]:
         return self.spans_of([text])[0]
@@ -517,16 +533,30 @@ def _labels(tokens: list[tuple[int, int]], secrets: list[tuple[int, int]]) -> li
     return out
 
 
-def windows_of(text: str) -> Iterator[tuple[str, int, int, list[tuple[int, int]]]]:
-    """Parts of a text with their surroundings, and the secrets that the base patterns show there."""
+def windows_of(text: str, wanted: Callable[[int, bool], bool] = lambda at, has: True) -> Iterator[tuple[str, int, int, list[tuple[int, int]]]]:
+    """Parts of a text with their surroundings, and the secrets that the base patterns show there.
+
+    ``wanted`` says by the place of the first token, and whether there is a secret, which to make.
+    """
     secrets = [m.span(2) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LENGTH] + [(s.start, s.end) for s in base_spans(text) if s.kind]
-    places = [m.span() for m in TOKEN.finditer(text)]
+    apart: list[tuple[int, int]] = []
+    for s in sorted(set(secrets), key=lambda s: (s[0], -s[1])):  # without those inside another
+        if not apart or s[1] > apart[-1][1]:
+            apart.append(s)
+    places, next_ = [m.span() for m in TOKEN.finditer(text)], 0
     for at in range(0, len(places), WINDOW_TOKENS):
         a, b = places[at][0], places[min(at + WINDOW_TOKENS, len(places)) - 1][1]
+        while next_ < len(apart) and apart[next_][1] <= a:
+            next_ += 1
+        has = next_ < len(apart) and apart[next_][0] < b
+        if not wanted(a, has):
+            continue
         left, right = max(0, a - 60), b + 20
-        cut = sorted({(max(s, a) - left, min(e, b) - left) for s, e in secrets if s < b and a < e})
-        apart = [s for i, s in enumerate(cut) if not any(o[0] <= s[0] and s[1] <= o[1] for j, o in enumerate(cut) if j != i)]
-        yield text[left:right], a - left, b - left, apart
+        found, i = [], next_
+        while i < len(apart) and apart[i][0] < b:
+            found.append((max(apart[i][0], a) - left, min(apart[i][1], b) - left))
+            i += 1
+        yield text[left:right], a - left, b - left, found
 
 
 CUES = (
@@ -665,22 +695,36 @@ def learn(docs: DataFrame) -> Field:
     has = F.col("text").rlike(r"(?i)(password|passwd|secret|token|api_?key)[\"' ]*[:=]|AKIA|[0-9a-f]{32}")
     marked = staged(docs.select("doc_id", F.coalesce(has, F.lit(False)).alias("has")), "marked")
     sample = staged(bounded_sample(marked, "has", SAMPLE).select("doc_id").distinct(), "sample")
-    kind = id_type(docs)
-
-    def start() -> Step:
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [(i, *w) for i, t in zip(batch.column("doc_id"), texts_of(batch)) for w in windows_of(t)]
-            columns = [pa.array([f[0].as_py() for f in found], batch.column("doc_id").type), pa.array([f[1] for f in found], pa.string())]
-            columns += [pa.array([f[k] for f in found], pa.int32()) for k in (2, 3)]
-            columns.append(pa.array([[list(s) for s in f[4]] for f in found], pa.list_(pa.list_(pa.int32()))))
-            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "line", "start", "end", "secrets"])
-
-        return step
-
-    lines = staged(in_batches(docs.select("doc_id", "text").join(sample, "doc_id"), start, f"doc_id {kind}, line string, start int, end int, secrets array<array<int>>"), "windows")
-    chosen = []
+    half, names = WINDOWS // 2, ["place", "line", "start", "end", "secrets"]
+    spans = pa.list_(pa.list_(pa.int32()))
+
+    def windows(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        """Of each kind those with the smallest hashes of text and place: no task gives more than can be chosen."""
+        held: dict[bool, list[tuple]] = {True: [], False: []}
+        for batch in batches:
+            for text in texts_of(batch):
+                seed, drawn = zlib.crc32(text.encode("utf-8", "surrogatepass")), []
+
+                def wanted(at: int, has: bool) -> bool:
+                    draw = zlib.crc32(f"{seed}:{at}".encode())
+                    full = len(held[has]) >= half
+                    if not full or draw < -held[has][0][0]:
+                        drawn.append((draw, has))
+                        return True
+                    return False
+
+                for window in windows_of(text, wanted):
+                    draw, has = drawn.pop()
+                    (heapq.heappushpop if len(held[has]) >= half else heapq.heappush)(held[has], (-draw, *window))
+        rows = [(-r[0], *r[1:]) for some in held.values() for r in some]
+        if rows:
+            kinds_ = (pa.int64(), pa.string(), pa.int32(), pa.int32(), spans)
+            yield pa.RecordBatch.from_arrays([pa.array([[list(s) for s in x] for x in c] if k is spans else c, k) for c, k in zip(zip(*rows), kinds_)], names=names)
+
+    lines = docs.select("doc_id", "text").join(sample, "doc_id").select("text").mapInArrow(windows, "place bigint, line string, start int, end int, secrets array<array<int>>")
+    lines, chosen = staged(lines, "windows"), []
     for some in ("size(secrets) > 0", "size(secrets) = 0"):
-        chosen += lines.where(some).orderBy(F.xxhash64("line"), "line", "start").limit(WINDOWS // 2).collect()
+        chosen += lines.where(some).orderBy("place", "line", "start").limit(half).collect()
     real = ((r["line"], r["start"], r["end"], [tuple(s) for s in r["secrets"]]) for r in chosen)
     return train(e for e in map(example, chain_(real, planted(7, PLANTED))) if e[0])
 
