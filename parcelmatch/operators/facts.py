@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+import sys
+from collections import Counter
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +18,86 @@ from .attach import attach
 from .dedupe import keep_first
 
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Elements without content, and what is not shown.
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+UNSEEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
+#: A tag (quoted attributes may hold its end sign), a text, or a lone sign.
+PIECE = """(?s)</?[a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|<[/!?a-zA-Z][^>]*>|[^<]+|<"""
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+TEXTS = "page_id bigint, seq bigint, element string, above string, before string, child string"
+
+
+def nested(pieces: Iterable[str]) -> Iterator[tuple[int, str, str, str | None, str]]:
+    """(seq, element, above, before, text) of the texts among tags: enclosing elements, and the text before it inside the upper one.
+
+    A closing tag ends the nearest open element of its name and all inside it; without one it
+    is passed over. Linear: a text is inside an element if it is not older than the element.
+    """
+    stack: list[tuple[str, int]] = []  # name, texts before it
+    open_: Counter[str] = Counter()
+    seq, last, held = 0, None, []
+
+    def text() -> Iterator[tuple[int, str, str, str | None, str]]:
+        nonlocal seq, last
+        whole = "".join(held).strip()
+        held.clear()
+        if whole:
+            upper = stack[-2:][0][1] if stack else 0
+            names = ["", "", *(name for name, _ in stack[-2:])]
+            yield seq, names[-1], names[-2], last if seq > upper else None, whole
+            seq, last = seq + 1, whole
+
+    for piece in pieces:
+        if piece[0] != "<" or len(piece) == 1:
+            held.append(piece)
+            continue
+        yield from text()
+        tag = TAG.match(piece)
+        if not tag:
+            continue
+        name = tag[2].lower()
+        if tag[1]:
+            while open_[name]:
+                top, _ = stack.pop()
+                open_[top] -= 1
+                if top == name:
+                    break
+        elif name not in VOID and not piece.endswith("/>"):
+            stack.append((name, seq))
+            open_[name] += 1
+    yield from text()
+
+
+def page_texts(pages: DataFrame) -> DataFrame:
+    """(page_id, html) -> one row per shown text: seq, element, above (the element around it), before, child.
+
+    Scripts, styles and comments are not shown; blank texts are none. SQL functions cut a page at its tags, one pass
+    over the pieces keeps the open elements. Missing html has no texts.
+    """
+    cut = pages.select(F.col("page_id").cast("bigint"), F.regexp_extract_all(F.regexp_replace("html", UNSEEN, ""), F.lit(PIECE), F.lit(0)).alias("pieces"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        names = [f.split(" ")[0] for f in TEXTS.split(", ")]
+        kinds = [pa.int64(), pa.int64(), *[pa.string()] * 4]
+        for batch in batches:
+            for page, pieces in zip(batch.column("page_id"), batch.column("pieces")):
+                rows = list(nested(pieces.as_py() or []))
+                if rows:
+                    columns = [[page.as_py()] * len(rows), *zip(*rows)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    return cut.mapInArrow(run, TEXTS)
+
+
+def labelled_texts(texts: DataFrame) -> DataFrame:
+    """page_id, seq, parent, child for ``page_facts``: a text before it that ends in ':' is the label, else the element's name."""
+    told = F.concat("before", F.lit("\n"), "child")
+    named = F.col("before").endswith(":") & (fact_label(told, F.col("child")) != "")
+    return texts.select("page_id", "seq", F.when(named, told).otherwise(F.concat(F.lit("<"), "element", F.lit(">\n"), "child")).alias("parent"), "child")
+
+
 def page_facts(found: DataFrame) -> DataFrame:
     """(page_id, seq, parent, child) -> one map label -> values in page order.
 

@@ -416,18 +416,18 @@ def q_neighbour_view(spark: SparkSession, sf: str) -> DataFrame:
 
 # Facts and addresses -------------------------------------------------------------------------
 
-LINK = "<(?:a|p|li|td|title|h1|h2|option)(?: [^>]*)?>([^<]+)</"
-
-
 def q_page_facts(spark: SparkSession, sf: str) -> DataFrame:
-    """Texts of stored pages' elements as facts: '<first letter> words' is the label, the text the value."""
-    pages = table(spark, sf, "pages").select("page_id", "html")
-    links = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(LINK), F.lit(1))).alias("seq", "child"))
-    found = links.withColumn("parent", F.concat(F.substring("child", 1, 1), F.lit(" words:\n"), "child"))
-    rows = facts.page_facts(found).select("page_id", F.explode("facts").alias("label", "values"))
+    """Every shown text of the stored pages as a fact: under the label before it, or under its element's name."""
+    texts = facts.page_texts(table(spark, sf, "pages"))
+    rows = facts.page_facts(facts.labelled_texts(texts)).select("page_id", F.explode("facts").alias("label", "values"))
     return rows.select("page_id", "label", F.array_join("values", "|").alias("values"))
 
 
+def q_page_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Every shown text with its enclosing elements and the text before it."""
+    return facts.page_texts(table(spark, sf, "pages"))
+
+
 def q_normalize_address(spark: SparkSession, sf: str) -> DataFrame:
     rows = view(spark, sf, "appraisal").select(
         "prop_id", F.concat_ws(" ", "situs_num", F.lit("CONGRESS AVE TX"), "situs_zip").alias("address"), F.lit("TX").alias("state"),

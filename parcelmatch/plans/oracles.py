@@ -7,7 +7,7 @@ from collections.abc import Mapping
 
 from ..operators.signs import BAND_ROWS, BANDS
 from ..registry import FLAGS, MEASURES, PROJECTION_FEATURES, STATE_FEATURES
-from .catalog import CUSTOMER_NAMES, DOCUMENT_COLUMNS, LINK, SIGN_BANDS, SIGN_ROWS, YEARS
+from .catalog import CUSTOMER_NAMES, DOCUMENT_COLUMNS, SIGN_BANDS, SIGN_ROWS, YEARS
 from .views import VIEWS, view_sql
 
 _PARTS: dict[str, str] = {name: view_sql(name) for name in VIEWS}
@@ -190,6 +190,32 @@ _define("signs", f"""
       SELECT vec_id AS prop_id, p, sum(embedding[i + 1]::DOUBLE * w) AS dot FROM embeddings JOIN planes ON true GROUP BY vec_id, p)
     GROUP BY prop_id, p // {SIGN_ROWS}""")
 
+# Shown texts: pages are split at '<', each part is a tag up to '>' and the text behind it; the open elements are kept tag by tag.
+_define("page_parts", r"""
+    SELECT page_id, i, tag, lower(regexp_extract(tag, '^/?([A-Za-z][^\s/]*)', 1)) AS name, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS text FROM (
+      SELECT page_id, i, CASE WHEN i > 1 THEN split_part(part, '>', 1) ELSE '' END AS tag, CASE WHEN i > 1 THEN substr(part, strpos(part, '>') + 1) ELSE part END AS text
+      FROM (SELECT page_id, unnest(parts) AS part, unnest(range(1, len(parts) + 1)) AS i FROM (
+        SELECT page_id, string_split(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?is)<script.*?</script *>', '', 'g'),
+          '(?is)<style.*?</style *>', '', 'g'), '<') AS parts FROM pages)))""")
+_VOID = "'area', 'base', 'br', 'col', 'embed', 'hr', 'img', 'input', 'link', 'meta', 'source', 'track', 'wbr'"
+_define("page_step", f"""
+    SELECT page_id, i, text, name, CASE WHEN name = '' THEN 'none' WHEN tag LIKE '/%' THEN 'close' WHEN name IN ({_VOID}) OR tag LIKE '%/' THEN 'none' ELSE 'open' END AS kind,
+      count(*) FILTER (text <> '') OVER (PARTITION BY page_id ORDER BY i) - CASE WHEN text <> '' THEN 1 ELSE 0 END AS seq,
+      lag(text) OVER (PARTITION BY page_id, text = '' ORDER BY i) AS last
+    FROM page_parts""")
+_define("page_walk", """
+    SELECT page_id, i, text, seq, last, [] :: STRUCT(name STRING, since BIGINT)[] AS stack FROM page_step WHERE i = 1
+    UNION ALL
+    SELECT s.page_id, s.i, s.text, s.seq, s.last, CASE kind WHEN 'open' THEN list_append(w.stack, {'name': s.name, 'since': s.seq})
+      WHEN 'close' THEN CASE WHEN list_contains(list_transform(w.stack, lambda e: e.name), s.name)
+        THEN w.stack[:len(w.stack) - list_position(list_reverse(list_transform(w.stack, lambda e: e.name)), s.name)] ELSE w.stack END
+      ELSE w.stack END
+    FROM page_walk w JOIN page_step s ON s.page_id = w.page_id AND s.i = w.i + 1""")
+_define("page_text", """
+    SELECT page_id, seq, coalesce(stack[-1].name, '') AS element, coalesce(stack[-2].name, '') AS above,
+      CASE WHEN seq > coalesce(stack[-2].since, stack[-1].since, 0) THEN last END AS before, text AS child
+    FROM page_walk WHERE text <> ''""")
+
 # 'name' -> (columns and clauses, the parts it is built from are found by name)
 _SELECTS: dict[str, str] = {
     "fixed_width_scan": f"SELECT {', '.join(CUSTOMER_NAMES)} FROM customer",
@@ -277,14 +303,12 @@ _SELECTS: dict[str, str] = {
         SELECT search_id, _id, rank, geo_address, appraisal_2001, appraisal_1995, building_sqft, land_sqft
         FROM (SELECT prop_id AS search_id, prop_id AS _id, 0 AS rank FROM matrix UNION ALL SELECT search_prop, sim_prop, sim_rank FROM top_euclidean)
         JOIN docs USING (_id)""",
-    "page_facts": f"""
-        SELECT page_id, label, string_agg(value, '|' ORDER BY seq) AS "values" FROM (
-          SELECT page_id, seq, lower(regexp_replace(CASE WHEN length(child) > 0 THEN replace(parent, child, '') ELSE parent END, '[: \\n]', '', 'g')) AS label,
-            lower(child) AS value
-          FROM (SELECT page_id, seq, concat(substr(texts[seq], 1, 1), ' words:', chr(10), texts[seq]) AS parent, texts[seq] AS child
-            FROM (SELECT page_id, texts, unnest(range(1, len(texts) + 1)) AS seq FROM (
-              SELECT page_id, regexp_extract_all(html, '{LINK}', 1) AS texts FROM pages))))
-        WHERE label <> '' GROUP BY page_id, label""",
+    "page_texts": "SELECT page_id, seq, element, above, before, child FROM page_text",
+    "page_facts": r"""
+        SELECT page_id, label, string_agg(lower(child), '|' ORDER BY seq) AS "values" FROM (
+          SELECT page_id, seq, child, CASE WHEN suffix(before, ':') AND own <> '' THEN own ELSE lower(regexp_replace(replace('<' || element || '>' || chr(10) || child, child, ''), '[: \n]', '', 'g')) END AS label
+          FROM (SELECT *, lower(regexp_replace(replace(before || chr(10) || child, child, ''), '[: \n]', '', 'g')) AS own FROM page_text))
+        GROUP BY page_id, label""",
     "normalize_address": """
         SELECT prop_id, concat(trim(replace(replace(concat(situs_num, ' CONGRESS AVE TX ', situs_zip), 'TX', ''), situs_zip, '')), ' Austin, TX ', situs_zip)
           AS address FROM appraisal""",
@@ -297,14 +321,19 @@ _define("zoned", "SELECT prop_id, replace(split_part(situs_zip, '-', 1), '.0', '
 _define("zone_sizes", "SELECT zone, count(*) AS n FROM zoned GROUP BY zone")
 
 
+_WALKS = {"page_walk"}  # parts that refer to themselves
+
+
 def _needed(sql: str, parts: Mapping[str, str]) -> list[str]:
     """Parts a text refers to, in dependency order."""
     order: list[str] = []
+    seen: set[str] = set()
 
     def visit(text: str) -> None:
         words = set(re.findall(r"\w+", text))
         for name in parts:
-            if name in words and name not in order:
+            if name in words and name not in order and name not in seen:
+                seen.add(name)
                 visit(parts[name])
                 if name not in order:
                     order.append(name)
@@ -317,6 +346,6 @@ def oracle_sql() -> dict[str, str]:
     result = {}
     for name, sql in _SELECTS.items():
         parts = _needed(sql, _PARTS)
-        ctes = ",\n".join(f"{p} AS MATERIALIZED ({_PARTS[p]})" for p in parts)
-        result[name] = f"WITH {ctes}\n{sql}" if parts else sql
+        ctes = ",\n".join(f"{p} AS {'' if p in _WALKS else 'MATERIALIZED '}({_PARTS[p]})" for p in parts)
+        result[name] = f"WITH {'RECURSIVE ' if _WALKS & {*parts} else ''}{ctes}\n{sql}" if parts else sql
     return result
