@@ -96,3 +96,14 @@ def fact_label(parent: Column, child: Column) -> Column:
     """Label of a fact: the enclosing text without the value, ':', line breaks and blanks."""
     rest = F.when(F.length(child) > 0, F.replace(parent, child, F.lit(""))).otherwise(parent)
     return F.lower(F.regexp_replace(rest, "[: \\n]", ""))
+
+
+GRAM = 3
+END_OF_TEXT = "\x00"  # fills the grams at a text's end
+
+
+def grams(text: Column) -> Column:
+    """All runs of three characters that begin in the text, each once."""
+    padded = F.concat(text, F.lit(END_OF_TEXT * (GRAM - 1)))
+    starts = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text)))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(padded, i, F.lit(GRAM))))

@@ -377,38 +377,43 @@ def _flat(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(*DOCUMENT_COLUMNS, *more, F.array_join(ids, ",").alias("similar"))
 
 
-def _lookup_table(spark: SparkSession, sf: str, by: str = "id") -> DataFrame:
+def _lookup_path(spark: SparkSession, sf: str) -> str:
     path = scratch(spark, "lookup")
     docs = documents(spark, sf, top_scores(spark, sf, ("euclidean",)))
     tables.write_lookup_table(docs.withColumn("address", F.col("geo_address")), path)
-    return _flat(tables.read_lookup_table(spark, path, by))
+    return path
 
 
 def q_lookup_by_id(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(lookup.by_id(_lookup_table(spark, sf), "42"))
+    return rounded(_flat(lookup.by_id(tables.read_lookup_table(spark, _lookup_path(spark, sf)), "42")))
 
 
 def q_lookup_by_address(spark: SparkSession, sf: str) -> DataFrame:
     """Exact address of property 7, typed in small letters."""
     typed = geodata(spark, sf).where("prop_id = 7").select(F.lower("Address")).first()[0]  # what a user would type
-    return rounded(lookup.by_address(_lookup_table(spark, sf, "address"), typed))
+    return rounded(_flat(lookup.by_address(tables.read_lookup_table(spark, _lookup_path(spark, sf), "address"), typed)))
 
 
 def q_lookup_contains(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(lookup.containing(_lookup_table(spark, sf), "blue Gear"))
+    """First page of addresses with a part, through the grams."""
+    path = _lookup_path(spark, sf)
+    docs, grams = (tables.read_lookup_table(spark, path, by) for by in ("key", "grams"))
+    return rounded(_flat(lookup.containing_indexed(docs, grams, "blue Gear")))
 
 
 def q_lookup_by_ids(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents of all properties some supplier key names."""
+    """Documents of all properties some supplier key names; the documents are not shuffled."""
     ids = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("_id"))
-    return rounded(lookup.by_ids(_lookup_table(spark, sf), ids))
+    return rounded(_flat(lookup.by_ids(tables.read_lookup_table(spark, _lookup_path(spark, sf), "key"), ids)))
 
 
 def q_neighbour_view(spark: SparkSession, sf: str) -> DataFrame:
     """Result table of every property, itself and its neighbours, exported as CSV and read back."""
-    docs = staged(documents(spark, sf, top_scores(spark, sf, ("euclidean",))), "documents")
+    path = scratch(spark, "documents-keyed")
+    tables.write_keyed(documents(spark, sf, top_scores(spark, sf, ("euclidean",))), path)
+    docs = tables.read_keyed(spark, path)
     shown = ("rank", "geo_address", "appraisal_2001", "appraisal_1995", "building_sqft", "land_sqft")
-    table_ = lookup.neighbour_view(docs, docs, columns=shown)
+    table_ = lookup.neighbour_view(docs, docs, sort_by="land_sqft", columns=shown)
     path = scratch(spark, "result-csv")
     tables.write_csv(table_, path)
     return rounded(tables.read_csv(spark, path, table_.schema.toDDL()))

@@ -44,9 +44,9 @@ def read_matrix(spark: SparkSession, extract: str, listing_folder: str, geodata:
     roll = keep_first(roll, ["prop_id"], ["ingest_seq"])
     codes = keep_first(codes, ["state_cd"], ["ingest_seq"])
     found = features.property_features(*[x.drop("ingest_seq") for x in (roll, codes, improvements, land, mobile)])
-    scraped = keep_first(listings.read_listings(spark, listing_folder), ["id"], ["address"])
-    places = tables.read_csv(spark, geodata, GEODATA).withColumn("prop_id", F.col("prop_id").try_cast("bigint"))
-    places = keep_first(places.withColumn("_seq", F.monotonically_increasing_id()), ["prop_id"], ["_seq"]).drop("_seq")
+    scraped = keep_first(listings.read_listings(spark, listing_folder, order="ingest_seq"), ["id"], ["ingest_seq"]).drop("ingest_seq")
+    places = tables.read_csv(spark, geodata, GEODATA, order="ingest_seq").withColumn("prop_id", F.col("prop_id").try_cast("bigint"))
+    places = keep_first(places, ["prop_id"], ["ingest_seq"]).drop("ingest_seq")
     return features.hamming_encode(features.feature_matrix(places, found, features.listing_features(scraped)))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import number
+from .tables import ingest_order
 
 
 def read_headers(spark: SparkSession, path: str) -> dict[str, dict[str, list]]:
@@ -37,6 +38,5 @@ def read_fixed_width(
         kind = types.get(name, "string")
         fields.append((cut if kind == "string" else number(cut, kind)).alias(name))
     if order is not None:
-        place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
-        fields.append(place.alias(order))
+        fields.append(ingest_order().alias(order))
     return spark.read.text(paths if isinstance(paths, str) else list(paths)).select(*fields)

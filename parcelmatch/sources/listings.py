@@ -5,21 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .tables import ingest_order
+
 FIXED = ("id", "address", "zestimate")
 
 
-def read_listings(spark: SparkSession, path: str, name_part: str = "", per_line: bool = False, pattern: str = "*.json") -> DataFrame:
+def read_listings(
+    spark: SparkSession, path: str, name_part: str = "", per_line: bool = False, pattern: str = "*.json", order: str | None = None
+) -> DataFrame:
     """id, address, zestimate and all other keys as map label -> list of texts.
 
     Reads every file matching ``pattern`` below ``path`` whose path contains ``name_part``. A scrape batch is one
-    array: a small file of its own, or with ``per_line`` a line of a larger, splittable file.
+    array: a small file of its own, or with ``per_line`` a line of a larger, splittable file. ``order`` names a
+    column that tells which record was read first: file, place of the array, place in the array.
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     files = reader.text(path, wholetext=not per_line)
     if name_part:
         files = files.where(F.col("_metadata.file_path").contains(name_part))
-    records = files.select(F.explode(F.from_json("value", "array<map<string,string>>")).alias("r"))
+    arrays = files.select(F.from_json("value", "array<map<string,string>>").alias("a"), ingest_order().alias("o"))
+    records = arrays.select("o", F.posexplode("a").alias("at", "r"))
     lists = F.transform_values(
         F.map_filter("r", lambda k, v: ~k.isin(*FIXED) & v.isNotNull()), lambda k, v: F.from_json(v, "array<string>")
     )
-    return records.select(*[F.try_element_at("r", F.lit(c)).alias(c) for c in FIXED], lists.alias("facts"))
+    place = [] if order is None else [F.struct("o", "at").alias(order)]
+    return records.select(*[F.try_element_at("r", F.lit(c)).alias(c) for c in FIXED], lists.alias("facts"), *place)
