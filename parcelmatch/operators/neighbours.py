@@ -74,19 +74,28 @@ def pool_ranges(rows: DataFrame, edges: DataFrame, distance: str = "vincenty") -
     return attach(keyed, km, ["zone", "lat", "lon"], F.col("prop_id")).select("prop_id", "zone", "ham_lo", "ham_hi", "km_lo", "km_hi")
 
 
-def _classes(rows: DataFrame, edges: DataFrame, distance: str, k: int) -> DataFrame:
-    """One stored row per distinct profile with coordinates: its k+1 smallest ids and its ranges."""
+def _classes(rows: DataFrame, edges: DataFrame, distance: str, k: int, metrics: Sequence[str], offers: DataFrame | None, caps: DataFrame | None) -> DataFrame:
+    """One stored row per distinct profile with coordinates: its k+1 smallest (offered) ids, its ranges and its caps."""
     first = Window.partitionBy("profile").orderBy("prop_id")
     located = rows.where("lat is not null")
+    listed = located if offers is None else located.join(offers.select("prop_id").distinct(), "prop_id", "left_semi")
     heads = (
-        located.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= k + 1)
+        listed.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= k + 1)
         .groupBy("profile", *_ROW).agg(F.sort_array(F.collect_list("prop_id")).alias("heads"))
     )
-    sought = located.where("wanted").select("profile").distinct().withColumn("wanted", F.lit(True))
+    searching = located.where("wanted")
+    if caps is not None:
+        searching = searching.join(caps, "prop_id", "left")
+    limit = [F.max(F.coalesce(F.col(f"limit_{m}") if caps is not None else F.lit(INF), F.lit(INF))).alias(f"limit_{m}") for m in metrics]
+    sought = searching.groupBy("profile").agg(F.lit(True).alias("wanted"), *limit)
+    if offers is not None:  # also those that search and have nobody to offer
+        alone = located.where("wanted").select("profile", *_ROW).distinct().join(heads, "profile", "left_anti")
+        heads = heads.unionByName(alone.withColumn("heads", F.array().cast("array<bigint>")))
     classes = staged(
-        heads.join(sought, "profile", "left").withColumns(
-            {"wanted": F.coalesce("wanted", F.lit(False)), "rep": F.col("heads")[0], "hood_key": hood_key(F.col("hood"))}
-        ),
+        heads.join(sought, "profile", "left").withColumns({
+            "wanted": F.coalesce("wanted", F.lit(False)), "rep": F.coalesce(F.get("heads", F.lit(0)), F.xxhash64("profile")), "hood_key": hood_key(F.col("hood")),
+            **{f"limit_{m}": F.coalesce(f"limit_{m}", F.lit(INF)) for m in metrics},
+        }),
         "classes",
     )
     ham = flag_ranges(rows, edges)
@@ -94,7 +103,7 @@ def _classes(rows: DataFrame, edges: DataFrame, distance: str, k: int) -> DataFr
     ranged = staged(attach(classes, ham, ["zone", "flag_bits", "hood_key"], F.col("rep")), "classes-ham")
     ranged = attach(ranged, km, ["zone", "lat", "lon"], F.col("rep"))
     ranged = ranged.select(
-        "profile", "rep", "heads", "wanted", *_ROW,
+        "profile", "rep", "heads", "wanted", *[f"limit_{m}" for m in metrics], *_ROW,
         "ham_lo", (F.col("ham_hi") - F.col("ham_lo")).alias("ham_span"), "km_lo", (F.col("km_hi") - F.col("km_lo")).alias("km_span"),
     ).withColumns({x: F.expr(e) for x, e in position("lat", "lon", distance).items()})
     # Blocks share flags first, those that vary most, then places and measures, each in its own spread.
@@ -158,7 +167,7 @@ _PAIR = ["a_zone", "a_node", "c_zone", "c_node"]
 
 def _class_lists(
     placed: DataFrame, edges: DataFrame, distance: str, metrics: Sequence[str], k: int, leaf_bits: int, fan_bits: int, top_nodes: int, width: int = FIRST,
-    tally: Accumulator | None = None,
+    tally: Accumulator | None = None, apart: bool = False,
 ) -> DataFrame:
     """(profile, metric, found): the k+1 best (score, id) of every search class, own ids included.
 
@@ -167,26 +176,28 @@ def _class_lists(
     the limits are listed then, and taken in the order of their bounds, more every round;
     before each, the limits have shrunk and drop most of the rest.
     """
-    shape = Shape(tuple(f"f{i}" for i in range(_N)), _NB, tuple(metrics), k, distance)
+    shape = Shape(tuple(f"f{i}" for i in range(_N)), _NB, tuple(metrics), k, distance, apart)
     shifts = tier_shifts(placed, leaf_bits, fan_bits, top_nodes)
     leaf = shifts[-1]
-    offered = [_known(tier, "", ["zone", "node", *_NODE]) for tier in summarise(placed, shifts, _NODE)]
-    packs = staged(in_leaves(as_blocks(placed.withColumn("node", node(leaf)), _OFFER_COLUMNS), shape.measures), "offered-blocks")
+    names = [f"limit_{m}" for m in metrics]
+    some = placed.where("size(heads) > 0")
+    offered = [_known(tier, "", ["zone", "node", *_NODE]) for tier in summarise(some, shifts, _NODE)]
+    packs = staged(in_leaves(as_blocks(some.withColumn("node", node(leaf)), _OFFER_COLUMNS), shape.measures), "offered-blocks")
     rated = _with_rates(placed.where("wanted"))
-    seekers = staged(_known(rated, "", ["zone", *_SEARCH_COLUMNS]).withColumn("node", node(leaf)), "search-rows")
+    seekers = staged(_known(rated, "", ["zone", *_SEARCH_COLUMNS, *names]).withColumn("node", node(leaf)), "search-rows")
     bound = _bounds(distance, metrics)
     nearer = [F.expr(bound[m]).alias(f"bound_{m}") for m in metrics]
     turn = Window.partitionBy("a_zone", "a_node").orderBy(f"bound_{metrics[0]}", "c_zone", "c_node")
-    names = [f"limit_{m}" for m in metrics]
 
     def tiers(rows: DataFrame) -> list[DataFrame]:
         kept = [*_NODE, *_LOOSEST, *names]
         loosest = {**_NODE, **_LOOSEST, **{n: (n, "max") for n in names}}
         return [_known(tier, "", ["zone", "node", *kept]) for tier in summarise(rows, shifts, loosest)]
 
-    def asked(limits: DataFrame | None) -> DataFrame:
-        known = seekers if limits is None else seekers.join(limits, "pos", "left")
-        return known.withColumns({n: F.lit(INF) if limits is None else F.expr(f"coalesce({n}, double('inf'))") for n in names})
+    def asked(limits: DataFrame) -> DataFrame:
+        """Search rows with the smaller of their limits."""
+        found = limits.withColumnsRenamed({n: f"new_{n}" for n in names})
+        return seekers.join(found, "pos", "left").withColumns({n: F.least(n, f"new_{n}") for n in names}).drop(*[f"new_{n}" for n in names])
 
     def best(entries: DataFrame) -> DataFrame:
         order = Window.partitionBy("a_pos", "metric").orderBy(F.round("score", SCORE_DIGITS), "id")
@@ -203,7 +214,7 @@ def _class_lists(
     def met(pairs: DataFrame) -> DataFrame:
         return scored(streamed(pairs, as_blocks(rows, (*_SEARCH_COLUMNS, *names)), packs, ("turn",)), shape, tally)
 
-    rows = asked(None)
+    rows = seekers
     first = pruned_pairs(tiers(rows), offered, edges, shifts, nearest_blocks, nearer)
     first = staged(first.withColumn("turn", F.row_number().over(turn)), "first-pairs")
     found = best(met(first))
@@ -250,17 +261,20 @@ def nearest(
     top_nodes: int = TOP_NODES,
     width: int = FIRST,
     tally: Accumulator | None = None,
+    offers: DataFrame | None = None,
+    caps: DataFrame | None = None,
 ) -> DataFrame:
     """search_prop, sim_prop, sim_score, sim_rank, metric for every wanted row of ``rows``.
 
     ``rows`` comes from :func:`score_rows`. Rank 1..k by score (missing last), then id. ``tally`` counts the
-    pairs that got an exact distance.
+    pairs that got an exact distance. ``offers`` (column ``prop_id``, none of them wanted) are the only ones listed, with
+    the ranges of the whole pool; ``caps`` (prop_id, limit_<metric>): nothing beyond these scores is looked for.
     """
     unknown = sorted(set(metrics) - set(METRICS))
     if unknown:
         raise ValueError(f"unknown metrics {unknown}; use {METRICS}")
-    placed = _classes(rows, edges, distance, k)
-    lists = _class_lists(placed, edges, distance, metrics, k, leaf_bits, fan_bits, top_nodes, width, tally)
+    placed = _classes(rows, edges, distance, k, metrics, offers, caps)
+    lists = _class_lists(placed, edges, distance, metrics, k, leaf_bits, fan_bits, top_nodes, width, tally, offers is not None)
     by_class = staged(
         lists.groupBy("profile").agg(F.map_from_entries(F.collect_list(F.struct("metric", "found"))).alias("found")), "class-lists"
     )

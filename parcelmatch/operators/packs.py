@@ -63,13 +63,17 @@ def _numbers(batch: pa.RecordBatch, i: int, names: Sequence[str]) -> list[np.nda
 
 
 class Shape(NamedTuple):
-    """What the arrays hold: measures (the first ``base`` known for all), metrics, list length, distance."""
+    """What the arrays hold: measures (the first ``base`` known for all), metrics, list length, distance.
+
+    ``apart``: nobody searched is offered, so a class may list the ids of its own row.
+    """
 
     measures: tuple[str, ...]
     base: int
     metrics: tuple[str, ...]
     k: int
     distance: str
+    apart: bool = False
 
 
 class Block:
@@ -209,7 +213,7 @@ def meet(a: Seekers, c: Offered, shape: Shape) -> tuple[list[tuple[np.ndarray, s
     sizes = c.sizes[leaf]
     of = np.repeat(of, sizes)
     to = np.repeat(c.starts[leaf] - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(of))
-    other = (a.pos[of] != c.pos[to]) | (c.head_count[to] > 1)
+    other = (a.pos[of] != c.pos[to]) | (c.head_count[to] > 1) | shape.apart
     of, to = of[other], to[other]
     if not len(of):
         return [], 0

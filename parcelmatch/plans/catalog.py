@@ -22,7 +22,8 @@ from ..operators.scaling import min_max
 from ..registry import FLAGS, MEASURES, PROJECTION_FEATURES, SCORES
 from ..session import staged, staging_root
 from ..sources import fixed_width, listings, tables
-from ..streaming.incremental import append_pending
+from ..streaming.incremental import append_pending, outcomes
+from ..streaming.maintenance import current_scores, refresh
 from .views import LISTING_LABELS, table, view
 
 YEARS = tuple(range(1995, 2002))  # columns of the pivot; a row of another year is an error
@@ -322,6 +323,23 @@ def q_incremental_score(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(spark.read.schema(SCORES).parquet(path))
 
 
+def q_score_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Attempts on record after two runs: every searched property and metric, with the length of its list."""
+    m, links, path = staged(matrix(spark, sf), "matrix"), edges(spark, sf), scratch(spark, "scores")
+    append_pending(m, links, path, metrics=("euclidean",), only=m.where("hood_cd IN ('Brand#3', 'Brand#7')").select("prop_id"))
+    append_pending(m, links, path, metrics=("euclidean",))
+    return rounded(outcomes(spark, path))
+
+
+def q_refresh_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Lists of a part of the properties, brought up to date after the others have come and some have changed."""
+    m, links, path = staged(matrix(spark, sf), "matrix"), edges(spark, sf), scratch(spark, "lists")
+    early = m.where("prop_id % 50 <> 3").withColumn("hood_cd", F.expr("if(prop_id % 60 = 1, 'other', hood_cd)"))
+    refresh(early, links, path)
+    refresh(m, links, path)
+    return rounded(current_scores(spark, path))
+
+
 def q_random_baseline(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(baseline.random_baseline(view(spark, sf, "appraisal")))
 

@@ -278,6 +278,10 @@ _SELECTS: dict[str, str] = {
     "neighbour_list": 'SELECT _id, "similar" FROM lists',
     "incremental_score": " UNION ALL ".join(
         f"SELECT search_prop, sim_prop, round(sim_score, 6) AS sim_score, sim_rank, metric FROM top_{m}" for m in ("euclidean", "manhattan")),
+    "score_ledger": """
+        SELECT prop_id, 'euclidean' AS metric, count(search_prop) AS listed FROM matrix LEFT JOIN top_euclidean ON search_prop = prop_id WHERE zone IS NOT NULL GROUP BY prop_id""",
+    "refresh_scores": " UNION ALL ".join(
+        f"SELECT search_prop, sim_prop, round(sim_score, 6) AS sim_score, sim_rank, metric FROM top_{m}" for m in ("euclidean", "manhattan")),
     "random_baseline": """
         SELECT a.prop_id AS search_prop, c.prop_id AS sim_prop, round(u * pow(0.9::DOUBLE, k), 6) AS sim_score, k AS sim_rank
         FROM (SELECT prop_id, k, ('0x' || substr(md5(concat('0_', prop_id)), 1, 15))::BIGINT / pow(16::DOUBLE, 15) AS u,
