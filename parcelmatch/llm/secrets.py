@@ -14,7 +14,9 @@ import string
 import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 from itertools import chain as chain_
+from operator import or_
 from typing import Any, NamedTuple
 
 import numpy as np
@@ -262,6 +264,10 @@ class Field:
         self.number = {f: i for i, f in enumerate(names)}
         self.weights, self.moves = weights, moves
         self.padded = np.concatenate([weights, np.zeros((1, 3))])
+        self.by_name: dict[str, dict[str, int]] = {}  # of features "template=value": value -> number
+        for f, i in self.number.items():
+            template, _, value = f.partition("=")
+            self.by_name.setdefault(template, {})[value] = i
         self.caches: tuple[Met, Met] | None = None
         self.by_kind = [Scores(lambda v, f=f: self.scores([f(v)])[0]) for f in (kind_features, lambda k: [f"prev.shape={shape(k)}"], lambda k: [f"next.shape={shape(k)}"])]
         steps = (("size", len(SIZES) + 1), ("digits", len(DIGITS) + 1), ("mix", 4), ("kinds", len(VARIETY) + 1))
@@ -291,25 +297,26 @@ class Field:
 
     def _named(self, template: str, values: Iterable[str]) -> np.ndarray:
         """Weights of one feature per value; none for unknown ones."""
-        number, none = self.number.get, len(self.weights)
-        return self.padded[[number(template + v, none) for v in values]]
+        number, none = self.by_name.get(template, {}).get, len(self.weights)
+        return self.padded.take([number(v, none) for v in values], 0)
 
     def _of_tokens(self, new: list[str]) -> list[np.ndarray]:
-        """Scores as the token itself, before, two before and behind another, as the last and an earlier string's cue, as its end, and counts."""
+        """Scores as the token itself, before, two before and behind another, as the last and an earlier string's cue, as its end, and numbers."""
         kind, low = [kinds(w) for w in new], [w[:10].lower() for w in new]
         own, prev, following = (table.of(kind) for table in self.by_kind)
-        hexed = self._named("hex=", [str(not w.strip(string.hexdigits)) for w in new])
-        own = own + hexed + self._named("word=", low)
-        prev = prev + self._named("prev=", [w[:6] for w in low])
-        behind = following + self._named("next=", [w[:3] for w in low])
+        hexed = self._named("hex", [str(not w.strip(string.hexdigits)) for w in new])
+        own = own + hexed + self._named("word", low)
+        prev = prev + self._named("prev", [w[:6] for w in low])
+        behind = following + self._named("next", [w[:3] for w in low])
         cues = [w.lower() if is_cue(w) else "" for w in new]
-        before = self._named("before=", cues)
-        leads = self._named("lead=", ["" if w.isalnum() else w for w in new])
+        before = self._named("before", cues)
+        leads = self._named("lead", ["" if w.isalnum() else w for w in new])
+        sign = {c: 1 << i for i, c in enumerate(SIGNS)}
         numbers = np.array([
-            (w.isspace(), "\n" in w, len(w), k.count("d"), k.count("x"), k.count("X"), len(set(w)), 1 << SIGNS.index(w) if w in SIGNS else 0, c != "")
-            for w, k, c in zip(new, kind, cues)
-        ])
-        return [own, prev, self._named("prev2=", [w[:8] for w in low]), behind, self._named("last=", cues) + before, before, leads, numbers]
+            [len(w) for w in new], [k.count("d") for k in kind], [k.count("x") for k in kind], [k.count("X") for k in kind], [len(set(w)) for w in new],
+            [sign.get(w, 0) for w in new], [c != "" for c in cues],
+        ], np.int64).T
+        return [own, prev, self._named("prev2", [w[:8] for w in low]), behind, self._named("last", cues) + before, before, leads, numbers]
 
     def _of_strings(self, new: list[str]) -> list[np.ndarray]:
         """Scores of whole strings, their last token of letters (0: none) and last token, and where their tokens are in the pool."""
@@ -318,16 +325,16 @@ class Field:
         numbers = tokens.settle()[-1]
         count = np.array([len(p) for p in parts], np.int64)
         ident, first = np.fromiter(chain_.from_iterable(parts), np.int64), np.cumsum(count) - count
-        size, digits, small, capital, variety = (np.add.reduceat(numbers[ident, c], first) for c in range(2, 7))
-        signs = np.bitwise_or.reduceat(numbers[ident, 7], first)
-        row = np.maximum.reduceat(np.where(numbers[ident, 8] > 0, np.arange(len(ident)), -1), first)
+        size, digits, small, capital, variety = np.add.reduceat(numbers[:, :5].take(ident, 0), first, axis=0).T
+        signs = np.bitwise_or.reduceat(numbers[ident, 5], first)
+        row = np.maximum.reduceat(np.where(numbers[ident, 6] > 0, np.arange(len(ident)), -1), first)
         cues = np.where(row >= first, ident[row], 0)
         place = (
             np.searchsorted(SIZES, size, "right"), np.searchsorted(DIGITS, digits / np.maximum(digits + small + capital, 1), "right"),
             2 * (small > 0) + (capital > 0), np.searchsorted(VARIETY, variety / size, "right"),
         )
         own = sum(table[at] for table, at in zip(self.by_look, place)) + self.by_signs[signs]
-        length = numbers[ident, 2]
+        length = numbers[ident, 0]
         before = np.cumsum(length) - length
         base = len(self.pool)
         self.pool = np.concatenate([self.pool, np.stack([ident, before - np.repeat(before[first], count), length], 1)])
@@ -338,7 +345,7 @@ class Field:
         if self.caches is None or max(map(len, self.caches)) > CACHE:
             none = [self.scores([f])[0] for f in ([], prev_features(None), [], next_features(None), ["last=", "before="], ["before="], ["lead="])]
             self.pool = np.zeros((0, 3), np.int64)  # of all tokens of strings: number, place in the string, length
-            self.caches = Met(self._of_tokens, [*none, np.zeros(9, np.int64)]), Met(self._of_strings, [np.zeros(3), np.zeros(4, np.int64)])
+            self.caches = Met(self._of_tokens, [*none, np.zeros(7, np.int64)]), Met(self._of_strings, [np.zeros(3), np.zeros(4, np.int64)])
         return self.caches
 
     def emissions(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -353,10 +360,10 @@ class Field:
             return np.zeros((0, 3)), part, part, np.zeros(len(texts), np.int64)
         own, prev, prev2, following, as_last, as_before, as_lead, _ = tokens.settle()
         begins, lines = zip(*map(string_places, texts))
-        cues, ends, first, count = about[part].T
+        cues, ends, first, count = about.take(part, 0).T
         string_of = np.repeat(np.arange(len(part)), count)
         in_string = np.arange(len(string_of)) - (np.cumsum(count) - count)[string_of]
-        ident, offset, length = self.pool[first[string_of] + in_string].T
+        ident, offset, length = self.pool.take(first[string_of] + in_string, 0).T
         start = np.concatenate(begins)[string_of] + offset
         text_of_string = np.repeat(np.arange(len(texts)), n_strings)
         since = np.arange(len(part)) - (np.cumsum(n_strings) - n_strings)[text_of_string]  # strings before it in its text
@@ -368,15 +375,16 @@ class Field:
 
         at = np.arange(len(part))
         none = self.scores([last_features(None)])[0]
-        of_string = own_string[part] + np.where(since[:, None] > 0, as_last[cues[at - 1]] + as_lead[ends[at - 1]], none)
+        of_string = own_string.take(part, 0) + np.where(since[:, None] > 0, as_last.take(cues[at - 1], 0) + as_lead.take(ends[at - 1], 0), none)
         for back in (2, 3):
-            of_string += np.where(since[:, None] >= back, as_before[cues[np.maximum(at - back, 0)]], 0)
-        of_string += self.scores([file_features(t) for t in texts])[text_of_string]
-        emit = own[ident] + of_string[string_of]
-        emit += prev[np.where(nth > 0, ident[row - 1], 0)]
-        emit += prev2[np.where(nth > 1, ident[row - 2], 0)]
-        emit += following[np.where(np.append(nth[1:], 0) == 0, 0, np.roll(ident, -1))]
-        emit += self.scores([place_features(k) for k in range(8)])[spot]
+            of_string += np.where(since[:, None] >= back, as_before.take(cues[np.maximum(at - back, 0)], 0), 0)
+        of_string += self.scores([file_features(t) for t in texts]).take(text_of_string, 0)
+        emit = own.take(ident, 0)
+        emit += of_string.take(string_of, 0)
+        emit += prev.take(np.where(nth > 0, ident[row - 1], 0), 0)
+        emit += prev2.take(np.where(nth > 1, ident[row - 2], 0), 0)
+        emit += following.take(np.where(np.append(nth[1:], 0) == 0, 0, np.roll(ident, -1)), 0)
+        emit += self.scores([place_features(k) for k in range(8)]).take(spot, 0)
         return emit, start, start + length, counts
 
     def spans(self, text: str) -> list[tuple[int, int]]:
@@ -692,7 +700,8 @@ def planted(seed: int, count: int) -> list[tuple[str, int, int, list[tuple[int,
 
 def learn(docs: DataFrame) -> Field:
     """The field, from a bounded sample of documents labelled by the base patterns, and planted lines."""
-    has = F.col("text").rlike(r"(?i)(password|passwd|secret|token|api_?key)[\"' ]*[:=]|AKIA|[0-9a-f]{32}")
+    folded = F.lower("text")
+    has = reduce(or_, [folded.contains(c) for c in ASSIGN_CUES]) | F.col("text").contains("AKIA") | F.col("text").rlike("[0-9a-f]{32}")
     marked = staged(docs.select("doc_id", F.coalesce(has, F.lit(False)).alias("has")), "marked")
     sample = staged(bounded_sample(marked, "has", SAMPLE).select("doc_id").distinct(), "sample")
     half, names = WINDOWS // 2, ["place", "line", "start", "end", "secrets"]
