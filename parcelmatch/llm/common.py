@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.attach import attach
 from ..session import staging_root
 
+SHARED_BYTES = 256 << 20  # of a model that every worker loads
 SLICE_BYTES = 4 << 20  # about as much of a batch is worked on at once
 
 Step = Callable[[pa.RecordBatch], pa.RecordBatch | None]
@@ -52,8 +54,11 @@ def kept(key: object, make: Callable[[], object]) -> object:
 
 
 def share(spark: SparkSession, value: object) -> Broadcast:
-    """A broadcast of an object of bounded size whose class the executors need not have."""
-    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    """A broadcast of an object whose class the executors need not have; one of more than ``SHARED_BYTES`` is refused."""
+    packed = cloudpickle.dumps(value)
+    if len(packed) > SHARED_BYTES:
+        raise ValueError(f"{type(value).__name__} of {len(packed)} bytes is too large to share with every worker")
+    return spark.sparkContext.broadcast(packed)
 
 
 def unpacked(shared: Broadcast) -> object:
@@ -114,12 +119,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def bounded_sample(rows: DataFrame, key: str, per_key: int) -> DataFrame:
     """At most ``per_key`` rows for each value of ``key``: those whose doc_id has the smallest hash.
 
-    Rows are thinned by their hash first, so no task sorts more than about twice the bound.
+    Rows fetch the size of their key by salted keys and are thinned by their hash to about twice the bound, so
+    no task holds a hot key: the sort gets about 2 x ``per_key`` rows of each. ``rows`` is read twice. Rows without a key go.
     """
     space = 1 << 31
     at, n, place = (fresh(rows, x) for x in ("_at", "_n", "_place"))
+    rows = rows.where(F.col(key).isNotNull())
     counts = rows.groupBy(key).agg(F.count("*").alias(n))
-    thinned = rows.join(counts, key).withColumn(at, F.xxhash64("doc_id").bitwiseAND(F.lit(space - 1)))
-    thinned = thinned.where(F.col(at) * F.col(n) < F.lit(2.0 * per_key * space))
+    thinned = attach(rows, counts, [key], F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "inner")
+    thinned = thinned.withColumn(at, F.xxhash64("doc_id").bitwiseAND(F.lit(space - 1))).where(F.col(at) * F.col(n) < F.lit(2.0 * per_key * space))
     first = Window.partitionBy(key).orderBy(at, "doc_id")
     return thinned.withColumn(place, F.row_number().over(first)).where(F.col(place) <= per_key).drop(at, n, place)

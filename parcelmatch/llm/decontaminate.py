@@ -259,7 +259,7 @@ def decontaminate(
     What a cut brings together is scanned again until nothing is left to cut. Missing and empty
     texts are kept as they are, repeated rows are treated alike.
     """
-    clash = {c: fresh(docs, "_" + c) for c in ("n_words", "spans", "items") if c in docs.columns}
+    clash = {c: fresh(docs, "_" + c) for c in docs.columns if c.lower() in ("n_words", "spans", "items")}
     found = find_windows(docs.withColumnsRenamed(clash), items, window)
     covered = F.aggregate("spans", F.lit(0).cast("bigint"), lambda s, x: s + (x["end"] - x["start"]))
     rows = found.where(covered <= F.col("n_words") * max_coverage)

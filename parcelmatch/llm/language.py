@@ -104,7 +104,7 @@ def mixtures(log: np.ndarray, n: np.ndarray, sizes: np.ndarray) -> tuple[np.ndar
         best[better], best_fit[better] = share[better], fit[better]
         if count == 1:
             break
-        count = count - 1 if count <= 8 else count // 2
+        count -= 1
         weakest_first = np.argsort(np.where(allowed, share, -1.0), axis=1, kind="stable")
         allowed = np.zeros_like(allowed)
         np.put_along_axis(allowed, weakest_first[:, -count:], True, axis=1)

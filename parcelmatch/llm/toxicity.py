@@ -212,12 +212,18 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 
 def _examples(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
-    """Texts and labels of the sampled examples, and how many labelled documents each class has."""
+    """Texts and labels of the sampled examples, and how many labelled texts each class has.
+
+    An id that is there several times counts once per different text, so repeated rows are one example.
+    """
     known = labels.where(learnable(labels) & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    present = staged(known.join(docs.select("doc_id").distinct(), "doc_id"), "labelled")
+    whole = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("whole")
+    present = docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", whole, "toxic").distinct()
+    present = staged(present, "labelled")
     sizes = {r["toxic"]: r["n"] for r in present.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     sample = staged(bounded_sample(present, "toxic", PER_CLASS), "sample")
-    return staged(docs.select("doc_id", "text").join(sample, "doc_id"), "examples"), sizes
+    found = docs.select("doc_id", "text", whole).join(sample, ["doc_id", "whole"])
+    return staged(found.groupBy("doc_id", "whole").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic")).drop("whole"), "examples"), sizes
 
 
 def _telling(examples: DataFrame, sizes: dict[int, int]) -> list[str]:

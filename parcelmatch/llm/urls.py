@@ -86,16 +86,18 @@ def segmented(hosts: DataFrame, counts: DataFrame) -> DataFrame:
     Only the substrings of names look up their counts, by a join, so the vocabulary may have any
     size. Unknown strings cost more the longer they are; equal splits prefer longer first words.
     """
-    names = staged(hosts.select(F.explode(names_of(F.col("host"))).alias("name")).distinct(), "names")
-    starts = names.select("name", F.explode(F.sequence(F.lit(0), F.length("name") - 1)).alias("at"))
-    reach = F.least(F.lit(LONGEST), F.length("name") - F.col("at"))
-    pieces = starts.select("name", "at", F.explode(F.sequence(F.lit(1), reach)).alias("size"))
-    pieces = pieces.withColumn("word", F.expr("substring(name, at + 1, size)"))
+    distinct = hosts.select(F.explode(names_of(F.col("host"))).alias("name")).distinct()
+    names = staged(distinct.withColumn("number", F.monotonically_increasing_id()), "names")
+    # A name may be long, so no row but its own holds it: the others have its number.
+    rests = F.transform(F.sequence(F.lit(0), F.length("name") - 1), lambda at: F.struct(at.alias("at"), F.substring("name", at + 1, F.lit(LONGEST)).alias("rest")))
+    starts = names.select("number", F.inline(rests))
+    pieces = starts.select("number", "at", "rest", F.explode(F.sequence(F.lit(1), F.length("rest"))).alias("size"))
+    pieces = pieces.select("number", "at", "size", F.expr("left(rest, size)").alias("word"))
     known = staged(counts, "words")
     wanted = staged(pieces.select("word").distinct().join(known, "word"), "wanted")
-    found = attach(staged(pieces, "pieces"), wanted, ["word"], F.col("name"), "inner").groupBy("name").agg(F.collect_list(F.struct("at", "size", "n")).alias("pieces"))
+    found = attach(staged(pieces, "pieces"), wanted, ["word"], F.col("number"), "inner").groupBy("number").agg(F.collect_list(F.struct("at", "size", "n")).alias("pieces"))
     total = known.agg(F.sum("n").alias("n")).first()["n"] or 0  # one row
-    each = names.join(found, "name", "left")
+    each = names.join(found, "number", "left").select("name", "pieces")
 
     def start() -> Step:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:

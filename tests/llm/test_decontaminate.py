@@ -124,3 +124,10 @@ def test_a_cut_of_a_middle_block_is_scanned_again_by_the_first(spark, documents,
     docs = documents([(1, "one a b p x y z q r c two"), (2, "nothing here")])
     left = {r["doc_id"]: words(r["text"]) for r in d.decontaminate(docs, items, 3, 3, 1.0).collect()}
     assert left == {1: ["one", "two"], 2: ["nothing", "here"]}
+
+
+def test_columns_that_clash_in_other_case_stay(spark, documents):
+    docs = documents([(1, "some clean words")]).selectExpr("*", "'a' AS Spans", "'b' AS ITEMS", "7L AS N_words")
+    items = spark.createDataFrame([(1, "a b c d e f g h i j k l")], "item_id bigint, text string")
+    out = d.decontaminate(docs, items)
+    assert out.columns == docs.columns and tuple(out.first())[-3:] == ("a", "b", 7)

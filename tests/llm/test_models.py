@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from parcelmatch.llm import language, secrets, toxicity
 
@@ -99,6 +100,30 @@ def test_toxicity_of_odd_rows_and_missing_labels(spark, odd):
     assert toxicity.without_toxic(wide, labels).columns == wide.columns
 
 
+def test_a_repeated_id_is_one_example(spark, documents):
+    rows = [r for r in toxic_corpus(200)]
+    again = [rows[0][:2]] * 3000 + [(rows[5][0], f"{rows[5][1]} {k % 2}") for k in range(2000)]
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows], LABELS)
+    examples, sizes = toxicity._examples(documents([*[r[:2] for r in rows], *again]), labels)
+    assert examples.count() == sum(sizes.values()) <= 204
+
+
+def test_a_sample_is_bounded_per_key(spark):
+    from parcelmatch.llm.common import bounded_sample
+
+    rows = spark.range(20_000).selectExpr("id AS doc_id", "if(id % 10 < 8, 'hot', concat('k', id % 50)) AS k").unionByName(spark.sql("SELECT 1L AS doc_id, CAST(NULL AS STRING) AS k"))
+    got = {r["k"]: r["n"] for r in bounded_sample(rows, "k", 300).groupBy("k").agg(F.count("*").alias("n")).collect()}
+    assert got["hot"] == 300 and None not in got and all(n == 300 for n in got.values())
+
+
+def test_a_large_model_is_not_shared(spark, monkeypatch):
+    from parcelmatch.llm import common
+
+    monkeypatch.setattr(common, "SHARED_BYTES", 100)
+    with pytest.raises(ValueError, match="too large to share"):
+        common.share(spark, "x" * 200)
+
+
 # Language ------------------------------------------------------------------------------------
 
 SYLLABLES = {"aa": ["the", "and", "ing", "wh"], "bb": ["che", "gli", "zio", "que"], "cc": ["sch", "ung", "öß", "ver"]}

@@ -213,3 +213,12 @@ def test_urls_of_odd_tables(spark):
     assert urls.filter_urls(none).count() == 0
     lone = spark.createDataFrame([(1, "x://y.org/a", None), (1, "x://y.org/a", None), (None, None, None)], PAGES).withColumn("host", F.lit("own"))
     assert [r["verdict"] for r in urls.filter_urls(lone).collect()] == ["allow"] * 3
+
+
+def test_a_very_long_host_name(spark):
+    name = "the" * 3_000
+    pages = spark.createDataFrame([(1, f"http://{name}.org/x", "<p>the the</p>"), (2, "http://a.com/", "<p>a</p>"), (3, "http://b.net/es/", None)], "page_id bigint, url string, html string")
+    rows = {r["page_id"]: r for r in urls.filter_urls(pages).collect()}
+    assert rows[1]["host"] == name + ".org" and rows[1]["verdict"] in ("allow", "block") and rows[2]["verdict"] == "allow"
+    words = urls.segmented(pages.selectExpr("split(url, '/')[2] AS host"), urls.word_counts(pages)).where("length(name) > 9").first()["words"]
+    assert words == ["the"] * 3_000
