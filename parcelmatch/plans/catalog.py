@@ -134,6 +134,18 @@ def q_history_long(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(union_years([fixed_width.read_fixed_width(spark, path, names, widths, types)]))
 
 
+def q_history_yearly(spark: SparkSession, sf: str) -> DataFrame:
+    """Extracts whose layout changes from year to year, one folder per year; of these the later years."""
+    path = scratch(spark, "yearly-txt")
+    old, new = (("prop_id", "appraised_val", "prop_val_yr"), (20, 24, 6)), (("prop_val_yr", "note", "prop_id", "appraised_val"), (8, 5, 22, 26))
+    rows = view(spark, sf, "history_rows").withColumns({"year": F.col("prop_val_yr"), "note": F.lit("x")})
+    for layout, which in ((old, "year < 1998"), (new, "year >= 1998")):
+        fixed_lines(rows.where(which), *layout, "year").write.mode("append").partitionBy("year").text(path)
+    layouts = {year: old if year < 1998 else new for year in YEARS}
+    types = {"prop_id": "bigint", "prop_val_yr": "int", "appraised_val": "double"}
+    return rounded(fixed_width.read_yearly(spark, path, layouts, types).where("year >= 1997"))
+
+
 def q_csv_scan_typed(spark: SparkSession, sf: str) -> DataFrame:
     """Write with header, read back with forced string columns."""
     path = scratch(spark, "geodata-csv")

@@ -220,6 +220,7 @@ _define("page_text", """
 _SELECTS: dict[str, str] = {
     "fixed_width_scan": f"SELECT {', '.join(CUSTOMER_NAMES)} FROM customer",
     "history_long": "SELECT prop_id, prop_val_yr, appraised_val FROM history_rows",
+    "history_yearly": "SELECT prop_val_yr AS year, prop_id, prop_val_yr, appraised_val FROM history_rows WHERE prop_val_yr >= 1997",
     "csv_scan_typed": """SELECT CAST(prop_id AS STRING) AS prop_id, Address, City, State, trim(Lat) AS Lat, Long, geo_id, ingest_seq FROM geodata_rows""",
     "partition_by_zone": """
         SELECT prop_id, replace(split_part(situs_zip, '-', 1), '.0', '') AS zone, appraised_val FROM appraisal

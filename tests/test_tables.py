@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from parcelmatch.operators import lookup
 from parcelmatch.operators.dedupe import keep_first
-from parcelmatch.sources import listings, tables
+from parcelmatch.sources import fixed_width, listings, tables
 
 
 def plan(df):
@@ -82,3 +82,16 @@ def test_result_table_sorted_by_another_column(spark, shelf):
     docs = tables.read_lookup_table(spark, shelf, "key").withColumn("land_sqft", F.col("_id") * -1)
     got = lookup.neighbour_view(docs, docs.where("_id IN (5, 9)"), sort_by="land_sqft", columns=("rank", "land_sqft")).collect()
     assert [(r["search_id"], r["_id"], r["rank"]) for r in got] == [(5, 5, 0), (5, 0, 1), (9, 9, 0), (9, 0, 1)]
+
+
+def test_each_year_has_its_layout_and_a_year_filter_leaves_out_folders(spark, tmp_path):
+    for year, line in ((2015, "  1 10.5"), (2016, "20.5 junk   2"), (2017, "  3")):
+        (tmp_path / f"year={year}").mkdir()
+        (tmp_path / f"year={year}" / "PROP.TXT").write_text(line + "\n")
+    layouts = {2015: (("id", "v"), (3, 5)), 2016: (("v", "x", "id"), (5, 4, 4)), 2017: (("id",), (3,))}
+    rows = fixed_width.read_yearly(spark, str(tmp_path), layouts, {"id": "int", "v": "double"}, "PROP.TXT")
+    assert sorted(map(tuple, rows.collect())) == [(2015, 1, 10.5), (2016, 2, 20.5), (2017, 3, None)]
+    some = rows.where("year >= 2017")
+    assert "PartitionFilters: [isnotnull(year" in plan(some) and "(year#" in plan(some) and [tuple(r) for r in some.collect()] == [(2017, 3, None)]
+    with pytest.raises(Exception, match="no layout for year 2017"):
+        fixed_width.read_yearly(spark, str(tmp_path), {2015: layouts[2015], 2016: layouts[2016]}, {"id": "int"}).collect()
