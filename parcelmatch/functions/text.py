@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,3 +109,26 @@ def grams(text: Column) -> Column:
     padded = F.concat(text, F.lit(END_OF_TEXT * (GRAM - 1)))
     starts = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text)))
     return F.array_distinct(F.transform(starts, lambda i: F.substring(padded, i, F.lit(GRAM))))
+
+
+#: Words that introduce a unit.
+UNIT_WORDS = ("APT", "APARTMENT", "UNIT", "STE", "SUITE")
+
+
+def address_parts(address: Column, noise: Sequence[str] = ()) -> Column:
+    """number, street (words in their order), sorted (the same words in order), unit and zip of an address; '' for what it lacks.
+
+    The number is the first whole number that is neither unit nor zip, so the parts may come in any order.
+    ``noise``: words such as the city that say nothing.
+    """
+    text = F.upper(F.regexp_replace(F.coalesce(address, F.lit("")), "[.,;]", " "))
+    zip_ = F.regexp_extract(text, r"(?:^|\s)(\d{5})(?:-\d{4})?\s*$", 1)
+    rest = F.regexp_replace(text, r"(?:^|\s)\d{5}(?:-\d{4})?\s*$", "")
+    marked = rf"(?:(?:^|\s)(?:{'|'.join(UNIT_WORDS)})\s+#?|#)\s*([A-Z0-9-]+)"
+    unit = F.regexp_extract(rest, marked, 1)
+    rest = F.regexp_replace(rest, marked, " ")
+    number = F.regexp_extract(rest, r"(?:^|\s)(\d+)(?=\s|$)", 1)
+    words = F.filter(F.split(rest, r"\s+"), lambda w: (w != "") & (w != number) & ~w.isin(*noise, ""))
+    return F.struct(
+        number.alias("number"), F.array_join(words, " ").alias("street"), F.array_join(F.array_sort(words), " ").alias("sorted"), unit.alias("unit"), zip_.alias("zip")
+    )

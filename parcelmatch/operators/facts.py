@@ -9,10 +9,10 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import fact_label, full_address
+from ..functions.text import address_parts, fact_label, full_address
 from ..session import staged
 from .attach import attach
 from .dedupe import keep_first
@@ -126,3 +126,33 @@ def geocode_enrich(addresses: DataFrame, gazetteer: DataFrame, key: str, order:
     found = attach(known, places, ["address"], F.col(key))
     unknown = addresses.where("address IS NULL").withColumns({c: F.lit(None).cast("double") for c in ("lat", "lng")})
     return found.unionByName(unknown).na.fill(0.0, ["lat", "lng"])
+
+
+def geocode_match(addresses: DataFrame, gazetteer: DataFrame, key: str, order: Sequence[str | Column] = ("lat", "lng"), noise: Sequence[str] = ()) -> DataFrame:
+    """Like ``geocode_enrich`` for addresses that are spelt or ordered differently: with ``edits``, NULL (and 0.0, 0.0) for a miss.
+
+    Addresses are parsed; entries with the same number and zip form a block, and of those whose street is within one edit per
+    five letters (in the words' order or sorted) and whose unit is not another one the nearest wins, then the one with
+    the same unit, then the first by ``order``. A block holds one entry per street and unit, and is looked up by salted keys.
+    """
+    parsed = gazetteer.withColumn("_p", address_parts(F.col("address"), noise)).select("*", "_p.*").where("number <> ''")
+    entries = keep_first(parsed, ["number", "zip", "street", "unit"], order)
+    rank = Window.partitionBy("number", "zip").orderBy(*order)
+    entries = entries.withColumn("place", F.row_number().over(rank))
+    block = F.collect_list(F.struct("place", "street", F.col("sorted").alias("words"), F.col("unit").alias("room"), "lat", "lng")).alias("entries")
+    blocks = staged(entries.groupBy("number", "zip").agg(block), "address-blocks")
+    asked = staged(addresses.withColumn("_p", address_parts(F.col("address"), noise)).select("*", "_p.number", "_p.zip"), "parsed-addresses")
+
+    def edits(e: Column) -> Column:
+        return F.least(F.levenshtein(F.col("_p.street"), e["street"]), F.levenshtein(F.col("_p.sorted"), e["words"]))
+
+    found = attach(asked, blocks, ["number", "zip"], F.col(key))
+    near = F.transform("entries", lambda e: F.struct(edits(e).alias("edits"), (e["room"] != F.col("_p.unit")).alias("other"), e["place"].alias("place"), e["lat"].alias("lat"), e["lng"].alias("lng"), e["room"].alias("room")))
+    close = F.filter(near, lambda e: (e["edits"] <= F.floor(F.length("_p.street") / 5)) & ((e["room"] == F.col("_p.unit")) | (e["room"] == "") | (F.col("_p.unit") == "")))
+    best = found.withColumn("_best", F.array_min(close)).select(*addresses.columns, "_best.lat", "_best.lng", F.col("_best.edits").cast("int").alias("edits"))
+    return best.na.fill(0.0, ["lat", "lng"])
+
+
+def miss_share(matched: DataFrame) -> DataFrame:
+    """How many addresses there are, and the share without a match: one row."""
+    return matched.agg(F.count("*").alias("n"), F.avg(F.col("edits").isNull().cast("double")).alias("missed"))

@@ -482,6 +482,11 @@ def q_geocode_enrich(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(facts.geocode_enrich(addresses, gazetteer, "s_suppkey", ["seq"]))
 
 
+def q_geocode_match(spark: SparkSession, sf: str) -> DataFrame:
+    """Coordinates of addresses that are misspelt, reordered or unknown."""
+    return rounded(facts.geocode_match(view(spark, sf, "typed_addresses"), view(spark, sf, "gazetteer"), "prop_id", ["seq"], ("AUSTIN", "TX")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: f for name, f in list(globals().items()) if name.startswith("q_")
 }

@@ -317,6 +317,11 @@ _SELECTS: dict[str, str] = {
     "normalize_address": """
         SELECT prop_id, concat(trim(replace(replace(concat(situs_num, ' CONGRESS AVE TX ', situs_zip), 'TX', ''), situs_zip, '')), ' Austin, TX ', situs_zip)
           AS address FROM appraisal""",
+    "geocode_match": """
+        SELECT a.prop_id, a.address, coalesce(lat, 0) AS lat, coalesce(lng, 0) AS lng, edits FROM typed_addresses a LEFT JOIN (
+          SELECT p_partkey AS prop_id, p_size * 1.5::DOUBLE AS lat, p_partkey * -0.5::DOUBLE AS lng,
+            CASE p_type WHEN 'SMALL' THEN 0 WHEN 'MEDIUM' THEN 1 ELSE 0 END AS edits
+          FROM part WHERE p_brand <> 'Brand#25' AND p_type NOT IN ('LARGE', 'PROMO')) USING (prop_id)""",
     "geocode_enrich": """
         SELECT n_name AS address, s_suppkey, CASE WHEN n_regionkey <> 3 THEN n_nationkey * 1.5::DOUBLE ELSE 0 END AS lat,
           CASE WHEN n_regionkey <> 3 THEN n_nationkey * -2.5::DOUBLE ELSE 0 END AS lng

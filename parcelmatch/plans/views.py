@@ -78,6 +78,18 @@ VIEWS = {
         FROM {orders}""",
 }
 
+VIEWS["gazetteer"] = """
+        SELECT concat(CAST(p_partkey AS STRING), ' ', p_name, ', Austin, TX ', CAST(78700 + p_size AS STRING)) AS address,
+          p_size * 1.5e0 AS lat, p_partkey * -0.5e0 AS lng, 1 AS seq FROM {part} WHERE p_brand <> 'Brand#25'"""
+VIEWS["typed_addresses"] = """
+        SELECT p_partkey AS prop_id, CASE p_type
+            WHEN 'SMALL' THEN concat(split_part(p_name, ' ', 2), ' ', split_part(p_name, ' ', 1), ' ', CAST(p_partkey AS STRING), ' tx ', CAST(78700 + p_size AS STRING))
+            WHEN 'MEDIUM' THEN concat(CAST(p_partkey AS STRING), ' ', substr(p_name, 2), ' apt 4 Austin ', CAST(78700 + p_size AS STRING), '-1234')
+            WHEN 'LARGE' THEN concat(CAST(p_partkey AS STRING), ' ', p_name, ' ', CAST(78800 + p_size AS STRING))
+            WHEN 'PROMO' THEN concat(CAST(p_partkey AS STRING), ' elsewhere ', CAST(78700 + p_size AS STRING))
+            ELSE concat(CAST(p_partkey AS STRING), ' ', upper(p_name), '. ', CAST(78700 + p_size AS STRING)) END AS address
+        FROM {part}"""
+
 _ROLL = ("prop_id", "prop_type_cd", "geo_id", "py_addr_ml_deliverable", "hood_cd", "appraised_val", "assessed_val", "market_value", "situs_num",
          "situs_unit", "situs_zip", "imprv_state_cd", "land_state_cd")
 _LATER = {"hood_cd": "'LATER'", "situs_zip": "'00000'", "prop_type_cd": "'P'", "appraised_val": "1e0"}

@@ -1,6 +1,6 @@
 from html.parser import HTMLParser
 
-from parcelmatch.operators.facts import labelled_texts, page_facts, page_texts
+from parcelmatch.operators.facts import geocode_match, labelled_texts, miss_share, page_facts, page_texts
 from parcelmatch.plans.views import table
 
 
@@ -73,3 +73,14 @@ def test_labels(spark):
     assert page_facts(labelled_texts(texts)).first()["facts"] == {
         "<div>": ["year built:", "type:"], "yearbuilt": ["1990"], "type": ["house"], "<>": ["p"], "<i>": ["x:", "x"],
     }
+
+
+def test_addresses_match_in_other_spelling_and_order(spark):
+    places = [("12 Oak Hill Rd, Austin, TX 78701", 1.0, 2.0, 1), ("12 Oak Hill Rd apt 3, Austin, TX 78701", 3.0, 4.0, 2), ("12 Elm St 78701", 5.0, 6.0, 3), ("12 OAK HILL RD 78701", 7.0, 8.0, 4), ("no number", 9.0, 9.0, 5)]
+    typed = ["12 oak hil rd 78701-0001", "Hill Rd Oak 12, 78701", "12 Oak Hill Rd #3 Austin TX 78701", "12 Oak Hill Rd Unit 9 78701", "12 Elm St 78702", "13 Elm St 78701", "12 Elk St 78701", None, ""]
+    got = geocode_match(
+        spark.createDataFrame(list(enumerate(typed)), "i int, address string"), spark.createDataFrame(places, "address string, lat double, lng double, seq int"), "i", ["seq"], ("AUSTIN", "TX")
+    )
+    found = {r["i"]: (r["lat"], r["edits"]) for r in got.collect()}
+    assert found == {0: (1.0, 1), 1: (1.0, 0), 2: (3.0, 0), 3: (1.0, 0), 4: (0.0, None), 5: (0.0, None), 6: (5.0, 1), 7: (0.0, None), 8: (0.0, None)}
+    assert tuple(miss_share(got).first()) == (9, 4 / 9)
