@@ -162,9 +162,8 @@ def q_partition_by_zone(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(back.select("prop_id", "zone", "appraised_val"))
 
 
-def q_listing_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Batches of scraped records as JSON arrays of open-ended objects, read back."""
-    path = scratch(spark, "output-listings")
+def _listing_batches(spark: SparkSession, sf: str, size: int) -> DataFrame:
+    """Scraped records, some in one JSON array."""
     record = F.struct(
         F.col("event_id").cast("string").alias("id"),
         F.concat(F.col("user_id").cast("string"), F.lit(" "), F.col("event_type")).alias("address"),
@@ -172,15 +171,31 @@ def q_listing_scan(spark: SparkSession, sf: str) -> DataFrame:
         F.array(F.get_json_object("props", "$.k")).alias("beds"),
         F.when(F.col("event_type").isin("click", "error"), F.array(F.col("event_type"), F.lit("other"))).alias("type"),
     )
-    batches = table(spark, sf, "events").groupBy(F.floor(F.col("event_id") / 6).alias("batch")).agg(F.collect_list(record).alias("r"))
-    batches.select(F.to_json("r").alias("value")).write.text(path)
-    found = listings.read_listings(spark, path, "output", per_line=True, pattern="*.txt")
+    batches = table(spark, sf, "events").groupBy(F.floor(F.col("event_id") / size).alias("batch")).agg(F.collect_list(record).alias("r"))
+    return batches.select(F.to_json("r").alias("value"))
+
+
+def _listing_columns(found: DataFrame) -> DataFrame:
     return rounded(found.select(
         F.col("id"), "address", "zestimate", F.size("facts").alias("n_facts"), t.first_of(F.try_element_at("facts", F.lit("type"))).alias("type"),
         t.number(t.first_of(F.try_element_at("facts", F.lit("beds")))).alias("beds"),
     ))
 
 
+def q_listing_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches of scraped records as JSON arrays of open-ended objects, read back."""
+    path = scratch(spark, "output-listings")
+    _listing_batches(spark, sf, 6).write.text(path)
+    return _listing_columns(listings.read_listings(spark, path, "output", per_line=True, pattern="*.txt"))
+
+
+def q_listing_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """The same records in files of one array each, read by any number of tasks per file."""
+    path = scratch(spark, "listing-arrays")
+    _listing_batches(spark, sf, 5000).write.option("maxRecordsPerFile", 1).text(path)
+    return _listing_columns(listings.read_large_arrays(spark, path, pattern="*.txt"))
+
+
 # Features ------------------------------------------------------------------------------------
 
 def q_improvement_features(spark: SparkSession, sf: str) -> DataFrame:

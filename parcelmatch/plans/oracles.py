@@ -354,7 +354,7 @@ def _needed(sql: str, parts: Mapping[str, str]) -> list[str]:
 
 def oracle_sql() -> dict[str, str]:
     result = {}
-    for name, sql in _SELECTS.items():
+    for name, sql in (_SELECTS | {"listing_arrays": _SELECTS["listing_scan"]}).items():
         parts = _needed(sql, _PARTS)
         ctes = ",\n".join(f"{p} AS {'' if p in _WALKS else 'MATERIALIZED '}({_PARTS[p]})" for p in parts)
         result[name] = f"WITH {'RECURSIVE ' if _WALKS & {*parts} else ''}{ctes}\n{sql}" if parts else sql

@@ -95,3 +95,20 @@ def test_each_year_has_its_layout_and_a_year_filter_leaves_out_folders(spark, tm
     assert "PartitionFilters: [isnotnull(year" in plan(some) and "(year#" in plan(some) and [tuple(r) for r in some.collect()] == [(2017, 3, None)]
     with pytest.raises(Exception, match="no layout for year 2017"):
         fixed_width.read_yearly(spark, str(tmp_path), {2015: layouts[2015], 2016: layouts[2016]}, {"id": "int"}).collect()
+
+
+def test_a_large_array_is_read_by_several_tasks(spark, tmp_path, small_blocks):
+    """Brackets, quotes and backslashes in texts; one line, many blocks."""
+    odd = ["}", "{", '"', "\\\\", '\\"}', "],[", "a}b{c", "", "é}", "\\n"]
+    records = [{"id": str(i), "address": odd[i % 10] * (i % 4), "zestimate": None, "beds": [odd[i % 7], "x"], "type": ["}" * (i % 3)]} for i in range(300)]
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "big.json").write_text(json.dumps(records))
+    (tmp_path / "a" / "small.json").write_text(json.dumps(records[:3], indent=1))
+    (tmp_path / "a" / "none.json").write_text("[]")
+    got = listings.read_large_arrays(spark, str(tmp_path / "a"), order="o")
+    want = listings.read_listings(spark, str(tmp_path / "a"), order="o")
+    text = lambda df: sorted((r["id"], r["address"], r["zestimate"], str(sorted(r["facts"].items()))) for r in df.collect())
+    assert text(got) == text(want) and got.count() == 303
+    assert spark.read.option("lineSep", "}").text(str(tmp_path / "a" / "big.json")).rdd.getNumPartitions() > 20
+    first = keep_first(got.where("o.file LIKE '%big%'"), ["address"], ["o"]).orderBy("o").select("id").collect()
+    assert [r["id"] for r in first] == [r["id"] for r in keep_first(want.where("o.o.file LIKE '%big%'"), ["address"], ["o"]).orderBy("o").select("id").collect()]
