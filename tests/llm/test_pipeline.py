@@ -66,4 +66,4 @@ def test_registered_pipeline_is_the_stages(spark, folder):
     got = entry.queries()["pipeline"](spark, path)
     assert {"doc_id", "text", "lang", "source", "n_chars", "token_ids"} <= set(got.columns)
     assert got.count() == len({r["doc_id"] for r in got.collect()}) > 250
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in entry.queries() if q.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in entry.queries() if q.startswith("op")}
