@@ -269,6 +269,7 @@ class Field:
             template, _, value = f.partition("=")
             self.by_name.setdefault(template, {})[value] = i
         self.caches: tuple[Met, Met] | None = None
+        self.remembered = CACHE
         self.by_kind = [Scores(lambda v, f=f: self.scores([f(v)])[0]) for f in (kind_features, lambda k: [f"prev.shape={shape(k)}"], lambda k: [f"next.shape={shape(k)}"])]
         steps = (("size", len(SIZES) + 1), ("digits", len(DIGITS) + 1), ("mix", 4), ("kinds", len(VARIETY) + 1))
         self.by_look = [self.scores([[f"string.{name}={i}"] for i in range(n)]) for name, n in steps]
@@ -342,7 +343,7 @@ class Field:
 
     def _known(self) -> tuple[Met, Met]:
         """What is remembered of tokens and of strings; emptied when it is full, between groups."""
-        if self.caches is None or max(map(len, self.caches)) > CACHE:
+        if self.caches is None or max(map(len, self.caches)) > self.remembered:
             none = [self.scores([f])[0] for f in ([], prev_features(None), [], next_features(None), ["last=", "before="], ["before="], ["lead="])]
             self.pool = np.zeros((0, 3), np.int64)  # of all tokens of strings: number, place in the string, length
             self.caches = Met(self._of_tokens, [*none, np.zeros(7, np.int64)]), Met(self._of_strings, [np.zeros(3), np.zeros(4, np.int64)])
@@ -791,12 +792,16 @@ def redacted(text: str, spans: list[Span], mark: str = REDACTED) -> str:
     return "".join([*out, text[at:]])
 
 
-def without_secrets(docs: DataFrame) -> DataFrame:
-    """``docs`` with every secret replaced by a mark; no row goes, missing texts stay missing."""
+def without_secrets(docs: DataFrame, cache: int = CACHE // 3) -> DataFrame:
+    """``docs`` with every secret replaced by a mark; no row goes, missing texts stay missing.
+
+    Workers remember less than in ``find_secrets``, as those of a pipeline hold memory of other stages.
+    """
     shared = share(docs.sparkSession, learn(docs))
 
     def start() -> Step:
         field = unpacked(shared)
+        field.remembered = cache
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = batch.column("text").to_pylist()

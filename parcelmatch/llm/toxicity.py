@@ -217,9 +217,8 @@ def _examples(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int,
     An id that is there several times counts once per different text, so repeated rows are one example.
     """
     known = labels.where(learnable(labels) & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    whole = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("whole")
-    present = docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", whole, "toxic").distinct()
-    present = staged(present, "labelled")
+    whole = F.xxhash64(F.coalesce("text", F.lit(""))).alias("whole")
+    present = staged(docs.select("doc_id", whole).join(known, "doc_id").distinct(), "labelled")  # hashes move, not texts
     sizes = {r["toxic"]: r["n"] for r in present.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     sample = staged(bounded_sample(present, "toxic", PER_CLASS), "sample")
     found = docs.select("doc_id", "text", whole).join(sample, ["doc_id", "whole"])
