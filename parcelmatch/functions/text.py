@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,6 +100,11 @@ def fact_label(parent: Column, child: Column) -> Column:
     return F.lower(F.regexp_replace(rest, "[: \\n]", ""))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 GRAM = 3
 END_OF_TEXT = "\x00"  # fills the grams at a text's end
 
@@ -118,17 +123,22 @@ UNIT_WORDS = ("APT", "APARTMENT", "UNIT", "STE", "SUITE")
 def address_parts(address: Column, noise: Sequence[str] = ()) -> Column:
     """number, street (words in their order), sorted (the same words in order), unit and zip of an address; '' for what it lacks.
 
-    The number is the first whole number that is neither unit nor zip, so the parts may come in any order.
+    The number is the first whole number that is neither unit nor zip, so the parts may come in any order. Every step is a
+    ``let``: the words' filter would otherwise work out the number again, from the whole address, for each word.
     ``noise``: words such as the city that say nothing.
     """
-    text = F.upper(F.regexp_replace(F.coalesce(address, F.lit("")), "[.,;]", " "))
-    zip_ = F.regexp_extract(text, r"(?:^|\s)(\d{5})(?:-\d{4})?\s*$", 1)
-    rest = F.regexp_replace(text, r"(?:^|\s)\d{5}(?:-\d{4})?\s*$", "")
     marked = rf"(?:(?:^|\s)(?:{'|'.join(UNIT_WORDS)})\s+#?|#)\s*([A-Z0-9-]+)"
-    unit = F.regexp_extract(rest, marked, 1)
-    rest = F.regexp_replace(rest, marked, " ")
-    number = F.regexp_extract(rest, r"(?:^|\s)(\d+)(?=\s|$)", 1)
-    words = F.filter(F.split(rest, r"\s+"), lambda w: (w != "") & (w != number) & ~w.isin(*noise, ""))
-    return F.struct(
-        number.alias("number"), F.array_join(words, " ").alias("street"), F.array_join(F.array_sort(words), " ").alias("sorted"), unit.alias("unit"), zip_.alias("zip")
-    )
+
+    def of_rest(rest: Column, unit: Column, zip_: Column) -> Column:
+        return let(F.regexp_extract(rest, r"(?:^|\s)(\d+)(?=\s|$)", 1), lambda number: let(
+            F.filter(F.split(rest, r"\s+"), lambda w: (w != "") & (w != number) & ~w.isin(*noise, "")), lambda words: F.struct(
+                number.alias("number"), F.array_join(words, " ").alias("street"), F.array_join(F.sort_array(words), " ").alias("sorted"),
+                unit.alias("unit"), zip_.alias("zip"),
+            )))
+
+    def of_text(text: Column) -> Column:
+        zip_ = F.regexp_extract(text, r"(?:^|\s)(\d{5})(?:-\d{4})?\s*$", 1)
+        return let(F.regexp_replace(text, r"(?:^|\s)\d{5}(?:-\d{4})?\s*$", ""), lambda rest: let(
+            F.regexp_replace(rest, marked, " "), lambda bare: of_rest(bare, F.regexp_extract(rest, marked, 1), zip_)))
+
+    return let(F.upper(F.regexp_replace(F.coalesce(address, F.lit("")), "[.,;]", " ")), of_text)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.text import address_parts, fact_label, full_address
 from ..session import staged
 from .attach import attach
+from .blocks import parallel
 from .dedupe import keep_first
 
 
@@ -135,13 +136,15 @@ def geocode_match(addresses: DataFrame, gazetteer: DataFrame, key: str, order: S
     five letters (in the words' order or sorted) and whose unit is not another one the nearest wins, then the one with
     the same unit, then the first by ``order``. A block holds one entry per street and unit, and is looked up by salted keys.
     """
-    parsed = gazetteer.withColumn("_p", address_parts(F.col("address"), noise)).select("*", "_p.*").where("number <> ''")
+    # Small rows, but expensive to parse: dealt out first. A generator's columns: a filter on them stays behind it, so nothing is parsed twice.
+    parsed = parallel(gazetteer).select("*", F.inline(F.array(address_parts(F.col("address"), noise)))).where("number <> ''")
     entries = keep_first(parsed, ["number", "zip", "street", "unit"], order)
     rank = Window.partitionBy("number", "zip").orderBy(*order)
     entries = entries.withColumn("place", F.row_number().over(rank))
     block = F.collect_list(F.struct("place", "street", F.col("sorted").alias("words"), F.col("unit").alias("room"), "lat", "lng")).alias("entries")
     blocks = staged(entries.groupBy("number", "zip").agg(block), "address-blocks")
-    asked = staged(addresses.withColumn("_p", address_parts(F.col("address"), noise)).select("*", "_p.number", "_p.zip"), "parsed-addresses")
+    parts = F.explode(F.array(address_parts(F.col("address"), noise))).alias("_p")
+    asked = staged(parallel(addresses).select("*", parts).select("*", "_p.number", "_p.zip"), "parsed-addresses")
 
     def edits(e: Column) -> Column:
         return F.least(F.levenshtein(F.col("_p.street"), e["street"]), F.levenshtein(F.col("_p.sorted"), e["words"]))

@@ -84,3 +84,20 @@ def test_addresses_match_in_other_spelling_and_order(spark):
     found = {r["i"]: (r["lat"], r["edits"]) for r in got.collect()}
     assert found == {0: (1.0, 1), 1: (1.0, 0), 2: (3.0, 0), 3: (1.0, 0), 4: (0.0, None), 5: (0.0, None), 6: (5.0, 1), 7: (0.0, None), 8: (0.0, None)}
     assert tuple(miss_share(got).first()) == (9, 4 / 9)
+
+
+def test_addresses_are_parsed_by_several_tasks(spark, monkeypatch):
+    from parcelmatch.operators import facts
+
+    tasks = {}
+
+    def staged(df, label):
+        tasks[label] = df.rdd.getNumPartitions()
+        return facts_staged(df, label)
+
+    facts_staged = facts.staged
+    monkeypatch.setattr(facts, "staged", staged)
+    typed = spark.createDataFrame([(i, f"{i} Oak Hill Rd 78701") for i in range(40)], "i int, address string").coalesce(1)  # one small file is one task
+    places = typed.selectExpr("address", "1D AS lat", "2D AS lng")
+    assert geocode_match(typed, places, "i").where("edits = 0").count() == 40
+    assert tasks["parsed-addresses"] >= 4
