@@ -117,6 +117,14 @@ def position(lat: str, lon: str, metric: str = "vincenty") -> dict[str, str]:
     }
 
 
+def positions(metric: str, lat: np.ndarray, lon: np.ndarray) -> list[np.ndarray]:
+    """``position`` of known coordinates, as one array per axis."""
+    high = np.radians(lat) if metric == "haversine" else np.arctan((1 - WGS84_F) * np.tan(np.radians(lat)))
+    wide, tall = (EARTH_KM, EARTH_KM) if metric == "haversine" else (WGS84_A, WGS84_A * (1 - WGS84_F))
+    across = np.cos(high) * wide
+    return [across * np.cos(np.radians(lon)), across * np.sin(np.radians(lon)), np.sin(high) * tall]
+
+
 def _radius(metric: str) -> float:
     """No line along the surface bends more sharply than a circle of this radius, so none is longer than its arc."""
     return EARTH_KM if metric == "haversine" else LEAST_RADIUS

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from ..functions.geo import AXES, EARTH_KM, inverse_km, least_chord, least_km, most_km
+from ..functions.geo import AXES, BLUR_KM, EARTH_KM, FAR_KM, inverse_km, least_chord, least_km, most_km, positions
 from .blocks import parallel
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -28,6 +28,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LEAF = 4  # candidates of a leaf
 MARGIN = 1e-8
 UNIT = 1e9  # scores are compared in whole billionths
+HELD_PLACES = 1 << 17  # candidates for the nearest and the farthest place of a block's rows
 UNSURE = 1e-5  # so near to a half of one, the rounding is left to the last step
 ENTRIES = "a_pos bigint, metric string, score double, id bigint"
 
@@ -306,37 +307,90 @@ def scored(stream: DataFrame, shape: Shape, tally: Accumulator | None = None) ->
     return stream.mapInArrow(run, ENTRIES)
 
 
+class Ends:
+    """Nearest and farthest other place of the rows of one search block, over the blocks offered so far.
+
+    The straight lines met so far limit what is still looked at: rows that cannot gain from a block are passed over,
+    and only places that can still be the nearest or the farthest are remembered (at most about ``HELD_PLACES`` before their
+    exact distances are taken).
+    """
+
+    def __init__(self, distance: str, pos: np.ndarray, n: np.ndarray, lat: np.ndarray, lon: np.ndarray) -> None:
+        self.distance, self.pos, self.single, self.lat, self.lon = distance, pos, n == 1, lat, lon
+        self.axes = positions(distance, lat, lon)
+        self.closest, self.farthest = np.full(len(pos), np.inf), np.zeros(len(pos))
+        self.low, self.high = np.full(len(pos), np.inf), np.full(len(pos), -np.inf)
+        self.held: list[list[np.ndarray]] = []
+        self.count = 0
+
+    def _limits(self) -> tuple[np.ndarray, np.ndarray]:
+        """No nearest place is farther than its arc, no farthest nearer than the straight line."""
+        return most_km(self.distance, self.closest), least_chord(self.distance, least_km(self.farthest))
+
+    def offer(self, pos: np.ndarray, lat: np.ndarray, lon: np.ndarray) -> None:
+        axes = positions(self.distance, lat, lon)
+        ends = [(x, c.min(), c.max()) for x, c in zip(self.axes, axes)]
+        least = np.sqrt(sum(np.square(np.maximum(0, np.maximum(low - x, x - high))) for x, low, high in ends))
+        most = np.sqrt(sum(np.square(np.maximum(high - x, x - low)) for x, low, high in ends)) + BLUR_KM
+        near, far = self._limits()
+        rows = np.flatnonzero((least_km(least) <= near) | (most >= far))
+        if not len(rows):
+            return
+        chord = np.sqrt(sum(np.square(x[rows, None] - c[None, :]) for x, c in zip(self.axes, axes)))
+        other = ~((self.pos[rows, None] == pos[None, :]) & self.single[rows, None])
+        self.closest[rows] = np.minimum(self.closest[rows], np.where(other, chord, np.inf).min(1))
+        # places nearly opposite may have no distance, so they set no limit
+        self.farthest[rows] = np.maximum(self.farthest[rows], np.where(other & (chord <= FAR_KM), chord, 0).max(1))
+        near, far = self._limits()
+        of, to = np.nonzero(((least_km(chord) <= near[rows, None]) | (chord >= far[rows, None])) & other)
+        self.held.append([rows[of], lat[to], lon[to], chord[of, to]])
+        self.count += len(of)
+        if self.count > HELD_PLACES:
+            self._thin()
+            if self.count > HELD_PLACES // 2:
+                self._settle()
+
+    def _thin(self) -> None:
+        """Forget the places that were passed by others since."""
+        near, far = self._limits()
+        of, lat, lon, chord = (np.concatenate(x) for x in zip(*self.held))
+        keep = (least_km(chord) <= near[of]) | (chord >= far[of])
+        self.held = [[x[keep] for x in (of, lat, lon, chord)]]
+        self.count = int(keep.sum())
+
+    def _settle(self) -> None:
+        of, lat, lon, _ = self.held[0]
+        km = _exact_km(self.distance, self.lat[of], self.lon[of], lat, lon)
+        known = ~np.isnan(km)
+        np.minimum.at(self.low, of[known], km[known])
+        np.maximum.at(self.high, of[known], km[known])
+        self.held, self.count = [], 0
+
+    def found(self) -> pa.RecordBatch:
+        if self.held:
+            self._thin()
+            self._settle()
+        there = np.isfinite(self.low)
+        return pa.RecordBatch.from_arrays([pa.array(x[there]) for x in (self.pos, self.low, self.high)], names=["a_pos", "km_lo", "km_hi"])
+
+
 def far_and_near(stream: DataFrame, distance: str) -> DataFrame:
-    """(a_pos, km_lo, km_hi): nearest and farthest other place of each search row, per pair of blocks of places.
+    """(a_pos, km_lo, km_hi): nearest and farthest other place of each search row.
 
-    Columns pos, n (properties at the place), lat, lon and axes. Straight lines tell which few places can
-    be the nearest or the farthest; only these get the exact distance.
+    Columns pos, n (properties at the place), lat, lon; every search block is followed by the blocks offered to it. Straight lines
+    tell which few places can be the nearest or the farthest; only these get the exact distance.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        ends: Ends | None = None
         for batch in batches:
             for i, offering in enumerate(batch.column("offers").to_pylist()):
-                if not offering:
-                    held = _numbers(batch, i, ("pos", "n", "lat", "lon", *AXES))
-                    continue
-                pos, n, lat, lon, *axes = held
-                c_pos, c_lat, c_lon, *c_axes = _numbers(batch, i, ("pos", "lat", "lon", *AXES))
-                chord = np.sqrt(sum(np.square(x[:, None] - y[None, :]) for x, y in zip(axes, c_axes)))
-                itself = (pos[:, None] == c_pos[None, :]) & (n == 1)[:, None]
-                closest = np.where(itself, np.inf, chord).min(1)  # no other place is farther than its arc
-                farthest = np.where(itself, 0, chord).max(1)  # the farthest is no nearer
-                near = least_km(chord) <= most_km(distance, closest)[:, None]
-                far = chord >= least_chord(distance, least_km(farthest))[:, None]
-                of, to = np.nonzero((near | far) & ~itself)
-                if not len(of):
+                if offering:
+                    ends.offer(*_numbers(batch, i, ("pos", "lat", "lon")))
                     continue
-                km = _exact_km(distance, lat[of], lon[of], c_lat[to], c_lon[to])
-                known = ~np.isnan(km)
-                of, km = of[known], km[known]
-                low, high = np.full(len(pos), np.inf), np.full(len(pos), -np.inf)
-                np.minimum.at(low, of, km)
-                np.maximum.at(high, of, km)
-                there = np.isfinite(low)
-                yield pa.RecordBatch.from_arrays([pa.array(x[there]) for x in (pos, low, high)], names=["a_pos", "km_lo", "km_hi"])
+                if ends is not None:
+                    yield ends.found()
+                ends = Ends(distance, *_numbers(batch, i, ("pos", "n", "lat", "lon")))
+        if ends is not None:
+            yield ends.found()
 
     return stream.mapInArrow(run, "a_pos bigint, km_lo double, km_hi double")

@@ -22,13 +22,14 @@ from ..functions.geo import AXES, box_km_bounds, box_km_by_degrees, position
 from ..registry import FLAGS
 from ..session import staged
 from .attach import attach
-from .blocks import FAN_BITS, TOP_NODES, interleaved, node, place, pruned_pairs, summarise, tier_shifts
+from .blocks import TOP_NODES, interleaved, node, place, pruned_pairs, summarise, tier_shifts
 from .flags import over_hood, over_zone
 from .packs import as_blocks, far_and_near, streamed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PLACE_LEAF_BITS = 7  # places of a block: arrays of 128
+PLACE_FAN_BITS = 3  # few children: most pairs of places' blocks are hopeless, which a tier just above tells at less cost
 
 
 def hood_key(hood: Column) -> Column:
@@ -113,7 +114,7 @@ _PLACE_NODE = {
 
 
 def distance_ranges(
-    rows: DataFrame, edges: DataFrame, metric: str, leaf_bits: int = PLACE_LEAF_BITS, fan_bits: int = FAN_BITS, top_nodes: int = TOP_NODES
+    rows: DataFrame, edges: DataFrame, metric: str, leaf_bits: int = PLACE_LEAF_BITS, fan_bits: int = PLACE_FAN_BITS, top_nodes: int = TOP_NODES
 ) -> DataFrame:
     """(zone, lat, lon) -> km_lo, km_hi over the other properties of the pool."""
     places = rows.where("lat is not null and lon is not null").groupBy("zone", "lat", "lon").agg(
@@ -132,7 +133,7 @@ def distance_ranges(
         peopled = F.expr("CASE WHEN a_zone <> c_zone OR a_node <> c_node OR c_n > 1 THEN _high END")
         return (
             pairs.withColumns({"_low": F.expr(low), "_high": F.expr(high)})
-            .withColumns({"_near": F.min(peopled).over(w), "_far": F.max("_low").over(w)})
+            .withColumns({"_near": F.min(peopled).over(w), "_far": F.max("_low").over(w), "_top": F.max("_high").over(w)})
             .where("_high >= _far OR _near IS NULL OR _low <= _near")
         )
 
@@ -142,9 +143,11 @@ def distance_ranges(
         return keep_ends(pairs, f"greatest({straight[0]}, {curved[0]})", f"least({straight[1]}, {curved[1]})", by)
 
     leaf = shifts[-1]
-    pairs = pruned_pairs(search, offered, edges, shifts, lambda p: may_matter(p, ["a_zone", "a_node"]))
-    held = ("pos", "n", "lat", "lon", *AXES)
+    # the blocks that can hold the nearest or the farthest place come first: they limit what the others are looked at for
+    first = F.expr("least(_low, _top - _high)").alias("slack")
+    pairs = pruned_pairs(search, offered, edges, shifts, lambda p: may_matter(p, ["a_zone", "a_node"]), [first])
     rows = placed.withColumn("node", node(leaf))
-    ends = far_and_near(streamed(staged(pairs, "place-pairs"), as_blocks(rows.where("wanted"), held), as_blocks(rows, held)), metric)
+    asking, held = as_blocks(rows.where("wanted"), ("pos", "n", "lat", "lon")), as_blocks(rows, ("pos", "lat", "lon"))
+    ends = far_and_near(streamed(staged(pairs, "place-pairs"), asking, held, ("slack", "c_zone", "c_node")), metric)
     found = ends.groupBy(F.col("a_pos").alias("pos")).agg(F.min("km_lo").alias("km_lo"), F.max("km_hi").alias("km_hi"))
     return placed.select("pos", "zone", "lat", "lon").join(found, "pos").drop("pos")

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from parcelmatch.functions.geo import AXES, box_km_by_degrees, inverse_km, least_chord, least_km, most_km, position
+from parcelmatch.operators import packs
 from parcelmatch.operators.packs import _exact_km
 
 
@@ -49,3 +50,25 @@ def test_boxes_bound_distances(spark, metric):
     for row, km in zip(rows, points):
         r = found[tuple(row)]
         assert r["low"] <= np.nanmin(km) + 1e-9 and np.nanmax(km) <= r["high"] + 1e-9
+
+
+@pytest.mark.parametrize("metric", ["vincenty", "haversine"])
+def test_few_places_get_an_exact_distance(monkeypatch, metric):
+    taken = []
+    monkeypatch.setattr(packs, "_exact_km", lambda m, *at: taken.append(len(at[0])) or _exact_km(m, *at))
+    draw = np.random.default_rng(5)
+    lat, lon = draw.uniform(30, 30.04, 4096), draw.uniform(-97.9, -97.85, 4096)
+    lat[7], lon[7] = -30.02, 82.12  # nearly opposite: may have no distance
+    grid = np.lexsort((lon, np.floor((lat - 30) * 800)))
+    lat, lon, pos = lat[grid], lon[grid], np.arange(4096)
+    blocks = np.array_split(pos, 32)
+    ends = packs.Ends(metric, pos[blocks[3]], np.where(blocks[3] % 9 == 0, 2, 1), lat[blocks[3]], lon[blocks[3]])
+    for k in (3, 2, 4, *[i for i in range(32) if i not in (2, 3, 4)]):
+        ends.offer(pos[blocks[k]], lat[blocks[k]], lon[blocks[k]])
+    got = ends.found().to_pydict()
+    assert sum(taken) < 8 * len(blocks[3])  # of 32 blocks; two of each block before
+    for at, low, high in zip(got["a_pos"], got["km_lo"], got["km_hi"]):
+        km = _exact_km(metric, np.full(4096, lat[at]), np.full(4096, lon[at]), lat, lon)
+        others = np.delete(km, at) if at % 9 else km
+        assert low == np.nanmin(others) and high == np.nanmax(others)
+    assert got["a_pos"] == pos[blocks[3]].tolist()
