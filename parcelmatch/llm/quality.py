@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+
 BLANK = r"\x20\x09-\x0D"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
+FEW = 64  # hashes that are looked up one by one
 # Frequent function words of the languages the rules are meant for.
 STOP_WORDS = (
     "the", "of", "and", "to", "a", "in", "that", "is", "was", "for", "it", "with", "as", "on", "be", "at", "by", "this",
@@ -40,11 +43,6 @@ RULES = (
 )
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _rest(items: Column) -> Column:
     return F.slice(items, F.lit(2), F.greatest(F.size(items) - 1, F.lit(0)))
 
@@ -62,13 +60,18 @@ def _covered(places: Column) -> Column:
 def repeated_words(words: Column) -> Column:
     """Number of words inside three-word windows that the text holds twice or more.
 
-    Windows are sorted by hash, then words, then place, so equal windows are neighbours.
+    Most windows have a hash of their own and are left out. The others are sorted by hash, then words, then place, so
+    equal windows are neighbours.
     """
     starts = F.slice(words, F.lit(1), F.greatest(F.size(words) - 2, F.lit(0)))
-    windows = F.transform(starts, lambda w, i: F.struct(
-        F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)).alias("h"), w.alias("a"), F.get(words, i + 1).alias("b"),
-        F.get(words, i + 2).alias("c"), i.alias("i"),
-    ))
+    hashes = F.transform(starts, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
+
+    def windows(h: Column, twice: Column) -> Column:
+        """Those whose hash is there twice; all, if so many are that looking them up would take longer than to sort them."""
+        some = F.transform(h, lambda x, i: F.when((F.size(twice) > FEW) | F.array_contains(twice, x), F.struct(
+            x.alias("h"), F.get(words, i).alias("a"), F.get(words, i + 1).alias("b"), F.get(words, i + 2).alias("c"), i.alias("i"),
+        )))
+        return F.filter(some, lambda x: x.isNotNull())
 
     def same(x: Column, y: Column) -> Column:
         return (x["h"] == y["h"]) & (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
@@ -77,14 +80,19 @@ def repeated_words(words: Column) -> Column:
         twice = F.transform(s, lambda x, j: F.when(F.coalesce(F.get(e, j), F.lit(False)) | F.coalesce(F.get(e, j - 1), F.lit(False)), x["i"]))
         return let(F.sort_array(F.filter(twice, lambda p: p.isNotNull())), _covered)
 
-    return let(F.sort_array(windows), lambda s: let(F.zip_with(_but_last(s), _rest(s), same), lambda e: found(s, e)))
+    def met_twice(h: Column) -> Column:
+        return let(F.sort_array(h), lambda s: F.array_distinct(F.filter(s, lambda x, i: F.coalesce(x == F.get(s, i + 1), F.lit(False)))))
+
+    def places(h: Column, twice: Column) -> Column:
+        return let(F.sort_array(windows(h, twice)), lambda s: let(F.zip_with(_but_last(s), _rest(s), same), lambda e: found(s, e)))
+
+    return let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(let(met_twice(h), lambda twice: places(h, twice))))
 
 
 def measures(docs: DataFrame) -> DataFrame:
     """doc_id and the counts that the rules use, for every whole text."""
     words = F.regexp_extract_all(F.col("t"), F.lit(f"[^{BLANK}]+"), F.lit(0))
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(f"[^{BLANK}]"))
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
     cut = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
     parts = cut.select("doc_id", "t", words.alias("words"), lines.alias("lines"))
 
@@ -99,7 +107,7 @@ def measures(docs: DataFrame) -> DataFrame:
         number(F.size("lines"), "n_lines"),
         number(F.size("lines") - F.size(F.array_distinct("lines")), "n_dup_lines"),
         number(repeated_words(F.col("words")), "n_repeat_words"),
-        number(F.size(F.filter("words", lambda w: F.array_contains(stop, F.lower(w)))), "n_stop_words"),
+        number(F.size(F.filter("words", lambda w: F.lower(w).isin(*STOP_WORDS))), "n_stop_words"),
         number(F.size(F.filter("words", lambda w: (w == F.upper(w)) & (w != F.lower(w)) & (F.length(w) > 1))), "n_upper_words"),
     )
 

@@ -107,6 +107,18 @@ def test_rules_keep_prose_and_drop_junk(spark, documents):
     assert quality.judge(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_only_windows_met_twice_are_sorted(spark, documents):
+    """Around the bound up to which hashes are looked up; stop words by a hash set."""
+    rows = []
+    for n in (1, 2, quality.FEW - 1, quality.FEW, quality.FEW + 1, 3 * quality.FEW):
+        twice, once = [f"t{i}" for i in range(n + 2)], [f"o{n}.{i}" for i in range(50)]
+        rows.append((len(rows), " ".join([*once[:20], *twice, *once[20:40], *twice, *once[40:]]), 2 * (n + 2)))
+    got = {r["doc_id"]: r["n_repeat_words"] for r in quality.measures(documents([r[:2] for r in rows])).collect()}
+    assert got == {r[0]: r[2] for r in rows}
+    plan = quality.judge(documents([(1, "a b")]))._jdf.queryExecution().optimizedPlan().toString()
+    assert "INSET" in plan and "size(array_distinct(" in plan
+
+
 def test_quality_and_sharding_run_no_python(documents):
     for plan in (quality.judge(documents([(1, "a b")])), sharding.shard_rows(documents([(1, "a b")]))):
         text = plan._jdf.queryExecution().executedPlan().toString()
