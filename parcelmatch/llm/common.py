@@ -36,6 +36,7 @@ def in_batches(df: DataFrame, start: Callable[[], Step], schema: str | StructTyp
                 out = step(batch.slice(at, rows))
                 if out is not None:
                     yield out
+        pa.default_memory_pool().release_unused()  # a worker may wait long for its next task
 
     return df.mapInArrow(run, schema)
 

@@ -269,7 +269,7 @@ class Field:
             template, _, value = f.partition("=")
             self.by_name.setdefault(template, {})[value] = i
         self.caches: tuple[Met, Met] | None = None
-        self.remembered = CACHE
+        self.remembered, self.together = CACHE, GROUP
         self.by_kind = [Scores(lambda v, f=f: self.scores([f(v)])[0]) for f in (kind_features, lambda k: [f"prev.shape={shape(k)}"], lambda k: [f"next.shape={shape(k)}"])]
         steps = (("size", len(SIZES) + 1), ("digits", len(DIGITS) + 1), ("mix", 4), ("kinds", len(VARIETY) + 1))
         self.by_look = [self.scores([[f"string.{name}={i}"] for i in range(n)]) for name, n in steps]
@@ -397,7 +397,7 @@ class Field:
         group: list[str] = []
         for k, text in enumerate(texts):
             group.append(text)
-            if sum(map(len, group)) >= GROUP or k + 1 == len(texts):
+            if sum(map(len, group)) >= self.together or k + 1 == len(texts):
                 out += self._spans_of(group)
                 group = []
         return out
@@ -792,16 +792,16 @@ def redacted(text: str, spans: list[Span], mark: str = REDACTED) -> str:
     return "".join([*out, text[at:]])
 
 
-def without_secrets(docs: DataFrame, cache: int = CACHE // 3) -> DataFrame:
+def without_secrets(docs: DataFrame, cache: int = CACHE // 3, group: int = GROUP // 4) -> DataFrame:
     """``docs`` with every secret replaced by a mark; no row goes, missing texts stay missing.
 
-    Workers remember less than in ``find_secrets``, as those of a pipeline hold memory of other stages.
+    Workers remember less and decode fewer texts at once than in ``find_secrets``, as those of a pipeline hold memory of other stages.
     """
     shared = share(docs.sparkSession, learn(docs))
 
     def start() -> Step:
         field = unpacked(shared)
-        field.remembered = cache
+        field.remembered, field.together = cache, group
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = batch.column("text").to_pylist()

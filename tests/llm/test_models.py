@@ -350,3 +350,15 @@ def test_words_and_terms():
     assert toxicity.terms_of("abcdefgh") == ["abcdefgh", "abc*", "abcd*", "abcde*", "abcdef*", "abcdefg*"]
     assert toxicity.Terms(["abc*"]).counts("ABCD abcx 12 _") == (2, {0: 2})
     assert language.words_of("Ab ab, 1c") == Counter({"ab": 2, "c": 1})
+
+
+def test_texts_are_decoded_in_groups_of_the_asked_size(monkeypatch):
+    """Fewer characters at once (a pipeline's workers hold memory of other stages), the same spans."""
+    field = secrets.train((e for e in map(secrets.example, secrets.planted(7, 300)) if e[0]), epochs=5)
+    texts = [line for line, *_ in secrets.planted(8, 200)]
+    whole, sizes = field.spans_of(texts), []
+    found = field._spans_of
+    monkeypatch.setattr(field, "_spans_of", lambda group: sizes.append(sum(map(len, group))) or found(group))
+    field.together = 500
+    assert field.spans_of(texts) == whole and any(whole)
+    assert max(sizes) < 500 + max(map(len, texts)) and len(sizes) > 10
