@@ -18,24 +18,20 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import Step, fresh, in_batches, kept, share, texts_of
 
 SPEC_BYTES = 64 << 20  # more is refused: a vocabulary is shared with every worker
-CACHE = 600_000  # strings that a worker remembers
-CACHED_CHARS = 64
-TOGETHER = 256  # strings that the model cuts in one call
+CACHE = 600_000  # matches that a worker remembers
+CACHED_BYTES = 64
+TOGETHER = 256  # matches that the model cuts in one call
 GROUP_CHARS = 1 << 20
 #: Texts of these characters only, whose classes are the same in every edition of Unicode, may be cut before the library.
 PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\u024f]")
-#: The split pattern of the vocabularies, for such texts.
 _LETTER, _DIGIT = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe"
-PIECE = re.compile(
-    f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^\\t\\n\\r {_LETTER}{_DIGIT}]+|[\\t\\n\\r ]+(?![^\\t\\n\\r ])|[\\t\\n\\r ]+"
-)
-FIRST, MATCH = "\x00", "\x01"  # mark the first string of a text, and a match without a blank before it
+#: By code point: 0 blank, tabulator or line end, 1 letter, 2 digit, 3 any other.
+KINDS = np.array([0 if c in "\t\n\r " else 1 if re.match(f"[{_LETTER}]", c) else 2 if re.match(f"[{_DIGIT}]", c) else 3 for c in map(chr, range(0x250))], np.uint8)
 
 
 def byte_characters() -> dict[int, str]:
@@ -92,16 +88,49 @@ def token_bytes(vocabulary: dict[str, int]) -> list[bytes]:
     return tokens
 
 
+def matches(raw: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where the matches of the vocabularies' split pattern begin in plain texts one after the other, and the end.
+
+    ``raw``: the texts' UTF-8 bytes; ``first``: where texts begin and the last one ends. A match is a run of letters, digits or
+    other characters, with the blank before it, or a run of blanks without the last one that a run follows; or ``'s`` and the like.
+    """
+    kind = KINDS[raw]
+    wide = np.flatnonzero(raw >= 0xC2)  # of two bytes
+    kind[wide] = kind[wide + 1] = KINDS[(raw[wide].astype(np.int64) & 31) << 6 | raw[wide + 1] & 63]
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[first] = True
+    begin = edge.copy()
+    begin[1:-1] |= kind[1:] != kind[:-1]
+    behind = np.flatnonzero(begin[1:-1] & (kind[:-1] == 0) & ~edge[1:-1]) + 1  # runs behind blanks
+    begin[behind - 1] = True
+    begin[behind[raw[behind - 1] == 0x20]] = False
+    tick = np.flatnonzero(raw == 0x27)
+    tick = tick[begin[tick] & ~edge[tick + 1]]
+    one, two = raw[tick + 1], np.where(edge[tick + 2], 0, raw[np.minimum(tick + 2, len(raw) - 1)])
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    long = np.isin(one.astype(np.int64) << 8 | two, [int.from_bytes(x) for x in (b"re", b"ve", b"ll")])
+    begin[tick[short | long] + 1] = False
+    begin[tick[short] + 2] = begin[tick[long] + 3] = True
+    return np.flatnonzero(begin)
+
+
 def joined(tokens: Sequence[bytes], ids: Sequence[int]) -> bytes:
     return b"".join([tokens[i] for i in ids])
 
 
+def listed(values: pa.LargeBinaryArray) -> list[bytes]:
+    """The values, none empty and none with a zero byte; much faster than ``to_pylist``."""
+    if not len(values):
+        return []
+    ends = np.frombuffer(values.buffers()[1], np.int64, len(values) + 1)
+    return np.insert(np.frombuffer(values.buffers()[2], np.uint8, ends[-1]), ends[1:-1], 0).tobytes().split(b"\0")
+
+
 class Coder:
-    """Encodes and decodes with one tokenizer; remembers the ids of strings between blanks.
+    """Encodes and decodes with one tokenizer; remembers the ids of the split pattern's matches.
 
-    In a plain text without two blanks in a row, a match of the split pattern never crosses the front
-    of a blank, so the strings between blanks (with the blank before them) are encoded apart, each
-    distinct one once, from the pattern's matches in it. Other texts go to the library as a whole.
+    Plain texts are cut into the pattern's matches, and each distinct match is encoded once. Other
+    texts go to the library as a whole.
 
     If no token that can occur in a plain text holds a blank after another character, the model cannot
     merge over the front of a blank, so it cuts many new matches in one call; the tokens' bytes tell
@@ -124,7 +153,7 @@ class Coder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}  # string -> its number
+        self.known: dict[bytes, int] = {}  # match -> its number
         self.again = np.zeros(0, bool)  # by number: met again after it was learned
         self.first = np.zeros(1, np.int64)  # by number: its ids are pool[first[number] : first[number + 1]]
         self.pool = np.zeros(0, np.int32)
@@ -133,7 +162,7 @@ class Coder:
     def of(spec: str, cache: int = CACHE) -> Coder:
         return kept((hashlib.sha256(spec.encode()).digest(), cache), lambda: Coder(spec, cache))
 
-    def _remember(self, names: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+    def _remember(self, names: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         base = len(self.first) - 1
         self.known.update(zip(names, range(base, base + len(names))))
         self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(sizes)])
@@ -141,7 +170,7 @@ class Coder:
         self.again = np.concatenate([self.again, np.zeros(len(names), bool)])
 
     def _make_room(self) -> None:
-        """Forget the strings that were met once only; everything, if that is too little."""
+        """Forget the matches that were met once only; everything, if that is too little."""
         again = self.again.tolist()
         kept = [s for s, number in self.known.items() if again[number]]
         ids, sizes = self._ids(np.fromiter(map(self.known.__getitem__, kept), np.int64, len(kept)))
@@ -150,77 +179,65 @@ class Coder:
             self._remember(kept, ids, sizes)
 
     def _ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of remembered strings, one after the other, and how many each has."""
+        """Ids of remembered matches, one after the other, and how many each has."""
         start = self.first[numbers]
         sizes = self.first[numbers + 1] - start
         ends = np.cumsum(sizes)
         at = np.repeat(start - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
         return self.pool[at], sizes
 
-    def _cut(self, text: str) -> list[int]:
-        return [t.id for t in self.library.model.tokenize((text if text.isascii() else text.encode().decode("latin-1")).translate(self.characters))]
+    def _cut(self, text: bytes) -> list[int]:
+        return [t.id for t in self.library.model.tokenize(text.decode("latin-1").translate(self.characters))]
 
-    def _learn_words(self, words: list[str]) -> None:
-        """Words stand for matches with a blank before them, and have no blank inside or at the end."""
+    def _learn(self, new: list[bytes]) -> None:
         whole = self.whole
         if whole:
-            own = [whole.get(b" " + w.encode(), -1) for w in words]
+            own = [whole.get(m, -1) for m in new]
             ids = [i for i in own if i >= 0]
-            self._remember([w for w, i in zip(words, own) if i >= 0], np.array(ids, np.int32), np.ones(len(ids), np.int64))
-            words = [w for w, i in zip(words, own) if i < 0]
-        found, sizes = [], []
+            self._remember([m for m, i in zip(new, own) if i >= 0], np.array(ids, np.int32), np.ones(len(ids), np.int64))
+            new = [m for m, i in zip(new, own) if i < 0]
+        words = [m for m in new if m[0] == 0x20 < m[-1]]  # with a blank before them, and none at the end
+        alone = [m for m in new if not m[0] == 0x20 < m[-1]]
+        found, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         for at in range(0, len(words), self.together):
-            text = " " + " ".join(words[at : at + self.together])
-            ids = np.array(self._cut(text), np.int32)
-            raw = np.frombuffer(text.encode(), np.uint8)
-            ends = np.append(np.flatnonzero(raw == 32)[1:], len(raw))
+            some = words[at : at + self.together]
+            ids = np.array(self._cut(b"".join(some)), np.int32)
+            ends = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))
             found.append(ids)
             sizes.append(np.diff(np.searchsorted(np.cumsum(self.bytes[ids]), ends, "right"), prepend=0))
-        if words:
-            self._remember(words, np.concatenate(found), np.concatenate(sizes))
-
-    def _learn(self, strings: list[str]) -> None:
-        """Strings are put together from the pattern's matches; a match ``" x"`` is the same as the string ``x``."""
-        known = self.known
-        self._learn_words([*filter(str.isalpha, strings)])  # in plain texts, these are the letters of the pattern
-        mixed = [s for s in strings if not s.isalpha()]
-        cut = [[m[1:] if m[0] == " " and len(m) > 1 else MATCH + m for m in PIECE.findall(s[1:] if s[:1] == FIRST else " " + s)] for s in mixed]
-        new = [m for m in dict.fromkeys(chain.from_iterable(cut)) if m not in known]
-        alone = [m for m in new if m[0] == MATCH or m[-1] in "\t\n\r "]
-        self._learn_words([m for m in new if m[0] != MATCH and m[-1] not in "\t\n\r "])
-        found = [self._cut(m[1:] if m[0] == MATCH else " " + m) for m in alone]
-        self._remember(alone, np.fromiter(chain.from_iterable(found), np.int32), np.fromiter(map(len, found), np.int64, len(found)))
-        left = [(s, c) for s, c in zip(mixed, cut) if s not in known]
-        ids, each = self._ids(np.fromiter((known[m] for _, c in left for m in c), np.int64))
-        ends = np.concatenate([[0], np.cumsum(each)])[np.cumsum(np.array([len(c) for _, c in left], np.int64))]
-        self._remember([s for s, _ in left], ids, np.diff(ends, prepend=0))
+        each = [*map(self._cut, alone)]
+        found.append(np.fromiter(chain.from_iterable(each), np.int32))
+        sizes.append(np.fromiter(map(len, each), np.int64, len(each)))
+        self._remember(words + alone, np.concatenate(found), np.concatenate(sizes))
 
     def _group(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
-        plain = [t != "" and PLAIN.search(t) is None and "  " not in t for t in texts]
+        plain = [PLAIN.search(t) is None for t in texts]
         odd = iter([np.array(e.ids, np.int32) for e in self.library.encode_batch_fast([t for t, p in zip(texts, plain) if not p], add_special_tokens=False)])
-        if len(self.known) > self.cache:
+        if len(self.first) > self.cache:
             self._make_room()
-        marked = pa.array([t[1:] if t[0] == " " else FIRST + t for t, p in zip(texts, plain) if p], pa.large_string())
-        cut = pc.split_pattern(marked, " ")
-        coded = cut.values.dictionary_encode()
-        strings, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        own = pa.array([t for t, p in zip(texts, plain) if p], pa.large_string())
+        data = own.buffers()[2] or pa.py_buffer(b"")
+        first = np.frombuffer(own.buffers()[1], np.int64, len(own) + 1) if len(own) else np.zeros(1, np.int64)
+        cut = matches(np.frombuffer(data, np.uint8, first[-1]), first)
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cut) - 1, [None, pa.py_buffer(cut), data]).dictionary_encode()
+        distinct, at = listed(coded.dictionary), coded.indices.to_numpy()
         known = self.known
-        numbers = np.fromiter(map(known.get, strings, repeat(-1)), np.int64, len(strings))
-        repeated = (np.bincount(at, minlength=len(strings)) > 1) | (numbers >= 0)
+        numbers = np.fromiter(map(known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        repeated = (np.bincount(at, minlength=len(distinct)) > 1) | (numbers >= 0)
         missing = np.flatnonzero(numbers < 0)
-        new = [strings[i] for i in missing.tolist()]
+        new = [distinct[i] for i in missing.tolist()]
         if new:
             self._learn(new)
             numbers[missing] = np.fromiter(map(known.__getitem__, new), np.int64, len(new))
         self.again[numbers[repeated]] = True
         ids, each = self._ids(numbers[at])
-        ends = np.concatenate([[0], np.cumsum(each)])[cut.offsets.to_numpy()].tolist()
+        ends = np.concatenate([[0], np.cumsum(each)])[np.searchsorted(cut, first)].tolist()
         bounds = iter(zip(ends, ends[1:]))
         for p in plain:
             yield ids[slice(*next(bounds))] if p else next(odd)
-        for s in new:
-            if len(s) > CACHED_CHARS:
-                known.pop(s, None)
+        for m in new:
+            if len(m) > CACHED_BYTES:
+                known.pop(m, None)
 
     def encode(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
         """The ids of every whole text, in bounded groups of texts."""
@@ -249,7 +266,7 @@ def _sha(data: bytes) -> str:
 def encode(docs: DataFrame, spec: str, offsets: bool = False, decoded: bool = False, cache: int = CACHE) -> DataFrame:
     """``docs`` with token_ids and n_tokens of the whole text, and with ``offsets`` starts and ends:
     the code points each token touches (tokens that share a character repeat it). With ``decoded``
-    the ids are decoded again in the same pass, to the text that ``decode`` would give. ``cache``: strings that a worker remembers.
+    the ids are decoded again in the same pass, to the text that ``decode`` would give. ``cache``: matches that a worker remembers.
 
     A missing text counts as empty and has no ids. Rows are encoded one by one.
     """

@@ -180,6 +180,18 @@ def id_dtype(largest: int) -> str:
     return "<u2" if largest < 1 << 16 else "<u4"
 
 
+def _chunks(data: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Consecutive documents' ids, ``CHUNK_IDS`` at most or one document."""
+    at = 0
+    while at < len(data):
+        to, size = at, 0
+        while to < len(data) and (to == at or size + len(data[to]) <= CHUNK_IDS):
+            size += len(data[to])
+            to += 1
+        yield data[at:to]
+        at = to
+
+
 def global_counts(tokens: DataFrame, ids: int) -> np.ndarray:
     """How often each of ``ids`` ids occurs: one row per id and task is shuffled, one per id comes back."""
     kind = id_dtype(ids - 1)
@@ -187,8 +199,8 @@ def global_counts(tokens: DataFrame, ids: int) -> np.ndarray:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(ids, np.int64)
         for batch in batches:
-            for data in batch.column("ids"):
-                total += np.bincount(np.frombuffer(data.as_buffer(), kind), minlength=ids)
+            for some in _chunks([np.frombuffer(x.as_buffer(), kind) for x in batch.column("ids")]):
+                total += np.bincount(np.concatenate(some), minlength=ids)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
@@ -239,20 +251,12 @@ def _coded(tokens: DataFrame, lengths: np.ndarray, bounds: np.ndarray, kind: str
         codes = canonical(lengths)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            data = [np.frombuffer(x.as_buffer(), kind) for x in batch.column("ids")]
             payloads: list[bytes] = []
             marks: list[bytes] = []
-            at = 0
-            while at < len(data):
-                to, size = at, 0
-                while to < len(data) and (to == at or size + len(data[to]) <= CHUNK_IDS):
-                    size += len(data[to])
-                    to += 1
-                sizes = np.array([len(x) for x in data[at:to]])
-                packed, offsets, places = pack(np.concatenate(data[at:to]), sizes, lengths, codes)
+            for some in _chunks([np.frombuffer(x.as_buffer(), kind) for x in batch.column("ids")]):
+                packed, offsets, places = pack(np.concatenate(some), np.array([len(x) for x in some]), lengths, codes)
                 payloads += [packed[a:b] for a, b in zip(offsets, offsets[1:])]
                 marks += [m.astype("<u8").tobytes() for m in places]
-                at = to
             numbers = batch.column("doc_id")
             filled = numbers.fill_null(0).to_numpy(zero_copy_only=False)
             low, high = np.searchsorted(bounds, filled, "left"), np.searchsorted(bounds, filled, "right")

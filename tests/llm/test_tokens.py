@@ -2,6 +2,7 @@ import base64
 import hashlib
 import heapq
 import random
+import re
 import zlib
 
 import numpy as np
@@ -68,6 +69,34 @@ def test_many_new_words_at_once(general, ranked, words):
     assert next(ranked[2].encode([text])).tolist() == ranked[0].encode_ordinary(text)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(st.sampled_from(" \n\t\r'strevlmd1²éÀ!?«×ɏ"), max_size=30), max_size=5))
+def test_matches_of_plain_texts(texts):
+    letter, digit = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe"
+    pattern = f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{digit}]+| ?[^\\t\\n\\r {letter}{digit}]+|[\\t\\n\\r ]+(?![^\\t\\n\\r ])|[\\t\\n\\r ]+"
+    raw = "".join(texts).encode()
+    first = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    cut = bpe.matches(np.frombuffer(raw, np.uint8), first).tolist()
+    assert [raw[a:b].decode() for a, b in zip(cut, cut[1:])] == [m for t in texts for m in re.findall(pattern, t)]
+
+
+def test_each_match_is_encoded_once_whatever_stands_beside_it():
+    coder = bpe.Coder(bpe.file_spec(GENERAL))
+    text = "word word, word. (word  word\n\n word!"
+    want = coder.library.encode(text, add_special_tokens=False).ids
+
+    class Library:
+        model = coder.library.model
+
+        def encode_batch_fast(self, texts, add_special_tokens):
+            assert not texts  # a plain text is cut here, even with blanks in a row
+            return []
+
+    coder.library = Library()
+    assert next(coder.encode([text])).tolist() == want
+    assert sorted(coder.known) == sorted({b"word", b" word", b",", b".", b" (", b" ", b"\n\n", b"!"})
+
+
 def test_tokens_over_a_blank_do_not_join_words(tmp_path):
     tokens = [bytes([b]) for b in range(256)] + [b" a", b"b ", b"b a", b"ab"]
     path = tmp_path / "ranks"
