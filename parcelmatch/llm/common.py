@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import pickle
 import sys
@@ -36,11 +37,19 @@ def in_batches(df: DataFrame, start: Callable[[], Step], schema: str | StructTyp
                 out = step(batch.slice(at, rows))
                 if out is not None:
                     yield out
-        pa.default_memory_pool().release_unused()  # a worker may wait long for its next task
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system, as a worker may wait long for its next task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; others have none
+    if trim:
+        trim(0)
+
+
 def kept(key: object, make: Callable[[], object]) -> object:
     """An object that is slow to build and stays in the Python worker until another one is asked for.
 

@@ -262,16 +262,17 @@ def decontaminate(
     clash = {c: fresh(docs, "_" + c) for c in docs.columns if c.lower() in ("n_words", "spans", "items")}
     found = find_windows(docs.withColumnsRenamed(clash), items, window)
     covered = F.aggregate("spans", F.lit(0).cast("bigint"), lambda s, x: s + (x["end"] - x["start"]))
-    rows = found.where(covered <= F.col("n_words") * max_coverage)
+    rows = staged(found.where(covered <= F.col("n_words") * max_coverage), "found")  # two Python steps in a task would take two workers
     shared = [share(docs.sparkSession, automaton(block, window)) for block in _blocks(items, window, BLOCK_WORDS)]
     first = True
     while True:
         for k, graph in enumerate(shared):
             rows = in_batches(rows, _cutter(graph, window, min_span, first, k > 0), rows.schema)
             first = False
+            if len(shared) > 1:
+                rows = staged(rows, "cut")
         if len(shared) == 1:
-            break
-        rows = staged(rows, "cut")  # a cut by one block may bring together what another block looks for
+            break  # else a cut by one block may bring together what another block looks for
         if rows.where("n_words < 0").isEmpty():
             break
     return rows.drop("n_words", "spans", "items").withColumnsRenamed({v: k for k, v in clash.items()})

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -131,3 +132,14 @@ def test_columns_that_clash_in_other_case_stay(spark, documents):
     items = spark.createDataFrame([(1, "a b c d e f g h i j k l")], "item_id bigint, text string")
     out = d.decontaminate(docs, items)
     assert out.columns == docs.columns and tuple(out.first())[-3:] == ("a", "b", 7)
+
+
+@pytest.mark.parametrize("block_words", [1 << 30, 20])
+def test_a_task_runs_one_python_step(spark, documents, monkeypatch, block_words):
+    """Every Python step of a task has a worker of its own, which stays and holds memory in all that follows."""
+    monkeypatch.setattr(d, "BLOCK_WORDS", block_words)
+    passages = [" ".join(f"{c}{i}c" for i in range(60)).replace("0", "x") for c in "vw"]
+    docs = documents([(1, f"{'a ' * 180}{passages[0]} {'b ' * 180}{passages[1]}"), (2, "clean text"), (3, None)])
+    out = d.decontaminate(docs, spark.createDataFrame([*enumerate(passages)], "item_id bigint, text string"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") <= 1
+    assert {r["doc_id"]: r["text"] and r["text"].split() for r in out.collect()} == {1: ["a"] * 180 + ["b"] * 180, 2: ["clean", "text"], 3: None}
