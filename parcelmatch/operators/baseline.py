@@ -41,5 +41,6 @@ def random_baseline(ids: DataFrame, k: int = NEIGHBOURS, seed: str = "0") -> Dat
     )
     start = hashed(F.lit(seed), F.col("search_prop").cast("string")) / float(16**HASH_DIGITS)
     score = start * F.pow(F.lit(DECAY), F.col("sim_rank"))
-    partners = all_ids.select("at", F.col("prop_id").alias("sim_prop"))
+    # Packed numbers take a few bytes a row in their file, so its size must not decide that all of them are broadcast.
+    partners = all_ids.select("at", F.col("prop_id").alias("sim_prop")).hint("merge")
     return drawn.join(partners, "at").select("search_prop", "sim_prop", score.alias("sim_score"), "sim_rank")
